@@ -113,7 +113,8 @@ def get_feature_table(spark: SparkSession, name: str) -> FeatureTable:
         raise ValueError(f"table {name} is not a feature table (no primary key recorded)")
     buckets = int(props.get(PROP_BUCKETS, "0")) or None
     return FeatureTable(name=name, primary_keys=tuple(props[PROP_KEYS].split(",")), base=props[PROP_BASE],
-                        version=int(props[PROP_VERSION]), buckets=buckets, description=props.get("comment"))
+                        version=int(props[PROP_VERSION]), buckets=buckets,
+                        description=spark.catalog.getTable(name).description)
 
 
 def read_feature_table(spark: SparkSession, name: str) -> DataFrame:

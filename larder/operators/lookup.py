@@ -127,7 +127,8 @@ def attach_features(spark: SparkSession, df: DataFrame, lookups: Sequence[Featur
     out = df
     for key, group in by_key.items():
         out = _join_group(out, list(key), group, skew)
-    return out
+    # input columns in their own order, then the features in lookup order
+    return out.select(*df.columns, *[n for r in resolved for n in r.features])
 
 
 def _join_group(df: DataFrame, key: list[str], group: list[_Resolved], skew: SkewPolicy) -> DataFrame:
