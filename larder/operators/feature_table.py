@@ -93,13 +93,14 @@ def create_feature_table(spark: SparkSession, name: str, primary_keys: str | Seq
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     db, table = split_name(spark, name)
     base = (base or f"{database_location(spark, db)}/{table}").rstrip("/")
-    empty = spark.createDataFrame([], schema)
-    _write_snapshot(spark, empty, db, keys, buckets, snapshot_path(base, 0), register_as=name)
     props = {PROP_KEYS: ",".join(keys), PROP_BASE: base, PROP_VERSION: "0",
              PROP_BUCKETS: str(buckets or 0)}
-    if description:
-        props["comment"] = description
-    spark.sql(f"ALTER TABLE {quote_ident(name)} SET TBLPROPERTIES ("
+    # Plain DDL: no job runs, the empty snapshot folder is simply absent.
+    cols = ", ".join(quote_ident(k) for k in keys)
+    clustered = f" CLUSTERED BY ({cols}) SORTED BY ({cols}) INTO {int(buckets)} BUCKETS" if buckets else ""
+    comment = f" COMMENT {sql_string(description)}" if description else ""
+    spark.sql(f"CREATE TABLE {quote_ident(name)} ({schema.toDDL()}) USING parquet{clustered}"
+              f" LOCATION {sql_string(snapshot_path(base, 0))}{comment} TBLPROPERTIES ("
               + ", ".join(f"{sql_string(k)} = {sql_string(v)}" for k, v in props.items()) + ")")
     return True
 
@@ -216,24 +217,20 @@ def drop_feature_table(spark: SparkSession, name: str, purge: bool = True) -> bo
 
 
 def _write_snapshot(spark: SparkSession, df: DataFrame, db: str, keys: Sequence[str], buckets: int | None,
-                    path: str, register_as: str | None = None) -> None:
+                    path: str) -> None:
     """Write one complete snapshot to ``path``.
 
-    Bucketed snapshots are written through a catalog entry (Spark writes bucket
-    files only via ``saveAsTable``); a temporary entry is dropped afterwards,
-    which leaves the external files in place.
+    Bucketed snapshots are written through a temporary catalog entry (Spark
+    writes bucket files only via ``saveAsTable``); dropping that external
+    entry afterwards leaves the files in place.
     """
     writer = df.write.format("parquet").mode("overwrite").option("path", path)
     if not buckets:
-        if register_as:
-            writer.saveAsTable(register_as)
-        else:
-            writer.save()
+        writer.save()
         return
-    name = register_as or f"{db}.__larder_stage_{uuid.uuid4().hex[:12]}"
-    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
-    if register_as is None:
-        spark.sql(f"DROP TABLE IF EXISTS {quote_ident(name)}")
+    stage = f"{db}.__larder_stage_{uuid.uuid4().hex[:12]}"
+    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(stage)
+    spark.sql(f"DROP TABLE IF EXISTS {quote_ident(stage)}")
 
 
 def save_features(spark: SparkSession, name: str, df: DataFrame, primary_keys: str | Sequence[str],

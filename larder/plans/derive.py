@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions import letters_token, null_if_empty
+from larder.functions import letters_token, null_if_empty, presence_flag
 from larder.operators.transforms import demographic_features, ticket_features
 
 # The patterns used on the driver tables.
@@ -18,14 +18,16 @@ UTM_PATTERN = r"utm_source=([A-Za-z]+)"  # campaign source in a URL query
 
 
 def doc_text_features(documents: DataFrame) -> DataFrame:
-    """Per document: first letter run (upper), line count, first digit run, rounded size."""
-    return documents.select(
+    """Per document: first letter run (upper), line count, first digit run, rounded size,
+    and a ``'1'``/``'0'`` flag for the digit run."""
+    first = documents.select(
         "doc_id",
         letters_token("text").alias("first_word"),
         F.size(F.split("text", "\n")).alias("n_lines"),
         null_if_empty(F.regexp_extract("text", DIGITS_PATTERN, 1)).alias("digits"),
         F.round(F.col("n_chars") / F.lit(100.0), 0).alias("size_rounded"),
     )
+    return first.select("*", presence_flag("digits").alias("has_digits"))
 
 
 def doc_meta_features(documents: DataFrame) -> DataFrame:

@@ -13,7 +13,8 @@ DOC_TEXT = r"""
               THEN upper(regexp_extract(text, '([A-Za-z]+)', 1)) END AS first_word,
          CAST(len(string_split(text, chr(10))) AS INTEGER) AS n_lines,
          NULLIF(regexp_extract(text, '([0-9]{3,})', 1), '') AS digits,
-         round(CAST(n_chars AS DOUBLE) / CAST(100 AS DOUBLE), 0) AS size_rounded
+         round(CAST(n_chars AS DOUBLE) / CAST(100 AS DOUBLE), 0) AS size_rounded,
+         CASE WHEN regexp_extract(text, '([0-9]{3,})', 1) <> '' THEN '1' ELSE '0' END AS has_digits
   FROM documents"""
 
 DOC_META = r"""
@@ -151,7 +152,7 @@ SELECT t.doc_id, t.first_word, t.n_lines, t.size_rounded, lf.toxic_flag
 FROM t JOIN lf ON t.doc_id = lf.doc_id""",
     "training_set": f"""
 WITH t AS ({DOC_TEXT}), m AS ({DOC_META})
-SELECT l.quality, t.first_word, t.n_lines, t.digits, t.size_rounded, m.lang, m.source
+SELECT l.quality, t.first_word, t.n_lines, t.digits, t.size_rounded, t.has_digits, m.lang, m.source
 FROM labels l LEFT JOIN t ON l.doc_id = t.doc_id LEFT JOIN m ON l.doc_id = m.doc_id""",
     "lookup_many_to_one": "WITH" + DEMOGRAPHIC + r"""
 SELECT o.o_orderkey, o.o_totalprice, CAST(o.o_custkey AS VARCHAR) AS cust_id,
@@ -160,7 +161,7 @@ FROM orders o LEFT JOIN demo d ON CAST(o.o_custkey AS VARCHAR) = d.PassengerId""
     "score_lookup": f"""
 WITH ids AS (SELECT doc_id FROM labels UNION ALL SELECT CAST(-1 AS BIGINT) AS doc_id),
 t AS ({DOC_TEXT}), m AS ({DOC_META})
-SELECT ids.doc_id, t.first_word, t.n_lines, t.digits, t.size_rounded, m.lang, m.source
+SELECT ids.doc_id, t.first_word, t.n_lines, t.digits, t.size_rounded, t.has_digits, m.lang, m.source
 FROM ids LEFT JOIN t ON ids.doc_id = t.doc_id LEFT JOIN m ON ids.doc_id = m.doc_id""",
     "limit_ids": "SELECT doc_id FROM labels ORDER BY doc_id LIMIT 20",
     "merge_upsert": UPSERT_RESULT,

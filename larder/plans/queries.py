@@ -63,7 +63,7 @@ UPSERT_TARGET_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE")
 UPSERT_SOURCE_SEGMENTS = ("FURNITURE", "HOUSEHOLD", "MACHINERY")
 UNSEEN_SEGMENT = "MACHINERY"
 UNKNOWN_ID = -1
-TEXT_FEATURES = ("first_word", "n_lines", "digits", "size_rounded")
+TEXT_FEATURES = ("first_word", "n_lines", "digits", "size_rounded", "has_digits")
 META_FEATURES = ("lang", "source")
 ID_LIMIT = 20
 
@@ -322,8 +322,11 @@ def q_weighted_prf(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- models
 
-CATEGORICAL = ("first_word", "digits", "lang", "source")
+# Model inputs, shaped like the reference's: low-cardinality categories,
+# two numbers with gaps filled by the mode, one presence flag.
+CATEGORICAL = ("lang", "source")
 NUMERIC = ("n_lines", "size_rounded")
+BINARY = ("has_digits",)
 
 
 def _doc_training(spark: SparkSession, sf: str, purpose: str):
@@ -337,13 +340,13 @@ def q_gbt_fit_score(spark: SparkSession, sf: str) -> DataFrame:
     ts = _doc_training(spark, sf, "gbt")
     data = ts.load_df()
     train, test = split_train_test(data, "doc_id")
-    _, metrics = fit_and_evaluate(build_pipeline(CATEGORICAL, NUMERIC, [], "quality"), train, test, "quality")
+    _, metrics = fit_and_evaluate(build_pipeline(CATEGORICAL, NUMERIC, BINARY, "quality"), train, test, "quality")
     return metrics
 
 
 def _bundle(spark: SparkSession, sf: str, purpose: str) -> str:
     ts = _doc_training(spark, sf, purpose)
-    model = build_pipeline(CATEGORICAL, NUMERIC, [], "quality").fit(ts.load_df())
+    model = build_pipeline(CATEGORICAL, NUMERIC, BINARY, "quality").fit(ts.load_df())
     return save_bundle(spark, model, scratch_path(spark, f"bundle-{purpose}"), ts)
 
 
