@@ -26,7 +26,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.operators.feature_table import get_feature_table
-from larder.operators.skew import SALT, SkewPolicy, find_hot_keys, salt_features, salt_input
+from larder.operators.skew import (
+    SALT,
+    SkewPolicy,
+    collapse_copies,
+    expand_copies,
+    find_hot_keys,
+    salt_features,
+    salt_input,
+)
 
 
 def _tuple(v: str | Iterable[str] | None) -> tuple[str, ...] | None:
@@ -137,6 +145,13 @@ def _join_group(df: DataFrame, key: list[str], group: list[_Resolved], skew: Ske
         for r in group:
             df = df.join(r.frame, key, "left")
         return df
+    if set(df.columns) <= set(key):
+        # Rows of one key are identical: join each distinct key once, then
+        # restore the copies.
+        counted = collapse_copies(df)
+        for r in group:
+            counted = counted.join(r.frame, key, "left")
+        return expand_copies(counted, skew.rows_per_split, key)
     salted = salt_input(df, hot)
     for r in group:
         salted = salted.join(salt_features(r.frame, hot, key), key + [SALT], "left")

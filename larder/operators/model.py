@@ -20,6 +20,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -59,10 +60,24 @@ def build_pipeline(categorical: Sequence[str], numeric: Sequence[str], binary: S
     return Pipeline(stages=stages)
 
 
+def fit_pipeline(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
+    """Fit with the input persisted (memory, spilling to disk) for the duration of the fit.
+
+    Every stage reads its input once (indexer, imputer, the assembler's size
+    probe, split finding, boosting), so without this the joins that built the
+    training frame would run once per stage.
+    """
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return pipeline.fit(cached)
+    finally:
+        cached.unpersist()
+
+
 def fit_and_evaluate(pipeline: Pipeline, train: DataFrame, test: DataFrame, label: str,
                      decimals: int = 2) -> tuple[PipelineModel, DataFrame]:
     """Fit on ``train``; return the model and ``(part, metric, value, value_rounded)`` for both parts."""
-    model = pipeline.fit(train)
+    model = fit_pipeline(pipeline, train)
     parts = []
     for name, frame in (("training", train), ("testing", test)):
         m = weighted_prf(model.transform(frame), label=label, decimals=decimals)

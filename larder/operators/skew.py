@@ -4,13 +4,19 @@ A many-to-one lookup join shuffles the input by its lookup key.  When one key
 (or the NULL key) holds a large share of the input rows, the task that owns it
 does most of the work.  ``SkewPolicy`` finds such keys with one aggregate over
 the key columns (partial aggregation first, so the aggregate itself is not
-skewed), keeps at most ``max_hot_keys`` of them (a proven bound for the
-broadcast), and the join then runs on ``(key, _salt)``:
-
-* input rows of a hot key get a salt in ``[0, splits)``, all other rows salt 0;
-* feature rows of a hot key are repeated once per salt (one row per split);
-* rows with a NULL key get salts as well: they never match, but they no
-  longer land in a single partition.
+skewed) and keeps at most ``max_hot_keys`` of them (a proven bound for the
+broadcast).  Two exact ways then take the hot keys apart:
+
+* **salting** (input with columns besides the key): the join runs on
+  ``(key, salt)``.  Input rows of a hot key get ``salt = hash(row) mod splits``,
+  all other rows salt 0, and the feature row of a hot key is repeated once per
+  salt.  Rows with a NULL key are salted too: they never match, but no longer
+  land in one partition.  The salt is a function of the row's content, so a
+  retried task sends every row to the same place again.
+* **collapsing** (input made of key columns only, e.g. ids to score): equal
+  rows are counted (map-side first), the distinct keys are joined (no key
+  repeats any more), and each row is expanded back to its count in chunks of
+  ``rows_per_split`` that are spread over tasks.
 
 Keys beyond the bound are still joined exactly, only without splitting.
 """
@@ -26,7 +32,8 @@ from pyspark.sql import types as T
 
 SALT = "__larder_salt"
 SPLITS = "__larder_splits"
-_SALT_SEED = 20231
+COPIES = "__larder_copies"
+CHUNK = "__larder_chunk"
 
 
 @dataclass(frozen=True)
@@ -87,18 +94,46 @@ def _any_null(keys: Sequence[str]) -> Column:
     return cond
 
 
+def _hashable(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+
+
 def salt_input(df: DataFrame, hot: HotKeys) -> DataFrame:
-    """Add ``SALT`` to the probe side: random split for hot and NULL keys, 0 otherwise."""
+    """Add ``SALT`` to the probe side: ``hash(row) mod splits`` for hot and NULL keys, 0 otherwise."""
     keys = list(hot.keys)
-    tagged = df.join(F.broadcast(_hot_frame(df, hot)), keys, "left") if hot.rows else df.withColumn(SPLITS, F.lit(None).cast("int"))
-    # rand(seed) is seeded per partition, so a re-run task draws the same salts.
-    r = F.rand(_SALT_SEED)
-    salt = (F.when(_any_null(keys), F.floor(r * F.lit(hot.null_splits)))
-            .when(F.col(SPLITS).isNotNull(), F.floor(r * F.col(SPLITS)))
+    if hot.rows:
+        tagged = df.join(F.broadcast(_hot_frame(df, hot)), keys, "left")
+    else:
+        tagged = df.withColumn(SPLITS, F.lit(None).cast("int"))
+    h = F.xxhash64(*[F.col(c) for c in _hashable(df)])
+    salt = (F.when(_any_null(keys), F.pmod(h, F.lit(hot.null_splits).cast("long")))
+            .when(F.col(SPLITS).isNotNull(), F.pmod(h, F.col(SPLITS).cast("long")))
             .otherwise(F.lit(0))).cast("int")
     return tagged.select(*df.columns, salt.alias(SALT))
 
 
+def collapse_copies(df: DataFrame) -> DataFrame:
+    """One row per distinct row with its number of copies (partial aggregation before the shuffle)."""
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPIES))
+
+
+def expand_copies(df: DataFrame, chunk: int, spread_by: list[str]) -> DataFrame:
+    """Undo ``collapse_copies``: each row appears ``COPIES`` times again.
+
+    A row is first cut into chunks of at most ``chunk`` copies; the chunks of
+    one row are hashed to different partitions, so no task generates more
+    than about ``chunk`` copies of one heavily repeated row, and no row ever
+    builds an array longer than ``chunk``.
+    """
+    cols = [c for c in df.columns if c != COPIES]
+    n = F.col(COPIES)
+    last_chunk = F.floor((n - F.lit(1)) / F.lit(chunk)).cast("long")
+    chunks = df.select("*", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)).alias(CHUNK))
+    spread = chunks.repartition(*[F.col(c) for c in spread_by], F.col(CHUNK))
+    size = F.least(F.lit(chunk).cast("long"), n - F.col(CHUNK) * F.lit(chunk))
+    return spread.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), size)).alias(COPIES)).drop(COPIES)
+
+
 def salt_features(features: DataFrame, hot: HotKeys, key_columns: Sequence[str]) -> DataFrame:
     """Repeat each hot key's feature row once per split; other rows get salt 0."""
     keys = list(key_columns)

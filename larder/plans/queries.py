@@ -30,7 +30,14 @@ from larder.operators.feature_table import (
     write_feature_table,
 )
 from larder.operators.lookup import FeatureLookup, attach_features, create_training_set
-from larder.operators.model import build_pipeline, fit_and_evaluate, load_bundle, save_bundle, score_batch
+from larder.operators.model import (
+    build_pipeline,
+    fit_and_evaluate,
+    fit_pipeline,
+    load_bundle,
+    save_bundle,
+    score_batch,
+)
 from larder.operators.prepare import (
     fit_one_hot,
     mode_imputer,
@@ -346,7 +353,7 @@ def q_gbt_fit_score(spark: SparkSession, sf: str) -> DataFrame:
 
 def _bundle(spark: SparkSession, sf: str, purpose: str) -> str:
     ts = _doc_training(spark, sf, purpose)
-    model = build_pipeline(CATEGORICAL, NUMERIC, BINARY, "quality").fit(ts.load_df())
+    model = fit_pipeline(build_pipeline(CATEGORICAL, NUMERIC, BINARY, "quality"), ts.load_df())
     return save_bundle(spark, model, scratch_path(spark, f"bundle-{purpose}"), ts)
 
 

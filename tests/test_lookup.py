@@ -123,3 +123,39 @@ def test_hot_key_bound(spark):
     hot = find_hot_keys(df, ["k"], SkewPolicy(hot_key_rows=10, rows_per_split=5, max_hot_keys=2))
     assert len(hot.rows) == 2 and all(r[-1] == 4 for r in hot.rows)
     assert not find_hot_keys(df, ["k"], SkewPolicy(enabled=False)).any
+
+
+def test_hot_ids_only_frame_collapses_and_expands(spark, db):
+    """An ids-only frame where one id is a third of all rows: distinct ids are joined, copies restored."""
+    from tests.conftest import SF_SMALL
+    from larder.plans.derive import customer_demographic_features
+    from larder.plans.tables import table
+    name = f"{db}.cust"
+    save_features(spark, name, customer_demographic_features(table(spark, SF_SMALL, "customer")), "PassengerId")
+    ids = _skewed_orders(spark, SF_SMALL).select("cust_id")
+    lookups = [FeatureLookup(name, ["NamePrefix", "Age"], "cust_id")]
+    policy = SkewPolicy(hot_key_rows=100, rows_per_split=40)
+    split = attach_features(spark, ids, lookups, policy)
+    plain = attach_features(spark, ids, lookups, SkewPolicy(enabled=False))
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    assert "__larder_copies" in plan and "__larder_chunk" in plan
+    norm = lambda d: sorted((tuple(r) for r in d.collect()), key=repr)
+    assert split.columns == plain.columns == ["cust_id", "NamePrefix", "Age"]
+    assert norm(split) == norm(plain)
+
+
+def test_expand_copies_chunks(spark):
+    from larder.operators.skew import COPIES, expand_copies
+    df = spark.createDataFrame([("a", 7), ("b", 1), ("c", 3)], f"k string, {COPIES} long")
+    out = expand_copies(df, 2, ["k"])
+    got = {r["k"]: r["count"] for r in out.groupBy("k").count().collect()}
+    assert got == {"a": 7, "b": 1, "c": 3} and out.columns == ["k"]
+
+
+def test_salt_is_a_function_of_the_row(spark):
+    from larder.operators.skew import HotKeys, salt_input
+    df = spark.createDataFrame([("7", i) for i in range(50)] + [(None, i) for i in range(10)], "k string, v int")
+    hot = HotKeys(("k",), (("7", 4),), 3)
+    a = sorted(tuple(r) for r in salt_input(df, hot).collect() if r["k"] is not None)
+    b = sorted(tuple(r) for r in salt_input(df.repartition(5), hot).collect() if r["k"] is not None)
+    assert a == b and {r[2] for r in a} == {0, 1, 2, 3}
