@@ -3,11 +3,14 @@
 Storage model
 -------------
 A feature table is an external Parquet table in the catalog whose files live in
-versioned snapshot folders ``<base>/v000000, v000001, ...``.  Every write
-produces a complete new snapshot; the table is then pointed at it with
-``ALTER TABLE ... SET LOCATION``.  A failed write therefore never leaves a
-half-written table behind, and a table can be read while the next snapshot is
-written (Parquet tables in the session catalog have no row-level MERGE).
+versioned snapshot folders ``<base>/v000000-<token>, v000001-<token>, ...``.
+Every write produces a complete new snapshot in a folder of its own; the table
+is then pointed at it with ``ALTER TABLE ... SET LOCATION``.  A failed write
+never leaves a half-written table behind, a table can be read while the next
+snapshot is written, and since the current snapshot is taken from the table's
+recorded location (not from a counter), a writer that died half-way can
+never make the next one overwrite the folder the table reads (Parquet tables
+in the session catalog have no row-level MERGE).
 
 By default the table is bucketed (and sorted) by its primary key.  The anti
 join of an upsert and every lookup join against the table then find the table
@@ -20,6 +23,7 @@ properties, the description as the table comment.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -31,9 +35,11 @@ from pyspark.sql import types as T
 from larder.sources.storage import (
     database_location,
     delete_path,
+    list_children,
     quote_ident,
     split_name,
     sql_string,
+    table_location,
 )
 
 # Table property names used by this library.
@@ -50,17 +56,25 @@ class FeatureTable:
     name: str
     primary_keys: tuple[str, ...]
     base: str
+    location: str          # current snapshot folder
     version: int
     buckets: int | None
     description: str | None
 
-    @property
-    def location(self) -> str:
-        return snapshot_path(self.base, self.version)
+
+_SNAPSHOT = re.compile(r"/v(\d{6})-[0-9a-f]+$")
 
 
 def snapshot_path(base: str, version: int) -> str:
-    return f"{base}/v{version:06d}"
+    """A new, unique folder for snapshot ``version``."""
+    return f"{base}/v{version:06d}-{uuid.uuid4().hex[:8]}"
+
+
+def snapshot_version(path: str) -> int:
+    m = _SNAPSHOT.search(path.rstrip("/"))
+    if not m:
+        raise ValueError(f"{path} is not a snapshot folder")
+    return int(m.group(1))
 
 
 def _keys(primary_keys: str | Sequence[str]) -> tuple[str, ...]:
@@ -113,8 +127,9 @@ def get_feature_table(spark: SparkSession, name: str) -> FeatureTable:
     if PROP_KEYS not in props:
         raise ValueError(f"table {name} is not a feature table (no primary key recorded)")
     buckets = int(props.get(PROP_BUCKETS, "0")) or None
+    location = table_location(spark, name)
     return FeatureTable(name=name, primary_keys=tuple(props[PROP_KEYS].split(",")), base=props[PROP_BASE],
-                        version=int(props[PROP_VERSION]), buckets=buckets,
+                        location=location, version=snapshot_version(location), buckets=buckets,
                         description=spark.catalog.getTable(name).description)
 
 
@@ -195,10 +210,23 @@ def write_feature_table(spark: SparkSession, name: str, df: DataFrame, mode: str
     spark.sql(f"ALTER TABLE {quote_ident(name)} SET TBLPROPERTIES "
               f"({sql_string(PROP_VERSION)} = {sql_string(str(new_version))})")
     spark.catalog.refreshTable(name)
-    stale = new_version - 1 - retain
-    if stale >= 0:
-        delete_path(spark, snapshot_path(ft.base, stale))
-    return get_feature_table(spark, name)
+    _prune_snapshots(spark, ft.base, new_path, retain)
+    return FeatureTable(ft.name, ft.primary_keys, ft.base, new_path, new_version, ft.buckets, ft.description)
+
+
+def _prune_snapshots(spark: SparkSession, base: str, current: str, retain: int) -> None:
+    """Delete snapshot folders older than the ``retain`` newest ones before ``current``."""
+    older = []
+    for path in list_children(spark, base):
+        try:
+            v = snapshot_version(path)
+        except ValueError:
+            continue
+        if not path.rstrip("/").endswith(current.rsplit("/", 1)[-1]):
+            older.append((v, path))
+    older.sort(reverse=True)
+    for _, path in older[retain:]:
+        delete_path(spark, path)
 
 
 def drop_feature_table(spark: SparkSession, name: str, purge: bool = True) -> bool:

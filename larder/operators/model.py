@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from larder.operators.evaluate import weighted_prf
 from larder.operators.lookup import FeatureLookup, SkewPolicy, TrainingSet, attach_features
-from larder.operators.prepare import category_indexer, fill_missing_sql, mode_imputer, one_hot
+from larder.operators.prepare import category_indexer, fill_missing_sql, mode_imputer, one_hot, split_train_test
 
 # Classifier settings.  50 rounds as in the reference; depth and
 # step size are this library's choice.
@@ -123,3 +123,34 @@ def score_batch(spark: SparkSession, bundle: ModelBundle | str, df: DataFrame,
         bundle = load_bundle(spark, bundle)
     joined = attach_features(spark, df, bundle.lookups, skew)
     return bundle.model.transform(joined).select(*joined.columns, "prediction")
+
+
+def feature_columns(df: DataFrame, exclude: Sequence[str]) -> list[str]:
+    """All columns of ``df`` except the excluded ones (label, keys), in order."""
+    return [c for c in df.columns if c not in set(exclude)]
+
+
+def train_and_save(spark: SparkSession, training_set: TrainingSet, path: str, split_key: str,
+                   categorical: Sequence[str], numeric: Sequence[str], binary: Sequence[str],
+                   **gbt_params) -> tuple[str, DataFrame]:
+    """The whole training workflow on the cluster.
+
+    Split the training set by ``split_key`` (25 % test), fit on the training
+    part, compute weighted precision/recall/F1 for both parts, refit on all
+    rows, and save the final model with the training set's lookups.  Returns
+    the bundle path and the metrics (``part, metric, value, value_rounded``),
+    already computed.  Columns not listed in any of the three kinds are not
+    used by the model.
+    """
+    label = training_set.label
+    data = training_set.load_df()
+    listed = list(categorical) + list(numeric) + list(binary)
+    unknown = [c for c in listed + [split_key] if c not in data.columns]
+    if unknown:
+        raise ValueError(f"columns {unknown} are not in the training set")
+    pipeline = build_pipeline(categorical, numeric, binary, label, **gbt_params)
+    train, test = split_train_test(data, split_key)
+    _, metrics = fit_and_evaluate(pipeline, train, test, label)
+    metrics = spark.createDataFrame(metrics.collect(), metrics.schema)   # six rows
+    final = fit_pipeline(pipeline, data)
+    return save_bundle(spark, final, path, training_set), metrics

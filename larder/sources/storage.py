@@ -45,3 +45,22 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
     loc = f" LOCATION {sql_string(location)}" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote_ident(database)}{loc}")
+
+
+def list_children(spark: SparkSession, path: str) -> list[str]:
+    """Full paths of the entries directly below ``path`` (empty if it does not exist)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return []
+    return [str(st.getPath().toString()) for st in fs.listStatus(hpath)]
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    """The location the catalog records for a table."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_ident(name)}").collect()
+    for r in rows:
+        if r[0] == "Location":
+            return r[1].rstrip("/")
+    raise ValueError(f"table {name} has no location")

@@ -100,14 +100,27 @@ def test_overwrite_mode(spark, db):
 
 
 def test_snapshots_and_retention(spark, db):
+    from larder.operators.feature_table import snapshot_version
+    from larder.sources.storage import list_children
     name = f"{db}.ft"
     save_features(spark, name, _df(spark, [("1", 1.0, "x")]), "k")
     for i in range(3):
         write_feature_table(spark, name, _df(spark, [(str(i), float(i), "v")]))
     ft = get_feature_table(spark, name)
-    assert ft.version == 4
-    assert path_exists(spark, f"{ft.base}/v000004") and path_exists(spark, f"{ft.base}/v000003")
-    assert not path_exists(spark, f"{ft.base}/v000002")
+    assert ft.version == 4 and path_exists(spark, ft.location)
+    kept = sorted(snapshot_version(p) for p in list_children(spark, ft.base))
+    assert kept == [3, 4]                 # current one plus one older snapshot
+
+
+def test_stale_version_property_cannot_clobber_current(spark, db):
+    """A writer that died after moving the location but before the version property."""
+    from larder.operators.feature_table import PROP_VERSION
+    name = f"{db}.ft"
+    save_features(spark, name, _df(spark, [("1", 1.0, "x")]), "k")
+    write_feature_table(spark, name, _df(spark, [("2", 2.0, "y")]))
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{PROP_VERSION}' = '0')")
+    write_feature_table(spark, name, _df(spark, [("3", 3.0, "z")]))
+    assert _rows(spark, name) == {"1": (1.0, "x"), "2": (2.0, "y"), "3": (3.0, "z")}
 
 
 def test_bucketed_snapshot_one_file_per_bucket_per_part(spark, db):

@@ -3,7 +3,15 @@
 from pyspark.sql import functions as F
 
 from larder.operators import FeatureLookup, create_training_set, save_features
-from larder.operators.model import build_pipeline, fit_and_evaluate, load_bundle, save_bundle, score_batch
+from larder.operators.model import (
+    build_pipeline,
+    feature_columns,
+    fit_and_evaluate,
+    load_bundle,
+    save_bundle,
+    score_batch,
+    train_and_save,
+)
 from larder.operators.prepare import split_train_test
 from larder.plans.derive import doc_meta_features, doc_text_features
 from larder.plans.tables import table
@@ -51,3 +59,14 @@ def test_bundle_round_trip_and_scoring(spark, db):
     direct = model.transform(ts.load_df()).select("prediction").collect()
     replay = score_batch(spark, bundle, table(spark, SF_SMALL, "labels").select("doc_id", "quality"))
     assert sorted(r[0] for r in direct) == sorted(r[0] for r in replay.select("prediction").collect())
+
+
+def test_train_and_save_workflow(spark, db):
+    ts = _training(spark, db)
+    path, metrics = train_and_save(spark, ts, scratch_path(spark, "bundle-wf"), "doc_id",
+                                   ["first_word", "lang"], ["n_lines", "size_rounded"], [],
+                                   max_iter=2, max_depth=2)
+    assert metrics.count() == 6
+    scored = score_batch(spark, path, table(spark, SF_SMALL, "labels").select("doc_id"))
+    assert scored.count() == table(spark, SF_SMALL, "labels").count()
+    assert feature_columns(ts.load_df(), ["quality", "doc_id"]) == ["first_word", "n_lines", "size_rounded", "lang"]
