@@ -29,7 +29,14 @@ from pyspark.sql import functions as F
 
 from larder.operators.evaluate import weighted_prf
 from larder.operators.lookup import FeatureLookup, SkewPolicy, TrainingSet, attach_features
-from larder.operators.prepare import category_indexer, fill_missing_sql, mode_imputer, one_hot, split_train_test
+from larder.operators.prepare import (
+    category_indexer,
+    check_cardinality,
+    fill_missing_sql,
+    mode_imputer,
+    one_hot,
+    split_train_test,
+)
 
 # Classifier settings.  50 rounds as in the reference; depth and
 # step size are this library's choice.
@@ -60,24 +67,26 @@ def build_pipeline(categorical: Sequence[str], numeric: Sequence[str], binary: S
     return Pipeline(stages=stages)
 
 
-def fit_pipeline(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
+def fit_pipeline(pipeline: Pipeline, df: DataFrame, categorical: Sequence[str] = ()) -> PipelineModel:
     """Fit with the input persisted (memory, spilling to disk) for the duration of the fit.
 
     Every stage reads its input once (indexer, imputer, the assembler's size
     probe, split finding, boosting), so without this the joins that built the
-    training frame would run once per stage.
+    training frame would run once per stage.  ``categorical`` columns are
+    checked first: their vocabularies end up in the model.
     """
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        check_cardinality(cached, categorical)
         return pipeline.fit(cached)
     finally:
         cached.unpersist()
 
 
 def fit_and_evaluate(pipeline: Pipeline, train: DataFrame, test: DataFrame, label: str,
-                     decimals: int = 2) -> tuple[PipelineModel, DataFrame]:
+                     decimals: int = 2, categorical: Sequence[str] = ()) -> tuple[PipelineModel, DataFrame]:
     """Fit on ``train``; return the model and ``(part, metric, value, value_rounded)`` for both parts."""
-    model = fit_pipeline(pipeline, train)
+    model = fit_pipeline(pipeline, train, categorical)
     parts = []
     for name, frame in (("training", train), ("testing", test)):
         m = weighted_prf(model.transform(frame), label=label, decimals=decimals)
@@ -150,7 +159,7 @@ def train_and_save(spark: SparkSession, training_set: TrainingSet, path: str, sp
         raise ValueError(f"columns {unknown} are not in the training set")
     pipeline = build_pipeline(categorical, numeric, binary, label, **gbt_params)
     train, test = split_train_test(data, split_key)
-    _, metrics = fit_and_evaluate(pipeline, train, test, label)
+    _, metrics = fit_and_evaluate(pipeline, train, test, label, categorical=categorical)
     metrics = spark.createDataFrame(metrics.collect(), metrics.schema)   # six rows
-    final = fit_pipeline(pipeline, data)
+    final = fit_pipeline(pipeline, data, categorical)
     return save_bundle(spark, final, path, training_set), metrics

@@ -17,6 +17,11 @@ from pyspark.sql import functions as F
 
 from larder.functions.columns import MISSING
 
+# Largest vocabulary a categorical column may have.  Fitted vocabularies are
+# collected to the driver and shipped inside the model, so their size must be
+# bounded; ``check_cardinality`` proves the bound before a fit.
+MAX_CATEGORIES = 100_000
+
 # The split rule.  A row is in the test part when the first eight
 # hex digits of md5("<seed>:<key>") are below 0x40000000, i.e. 25 % of rows.
 SPLIT_SEED = 123
@@ -47,6 +52,20 @@ def split_train_test(df: DataFrame, key: str, seed: int = SPLIT_SEED,
     return df.where(~cond), df.where(cond)
 
 
+def check_cardinality(df: DataFrame, columns: Sequence[str], max_categories: int = MAX_CATEGORIES) -> None:
+    """Raise ``ValueError`` if a column has (approximately) more distinct values than allowed.
+
+    One aggregate with a HyperLogLog sketch per column: fixed memory per task,
+    nothing but one number per column reaches the driver.
+    """
+    if not columns:
+        return
+    row = df.agg(*[F.approx_count_distinct(F.col(c), 0.05).alias(c) for c in columns]).first()
+    wide = {c: row[c] for c in columns if row[c] > max_categories}
+    if wide:
+        raise ValueError(f"too many categories to encode (limit {max_categories}): {wide}")
+
+
 def fill_missing_sql(categorical: Sequence[str], binary: Sequence[str]) -> SQLTransformer:
     """A pipeline stage: NULL categories become ``'missing'``; absent flags become 0.0.
 
@@ -78,6 +97,7 @@ def one_hot(columns: Sequence[str], suffix: str = "__vec") -> OneHotEncoder:
 
 def fit_one_hot(df: DataFrame, columns: Sequence[str]) -> PipelineModel:
     """Fill, index and encode ``columns``; fitted on ``df``."""
+    check_cardinality(df, columns)
     filled = [f"{c}__filled" for c in columns]
     idx = [f"{c}__idx" for c in filled]
     stages = [fill_missing_sql(columns, []), category_indexer(filled), one_hot(idx)]
@@ -102,6 +122,7 @@ def vocabulary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     The distinct values are found on the executors and indexed by the fitted
     indexer; nothing but the fitted vocabulary passes through the driver.
     """
+    check_cardinality(df, columns)
     model = category_indexer(columns).fit(df)
     parts = []
     for c, labels in zip(columns, model.labelsArray):

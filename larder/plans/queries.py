@@ -347,13 +347,14 @@ def q_gbt_fit_score(spark: SparkSession, sf: str) -> DataFrame:
     ts = _doc_training(spark, sf, "gbt")
     data = ts.load_df()
     train, test = split_train_test(data, "doc_id")
-    _, metrics = fit_and_evaluate(build_pipeline(CATEGORICAL, NUMERIC, BINARY, "quality"), train, test, "quality")
+    _, metrics = fit_and_evaluate(build_pipeline(CATEGORICAL, NUMERIC, BINARY, "quality"), train, test, "quality",
+                                  categorical=CATEGORICAL)
     return metrics
 
 
 def _bundle(spark: SparkSession, sf: str, purpose: str) -> str:
     ts = _doc_training(spark, sf, purpose)
-    model = fit_pipeline(build_pipeline(CATEGORICAL, NUMERIC, BINARY, "quality"), ts.load_df())
+    model = fit_pipeline(build_pipeline(CATEGORICAL, NUMERIC, BINARY, "quality"), ts.load_df(), CATEGORICAL)
     return save_bundle(spark, model, scratch_path(spark, f"bundle-{purpose}"), ts)
 
 

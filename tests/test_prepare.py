@@ -5,6 +5,7 @@ import math
 from pyspark.sql import functions as F
 
 from larder.operators.prepare import (
+    check_cardinality,
     fit_one_hot,
     mode_imputer,
     one_hot_columns,
@@ -74,3 +75,13 @@ def test_vocabulary_alphabetical(spark):
     got = sorted(tuple(r) for r in vocabulary(df, ["p", "q"]).collect())
     assert got == [("p", "a", 0.0), ("p", "b", 1.0), ("p", "c", 2.0), ("q", "x", 0.0), ("q", "y", 1.0)]
     assert not any(math.isnan(v[2]) for v in got)
+
+
+def test_cardinality_guard(spark):
+    import pytest
+    df = spark.range(500).select(F.col("id").cast("string").alias("c"), F.lit("x").alias("d"))
+    check_cardinality(df, ["d"], max_categories=10)
+    with pytest.raises(ValueError, match="too many categories"):
+        check_cardinality(df, ["c", "d"], max_categories=10)
+    with pytest.raises(ValueError):
+        check_cardinality(df, ["c"], 100)
