@@ -8,6 +8,7 @@ operators   feature derivations, feature tables (upsert), lookups, model prepara
             evaluation, model bundles and batch scoring
 plans       the registered queries over the driver tables and their SQL oracles
 streaming   micro-batch adapter that feeds a stream into a feature-table upsert
+client      ``FeatureClient``: the workflow verbs on one object
 """
 
 from larder.session import get_session, shared_dir
