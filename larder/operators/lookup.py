@@ -118,8 +118,12 @@ def _resolve(spark: SparkSession, df: DataFrame, lookups: Sequence[FeatureLookup
             raise ValueError(f"table {table} has no columns {unknown}")
         dtypes = dict(df.dtypes)
         ft_types = dict(ft.dtypes)
-        key_cols = [F.col(p).alias(k) if ft_types[p] == dtypes[k] else F.col(p).cast(dtypes[k]).alias(k)
-                    for p, k in zip(pk, key)]
+        # Keys must agree in type: a cast could map two distinct keys to one
+        # (e.g. '0123' and '123' as numbers) and multiply input rows.
+        wrong = [(k, dtypes[k], p, ft_types[p]) for p, k in zip(pk, key) if ft_types[p] != dtypes[k]]
+        if wrong:
+            raise ValueError(f"lookup key types differ from {table}'s primary key: {wrong}; cast the input column")
+        key_cols = [F.col(p).alias(k) for p, k in zip(pk, key)]
         resolved.append(_Resolved(ft.select(*key_cols, *names), key, tuple(names)))
     return resolved
 

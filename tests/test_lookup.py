@@ -159,3 +159,10 @@ def test_salt_is_a_function_of_the_row(spark):
     a = sorted(tuple(r) for r in salt_input(df, hot).collect() if r["k"] is not None)
     b = sorted(tuple(r) for r in salt_input(df.repartition(5), hot).collect() if r["k"] is not None)
     assert a == b and {r[2] for r in a} == {0, 1, 2, 3}
+
+
+def test_key_type_mismatch_raises(spark, tables):
+    t, _ = tables
+    df = spark.createDataFrame([(1,)], "PassengerId int")
+    with pytest.raises(ValueError, match="types differ"):
+        attach_features(spark, df, [FeatureLookup(t, ["FareRounded"])])
