@@ -43,7 +43,9 @@ def split_is_test(key: str | Column, seed: int = SPLIT_SEED, test_share: float =
     k = F.col(key) if isinstance(key, str) else key
     bound = f"{int(test_share * 0x100000000):08x}"
     digest = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), k.cast("string"))), 1, 8)
-    return digest < F.lit(bound)
+    # a NULL key has no digest; such rows go to the training part, so the two
+    # parts always cover every row
+    return F.coalesce(digest < F.lit(bound), F.lit(False))
 
 
 def split_train_test(df: DataFrame, key: str, seed: int = SPLIT_SEED,

@@ -85,3 +85,10 @@ def test_cardinality_guard(spark):
         check_cardinality(df, ["c", "d"], max_categories=10)
     with pytest.raises(ValueError):
         check_cardinality(df, ["c"], 100)
+
+
+def test_split_null_key_goes_to_training(spark):
+    df = spark.createDataFrame([(None,), ("1",), ("2",)], "k string")
+    train, test = split_train_test(df, "k")
+    assert train.count() + test.count() == 3
+    assert train.where(F.col("k").isNull()).count() == 1
