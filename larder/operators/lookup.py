@@ -11,9 +11,12 @@ Plan shape, per lookup key:
   skipped (Catalyst cannot drop an unused left join, since it does not know
   the table's key is unique);
 * each feature table is read with only its key and the requested columns;
-* all joins on one key share one partitioning, so the input is shuffled once
-  and a bucketed feature table not at all; AQE turns a join into a broadcast
-  join when the feature side proves small at run time.
+* when the input holds at most ``point_lookup_keys`` distinct keys, the keys
+  are pushed into the feature-table scans (bucket pruning, row-group skipping)
+  and the filtered tables, bounded by that many rows, are broadcast: no shuffle;
+* otherwise all joins on one key share one partitioning, so the input is
+  shuffled once and a bucketed feature table not at all; AQE turns a join into
+  a broadcast join when the feature side proves small at run time.
 """
 
 from __future__ import annotations
@@ -31,7 +34,8 @@ from larder.operators.skew import (
     SkewPolicy,
     collapse_copies,
     expand_copies,
-    find_hot_keys,
+    point_filter,
+    profile_keys,
     salt_features,
     salt_input,
 )
@@ -144,7 +148,18 @@ def attach_features(spark: SparkSession, df: DataFrame, lookups: Sequence[Featur
 
 
 def _join_group(df: DataFrame, key: list[str], group: list[_Resolved], skew: SkewPolicy) -> DataFrame:
-    hot = find_hot_keys(df, key, skew)
+    profile = profile_keys(df, key, skew)
+    if profile.point_keys is not None:
+        # Few distinct keys: read only the feature rows that can match.  The
+        # filter reaches the scan (bucket pruning, row-group skipping on the
+        # key-sorted bucket files).  What is left has at most
+        # ``point_lookup_keys`` rows (the table key is unique), so it is
+        # broadcast and the input is not shuffled at all, hot keys or not.
+        cond = point_filter(key, profile.point_keys) if profile.point_keys else F.lit(False)
+        for r in group:
+            df = df.join(F.broadcast(r.frame.where(cond)), key, "left")
+        return df
+    hot = profile.hot
     if not hot.any:
         for r in group:
             df = df.join(r.frame, key, "left")

@@ -26,7 +26,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,12 +38,20 @@ CHUNK = "__larder_chunk"
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """When and how finely to split hot lookup keys."""
+    """How lookup keys are profiled before joining.
+
+    Hot keys are split (see module docs).  When the input has at most
+    ``point_lookup_keys`` distinct keys, they are also pushed into the
+    feature-table scan as an ``IN`` filter, so a small batch of ids reads only
+    the buckets (and Parquet row groups) that can hold them instead of the
+    whole table.
+    """
 
     enabled: bool = True
     hot_key_rows: int = 1_000_000   # a key with at least this many input rows is split
     rows_per_split: int = 500_000   # target input rows of one hot key per task
     max_hot_keys: int = 10_000      # bound on the broadcast table of hot keys
+    point_lookup_keys: int = 10_000  # bound on the key list pushed into the scan
 
     def splits(self, rows: int) -> int:
         return max(1, -(-rows // self.rows_per_split))
@@ -60,16 +68,30 @@ class HotKeys:
         return bool(self.rows) or self.null_splits > 1
 
 
-def find_hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy) -> HotKeys:
-    """Keys of ``df`` that need splitting; at most ``policy.max_hot_keys`` reach the driver."""
+@dataclass(frozen=True)
+class KeyProfile:
+    hot: HotKeys
+    point_keys: tuple[tuple, ...] | None   # every non-NULL key, when there are few of them
+
+
+def profile_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy) -> KeyProfile:
+    """Hot keys and, for inputs with few distinct keys, the keys themselves.
+
+    One aggregate over the key columns.  The number of distinct keys is
+    observed on the way (``Observation``), so it costs no extra pass; the key
+    list is collected only when that number is within ``point_lookup_keys``.
+    """
     keys = tuple(keys)
     if not policy.enabled:
-        return HotKeys(keys, (), 1)
-    found = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+        return KeyProfile(HotKeys(keys, (), 1), None)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    seen = Observation()
+    found = (counts.observe(seen, F.count(F.lit(1)).alias("distinct_keys"))
              .where(F.col("__n") >= policy.hot_key_rows)
              .orderBy(F.desc("__n"))
              .limit(policy.max_hot_keys + 1)
              .collect())
+    distinct = seen.get["distinct_keys"]
     rows, null_splits = [], 1
     for r in found:
         values = tuple(r[k] for k in keys)
@@ -77,7 +99,30 @@ def find_hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy) -> Hot
             null_splits = max(null_splits, policy.splits(r["__n"]))
         elif len(rows) < policy.max_hot_keys:
             rows.append(values + (policy.splits(r["__n"]),))
-    return HotKeys(keys, tuple(rows), null_splits)
+    hot = HotKeys(keys, tuple(rows), null_splits)
+    point = None
+    if distinct <= policy.point_lookup_keys:
+        every = found if distinct == len(found) else counts.collect()   # at most point_lookup_keys rows
+        point = tuple(v for v in (tuple(r[k] for k in keys) for r in every) if all(x is not None for x in v))
+    return KeyProfile(hot, point)
+
+
+def find_hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy) -> HotKeys:
+    """Keys of ``df`` that need splitting; at most ``policy.max_hot_keys`` reach the driver."""
+    return profile_keys(df, keys, policy).hot
+
+
+def point_filter(keys: Sequence[str], values: Sequence[tuple]) -> Column:
+    """``key IN (values)`` for one key column, else an OR of per-key equalities."""
+    if len(keys) == 1:
+        return F.col(keys[0]).isin([v[0] for v in values])
+    cond = F.lit(False)
+    for v in values:
+        one = F.lit(True)
+        for k, x in zip(keys, v):
+            one = one & (F.col(k) == F.lit(x))
+        cond = cond | one
+    return cond
 
 
 def _hot_frame(df: DataFrame, hot: HotKeys) -> DataFrame:

@@ -1,5 +1,7 @@
 """Lookups and training sets: LEFT semantics, pruning, hot-key splitting."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,7 +107,7 @@ def test_hot_keys_split_gives_same_rows(spark, db):
     save_features(spark, name, customer_demographic_features(table(spark, SF_SMALL, "customer")), "PassengerId")
     df = _skewed_orders(spark, SF_SMALL)
     lookups = [FeatureLookup(name, ["NamePrefix", "Age"], "cust_id")]
-    policy = SkewPolicy(hot_key_rows=100, rows_per_split=50)
+    policy = SkewPolicy(hot_key_rows=100, rows_per_split=50, point_lookup_keys=0)
     hot = find_hot_keys(df, ["cust_id"], policy)
     assert hot.rows and hot.rows[0][0] == "7" and hot.null_splits > 1
     split = attach_features(spark, df, lookups, policy)
@@ -134,7 +136,7 @@ def test_hot_ids_only_frame_collapses_and_expands(spark, db):
     save_features(spark, name, customer_demographic_features(table(spark, SF_SMALL, "customer")), "PassengerId")
     ids = _skewed_orders(spark, SF_SMALL).select("cust_id")
     lookups = [FeatureLookup(name, ["NamePrefix", "Age"], "cust_id")]
-    policy = SkewPolicy(hot_key_rows=100, rows_per_split=40)
+    policy = SkewPolicy(hot_key_rows=100, rows_per_split=40, point_lookup_keys=0)
     split = attach_features(spark, ids, lookups, policy)
     plain = attach_features(spark, ids, lookups, SkewPolicy(enabled=False))
     plan = split._jdf.queryExecution().optimizedPlan().toString()
@@ -166,3 +168,53 @@ def test_key_type_mismatch_raises(spark, tables):
     df = spark.createDataFrame([(1,)], "PassengerId int")
     with pytest.raises(ValueError, match="types differ"):
         attach_features(spark, df, [FeatureLookup(t, ["FareRounded"])])
+
+
+def test_point_lookup_prunes_buckets(spark, db):
+    """A few ids read only their buckets: files of other buckets may even be gone."""
+    import glob
+    import os
+    from tests.conftest import SF_SMALL
+    from larder.plans.derive import doc_text_features
+    from larder.plans.tables import table
+    name = f"{db}.text"
+    ft = save_features(spark, name, doc_text_features(table(spark, SF_SMALL, "documents")), "doc_id", buckets=8)
+    ids = spark.createDataFrame([(1,), (5,), (7,), (1,)], "doc_id bigint")
+    lookups = [FeatureLookup(name, ["first_word", "n_lines"])]
+    expected = sorted((tuple(r) for r in attach_features(spark, ids, lookups, SkewPolicy(point_lookup_keys=0)).collect()), key=repr)
+    point = attach_features(spark, ids, lookups)
+    plan = point._jdf.queryExecution().executedPlan().toString()
+    assert "In(doc_id, [1,5,7])" in plan                                   # pushed into the Parquet scan
+    wanted = {r[0] for r in ids.select(F.expr("pmod(hash(doc_id), 8)")).collect()}
+    for f in glob.glob(ft.location.replace("file:", "") + "/*.parquet"):
+        if int(f.rsplit("_", 1)[-1].split(".")[0]) not in wanted:
+            os.remove(f)
+    spark.catalog.refreshTable(name)
+    again = attach_features(spark, ids, lookups)
+    assert sorted((tuple(r) for r in again.collect()), key=repr) == expected
+
+
+def test_profile_counts_distinct_keys(spark):
+    from larder.operators.skew import profile_keys
+    df = spark.createDataFrame([(str(i % 4),) for i in range(40)] + [(None,)], "k string")
+    p = profile_keys(df, ["k"], SkewPolicy(hot_key_rows=1000, point_lookup_keys=10))
+    assert sorted(p.point_keys) == [("0",), ("1",), ("2",), ("3",)] and not p.hot.any
+    assert profile_keys(df, ["k"], SkewPolicy(point_lookup_keys=3)).point_keys is None
+    p2 = profile_keys(df, ["k"], SkewPolicy(hot_key_rows=5, rows_per_split=5, point_lookup_keys=10))
+    assert sorted(p2.point_keys) == [("0",), ("1",), ("2",), ("3",)] and len(p2.hot.rows) == 4
+
+
+def test_point_path_broadcasts_even_with_hot_keys(spark, db):
+    from tests.conftest import SF_SMALL
+    from larder.plans.derive import customer_demographic_features
+    from larder.plans.tables import table
+    name = f"{db}.cust"
+    save_features(spark, name, customer_demographic_features(table(spark, SF_SMALL, "customer")), "PassengerId")
+    df = _skewed_orders(spark, SF_SMALL)
+    lookups = [FeatureLookup(name, ["NamePrefix", "Age"], "cust_id")]
+    point = attach_features(spark, df, lookups, SkewPolicy(hot_key_rows=100, rows_per_split=50))
+    plain = attach_features(spark, df, lookups, SkewPolicy(enabled=False))
+    plan = point._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and SALT not in plan
+    norm = lambda d: sorted((tuple(r) for r in d.collect()), key=repr)
+    assert norm(point) == norm(plain)
