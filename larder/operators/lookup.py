@@ -11,9 +11,11 @@ Plan shape, per lookup key:
   skipped (Catalyst cannot drop an unused left join, since it does not know
   the table's key is unique);
 * each feature table is read with only its key and the requested columns;
-* when the input holds at most ``point_lookup_keys`` distinct keys, the keys
-  are pushed into the feature-table scans (bucket pruning, row-group skipping)
-  and the filtered tables, bounded by that many rows, are broadcast: no shuffle;
+* when the input holds at most ``point_lookup_keys`` distinct keys, each
+  feature table is first cut down to those keys (a literal IN list pushed into
+  the scan for very few keys, with bucket pruning and row-group skipping; a
+  broadcast semi join otherwise) and the result, bounded by that many rows,
+  is broadcast: no shuffle, no sort of the table;
 * otherwise all joins on one key share one partitioning, so the input is
   shuffled once and a bucketed feature table not at all; AQE turns a join into
   a broadcast join when the feature side proves small at run time.
@@ -34,7 +36,7 @@ from larder.operators.skew import (
     SkewPolicy,
     collapse_copies,
     expand_copies,
-    point_filter,
+    literal_filter,
     profile_keys,
     salt_features,
     salt_input,
@@ -149,15 +151,18 @@ def attach_features(spark: SparkSession, df: DataFrame, lookups: Sequence[Featur
 
 def _join_group(df: DataFrame, key: list[str], group: list[_Resolved], skew: SkewPolicy) -> DataFrame:
     profile = profile_keys(df, key, skew)
-    if profile.point_keys is not None:
-        # Few distinct keys: read only the feature rows that can match.  The
-        # filter reaches the scan (bucket pruning, row-group skipping on the
-        # key-sorted bucket files).  What is left has at most
-        # ``point_lookup_keys`` rows (the table key is unique), so it is
-        # broadcast and the input is not shuffled at all, hot keys or not.
-        cond = point_filter(key, profile.point_keys) if profile.point_keys else F.lit(False)
+    if 0 <= profile.distinct <= skew.point_lookup_keys:
+        # Few distinct keys: keep only the feature rows that can match, then
+        # broadcast them (at most ``point_lookup_keys`` rows, the table key
+        # being unique), so the input is not shuffled at all, hot keys or not.
+        # Very few keys go into the scan as a literal IN list (bucket pruning,
+        # row-group skipping on the key-sorted bucket files); otherwise the
+        # distinct input keys are broadcast into a semi join.
+        cond = literal_filter(key[0], profile.literals) if profile.literals is not None and len(key) == 1 else None
+        wanted = F.broadcast(df.select(*key).distinct()) if cond is None else None
         for r in group:
-            df = df.join(F.broadcast(r.frame.where(cond)), key, "left")
+            frame = r.frame.where(cond) if cond is not None else r.frame.join(wanted, key, "left_semi")
+            df = df.join(F.broadcast(frame), key, "left")
         return df
     hot = profile.hot
     if not hot.any:

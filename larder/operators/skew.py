@@ -51,7 +51,8 @@ class SkewPolicy:
     hot_key_rows: int = 1_000_000   # a key with at least this many input rows is split
     rows_per_split: int = 500_000   # target input rows of one hot key per task
     max_hot_keys: int = 10_000      # bound on the broadcast table of hot keys
-    point_lookup_keys: int = 10_000  # bound on the key list pushed into the scan
+    point_lookup_keys: int = 10_000  # at most this many distinct keys: filter and broadcast the tables
+    literal_keys: int = 256          # at most this many: the filter is a literal IN list
 
     def splits(self, rows: int) -> int:
         return max(1, -(-rows // self.rows_per_split))
@@ -71,19 +72,21 @@ class HotKeys:
 @dataclass(frozen=True)
 class KeyProfile:
     hot: HotKeys
-    point_keys: tuple[tuple, ...] | None   # every non-NULL key, when there are few of them
+    distinct: int                          # number of distinct keys (NULL counts as one)
+    literals: tuple[tuple, ...] | None     # every non-NULL key, when there are at most ``literal_keys``
 
 
 def profile_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy) -> KeyProfile:
-    """Hot keys and, for inputs with few distinct keys, the keys themselves.
+    """Hot keys, the number of distinct keys and, when very few, the keys themselves.
 
     One aggregate over the key columns.  The number of distinct keys is
-    observed on the way (``Observation``), so it costs no extra pass; the key
-    list is collected only when that number is within ``point_lookup_keys``.
+    observed on the way (``Observation``), so it costs no extra pass; the keys
+    are collected (a second, keys-only pass) only when there are at most
+    ``literal_keys`` of them.
     """
     keys = tuple(keys)
     if not policy.enabled:
-        return KeyProfile(HotKeys(keys, (), 1), None)
+        return KeyProfile(HotKeys(keys, (), 1), -1, None)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     seen = Observation()
     found = (counts.observe(seen, F.count(F.lit(1)).alias("distinct_keys"))
@@ -99,12 +102,11 @@ def profile_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy) -> KeyP
             null_splits = max(null_splits, policy.splits(r["__n"]))
         elif len(rows) < policy.max_hot_keys:
             rows.append(values + (policy.splits(r["__n"]),))
-    hot = HotKeys(keys, tuple(rows), null_splits)
-    point = None
-    if distinct <= policy.point_lookup_keys:
-        every = found if distinct == len(found) else counts.collect()   # at most point_lookup_keys rows
-        point = tuple(v for v in (tuple(r[k] for k in keys) for r in every) if all(x is not None for x in v))
-    return KeyProfile(hot, point)
+    literals = None
+    if distinct <= policy.literal_keys:
+        every = found if distinct == len(found) else counts.collect()   # at most literal_keys rows
+        literals = tuple(v for v in (tuple(r[k] for k in keys) for r in every) if all(x is not None for x in v))
+    return KeyProfile(HotKeys(keys, tuple(rows), null_splits), distinct, literals)
 
 
 def find_hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy) -> HotKeys:
@@ -112,17 +114,25 @@ def find_hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy) -> Hot
     return profile_keys(df, keys, policy).hot
 
 
-def point_filter(keys: Sequence[str], values: Sequence[tuple]) -> Column:
-    """``key IN (values)`` for one key column, else an OR of per-key equalities."""
-    if len(keys) == 1:
-        return F.col(keys[0]).isin([v[0] for v in values])
-    cond = F.lit(False)
-    for v in values:
-        one = F.lit(True)
-        for k, x in zip(keys, v):
-            one = one & (F.col(k) == F.lit(x))
-        cond = cond | one
-    return cond
+def _sql_literal(v) -> str | None:
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, int):
+        return str(v)
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return None
+
+
+def literal_filter(key: str, values: Sequence[tuple]) -> Column | None:
+    """``key IN (v1, v2, ...)`` as one SQL expression (parsed once on the JVM), or
+    ``None`` when a value has no plain literal form."""
+    if not values:
+        return F.lit(False)
+    lits = [_sql_literal(v[0]) for v in values]
+    if any(x is None for x in lits):
+        return None
+    return F.expr(f"`{key.replace('`', '``')}` IN ({', '.join(lits)})")
 
 
 def _hot_frame(df: DataFrame, hot: HotKeys) -> DataFrame:

@@ -197,11 +197,29 @@ def test_point_lookup_prunes_buckets(spark, db):
 def test_profile_counts_distinct_keys(spark):
     from larder.operators.skew import profile_keys
     df = spark.createDataFrame([(str(i % 4),) for i in range(40)] + [(None,)], "k string")
-    p = profile_keys(df, ["k"], SkewPolicy(hot_key_rows=1000, point_lookup_keys=10))
-    assert sorted(p.point_keys) == [("0",), ("1",), ("2",), ("3",)] and not p.hot.any
-    assert profile_keys(df, ["k"], SkewPolicy(point_lookup_keys=3)).point_keys is None
-    p2 = profile_keys(df, ["k"], SkewPolicy(hot_key_rows=5, rows_per_split=5, point_lookup_keys=10))
-    assert sorted(p2.point_keys) == [("0",), ("1",), ("2",), ("3",)] and len(p2.hot.rows) == 4
+    p = profile_keys(df, ["k"], SkewPolicy(hot_key_rows=1000, literal_keys=10))
+    assert p.distinct == 5 and sorted(p.literals) == [("0",), ("1",), ("2",), ("3",)] and not p.hot.any
+    assert profile_keys(df, ["k"], SkewPolicy(literal_keys=3)).literals is None
+    p2 = profile_keys(df, ["k"], SkewPolicy(hot_key_rows=5, rows_per_split=5, literal_keys=10))
+    assert sorted(p2.literals) == [("0",), ("1",), ("2",), ("3",)] and len(p2.hot.rows) == 4
+
+
+def test_semi_join_regime_same_rows(spark, tables):
+    t, d = tables
+    ids = spark.createDataFrame([("1",), ("3",), ("9",), (None,), ("1",)], "PassengerId string")
+    semi = attach_features(spark, ids, _lookups(t, d), SkewPolicy(literal_keys=0))
+    plan = semi._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan and "SortMergeJoin" not in plan
+    plain = attach_features(spark, ids, _lookups(t, d), SkewPolicy(enabled=False))
+    norm = lambda d_: sorted((tuple(r) for r in d_.collect()), key=repr)
+    assert norm(semi) == norm(plain)
+
+
+def test_literal_filter_quotes(spark):
+    from larder.operators.skew import literal_filter
+    df = spark.createDataFrame([("a'b",), ("c\\d",), ("e",)], "k string")
+    got = sorted(r[0] for r in df.where(literal_filter("k", [("a'b",), ("c\\d",)])).collect())
+    assert got == ["a'b", "c\\d"]
 
 
 def test_point_path_broadcasts_even_with_hot_keys(spark, db):
