@@ -73,9 +73,10 @@ def fill_missing_sql(categorical: Sequence[str], binary: Sequence[str]) -> SQLTr
 
     The stage is a SQL projection, so it runs in the JVM and is saved with the model.
     """
+    q = lambda name: "`" + name.replace("`", "``") + "`"
     cols = ["*"]
-    cols += [f"coalesce(`{c}`, '{MISSING}') AS `{c}__filled`" for c in categorical]
-    cols += [f"CAST(coalesce(`{c}`, '0') AS DOUBLE) AS `{c}__num`" for c in binary]
+    cols += [f"coalesce({q(c)}, '{MISSING}') AS {q(c + '__filled')}" for c in categorical]
+    cols += [f"CAST(coalesce({q(c)}, '0') AS DOUBLE) AS {q(c + '__num')}" for c in binary]
     return SQLTransformer(statement=f"SELECT {', '.join(cols)} FROM __THIS__")
 
 
