@@ -49,3 +49,19 @@ def write_table(df: DataFrame, name: str, fmt: str = "parquet", mode: str = "ove
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
+
+
+def create_source_tables(spark: SparkSession, paths: Mapping[str, str], schemas: Mapping[str, T.StructType],
+                         table_names: Mapping[str, str], fmt: str = "parquet") -> dict[str, str]:
+    """Read each typed CSV source and write it as a catalog table, replacing any earlier one.
+
+    ``paths``, ``schemas`` and ``table_names`` share their keys (e.g. ``ticket``,
+    ``demographic``, ``labels``).  Each source is read and written by one
+    distributed job.  Returns the table name per key.
+    """
+    if set(table_names) != set(paths):
+        raise ValueError("paths and table_names differ in keys")
+    frames = read_tables(spark, paths, schemas)
+    for key, df in frames.items():
+        write_table(df, table_names[key], fmt=fmt)
+    return dict(table_names)

@@ -5,6 +5,11 @@ Each micro-batch is merged into the feature table with the batch upsert
 again, which leaves the same table, so the effect is exactly once.  A stream
 may carry a key several times within one batch; ``latest_by`` keeps one row
 per key (the one with the greatest ordering value) before the merge.
+
+Each micro-batch writes a complete new snapshot of the table (see
+``feature_table``), so the trigger interval should be long enough to amortise
+one table rewrite (e.g. ``trigger(processingTime="1 hour")`` or
+``availableNow`` runs), not seconds.
 """
 
 from __future__ import annotations

@@ -3,7 +3,7 @@
 import pytest
 
 from larder.session import scratch_path
-from larder.sources import cast_columns, make_schema, read_csv_typed, read_tables, write_table
+from larder.sources import cast_columns, create_source_tables, make_schema, read_csv_typed, read_tables, write_table
 
 SCHEMA = make_schema([("PassengerId", "string"), ("Ticket", "string"), ("Fare", "double"),
                       ("Cabin", "string"), ("Embarked", "string")])
@@ -53,3 +53,17 @@ def test_write_table_overwrite(spark, db):
     write_table(df, f"{db}.t")
     write_table(spark.range(3).toDF("k"), f"{db}.t")
     assert spark.table(f"{db}.t").count() == 3
+
+
+def test_create_source_tables(spark, db):
+    t = _csv(spark, "PassengerId,Ticket,Fare,Cabin,Embarked\n1,A/5 21171,7.25,,S\n")
+    lab = _csv(spark, "PassengerId,Survived\n1,0\n")
+    names = create_source_tables(
+        spark, {"ticket": t, "labels": lab},
+        {"ticket": SCHEMA, "labels": make_schema([("PassengerId", "string"), ("Survived", "int")])},
+        {"ticket": f"{db}.passenger_ticket", "labels": f"{db}.passenger_labels"})
+    assert spark.table(names["ticket"]).first()["Cabin"] is None
+    assert spark.table(names["labels"]).dtypes == [("PassengerId", "string"), ("Survived", "int")]
+    create_source_tables(spark, {"labels": lab}, {"labels": make_schema([("PassengerId", "string"), ("Survived", "int")])},
+                         {"labels": f"{db}.passenger_labels"})          # replaces, does not append
+    assert spark.table(f"{db}.passenger_labels").count() == 1
