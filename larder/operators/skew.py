@@ -178,13 +178,17 @@ def expand_copies(df: DataFrame, chunk: int, spread_by: list[str]) -> DataFrame:
     A row is first cut into chunks of at most ``chunk`` copies; the chunks of
     one row are hashed to different partitions, so no task generates more
     than about ``chunk`` copies of one heavily repeated row, and no row ever
-    builds an array longer than ``chunk``.
+    builds an array longer than ``chunk``.  The partition count is given
+    explicitly: the chunk rows are tiny before they expand, and AQE would
+    otherwise coalesce them into a few partitions (it does not coalesce a
+    repartition with an explicit count).
     """
     cols = [c for c in df.columns if c != COPIES]
     n = F.col(COPIES)
     last_chunk = F.floor((n - F.lit(1)) / F.lit(chunk)).cast("long")
     chunks = df.select("*", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)).alias(CHUNK))
-    spread = chunks.repartition(*[F.col(c) for c in spread_by], F.col(CHUNK))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = chunks.repartition(parts, *[F.col(c) for c in spread_by], F.col(CHUNK))
     size = F.least(F.lit(chunk).cast("long"), n - F.col(CHUNK) * F.lit(chunk))
     return spread.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), size)).alias(COPIES)).drop(COPIES)
 

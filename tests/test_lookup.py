@@ -154,6 +154,16 @@ def test_expand_copies_chunks(spark):
     assert got == {"a": 7, "b": 1, "c": 3} and out.columns == ["k"]
 
 
+def test_expand_copies_spreads_a_hot_row_over_tasks(spark):
+    """AQE must not fold the tiny chunk rows back into one task before they expand."""
+    from larder.operators.skew import COPIES, expand_copies
+    df = spark.createDataFrame([("hot", 4000), ("x", 1)], f"k string, {COPIES} long")
+    out = expand_copies(df, 100, ["k"])
+    per_task = out.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect()
+    assert sum(per_task) == 4001
+    assert max(per_task) <= 4001 // 2        # the 40 chunks of "hot" land in several partitions
+
+
 def test_salt_is_a_function_of_the_row(spark):
     from larder.operators.skew import HotKeys, salt_input
     df = spark.createDataFrame([("7", i) for i in range(50)] + [(None, i) for i in range(10)], "k string, v int")
