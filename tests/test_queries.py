@@ -62,3 +62,27 @@ def test_bucketed_lookup_shuffles_input_only(spark, db):
     assert "SortMergeJoin" in plan
     assert plan.count("Exchange hashpartitioning") == 1      # the labels side only
     assert "Bucketed: true" in plan
+
+
+def test_upsert_does_not_shuffle_the_table(spark, db):
+    """The bucketed target is read in place; only the source is shuffled (keys for the anti join, rows for the write)."""
+    from larder.operators import save_features
+    from larder.operators.feature_table import align_to, upsert_plan
+    from larder.plans.queries import _segment_versions
+    target, source = _segment_versions(spark, SF_SMALL)
+    name = f"{db}.cust"
+    save_features(spark, name, target, "PassengerId", buckets=8)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        t = spark.table(name)
+        merged = upsert_plan(t, align_to(source, t.schema).repartition(8, "PassengerId"), ["PassengerId"])
+        merged.collect()
+        plan = merged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert "LeftAnti" in plan and "Bucketed: true" in plan
+    exchanges = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln]
+    assert len(exchanges) == 2
