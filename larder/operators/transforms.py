@@ -23,9 +23,17 @@ from larder.functions import (
 )
 
 
-def ticket_features(df: DataFrame, *, ticket: str = "Ticket", cabin: str = "Cabin", fare: str = "Fare",
-                    out_letters: str = "TicketChars", out_first: str = "CabinChar",
-                    out_parts: str = "CabinMulti", out_rounded: str = "FareRounded") -> DataFrame:
+# Default column names of the raw ticket/name tables and of the
+# derived feature tables, as the workflow's tables name them.
+TICKET, CABIN, FARE = "Ticket", "Cabin", "Fare"
+TICKET_CHARS, CABIN_CHAR, CABIN_MULTI, FARE_ROUNDED = "TicketChars", "CabinChar", "CabinMulti", "FareRounded"
+NAME, AGE = "Name", "Age"
+NAME_PREFIX, NAME_SECONDARY, NAME_MULTIPLE = "NamePrefix", "NameSecondary", "NameMultiple"
+
+
+def ticket_features(df: DataFrame, *, ticket: str = TICKET, cabin: str = CABIN, fare: str = FARE,
+                    out_letters: str = TICKET_CHARS, out_first: str = CABIN_CHAR,
+                    out_parts: str = CABIN_MULTI, out_rounded: str = FARE_ROUNDED) -> DataFrame:
     """Ticket-style features.
 
     Keeps every input column except ``ticket`` and ``cabin`` (in input order) and
@@ -43,9 +51,9 @@ def ticket_features(df: DataFrame, *, ticket: str = "Ticket", cabin: str = "Cabi
     )
 
 
-def demographic_features(df: DataFrame, *, name: str = "Name", age: str = "Age",
-                         out_title: str = "NamePrefix", out_bracket: str = "NameSecondary",
-                         out_flag: str = "NameMultiple") -> DataFrame:
+def demographic_features(df: DataFrame, *, name: str = NAME, age: str = AGE,
+                         out_title: str = NAME_PREFIX, out_bracket: str = NAME_SECONDARY,
+                         out_flag: str = NAME_MULTIPLE) -> DataFrame:
     """Name-style features.
 
     Keeps every input column (``age`` with NaN turned into NULL) and appends the
