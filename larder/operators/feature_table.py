@@ -28,7 +28,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,6 +47,7 @@ PROP_KEYS = "larder.primary_keys"
 PROP_BASE = "larder.base"
 PROP_VERSION = "larder.version"
 PROP_BUCKETS = "larder.buckets"
+PROP_ROWS = "larder.rows"
 
 MODES = ("merge", "overwrite")
 
@@ -60,6 +61,7 @@ class FeatureTable:
     version: int
     buckets: int | None
     description: str | None
+    rows: int | None = None  # rows of the current snapshot, counted while it was written
 
 
 _SNAPSHOT = re.compile(r"/v(\d{6})-[0-9a-f]+$")
@@ -128,9 +130,10 @@ def get_feature_table(spark: SparkSession, name: str) -> FeatureTable:
         raise ValueError(f"table {name} is not a feature table (no primary key recorded)")
     buckets = int(props.get(PROP_BUCKETS, "0")) or None
     location = table_location(spark, name)
+    rows = int(props[PROP_ROWS]) if PROP_ROWS in props else None
     return FeatureTable(name=name, primary_keys=tuple(props[PROP_KEYS].split(",")), base=props[PROP_BASE],
                         location=location, version=snapshot_version(location), buckets=buckets,
-                        description=spark.catalog.getTable(name).description)
+                        description=spark.catalog.getTable(name).description, rows=rows)
 
 
 def read_feature_table(spark: SparkSession, name: str) -> DataFrame:
@@ -205,13 +208,17 @@ def write_feature_table(spark: SparkSession, name: str, df: DataFrame, mode: str
     db, _ = split_name(spark, name)
     new_version = ft.version + 1
     new_path = snapshot_path(ft.base, new_version)
-    _write_snapshot(spark, merged, db, ft.primary_keys, ft.buckets, new_path)
+    counted = Observation()
+    _write_snapshot(spark, merged.observe(counted, F.count(F.lit(1)).alias("rows")), db, ft.primary_keys,
+                    ft.buckets, new_path)
+    rows = int(counted.get["rows"])
     spark.sql(f"ALTER TABLE {quote_ident(name)} SET LOCATION {sql_string(new_path)}")
     spark.sql(f"ALTER TABLE {quote_ident(name)} SET TBLPROPERTIES "
-              f"({sql_string(PROP_VERSION)} = {sql_string(str(new_version))})")
+              f"({sql_string(PROP_VERSION)} = {sql_string(str(new_version))}, "
+              f"{sql_string(PROP_ROWS)} = {sql_string(str(rows))})")
     spark.catalog.refreshTable(name)
     _prune_snapshots(spark, ft.base, new_path, retain)
-    return FeatureTable(ft.name, ft.primary_keys, ft.base, new_path, new_version, ft.buckets, ft.description)
+    return FeatureTable(ft.name, ft.primary_keys, ft.base, new_path, new_version, ft.buckets, ft.description, rows)
 
 
 def _prune_snapshots(spark: SparkSession, base: str, current: str, retain: int) -> None:

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.operators.feature_table import get_feature_table
+from larder.sources.storage import path_bytes
 from larder.operators.skew import (
     SALT,
     SkewPolicy,
@@ -83,6 +84,12 @@ class _Resolved:
     frame: DataFrame            # key columns renamed to the lookup key, then features
     lookup_key: tuple[str, ...]
     features: tuple[str, ...]
+    row_bytes: float | None = None   # stored bytes per row of the table's current snapshot
+
+
+# Parquet stores rows compressed; a broadcast holds them decoded.  Estimates of
+# broadcast sizes multiply stored bytes by this margin.
+_DECODED_MARGIN = 5.0
 
 
 def _resolve(spark: SparkSession, df: DataFrame, lookups: Sequence[FeatureLookup]) -> list[_Resolved]:
@@ -130,7 +137,9 @@ def _resolve(spark: SparkSession, df: DataFrame, lookups: Sequence[FeatureLookup
         if wrong:
             raise ValueError(f"lookup key types differ from {table}'s primary key: {wrong}; cast the input column")
         key_cols = [F.col(p).alias(k) for p, k in zip(pk, key)]
-        resolved.append(_Resolved(ft.select(*key_cols, *names), key, tuple(names)))
+        meta = get_feature_table(spark, table)
+        row_bytes = path_bytes(spark, meta.location) / meta.rows if meta.rows else None
+        resolved.append(_Resolved(ft.select(*key_cols, *names), key, tuple(names), row_bytes))
     return resolved
 
 
@@ -162,7 +171,11 @@ def _join_group(df: DataFrame, key: list[str], group: list[_Resolved], skew: Ske
         wanted = F.broadcast(df.select(*key).distinct()) if cond is None else None
         for r in group:
             frame = r.frame.where(cond) if cond is not None else r.frame.join(wanted, key, "left_semi")
-            df = df.join(F.broadcast(frame), key, "left")
+            # At most ``distinct`` rows survive (the table key is unique); the
+            # broadcast is forced only when those rows are proven small.
+            bound = profile.distinct * r.row_bytes * _DECODED_MARGIN if r.row_bytes is not None else None
+            small = bound is not None and bound <= skew.max_broadcast_bytes
+            df = df.join(F.broadcast(frame) if small else frame, key, "left")
         return df
     hot = profile.hot
     if not hot.any:

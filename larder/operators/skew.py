@@ -53,6 +53,7 @@ class SkewPolicy:
     max_hot_keys: int = 10_000      # bound on the broadcast table of hot keys
     point_lookup_keys: int = 10_000  # at most this many distinct keys: filter and broadcast the tables
     literal_keys: int = 256          # at most this many: the filter is a literal IN list
+    max_broadcast_bytes: int = 256 << 20  # bound a filtered table must stay under to be broadcast
 
     def splits(self, rows: int) -> int:
         return max(1, -(-rows // self.rows_per_split))

@@ -64,3 +64,13 @@ def table_location(spark: SparkSession, name: str) -> str:
         if r[0] == "Location":
             return r[1].rstrip("/")
     raise ValueError(f"table {name} has no location")
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files below ``path`` (0 if it does not exist)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return 0
+    return int(fs.getContentSummary(hpath).getLength())

@@ -44,6 +44,7 @@ def test_upsert_semantics(spark, db):
     write_feature_table(spark, name, _df(spark, [("2", None, "z"), ("3", 3.0, None)]))
     # key in both -> source row (its NULLs too); only target -> kept; only source -> added
     assert _rows(spark, name) == {"1": (1.0, "x"), "2": (None, "z"), "3": (3.0, None)}
+    assert get_feature_table(spark, name).rows == 3      # counted while writing
 
 
 def test_upsert_twice_equals_once(spark, db):

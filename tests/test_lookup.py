@@ -246,3 +246,25 @@ def test_point_path_broadcasts_even_with_hot_keys(spark, db):
     assert "BroadcastHashJoin" in plan and SALT not in plan
     norm = lambda d: sorted((tuple(r) for r in d.collect()), key=repr)
     assert norm(point) == norm(plain)
+
+
+def test_point_broadcast_needs_a_byte_bound(spark, tables):
+    """A filtered table is broadcast only when rows x stored row size stays under the bound."""
+    from larder.operators import get_feature_table
+    t, d = tables
+    assert get_feature_table(spark, t).rows == 3
+    ids = spark.createDataFrame([("1",), ("3",)], "PassengerId string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = attach_features(spark, ids, _lookups(t, d), SkewPolicy(max_broadcast_bytes=1))
+        small = attach_features(spark, ids, _lookups(t, d))
+        big_plan = big._jdf.queryExecution().executedPlan().toString()
+        small_plan = small._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(repr, big.collect())) == sorted(map(repr, small.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" not in big_plan
+    assert "BroadcastHashJoin" in small_plan
