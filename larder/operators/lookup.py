@@ -30,7 +30,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.operators.feature_table import get_feature_table
+from larder.operators.feature_table import FeatureTable, get_feature_table
 from larder.sources.storage import path_bytes
 from larder.operators.skew import (
     SALT,
@@ -96,9 +96,11 @@ def _resolve(spark: SparkSession, df: DataFrame, lookups: Sequence[FeatureLookup
     """Merge lookups per (table, key), drop empty ones, read only the needed columns."""
     merged: dict[tuple[str, tuple[str, ...]], list[str]] = {}
     order: list[tuple[str, tuple[str, ...]]] = []
-    pkeys: dict[str, tuple[str, ...]] = {}
+    metas: dict[str, FeatureTable] = {}
     for lk in lookups:
-        pk = pkeys.setdefault(lk.table_name, get_feature_table(spark, lk.table_name).primary_keys)
+        if lk.table_name not in metas:
+            metas[lk.table_name] = get_feature_table(spark, lk.table_name)
+        pk = metas[lk.table_name].primary_keys
         key = lk.lookup_key or pk
         if len(key) != len(pk):
             raise ValueError(f"lookup key {key} does not match primary key {pk} of {lk.table_name}")
@@ -124,7 +126,8 @@ def _resolve(spark: SparkSession, df: DataFrame, lookups: Sequence[FeatureLookup
         if clash:
             raise ValueError(f"feature columns {sorted(clash)} of {table} already exist in the frame")
         seen |= set(names)
-        pk = pkeys[table]
+        meta = metas[table]
+        pk = meta.primary_keys
         ft = spark.table(table)
         unknown = [n for n in names if n not in ft.columns]
         if unknown:
@@ -137,7 +140,6 @@ def _resolve(spark: SparkSession, df: DataFrame, lookups: Sequence[FeatureLookup
         if wrong:
             raise ValueError(f"lookup key types differ from {table}'s primary key: {wrong}; cast the input column")
         key_cols = [F.col(p).alias(k) for p, k in zip(pk, key)]
-        meta = get_feature_table(spark, table)
         row_bytes = path_bytes(spark, meta.location) / meta.rows if meta.rows else None
         resolved.append(_Resolved(ft.select(*key_cols, *names), key, tuple(names), row_bytes))
     return resolved
