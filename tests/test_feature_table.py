@@ -142,3 +142,14 @@ def test_drop(spark, db):
     assert drop_feature_table(spark, name) is True
     assert not feature_table_exists(spark, name) and not path_exists(spark, ft.base)
     assert drop_feature_table(spark, name) is False
+
+
+def test_write_back_a_frame_read_from_the_table(spark, db):
+    """Recompute a column from the table itself; a plain overwrite of a table read in the same plan is refused."""
+    from pyspark.sql import functions as F
+    name = f"{db}.ft"
+    save_features(spark, name, _df(spark, [("1", 1.0, "x"), ("2", 2.0, "y")]), "k")
+    write_feature_table(spark, name, spark.table(name).withColumn("a", F.col("a") * 10))
+    assert _rows(spark, name) == {"1": (10.0, "x"), "2": (20.0, "y")}
+    write_feature_table(spark, name, spark.table(name).where("k = '1'"), mode="overwrite")
+    assert _rows(spark, name) == {"1": (10.0, "x")}
