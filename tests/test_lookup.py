@@ -1,7 +1,5 @@
 """Lookups and training sets: LEFT semantics, pruning, hot-key splitting."""
 
-import re
-
 import pytest
 from pyspark.sql import functions as F
 
