@@ -204,7 +204,9 @@ def write_feature_table(spark: SparkSession, name: str, df: DataFrame, mode: str
         # files per bucket; the kept rows already arrive one bucket per task
         # from the bucketed scan.
         source = source.repartition(ft.buckets, *ft.primary_keys)
-    merged = upsert_plan(target, source, ft.primary_keys) if mode == "merge" else source
+    # Version 0 is the empty table made by ``create_feature_table``: the first
+    # load is the source itself, with no anti join (and no key shuffle) needed.
+    merged = upsert_plan(target, source, ft.primary_keys) if mode == "merge" and ft.version > 0 else source
     db, _ = split_name(spark, name)
     new_version = ft.version + 1
     new_path = snapshot_path(ft.base, new_version)
