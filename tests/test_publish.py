@@ -32,3 +32,11 @@ def test_keys_only_table():
 def test_unknown_dialect():
     with pytest.raises(ValueError):
         JdbcTarget("jdbc:x://h", "t", {}, dialect="oracle9")
+
+
+def test_publish_mode_is_checked_before_any_connection(spark):
+    from larder.sources.jdbc import publish_table
+    df = spark.createDataFrame([("1", 1.0)], "k string, a double")
+    target = JdbcTarget("jdbc:none://nowhere", "t", {})
+    with pytest.raises(ValueError, match="mode"):
+        publish_table(spark, df, target, ["k"], mode="append")
