@@ -97,7 +97,10 @@ def create_feature_table(spark: SparkSession, name: str, primary_keys: str | Seq
 
     Returns ``True`` when the table was created and ``False`` when it already
     existed (it is then left untouched).  ``buckets="auto"`` takes the session's
-    shuffle partition count; ``None`` turns bucketing off.
+    shuffle partition count, capped at the cluster's default parallelism; set
+    it explicitly for large tables (about table bytes / 256 MB, and at least
+    the shuffle partition count of the joins that read the table).  ``None``
+    turns bucketing off.
     """
     if feature_table_exists(spark, name):
         return False
@@ -106,7 +109,9 @@ def create_feature_table(spark: SparkSession, name: str, primary_keys: str | Seq
     if missing:
         raise ValueError(f"primary keys {missing} are not columns of the schema")
     if buckets == "auto":
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # As many buckets as a shuffle has partitions (so joins reuse them),
+        # but not more than the cluster runs tasks at once.
+        buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     db, table = split_name(spark, name)
     base = (base or f"{database_location(spark, db)}/{table}").rstrip("/")
     props = {PROP_KEYS: ",".join(keys), PROP_BASE: base, PROP_VERSION: "0",
