@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from larder.llm.common import id_remainder
 from larder.llm.oracles import ORACLES  # noqa: F401  (read by __spark_entry__)
 from larder.llm.quality import classify_quality
+from larder.llm.suffix_dedup import dedup_report
 from larder.llm.syncmers import compare_with_next
 from larder.llm.token_counts import count_tokens
 from larder.llm.toxicity import classify_toxicity
@@ -40,6 +41,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), *fold(4, 2))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_report(table(spark, sf_dir, "documents"))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_next(table(spark, sf_dir, "documents"))
 
@@ -59,6 +64,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op6_fingerprints": op6_fingerprints,
     "op8_quality": op8_quality,
     "op9_token_counts": op9_token_counts,
