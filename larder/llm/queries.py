@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.llm.common import id_remainder
+from larder.llm.near_dedup import NearParams, near_duplicates
 from larder.llm.oracles import ORACLES  # noqa: F401  (read by __spark_entry__)
 from larder.llm.quality import classify_quality
 from larder.llm.suffix_dedup import dedup_report
@@ -45,6 +46,10 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_report(table(spark, sf_dir, "documents"))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), NearParams(words=4))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_next(table(spark, sf_dir, "documents"))
 
@@ -65,6 +70,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op4_near_dedup": op4_near_dedup,
     "op6_fingerprints": op6_fingerprints,
     "op8_quality": op8_quality,
     "op9_token_counts": op9_token_counts,

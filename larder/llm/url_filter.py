@@ -31,8 +31,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from larder.llm.bloom import filter_words, key_hashes, probe
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-WORDS, BITS_PER_KEY = 8, 16
 
 
 def url_host(url: Column) -> Column:
@@ -46,39 +47,6 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def _key_hashes(host: Column, path: Column) -> Column:
-    return F.array(F.xxhash64(host, path), F.xxhash64(path, host, F.lit(1)))
-
-
-def block_number(first, n_blocks: int):
-    return F.pmod(first, F.lit(n_blocks).cast("bigint"))
-
-
-def bloom_words(rules: DataFrame, max_blocks: int) -> np.ndarray:
-    """The filter over all rules as an array (blocks, 8) of 64-bit words, built by one aggregate."""
-    n_rules = rules.count()
-    n_blocks = int(min(max_blocks, max(1, -(-n_rules * BITS_PER_KEY // (64 * WORDS)))))
-    hashed = rules.select(_key_hashes(F.col("host"), F.col("path")).alias("h"))
-    bits = hashed.select(
-        block_number(F.col("h")[0], n_blocks).alias("block"),
-        F.posexplode(F.array(*[F.shiftright(F.col("h")[1], 6 * w).bitwiseAND(63) for w in range(WORDS)]))
-        .alias("word", "bit"))
-    rows = (bits.select("block", "word", F.expr("shiftleft(1L, cast(bit AS int))").alias("mask"))
-            .groupBy("block", "word").agg(F.bit_or("mask").alias("mask"))
-            .toPandas())                                        # at most 8 * max_blocks rows
-    out = np.zeros((n_blocks, WORDS), np.int64)
-    out[rows["block"].to_numpy(np.int64), rows["word"].to_numpy(np.int64)] = rows["mask"].to_numpy(np.int64)
-    return out.view(np.uint64)
-
-
-def probe(words: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Which keys (two 64-bit hashes each) the filter passes."""
-    block = words[np.mod(first, np.int64(len(words)))]
-    shifts = np.arange(WORDS, dtype=np.int64) * 6
-    bit = ((second[:, None] >> shifts) & 63).astype(np.uint64)
-    return ((block >> bit) & np.uint64(1)).all(axis=1)
-
-
 def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", max_blocks: int = 1 << 18) -> DataFrame:
     """page_id, host, path, rule, verdict for every row of ``pages`` (columns page_id, url).
 
@@ -88,7 +56,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", max_
     rules = (rules.select(F.translate("host", UPPER, LOWER).alias("host"), "path", "verdict")
              .where(F.col("host").isNotNull() & F.col("path").isNotNull())
              .groupBy("host", "path").agg(F.max("verdict").alias("verdict")))   # "block" > "allow"
-    shared = spark.sparkContext.broadcast(bloom_words(rules, max_blocks))
+    shared = spark.sparkContext.broadcast(filter_words(rules, key_hashes(F.col("host"), F.col("path")), max_blocks))
     lengths = sorted(r[0] for r in rules.select(F.length("path")).distinct().collect())
 
     def possible_keys() -> Column:
@@ -116,7 +84,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", max_
     base = pages.select(F.col("page_id").cast("bigint"), url_host(F.col("url")).alias("host"),
                         url_path(F.col("url")).alias("path"))
     hashed = base.withColumn("keys", F.flatten(F.transform(
-        possible_keys(), lambda k: _key_hashes(k["host"], k["path"]))))
+        possible_keys(), lambda k: key_hashes(k["host"], k["path"]))))
     marked = hashed.mapInArrow(passing, "page_id bigint, host string, path string, at array<int>")
 
     found = (marked.where(F.size("at") > 0).select("host", "path", "at").distinct()
