@@ -8,6 +8,7 @@ removes the false positives with an exact join.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,3 +47,21 @@ def probe(words: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarra
     shifts = np.arange(WORDS, dtype=np.int64) * 6
     bit = ((second[:, None] >> shifts) & 63).astype(np.uint64)
     return ((block >> bit) & np.uint64(1)).all(axis=1)
+
+
+def split_by_keys(rows: DataFrame, keys: DataFrame, columns: list[str],
+                  max_blocks: int = 1 << 18) -> tuple[DataFrame, DataFrame]:
+    """(rows that may have a key in ``keys``, rows that surely have none), by bigint ``columns``.
+
+    The second part needs no join, so wide rows are shuffled only where they may match.
+    """
+    words = filter_words(keys, key_hashes(*[F.col(c) for c in columns]), max_blocks)
+    shared = rows.sparkSession.sparkContext.broadcast(words)
+
+    @F.pandas_udf("boolean")
+    def may_have(first: pd.Series, second: pd.Series) -> pd.Series:
+        return pd.Series(probe(shared.value, first.to_numpy(np.int64), second.to_numpy(np.int64)))
+
+    hashes = key_hashes(*[F.col(c) for c in columns])
+    marked = rows.withColumn("__may", may_have(hashes[0], hashes[1]))
+    return marked.where("__may").drop("__may"), marked.where(~F.col("__may")).drop("__may")
