@@ -32,6 +32,18 @@ def partitions_for(spark: SparkSession, n_bytes: int, per_task: int = 32 << 20)
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // per_task))
 
 
+def packed(docs: DataFrame, *columns: str) -> DataFrame:
+    """The named columns and all columns as one struct ``__all``, so no added name can clash with the table's."""
+    return docs.select(*columns, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__all"))
+
+
+def unused_name(columns: list[str], name: str) -> str:
+    """``name``, lengthened until it is none of ``columns``."""
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
+
+
 def id_remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus`` (NULL for a NULL id)."""
     return F.crc32(doc_id.cast("string")) % modulus

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.bloom import filter_words, probe, split_by_keys
-from larder.llm.common import mix64, written
+from larder.llm.common import mix64, packed, written
 from larder.llm.hyperminhash import word_hash
 from larder.llm.near_dedup import keyed
 from larder.llm.word_table import RecentValues
@@ -212,7 +212,9 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame,
 def drop_contaminated(docs: DataFrame, items: DataFrame,
                       params: DecontaminationParams = DecontaminationParams()) -> DataFrame:
     """``docs`` without the rows that some benchmark item contaminates; all columns stay."""
-    source = keyed(docs)
-    found = written(leaks(source, items, params).select("__at", "__fp").distinct(), "leaks")
-    maybe, clean = split_by_keys(source, found, ["__at", "__fp"], params.max_blocks)
-    return maybe.join(found, ["__at", "__fp"], "left_anti").select(*docs.columns).unionByName(clean.select(*docs.columns))
+    source = packed(docs, "doc_id", "text").select(
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit((1 << 63) - 1)).alias("__at"), F.xxhash64("text").alias("__fp"),
+        "text", "__all")
+    found = written(leaks(source.drop("__all"), items, params).select("__at", "__fp").distinct(), "leaks")
+    maybe, clean = split_by_keys(source.drop("text"), found, ["__at", "__fp"], params.max_blocks)
+    return maybe.join(found, ["__at", "__fp"], "left_anti").select("__all.*").unionByName(clean.select("__all.*"))

@@ -148,7 +148,7 @@ def mixed_documents(docs: DataFrame, params: MixParams = MixParams()) -> DataFra
     Columns of ``docs`` with these two names are replaced.
     """
     rows = docs.select("doc_id", "text", "source", F.struct(
-        *[c for c in docs.columns if c not in ("mix_epoch", "mix_order")]).alias("__all"))
+        *[F.col(f"`{c}`") for c in docs.columns if c not in ("mix_epoch", "mix_order")]).alias("__all"))
     planned = plan_rows(with_blocks(rows, params).drop("text", "source"), params)
     copies = planned.where("n_copies > 0").withColumn("__epoch", F.explode(F.sequence(F.lit(0), F.col("n_copies") - 1)))
     order = F.xxhash64(F.lit(params.seed), "__epoch", "__src", "__blk")
