@@ -2,8 +2,8 @@
 
 ``create_training_set`` joins every lookup to the input frame with a LEFT join
 (one output row per input row; ids unknown to a table get NULL features) and
-drops the excluded columns.  The plan stays lazy except for one small
-aggregate that looks for heavily repeated lookup keys (see ``skew``).
+drops the excluded columns.  The plan stays lazy except for one count of the
+input's keys per lookup key (see ``skew``), all of them on the input itself.
 
 Plan shape, per lookup key:
 
@@ -14,11 +14,13 @@ Plan shape, per lookup key:
 * when the input holds at most ``point_lookup_keys`` distinct keys, each
   feature table is first cut down to those keys (a literal IN list pushed into
   the scan for very few keys, with bucket pruning and row-group skipping; a
-  broadcast semi join otherwise) and the result, bounded by that many rows,
-  is broadcast: no shuffle, no sort of the table;
-* otherwise all joins on one key share one partitioning, so the input is
-  shuffled once and a bucketed feature table not at all; AQE turns a join into
-  a broadcast join when the feature side proves small at run time.
+  semi join otherwise) and broadcast if the remaining bytes are proven small;
+* otherwise, whatever the number of keys, the input is taken in parts:
+  rows with a hot key are joined with the feature rows of the hot keys, which
+  are few and broadcast (in bounded blocks), so these rows are never shuffled;
+  rows with a hot NULL key get NULL features without any join; the rest share
+  one partitioning per key, so they are shuffled once and a bucketed feature
+  table not at all. Without hot keys the rest is everything.
 """
 
 from __future__ import annotations
@@ -33,14 +35,15 @@ from pyspark.sql import functions as F
 from larder.operators.feature_table import FeatureTable, get_feature_table
 from larder.sources.storage import path_bytes
 from larder.operators.skew import (
-    SALT,
+    HOT,
+    KeyProfile,
     SkewPolicy,
-    collapse_copies,
-    expand_copies,
+    any_null,
+    block_of,
+    blocks_for,
     literal_filter,
+    mark_hot,
     profile_keys,
-    salt_features,
-    salt_input,
 )
 
 
@@ -90,6 +93,7 @@ class _Resolved:
 # Parquet stores rows compressed; a broadcast holds them decoded.  Estimates of
 # broadcast sizes multiply stored bytes by this margin.
 _DECODED_MARGIN = 5.0
+_UNKNOWN_ROW_BYTES = 10_000.0       # assumed for a table whose size was not recorded
 
 
 def _resolve(spark: SparkSession, df: DataFrame, lookups: Sequence[FeatureLookup]) -> list[_Resolved]:
@@ -153,48 +157,86 @@ def attach_features(spark: SparkSession, df: DataFrame, lookups: Sequence[Featur
     by_key: dict[tuple[str, ...], list[_Resolved]] = {}
     for r in resolved:
         by_key.setdefault(r.lookup_key, []).append(r)
+    # all profiles before the first join: none of them runs a join
+    profiles = {key: profile_keys(df, key, skew) for key in by_key}
     out = df
     for key, group in by_key.items():
-        out = _join_group(out, list(key), group, skew)
+        out = _join_group(out, list(key), group, profiles[key], skew)
     # input columns in their own order, then the features in lookup order
     return out.select(*df.columns, *[n for r in resolved for n in r.features])
 
 
-def _join_group(df: DataFrame, key: list[str], group: list[_Resolved], skew: SkewPolicy) -> DataFrame:
-    profile = profile_keys(df, key, skew)
-    if 0 <= profile.distinct <= skew.point_lookup_keys:
-        # Few distinct keys: keep only the feature rows that can match, then
-        # broadcast them (at most ``point_lookup_keys`` rows, the table key
-        # being unique), so the input is not shuffled at all, hot keys or not.
-        # Very few keys go into the scan as a literal IN list (bucket pruning,
-        # row-group skipping on the key-sorted bucket files); otherwise the
-        # distinct input keys are broadcast into a semi join.
-        cond = literal_filter(key[0], profile.literals) if profile.literals is not None and len(key) == 1 else None
-        wanted = F.broadcast(df.select(*key).distinct()) if cond is None else None
-        for r in group:
-            frame = r.frame.where(cond) if cond is not None else r.frame.join(wanted, key, "left_semi")
-            # At most ``distinct`` rows survive (the table key is unique); the
-            # broadcast is forced only when those rows are proven small.
-            bound = profile.distinct * r.row_bytes * _DECODED_MARGIN if r.row_bytes is not None else None
-            small = bound is not None and bound <= skew.max_broadcast_bytes
-            df = df.join(F.broadcast(frame) if small else frame, key, "left")
-        return df
-    hot = profile.hot
-    if not hot.any:
-        for r in group:
-            df = df.join(r.frame, key, "left")
-        return df
-    if set(df.columns) <= set(key):
-        # Rows of one key are identical: join each distinct key once, then
-        # restore the copies.
-        counted = collapse_copies(df)
-        for r in group:
-            counted = counted.join(r.frame, key, "left")
-        return expand_copies(counted, skew.rows_per_split, key)
-    salted = salt_input(df, hot)
-    for r in group:
-        salted = salted.join(salt_features(r.frame, hot, key), key + [SALT], "left")
-    return salted.drop(SALT)
+def _join_all(df: DataFrame, key: list[str], frames: list[DataFrame]) -> DataFrame:
+    for frame in frames:
+        df = df.join(frame, key, "left")
+    return df
+
+
+def _join_group(df: DataFrame, key: list[str], group: list[_Resolved], profile: KeyProfile | None,
+                skew: SkewPolicy) -> DataFrame:
+    frames = [r.frame for r in group]
+    if profile is None:
+        return _join_all(df, key, frames)
+    if profile.distinct <= skew.point_lookup_keys:
+        frames = _cut_down(df, key, frames, profile, skew)
+        # At most ``distinct`` rows survive (the table key is unique); they are
+        # broadcast only when their bytes are proven small.
+        bytes_ = [profile.distinct * r.row_bytes * _DECODED_MARGIN if r.row_bytes is not None else None for r in group]
+        if all(b is not None and b <= skew.max_broadcast_bytes for b in bytes_):
+            return _join_all(df, key, [F.broadcast(f) for f in frames])
+    null_apart = profile.null_rows >= skew.hot_key_rows
+    if profile.hot is None and not null_apart:
+        return _join_all(df, key, frames)
+    parts, rest = [], df
+    if null_apart:
+        features = [f.schema[n] for f, r in zip(frames, group, strict=True) for n in r.features]
+        parts.append(df.where(any_null(key)).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in features]))
+        rest = rest.where(~any_null(key))
+    if profile.hot is not None:
+        marked = mark_hot(rest, profile, skew)
+        parts += _hot_parts(marked.where(HOT).drop(HOT), key, frames, group, profile, skew)
+        rest = marked.where(~F.col(HOT)).drop(HOT)
+    out = _join_all(rest, key, frames)
+    for part in parts:
+        out = out.unionByName(part)
+    return out
+
+
+def _cut_down(df: DataFrame, key: list[str], frames: list[DataFrame], profile: KeyProfile,
+              skew: SkewPolicy) -> list[DataFrame]:
+    """The feature rows that few distinct keys can match.
+
+    Very few keys go into the scan as a literal IN list (bucket pruning, row-group
+    skipping on the key-sorted bucket files); otherwise the distinct input keys, whose
+    bytes were observed, are broadcast into a semi join (or shuffled, if too wide).
+    """
+    cond = literal_filter(key[0], profile.literals) if profile.literals is not None and len(key) == 1 else None
+    if cond is not None:
+        return [f.where(cond) for f in frames]
+    wanted = df.select(*key).distinct()
+    if 2 * profile.key_bytes + 64 * profile.distinct <= skew.max_broadcast_bytes:
+        wanted = F.broadcast(wanted)
+    return [f.join(wanted, key, "left_semi") for f in frames]
+
+
+def _hot_parts(rows: DataFrame, key: list[str], frames: list[DataFrame], group: list[_Resolved],
+               profile: KeyProfile, skew: SkewPolicy) -> list[DataFrame]:
+    """Rows with hot keys, joined with the hot keys' feature rows: broadcasts only.
+
+    There is at most one feature row per hot key. Where their bytes may exceed the bound
+    (or are unknown), the keys are dealt to blocks by hash and each block is joined on its own.
+    """
+    widest = max((r.row_bytes if r.row_bytes is not None else _UNKNOWN_ROW_BYTES) for r in group)
+    n = blocks_for(profile.n_hot * widest * _DECODED_MARGIN, skew)
+    key_blocks = blocks_for(2 * profile.hot_bytes + 64 * profile.n_hot, skew)
+    n = min(max(n, key_blocks), profile.n_hot)
+    parts = []
+    for b in range(n):
+        keys = profile.hot if n == 1 else profile.hot.where(block_of(key, n) == b)
+        mine = rows if n == 1 else rows.where(block_of(key, n) == b)
+        few = [f.join(F.broadcast(keys), key, "left_semi") for f in frames]
+        parts.append(_join_all(mine, key, [F.broadcast(f) for f in few]))
+    return parts
 
 
 @dataclass

@@ -1,24 +1,15 @@
-"""Splitting heavily repeated join keys across tasks.
-
-A many-to-one lookup join shuffles the input by its lookup key.  When one key
-(or the NULL key) holds a large share of the input rows, the task that owns it
-does most of the work.  ``SkewPolicy`` finds such keys with one aggregate over
-the key columns (partial aggregation first, so the aggregate itself is not
-skewed) and keeps at most ``max_hot_keys`` of them (a proven bound for the
-broadcast).  Two exact ways then take the hot keys apart:
-
-* **salting** (input with columns besides the key): the join runs on
-  ``(key, salt)``.  Input rows of a hot key get ``salt = hash(row) mod splits``,
-  all other rows salt 0, and the feature row of a hot key is repeated once per
-  salt.  Rows with a NULL key are salted too: they never match, but no longer
-  land in one partition.  The salt is a function of the row's content, so a
-  retried task sends every row to the same place again.
-* **collapsing** (input made of key columns only, e.g. ids to score): equal
-  rows are counted (map-side first), the distinct keys are joined (no key
-  repeats any more), and each row is expanded back to its count in chunks of
-  ``rows_per_split`` that are spread over tasks.
-
-Keys beyond the bound are still joined exactly, only without splitting.
+"""Finding heavily repeated lookup keys, so that joins can treat them apart.
+
+A many-to-one lookup join shuffles the input by its lookup key. When one key (or
+the NULL key) holds a large share of the input rows, the task that owns it does
+most of the work. ``profile_keys`` counts the keys once (partial aggregation
+first, so the count itself is not skewed) and writes the hot ones as a table: no
+list of keys reaches the driver. ``lookup`` then joins hot rows with the few
+feature rows of the hot keys, without a shuffle, and all other rows as usual.
+
+A key is hot from ``hot_key_rows`` rows on, or from ``rows / max_hot_keys`` if that
+is more: by counting there can be at most ``max_hot_keys`` such keys, and every key
+with a larger share is among them.
 """
 
 from __future__ import annotations
@@ -28,91 +19,110 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-SALT = "__larder_salt"
-SPLITS = "__larder_splits"
-COPIES = "__larder_copies"
-CHUNK = "__larder_chunk"
+from larder.session import scratch_path
+
+HOT = "__larder_hot"
+COUNT = "__larder_n"
 
 
 @dataclass(frozen=True)
 class SkewPolicy:
     """How lookup keys are profiled before joining.
 
-    Hot keys are split (see module docs).  When the input has at most
-    ``point_lookup_keys`` distinct keys, they are also pushed into the
-    feature-table scan as an ``IN`` filter, so a small batch of ids reads only
-    the buckets (and Parquet row groups) that can hold them instead of the
-    whole table.
+    When the input has at most ``point_lookup_keys`` distinct keys, they are also
+    pushed into the feature-table scan, so a small batch of ids reads only the
+    buckets (and Parquet row groups) that can hold them. ``max_broadcast_bytes``
+    bounds every broadcast; what exceeds it is joined in several bounded blocks
+    (hot keys) or by a shuffle (all others).
     """
 
     enabled: bool = True
-    hot_key_rows: int = 1_000_000   # a key with at least this many input rows is split
-    rows_per_split: int = 500_000   # target input rows of one hot key per task
-    max_hot_keys: int = 10_000      # bound on the broadcast table of hot keys
-    point_lookup_keys: int = 10_000  # at most this many distinct keys: filter and broadcast the tables
+    hot_key_rows: int = 1_000_000    # a key with at least this many input rows is joined apart
+    max_hot_keys: int = 1_000_000    # the threshold rises until at most so many keys can be hot
+    point_lookup_keys: int = 10_000  # at most this many distinct keys: cut the tables down to them
     literal_keys: int = 256          # at most this many: the filter is a literal IN list
-    max_broadcast_bytes: int = 256 << 20  # bound a filtered table must stay under to be broadcast
-
-    def splits(self, rows: int) -> int:
-        return max(1, -(-rows // self.rows_per_split))
+    max_broadcast_bytes: int = 256 << 20
 
 
 @dataclass(frozen=True)
-class HotKeys:
-    keys: tuple[str, ...]
-    rows: tuple[tuple, ...]          # (key values..., splits) for non-NULL hot keys
-    null_splits: int                 # splits for rows whose key has a NULL, 1 if not hot
+class KeyProfile:
+    """What one count of the keys of a frame shows."""
 
-    @property
-    def any(self) -> bool:
-        return bool(self.rows) or self.null_splits > 1
+    keys: tuple[str, ...]
+    rows: int
+    distinct: int                        # distinct keys (NULL counts as one)
+    key_bytes: int                       # bytes of all distinct keys as text
+    null_rows: int                       # rows whose key has a NULL
+    hot: DataFrame | None                # the hot keys without NULL, or None
+    n_hot: int
+    hot_bytes: int                       # bytes of the hot keys as text
+    literals: tuple[tuple, ...] | None   # every non-NULL key, when there are at most ``literal_keys``
 
 
-@dataclass(frozen=True)
-class KeyProfile:
-    hot: HotKeys
-    distinct: int                          # number of distinct keys (NULL counts as one)
-    literals: tuple[tuple, ...] | None     # every non-NULL key, when there are at most ``literal_keys``
+def any_null(keys: Sequence[str]) -> Column:
+    cond = F.lit(False)
+    for k in keys:
+        cond = cond | F.col(k).isNull()
+    return cond
 
 
-def profile_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy) -> KeyProfile:
-    """Hot keys, the number of distinct keys and, when very few, the keys themselves.
+def profile_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy) -> KeyProfile | None:
+    """Profile the lookup keys of ``df`` by one aggregate; ``None`` when the policy is off.
 
-    One aggregate over the key columns.  The number of distinct keys is
-    observed on the way (``Observation``), so it costs no extra pass; the keys
-    are collected (a second, keys-only pass) only when there are at most
-    ``literal_keys`` of them.
+    The numbers are observed while the hot keys are written, so they cost no extra
+    pass; the keys themselves are collected (a second, keys-only pass) only when
+    there are at most ``literal_keys`` of them.
     """
     keys = tuple(keys)
     if not policy.enabled:
-        return KeyProfile(HotKeys(keys, (), 1), -1, None)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    seen = Observation()
-    found = (counts.observe(seen, F.count(F.lit(1)).alias("distinct_keys"))
-             .where(F.col("__n") >= policy.hot_key_rows)
-             .orderBy(F.desc("__n"))
-             .limit(policy.max_hot_keys + 1)
-             .collect())
-    distinct = seen.get["distinct_keys"]
-    rows, null_splits = [], 1
-    for r in found:
-        values = tuple(r[k] for k in keys)
-        if any(v is None for v in values):
-            null_splits = max(null_splits, policy.splits(r["__n"]))
-        elif len(rows) < policy.max_hot_keys:
-            rows.append(values + (policy.splits(r["__n"]),))
+        return None
+    spark = df.sparkSession
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(COUNT))
+    size = sum((F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys), F.lit(0)).cast("bigint")
+    is_null = any_null(keys)
+    is_hot = (F.col(COUNT) >= policy.hot_key_rows) & ~is_null
+    seen, path = Observation(), scratch_path(spark, "hot-keys")
+
+    def total(value: Column, when: Column | None = None) -> Column:
+        return F.coalesce(F.sum(value if when is None else F.when(when, value)), F.lit(0).cast("bigint"))
+    (counts.observe(seen, F.count(F.lit(1)).alias("distinct"), total(F.col(COUNT)).alias("rows"),
+                    total(size).alias("key_bytes"), total(F.col(COUNT), is_null).alias("null_rows"),
+                    total(F.lit(1).cast("bigint"), is_hot).alias("n_hot"), total(size, is_hot).alias("hot_bytes"))
+     .where(is_hot).write.parquet(path))
+    found = seen.get
+    hot = None
+    if found["n_hot"]:
+        hot = spark.read.schema(counts.schema).parquet(path)
+        if found["n_hot"] > policy.max_hot_keys:
+            hot = hot.where(F.col(COUNT) > found["rows"] // policy.max_hot_keys)
+        hot = hot.select(*keys)
     literals = None
-    if distinct <= policy.literal_keys:
-        every = found if distinct == len(found) else counts.collect()   # at most literal_keys rows
-        literals = tuple(v for v in (tuple(r[k] for k in keys) for r in every) if all(x is not None for x in v))
-    return KeyProfile(HotKeys(keys, tuple(rows), null_splits), distinct, literals)
+    if found["distinct"] <= policy.literal_keys:
+        values = [tuple(r[k] for k in keys) for r in counts.select(*keys).collect()]   # at most literal_keys rows
+        literals = tuple(v for v in values if all(x is not None for x in v))
+    return KeyProfile(keys, found["rows"], found["distinct"], found["key_bytes"], found["null_rows"], hot,
+                      min(found["n_hot"], policy.max_hot_keys), found["hot_bytes"], literals)
+
 
+def blocks_for(n_bytes: float, policy: SkewPolicy) -> int:
+    """Number of blocks so that each stays under the broadcast bound."""
+    return max(1, int(-(-n_bytes // max(1, policy.max_broadcast_bytes))))
 
-def find_hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy) -> HotKeys:
-    """Keys of ``df`` that need splitting; at most ``policy.max_hot_keys`` reach the driver."""
-    return profile_keys(df, keys, policy).hot
+
+def block_of(keys: Sequence[str], n: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n))
+
+
+def mark_hot(df: DataFrame, profile: KeyProfile, policy: SkewPolicy) -> DataFrame:
+    """Adds ``HOT``: whether the row's key is hot. Broadcasts the hot keys, in bounded blocks; no shuffle."""
+    keys, n = list(profile.keys), blocks_for(2 * profile.hot_bytes + 64 * profile.n_hot, policy)
+    out, flags = df, []
+    for b in range(n):
+        part = profile.hot if n == 1 else profile.hot.where(block_of(keys, n) == b)
+        out = out.join(F.broadcast(part.withColumn(f"{HOT}{b}", F.lit(True))), keys, "left")
+        flags.append(F.col(f"{HOT}{b}"))
+    return out.select(*df.columns, F.coalesce(*flags, F.lit(False)).alias(HOT))
 
 
 def _sql_literal(v) -> str | None:
@@ -134,72 +144,3 @@ def literal_filter(key: str, values: Sequence[tuple]) -> Column | None:
     if any(x is None for x in lits):
         return None
     return F.expr(f"`{key.replace('`', '``')}` IN ({', '.join(lits)})")
-
-
-def _hot_frame(df: DataFrame, hot: HotKeys) -> DataFrame:
-    fields = [df.schema[k] for k in hot.keys]
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields]
-                          + [T.StructField(SPLITS, T.IntegerType(), False)])
-    return df.sparkSession.createDataFrame(list(hot.rows), schema)
-
-
-def _any_null(keys: Sequence[str]) -> Column:
-    cond = F.lit(False)
-    for k in keys:
-        cond = cond | F.col(k).isNull()
-    return cond
-
-
-def _hashable(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-
-
-def salt_input(df: DataFrame, hot: HotKeys) -> DataFrame:
-    """Add ``SALT`` to the probe side: ``hash(row) mod splits`` for hot and NULL keys, 0 otherwise."""
-    keys = list(hot.keys)
-    if hot.rows:
-        tagged = df.join(F.broadcast(_hot_frame(df, hot)), keys, "left")
-    else:
-        tagged = df.withColumn(SPLITS, F.lit(None).cast("int"))
-    h = F.xxhash64(*[F.col(c) for c in _hashable(df)])
-    salt = (F.when(_any_null(keys), F.pmod(h, F.lit(hot.null_splits).cast("long")))
-            .when(F.col(SPLITS).isNotNull(), F.pmod(h, F.col(SPLITS).cast("long")))
-            .otherwise(F.lit(0))).cast("int")
-    return tagged.select(*df.columns, salt.alias(SALT))
-
-
-def collapse_copies(df: DataFrame) -> DataFrame:
-    """One row per distinct row with its number of copies (partial aggregation before the shuffle)."""
-    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPIES))
-
-
-def expand_copies(df: DataFrame, chunk: int, spread_by: list[str]) -> DataFrame:
-    """Undo ``collapse_copies``: each row appears ``COPIES`` times again.
-
-    A row is first cut into chunks of at most ``chunk`` copies; the chunks of
-    one row are hashed to different partitions, so no task generates more
-    than about ``chunk`` copies of one heavily repeated row, and no row ever
-    builds an array longer than ``chunk``.  The partition count is given
-    explicitly: the chunk rows are tiny before they expand, and AQE would
-    otherwise coalesce them into a few partitions (it does not coalesce a
-    repartition with an explicit count).
-    """
-    cols = [c for c in df.columns if c != COPIES]
-    n = F.col(COPIES)
-    last_chunk = F.floor((n - F.lit(1)) / F.lit(chunk)).cast("long")
-    chunks = df.select("*", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)).alias(CHUNK))
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = chunks.repartition(parts, *[F.col(c) for c in spread_by], F.col(CHUNK))
-    size = F.least(F.lit(chunk).cast("long"), n - F.col(CHUNK) * F.lit(chunk))
-    return spread.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), size)).alias(COPIES)).drop(COPIES)
-
-
-def salt_features(features: DataFrame, hot: HotKeys, key_columns: Sequence[str]) -> DataFrame:
-    """Repeat each hot key's feature row once per split; other rows get salt 0."""
-    keys = list(key_columns)
-    if not hot.rows:
-        return features.withColumn(SALT, F.lit(0))
-    hot_df = _hot_frame(features, hot)
-    tagged = features.join(F.broadcast(hot_df), keys, "left")
-    n = F.coalesce(F.col(SPLITS), F.lit(1))
-    return tagged.select(*features.columns, F.explode(F.sequence(F.lit(0), n - 1)).alias(SALT))

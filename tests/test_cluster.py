@@ -21,6 +21,7 @@ SCRIPT = textwrap.dedent("""
     sys.path.insert(0, %r)
     from pyspark.sql import SparkSession, functions as F
     spark = (SparkSession.builder.master("local-cluster[2,1,2048]")
+             .config("spark.checkpoint.dir", "file:" + __import__("tempfile").mkdtemp()).config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.shuffle.partitions", "8")
              .config("spark.executorEnv.PYTHONPATH", %r).getOrCreate())
@@ -39,7 +40,7 @@ SCRIPT = textwrap.dedent("""
     df = orders.select("o_orderkey", cust.cast("string").alias("cust_id"))
     lk = [FeatureLookup(name, ["NamePrefix", "Age"], "cust_id")]
     norm = lambda d: sorted((tuple(r) for r in d.collect()), key=repr)
-    hot = SkewPolicy(hot_key_rows=100, rows_per_split=40, point_lookup_keys=0)
+    hot = SkewPolicy(hot_key_rows=100, point_lookup_keys=0)
     for frame, pol in [(df, hot), (df.select("cust_id"), hot), (df, SkewPolicy(literal_keys=0)), (df, SkewPolicy())]:
         assert norm(attach_features(spark, frame, lk, pol)) == norm(attach_features(spark, frame, lk, SkewPolicy(enabled=False)))
     assert len(spark.sparkContext._jsc.sc().statusTracker().getExecutorInfos()) >= 3

@@ -10,7 +10,7 @@ from larder.operators import (
     create_training_set,
     save_features,
 )
-from larder.operators.skew import SALT, find_hot_keys
+from larder.operators.skew import HOT, profile_keys
 
 
 @pytest.fixture
@@ -97,78 +97,80 @@ def _skewed_orders(spark, sf):
     return orders.select("o_orderkey", cust.cast("string").alias("cust_id"))
 
 
-def test_hot_keys_split_gives_same_rows(spark, db):
+def _customer_table(spark, db):
     from tests.conftest import SF_SMALL
     from larder.plans.derive import customer_demographic_features
     from larder.plans.tables import table
     name = f"{db}.cust"
     save_features(spark, name, customer_demographic_features(table(spark, SF_SMALL, "customer")), "PassengerId")
-    df = _skewed_orders(spark, SF_SMALL)
-    lookups = [FeatureLookup(name, ["NamePrefix", "Age"], "cust_id")]
-    policy = SkewPolicy(hot_key_rows=100, rows_per_split=50, point_lookup_keys=0)
-    hot = find_hot_keys(df, ["cust_id"], policy)
-    assert hot.rows and hot.rows[0][0] == "7" and hot.null_splits > 1
-    split = attach_features(spark, df, lookups, policy)
-    plain = attach_features(spark, df, lookups, SkewPolicy(enabled=False))
-    assert SALT not in split.columns
-    plan = split._jdf.queryExecution().optimizedPlan().toString()
-    assert SALT in plan
-    norm = lambda d: sorted((tuple(r) for r in d.select("o_orderkey", "cust_id", "NamePrefix", "Age").collect()), key=repr)
-    assert norm(split) == norm(plain)
-    assert split.count() == df.count()
+    return name, _skewed_orders(spark, SF_SMALL)
 
 
-def test_hot_key_bound(spark):
-    df = spark.createDataFrame([(str(i % 5),) for i in range(100)], "k string")
-    hot = find_hot_keys(df, ["k"], SkewPolicy(hot_key_rows=10, rows_per_split=5, max_hot_keys=2))
-    assert len(hot.rows) == 2 and all(r[-1] == 4 for r in hot.rows)
-    assert not find_hot_keys(df, ["k"], SkewPolicy(enabled=False)).any
+def _norm(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
-def test_hot_ids_only_frame_collapses_and_expands(spark, db):
-    """An ids-only frame where one id is a third of all rows: distinct ids are joined, copies restored."""
-    from tests.conftest import SF_SMALL
-    from larder.plans.derive import customer_demographic_features
-    from larder.plans.tables import table
-    name = f"{db}.cust"
-    save_features(spark, name, customer_demographic_features(table(spark, SF_SMALL, "customer")), "PassengerId")
-    ids = _skewed_orders(spark, SF_SMALL).select("cust_id")
+@pytest.fixture
+def no_auto_broadcast(spark):
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = spark.conf.get(names[0])
+    for n in names:
+        spark.conf.set(n, "-1")
+    yield
+    spark.conf.set(names[0], before)
+    spark.conf.unset(names[1])
+
+
+@pytest.mark.parametrize("policy", [
+    SkewPolicy(hot_key_rows=100, point_lookup_keys=0),                              # many keys
+    SkewPolicy(hot_key_rows=100, max_broadcast_bytes=0),                            # few keys, nothing proven small
+    SkewPolicy(hot_key_rows=100, max_broadcast_bytes=2000),                         # hot keys in several blocks
+    SkewPolicy(hot_key_rows=100, literal_keys=0, max_broadcast_bytes=0),
+    SkewPolicy(hot_key_rows=1, max_hot_keys=3, point_lookup_keys=0),                # the threshold rises
+    SkewPolicy(hot_key_rows=5, point_lookup_keys=0),                                # many hot keys
+], ids=["many", "few-unproven", "blocks", "few-semi", "raised", "many-hot"])
+@pytest.mark.parametrize("ids_only", [False, True], ids=["rows", "ids"])
+def test_hot_keys_are_joined_apart_on_every_path(spark, db, no_auto_broadcast, policy, ids_only):
+    name, df = _customer_table(spark, db)
+    df = df.select("cust_id") if ids_only else df
     lookups = [FeatureLookup(name, ["NamePrefix", "Age"], "cust_id")]
-    policy = SkewPolicy(hot_key_rows=100, rows_per_split=40, point_lookup_keys=0)
-    split = attach_features(spark, ids, lookups, policy)
-    plain = attach_features(spark, ids, lookups, SkewPolicy(enabled=False))
+    split = attach_features(spark, df, lookups, policy)
     plan = split._jdf.queryExecution().optimizedPlan().toString()
-    assert "__larder_copies" in plan and "__larder_chunk" in plan
-    norm = lambda d: sorted((tuple(r) for r in d.collect()), key=repr)
-    assert split.columns == plain.columns == ["cust_id", "NamePrefix", "Age"]
-    assert norm(split) == norm(plain)
-
-
-def test_expand_copies_chunks(spark):
-    from larder.operators.skew import COPIES, expand_copies
-    df = spark.createDataFrame([("a", 7), ("b", 1), ("c", 3)], f"k string, {COPIES} long")
-    out = expand_copies(df, 2, ["k"])
-    got = {r["k"]: r["count"] for r in out.groupBy("k").count().collect()}
-    assert got == {"a": 7, "b": 1, "c": 3} and out.columns == ["k"]
-
-
-def test_expand_copies_spreads_a_hot_row_over_tasks(spark):
-    """AQE must not fold the tiny chunk rows back into one task before they expand."""
-    from larder.operators.skew import COPIES, expand_copies
-    df = spark.createDataFrame([("hot", 4000), ("x", 1)], f"k string, {COPIES} long")
-    out = expand_copies(df, 100, ["k"])
-    per_task = out.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect()
-    assert sum(per_task) == 4001
-    assert max(per_task) <= 4001 // 2        # the 40 chunks of "hot" land in several partitions
-
-
-def test_salt_is_a_function_of_the_row(spark):
-    from larder.operators.skew import HotKeys, salt_input
-    df = spark.createDataFrame([("7", i) for i in range(50)] + [(None, i) for i in range(10)], "k string, v int")
-    hot = HotKeys(("k",), (("7", 4),), 3)
-    a = sorted(tuple(r) for r in salt_input(df, hot).collect() if r["k"] is not None)
-    b = sorted(tuple(r) for r in salt_input(df.repartition(5), hot).collect() if r["k"] is not None)
-    assert a == b and {r[2] for r in a} == {0, 1, 2, 3}
+    assert HOT in plan and HOT not in split.columns
+    assert split.columns == [*df.columns, "NamePrefix", "Age"]
+    assert _norm(split) == _norm(attach_features(spark, df, lookups, SkewPolicy(enabled=False)))
+
+
+def test_hot_rows_and_the_bucketed_table_are_not_shuffled(spark, db, no_auto_broadcast):
+    """Only the rest rows are shuffled; hot rows of a (key, 0/1 label) frame stay spread as they were read."""
+    name, df = _customer_table(spark, db)
+    labelled = df.withColumn("label", F.col("o_orderkey") % 2).drop("o_orderkey").repartition(8)
+    out = attach_features(spark, labelled, [FeatureLookup(name, ["Age"], "cust_id")],
+                          SkewPolicy(hot_key_rows=100, point_lookup_keys=0))
+    lines = out._jdf.queryExecution().executedPlan().toString().split("Final Plan")[-1].splitlines()
+    exchanges = [n for n, ln in enumerate(lines) if "Exchange hashpartitioning" in ln]
+    for n in exchanges:         # below an exchange by key stands the orders scan, never the feature table
+        below = next(ln for ln in lines[n:] if "FileScan" in ln)
+        assert "PassengerId" not in below
+    sizes = out.where("cust_id = '7'").rdd.glom().map(len).collect()
+    assert max(sizes) <= sum(sizes) / 4
+
+
+def test_no_cap_on_hot_keys(spark):
+    df = spark.createDataFrame([(str(i % 5),) for i in range(100)] + [(None,)] * 30, "k string")
+    p = profile_keys(df, ["k"], SkewPolicy(hot_key_rows=10))
+    assert p.n_hot == 5 and p.null_rows == 30 and p.rows == 130 and p.distinct == 6
+    raised = profile_keys(df, ["k"], SkewPolicy(hot_key_rows=10, max_hot_keys=4))
+    assert raised.hot.count() <= 4
+    assert profile_keys(df, ["k"], SkewPolicy(enabled=False)) is None
+
+
+def test_two_lookup_keys_are_profiled_on_the_input(spark, tables):
+    """The second profile counts the input's own keys: no join runs while the frame is built."""
+    t, d = tables
+    df = spark.createDataFrame([("1", "2"), ("3", "1")], "a string, b string")
+    out = attach_features(spark, df, [FeatureLookup(t, ["CabinChar"], "a"), FeatureLookup(d, ["Age"], "b")])
+    assert _norm(out) == [("1", "2", "C", None), ("3", "1", "B", 22.0)]
 
 
 def test_key_type_mismatch_raises(spark, tables):
@@ -203,13 +205,12 @@ def test_point_lookup_prunes_buckets(spark, db):
 
 
 def test_profile_counts_distinct_keys(spark):
-    from larder.operators.skew import profile_keys
     df = spark.createDataFrame([(str(i % 4),) for i in range(40)] + [(None,)], "k string")
     p = profile_keys(df, ["k"], SkewPolicy(hot_key_rows=1000, literal_keys=10))
-    assert p.distinct == 5 and sorted(p.literals) == [("0",), ("1",), ("2",), ("3",)] and not p.hot.any
+    assert p.distinct == 5 and sorted(p.literals) == [("0",), ("1",), ("2",), ("3",)] and p.hot is None
     assert profile_keys(df, ["k"], SkewPolicy(literal_keys=3)).literals is None
-    p2 = profile_keys(df, ["k"], SkewPolicy(hot_key_rows=5, rows_per_split=5, literal_keys=10))
-    assert sorted(p2.literals) == [("0",), ("1",), ("2",), ("3",)] and len(p2.hot.rows) == 4
+    p2 = profile_keys(df, ["k"], SkewPolicy(hot_key_rows=5, literal_keys=10))
+    assert sorted(p2.literals) == [("0",), ("1",), ("2",), ("3",)] and p2.hot.count() == 4
 
 
 def test_semi_join_regime_same_rows(spark, tables):
@@ -231,19 +232,12 @@ def test_literal_filter_quotes(spark):
 
 
 def test_point_path_broadcasts_even_with_hot_keys(spark, db):
-    from tests.conftest import SF_SMALL
-    from larder.plans.derive import customer_demographic_features
-    from larder.plans.tables import table
-    name = f"{db}.cust"
-    save_features(spark, name, customer_demographic_features(table(spark, SF_SMALL, "customer")), "PassengerId")
-    df = _skewed_orders(spark, SF_SMALL)
+    name, df = _customer_table(spark, db)
     lookups = [FeatureLookup(name, ["NamePrefix", "Age"], "cust_id")]
-    point = attach_features(spark, df, lookups, SkewPolicy(hot_key_rows=100, rows_per_split=50))
-    plain = attach_features(spark, df, lookups, SkewPolicy(enabled=False))
+    point = attach_features(spark, df, lookups, SkewPolicy(hot_key_rows=100))
     plan = point._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and SALT not in plan
-    norm = lambda d: sorted((tuple(r) for r in d.collect()), key=repr)
-    assert norm(point) == norm(plain)
+    assert "BroadcastHashJoin" in plan and HOT not in plan
+    assert _norm(point) == _norm(attach_features(spark, df, lookups, SkewPolicy(enabled=False)))
 
 
 def test_point_broadcast_needs_a_byte_bound(spark, tables):

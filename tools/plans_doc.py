@@ -90,17 +90,13 @@ more, into one file per bucket. The segment filter reaches the source scan as `P
     cust = (F.when(F.col("o_orderkey") % 3 == 0, F.lit(7)).when(F.col("o_orderkey") % 10 == 1, F.lit(None))
             .otherwise(F.col("o_custkey")))
     skewed = orders.select("o_orderkey", cust.cast("string").alias("cust_id"))
-    hot = SkewPolicy(hot_key_rows=10000, rows_per_split=5000, point_lookup_keys=0)
+    hot = SkewPolicy(hot_key_rows=10000, point_lookup_keys=0)
     lk = [FeatureLookup(f"{db}.custf", ["NamePrefix", "Age"], "cust_id")]
-    sections.append(("Skewed lookup key, salted (broadcast off)", """
-A third of the orders carry customer 7 and a tenth carry no customer. The hot keys come from the key profile,
-bounded by `max_hot_keys`, and are broadcast as a small local relation. Input rows get
-`pmod(xxhash64(row), splits)`, and the hot key's feature row is repeated once per salt. Both sides meet on
-`(cust_id, salt)`.""", final_plan(attach_features(spark, skewed, lk, hot))))
-    sections.append(("Skewed lookup key, ids only: collapsed (broadcast off)", """
-Identical id rows are counted with partial aggregation before the shuffle, so each map task sends one row per
-distinct id. The distinct ids meet the bucketed table, which is not shuffled. The copies are restored in
-chunks spread over tasks by `(cust_id, chunk)`.""", final_plan(attach_features(spark, skewed.select("cust_id"), lk, hot))))
+    sections.append(("Skewed lookup key: hot rows and the rest (broadcast off)", """
+A third of the orders carry customer 7 and a tenth carry no customer. The hot keys come from the key profile as a
+small table. Rows with a hot key are joined with the feature rows of the hot keys by broadcast, where they were
+read; rows without a customer get NULL features without a join. Only the rest is shuffled, and the bucketed table
+not at all.""", final_plan(attach_features(spark, skewed, lk, hot))))
 
     print("# Physical plans\n")
     print("Generated by `python tools/plans_doc.py /root/testdata/sf0.1 > PLANS.md`. These are the final AQE plans, "
