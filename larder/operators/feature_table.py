@@ -23,6 +23,8 @@ properties, the description as the table comment.
 
 from __future__ import annotations
 
+import json
+import math
 import re
 import uuid
 from collections.abc import Sequence
@@ -36,6 +38,7 @@ from larder.sources.storage import (
     database_location,
     delete_path,
     list_children,
+    path_bytes,
     quote_ident,
     split_name,
     sql_string,
@@ -48,6 +51,11 @@ PROP_BASE = "larder.base"
 PROP_VERSION = "larder.version"
 PROP_BUCKETS = "larder.buckets"
 PROP_ROWS = "larder.rows"
+PROP_AUTO = "larder.auto_buckets"
+PROP_HISTORY = "larder.history"
+
+BUCKET_BYTES = 256 << 20    # wanted size of a bucket of a table with automatic buckets
+MIN_BUCKETS = 8             # an automatic count is never below
 
 MODES = ("merge", "overwrite")
 
@@ -62,6 +70,8 @@ class FeatureTable:
     buckets: int | None
     description: str | None
     rows: int | None = None  # rows of the current snapshot, counted while it was written
+    auto_buckets: bool = False
+    history: tuple[str, ...] = ()   # earlier snapshots kept for readers, newest first
 
 
 _SNAPSHOT = re.compile(r"/v(\d{6})-[0-9a-f]+$")
@@ -96,11 +106,10 @@ def create_feature_table(spark: SparkSession, name: str, primary_keys: str | Seq
     """Create an empty feature table unless one of that name exists.
 
     Returns ``True`` when the table was created and ``False`` when it already
-    existed (it is then left untouched).  ``buckets="auto"`` takes the session's
-    shuffle partition count, capped at the cluster's default parallelism; set
-    it explicitly for large tables (about table bytes / 256 MB, and at least
-    the shuffle partition count of the joins that read the table).  ``None``
-    turns bucketing off.
+    existed (it is then left untouched).  ``buckets="auto"`` starts small and lets
+    each write choose the count from the table's bytes (about ``BUCKET_BYTES`` a
+    bucket), independent of the cluster that happens to run; a number fixes the
+    count, ``None`` turns bucketing off.
     """
     if feature_table_exists(spark, name):
         return False
@@ -108,21 +117,15 @@ def create_feature_table(spark: SparkSession, name: str, primary_keys: str | Seq
     missing = [k for k in keys if k not in schema.fieldNames()]
     if missing:
         raise ValueError(f"primary keys {missing} are not columns of the schema")
-    if buckets == "auto":
-        # As many buckets as a shuffle has partitions (so joins reuse them),
-        # but not more than the cluster runs tasks at once.
-        buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    auto = buckets == "auto"
+    if auto:
+        buckets = MIN_BUCKETS       # an empty table; writes re-bucket it by its bytes
     db, table = split_name(spark, name)
     base = (base or f"{database_location(spark, db)}/{table}").rstrip("/")
-    props = {PROP_KEYS: ",".join(keys), PROP_BASE: base, PROP_VERSION: "0",
-             PROP_BUCKETS: str(buckets or 0)}
+    props = {PROP_KEYS: json.dumps(list(keys)), PROP_BASE: base, PROP_VERSION: "0", PROP_BUCKETS: str(buckets or 0),
+             PROP_AUTO: str(auto).lower()}
     # Plain DDL: no job runs, the empty snapshot folder is simply absent.
-    cols = ", ".join(quote_ident(k) for k in keys)
-    clustered = f" CLUSTERED BY ({cols}) SORTED BY ({cols}) INTO {int(buckets)} BUCKETS" if buckets else ""
-    comment = f" COMMENT {sql_string(description)}" if description else ""
-    spark.sql(f"CREATE TABLE {quote_ident(name)} ({schema.toDDL()}) USING parquet{clustered}"
-              f" LOCATION {sql_string(snapshot_path(base, 0))}{comment} TBLPROPERTIES ("
-              + ", ".join(f"{sql_string(k)} = {sql_string(v)}" for k, v in props.items()) + ")")
+    _create_entry(spark, name, schema, keys, buckets, snapshot_path(base, 0), description, props)
     return True
 
 
@@ -135,10 +138,14 @@ def get_feature_table(spark: SparkSession, name: str) -> FeatureTable:
         raise ValueError(f"table {name} is not a feature table (no primary key recorded)")
     buckets = int(props.get(PROP_BUCKETS, "0")) or None
     location = table_location(spark, name)
-    rows = int(props[PROP_ROWS]) if PROP_ROWS in props else None
-    return FeatureTable(name=name, primary_keys=tuple(props[PROP_KEYS].split(",")), base=props[PROP_BASE],
+    # A row count belongs to one snapshot: one recorded for another location is not used.
+    counted = json.loads(props.get(PROP_ROWS, "{}"))
+    rows = counted["rows"] if counted and _folder(counted["location"]) == _folder(location) else None
+    return FeatureTable(name=name, primary_keys=tuple(json.loads(props[PROP_KEYS])), base=props[PROP_BASE],
                         location=location, version=snapshot_version(location), buckets=buckets,
-                        description=spark.catalog.getTable(name).description, rows=rows)
+                        description=spark.catalog.getTable(name).description, rows=rows,
+                        auto_buckets=props.get(PROP_AUTO) == "true" and buckets is not None,
+                        history=tuple(json.loads(props.get(PROP_HISTORY, "[]"))))
 
 
 def read_feature_table(spark: SparkSession, name: str) -> DataFrame:
@@ -165,14 +172,46 @@ def check_keys(df: DataFrame, primary_keys: str | Sequence[str]) -> None:
         raise ValueError(f"{kind} primary key in source: {row}")
 
 
+_WHOLE = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
+_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+_EXACT_BITS = {T.FloatType: 24, T.DoubleType: 53}
+
+
+def widens(source: T.DataType, target: T.DataType) -> bool:
+    """Whether every value of ``source`` has one equal value of ``target`` (so a cast loses nothing)."""
+    a, b = type(source), type(target)
+    if source.simpleString() == target.simpleString() or a is T.NullType:
+        return True
+    if a in _WHOLE and b in _WHOLE:
+        return _WHOLE[a] <= _WHOLE[b]
+    if a in _WHOLE and b in _EXACT_BITS:
+        return _WHOLE[a] <= _EXACT_BITS[b]
+    if a is T.FloatType and b is T.DoubleType:
+        return True
+    if b is T.DecimalType:
+        if a in _DIGITS:
+            return target.precision - target.scale >= _DIGITS[a]
+        if a is T.DecimalType:
+            return target.scale >= source.scale and target.precision - target.scale >= source.precision - source.scale
+    return (a, b) in {(T.VarcharType, T.StringType), (T.CharType, T.StringType), (T.DateType, T.TimestampNTZType)}
+
+
 def align_to(df: DataFrame, target_schema: T.StructType) -> DataFrame:
-    """Reorder and cast ``df`` to the target's columns; extra or missing columns raise."""
+    """Reorder ``df`` to the target's columns, widening types where nothing is lost.
+
+    Extra or missing columns raise, and so does a type whose cast could change a value
+    (a changed key could meet another one).
+    """
     want = target_schema.fieldNames()
     extra = [c for c in df.columns if c not in want]
     missing = [c for c in want if c not in df.columns]
     if extra or missing:
         raise ValueError(f"source columns differ from table: extra={extra} missing={missing}")
     current = {f.name: f.dataType for f in df.schema.fields}
+    lossy = {f.name: f"{current[f.name].simpleString()} -> {f.dataType.simpleString()}" for f in target_schema.fields
+             if not widens(current[f.name], f.dataType)}
+    if lossy:
+        raise ValueError(f"source types do not fit the table without loss: {lossy}; cast the columns")
     return df.select([F.col(f.name) if current[f.name] == f.dataType else F.col(f.name).cast(f.dataType).alias(f.name)
                       for f in target_schema.fields])
 
@@ -180,15 +219,20 @@ def align_to(df: DataFrame, target_schema: T.StructType) -> DataFrame:
 def upsert_plan(target: DataFrame, source: DataFrame, primary_keys: Sequence[str]) -> DataFrame:
     """Rows of ``target`` whose key is not in ``source``, plus all of ``source``.
 
-    A source row replaces the whole target row, NULL values included.  The
-    anti join reads only the key columns of ``source``; with a bucketed target
-    only those keys are shuffled.
+    A source row replaces the whole target row, NULL values included.  The anti join
+    reads only the key columns of ``source``; if both sides are bucketed alike by
+    the key, nothing is shuffled.
     """
     keys = list(primary_keys)
     kept = target.join(source.select(*keys), keys, "left_anti")
     return kept.unionByName(source)
 
 
+def buckets_for(n_bytes: int) -> int:
+    """Bucket count that gives buckets of about ``BUCKET_BYTES`` (a power of two, so tables of one size agree)."""
+    return 1 << max(0, math.ceil(math.log2(max(1, n_bytes) / BUCKET_BYTES)))
+
+
 def write_feature_table(spark: SparkSession, name: str, df: DataFrame, mode: str = "merge",
                         retain: int = 1) -> FeatureTable:
     """Write ``df`` into the feature table ``name``.
@@ -196,83 +240,153 @@ def write_feature_table(spark: SparkSession, name: str, df: DataFrame, mode: str
     ``merge``: keys new to the table are inserted, known keys are replaced, other
     table rows are kept.  ``overwrite``: ``df`` becomes the whole table.  The
     source must have exactly the table's columns and unique non-NULL keys.
-    ``retain`` older snapshots are kept for readers still on them.
+    The snapshot that the table pointed to before is kept for readers still on it,
+    and ``retain - 1`` recorded ones before it; all other snapshot folders go.
+
+    ``df`` is evaluated once: it is first written, bucketed by key, into a staged
+    folder, and key check, anti join and union all read that.  The staged folder
+    is the new snapshot itself for an overwrite or a first load.
+
+    A table with automatic buckets is re-bucketed by this rewrite when its bytes ask
+    for at least twice or at most a quarter of its present count.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     ft = get_feature_table(spark, name)
     target = spark.table(name)
     source = align_to(df, target.schema)
-    check_keys(source, ft.primary_keys)
-    if ft.buckets:
-        # One task per bucket for the new rows, so a snapshot has at most two
-        # files per bucket; the kept rows already arrive one bucket per task
-        # from the bucketed scan.
-        source = source.repartition(ft.buckets, *ft.primary_keys)
-    # Version 0 is the empty table made by ``create_feature_table``: the first
-    # load is the source itself, with no anti join (and no key shuffle) needed.
-    merged = upsert_plan(target, source, ft.primary_keys) if mode == "merge" and ft.version > 0 else source
     db, _ = split_name(spark, name)
     new_version = ft.version + 1
-    new_path = snapshot_path(ft.base, new_version)
-    counted = Observation()
-    _write_snapshot(spark, merged.observe(counted, F.count(F.lit(1)).alias("rows")), db, ft.primary_keys,
-                    ft.buckets, new_path)
-    rows = int(counted.get["rows"])
-    spark.sql(f"ALTER TABLE {quote_ident(name)} SET LOCATION {sql_string(new_path)}")
-    spark.sql(f"ALTER TABLE {quote_ident(name)} SET TBLPROPERTIES "
-              f"({sql_string(PROP_VERSION)} = {sql_string(str(new_version))}, "
-              f"{sql_string(PROP_ROWS)} = {sql_string(str(rows))})")
+    # Version 0 is the empty table made by ``create_feature_table``: a first load needs no anti join.
+    whole = mode == "overwrite" or ft.version == 0
+    staged_path = snapshot_path(ft.base, new_version)
+    made = [staged_path]
+    stage = None
+    try:
+        staged_rows = _write_snapshot(spark, source, ft, staged_path, ft.buckets, deal=True)
+        staged, stage = _open_snapshot(spark, db, target.schema, ft, staged_path)
+        check_keys(staged, ft.primary_keys)
+        n_bytes = path_bytes(spark, staged_path) + (0 if whole else path_bytes(spark, ft.location))
+        buckets = ft.buckets
+        if ft.auto_buckets:
+            wanted = max(buckets_for(n_bytes), MIN_BUCKETS)
+            if wanted >= 2 * buckets or 4 * wanted <= buckets:
+                buckets = wanted
+        if whole and buckets == ft.buckets:
+            new_path, rows = staged_path, staged_rows
+        else:
+            new_path = snapshot_path(ft.base, new_version)
+            made.append(new_path)
+            merged = staged if whole else upsert_plan(target, staged, ft.primary_keys)
+            # unchanged buckets: table and staged rows are already one bucket per task, nothing is shuffled
+            rows = _write_snapshot(spark, merged, ft, new_path, buckets, deal=buckets != ft.buckets)
+    except BaseException:
+        _drop_entry(spark, stage)
+        for path in made:
+            delete_path(spark, path)
+        raise
+    _drop_entry(spark, stage)
+    if new_path != staged_path:
+        delete_path(spark, staged_path)
+    history = [ft.location, *ft.history][:max(0, retain)]
+    props = {PROP_VERSION: str(new_version), PROP_ROWS: json.dumps({"location": new_path, "rows": rows}),
+             PROP_HISTORY: json.dumps(history)}
+    if buckets != ft.buckets:
+        # The catalog can't change a bucket count: the (external) entry is made anew over the same folders.
+        # A stop between the two statements leaves all snapshots; create_feature_table finds none of its name then.
+        spark.sql(f"DROP TABLE {quote_ident(name)}")
+        _create_entry(spark, name, target.schema, ft.primary_keys, buckets, new_path, ft.description,
+                      {PROP_KEYS: json.dumps(list(ft.primary_keys)), PROP_BASE: ft.base, PROP_BUCKETS: str(buckets),
+                       PROP_AUTO: "true", **props})
+    else:
+        spark.sql(f"ALTER TABLE {quote_ident(name)} SET LOCATION {sql_string(new_path)}")
+        spark.sql(f"ALTER TABLE {quote_ident(name)} SET TBLPROPERTIES ("
+                  + ", ".join(f"{sql_string(k)} = {sql_string(v)}" for k, v in props.items()) + ")")
     spark.catalog.refreshTable(name)
-    _prune_snapshots(spark, ft.base, new_path, retain)
-    return FeatureTable(ft.name, ft.primary_keys, ft.base, new_path, new_version, ft.buckets, ft.description, rows)
+    _prune_snapshots(spark, ft.base, [new_path, *history])
+    return get_feature_table(spark, name)
+
 
+def _folder(path: str) -> str:
+    return path.rstrip("/").rsplit("/", 1)[-1]
 
-def _prune_snapshots(spark: SparkSession, base: str, current: str, retain: int) -> None:
-    """Delete snapshot folders older than the ``retain`` newest ones before ``current``."""
-    older = []
+
+def _prune_snapshots(spark: SparkSession, base: str, keep: Sequence[str]) -> None:
+    """Delete the snapshot folders of a table that are not in ``keep`` (whatever a dead writer left behind as well)."""
+    names = {_folder(p) for p in keep}
     for path in list_children(spark, base):
-        try:
-            v = snapshot_version(path)
-        except ValueError:
-            continue
-        if not path.rstrip("/").endswith(current.rsplit("/", 1)[-1]):
-            older.append((v, path))
-    older.sort(reverse=True)
-    for _, path in older[retain:]:
-        delete_path(spark, path)
+        if _SNAPSHOT.search(path.rstrip("/")) and _folder(path) not in names:
+            delete_path(spark, path)
 
 
 def drop_feature_table(spark: SparkSession, name: str, purge: bool = True) -> bool:
-    """Drop the table; with ``purge`` its snapshot folders are deleted as well."""
+    """Drop the table; with ``purge`` its snapshot folders are deleted as well.
+
+    Returns ``False`` if there is no such table; raises ``ValueError`` for a table
+    that is not a feature table and leaves it alone.
+    """
     if not feature_table_exists(spark, name):
         return False
-    base = None
-    try:
-        base = get_feature_table(spark, name).base
-    except ValueError:
-        pass
+    base = get_feature_table(spark, name).base
     spark.sql(f"DROP TABLE IF EXISTS {quote_ident(name)}")
-    if purge and base:
+    if purge:
         delete_path(spark, base)
     return True
 
 
-def _write_snapshot(spark: SparkSession, df: DataFrame, db: str, keys: Sequence[str], buckets: int | None,
-                    path: str) -> None:
-    """Write one complete snapshot to ``path``.
+def _create_entry(spark: SparkSession, name: str, schema: T.StructType, keys: Sequence[str], buckets: int | None,
+                  location: str, comment: str | None, props: dict[str, str]) -> None:
+    """Make the catalog entry of an external Parquet table by plain DDL (no job runs)."""
+    cols = ", ".join(_ident(k) for k in keys)
+    clustered = f" CLUSTERED BY ({cols}) SORTED BY ({cols}) INTO {int(buckets)} BUCKETS" if buckets else ""
+    text = f" COMMENT {sql_string(comment)}" if comment else ""
+    listed = (" TBLPROPERTIES (" + ", ".join(f"{sql_string(k)} = {sql_string(v)}" for k, v in props.items()) + ")") if props else ""
+    spark.sql(f"CREATE TABLE {quote_ident(name)} ({schema.toDDL()}) USING parquet{clustered}"
+              f" LOCATION {sql_string(location)}{text}{listed}")
+
+
+def _ident(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def _drop_entry(spark: SparkSession, entry: str | None) -> None:
+    if entry:
+        spark.sql(f"DROP TABLE IF EXISTS {quote_ident(entry)}")
+
+
+def _open_snapshot(spark: SparkSession, db: str, schema: T.StructType, ft: FeatureTable,
+                   path: str) -> tuple[DataFrame, str | None]:
+    """Read a snapshot folder; bucketed ones through a temporary catalog entry, so Spark knows the buckets."""
+    if not ft.buckets:
+        return spark.read.schema(schema).parquet(path), None
+    entry = f"{db}.__larder_stage_{uuid.uuid4().hex[:12]}"
+    _create_entry(spark, entry, schema, ft.primary_keys, ft.buckets, path, None, {})
+    return spark.table(entry), entry
+
+
+def _write_snapshot(spark: SparkSession, df: DataFrame, ft: FeatureTable, path: str, buckets: int | None,
+                    deal: bool) -> int:
+    """Write one complete snapshot to ``path``; returns its number of rows, counted while it is written.
 
     Bucketed snapshots are written through a temporary catalog entry (Spark
     writes bucket files only via ``saveAsTable``); dropping that external
-    entry afterwards leaves the files in place.
+    entry afterwards leaves the files in place. With ``deal`` the rows are first
+    shuffled to one task per bucket.
     """
-    writer = df.write.format("parquet").mode("overwrite").option("path", path)
+    counted = Observation()
+    db, _ = split_name(spark, ft.name)
     if not buckets:
-        writer.save()
-        return
+        df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+        return int(counted.get["rows"])
+    cols = list(ft.primary_keys)
+    dealt = (df.repartition(buckets, *cols) if deal else df).observe(counted, F.count(F.lit(1)).alias("rows"))
     stage = f"{db}.__larder_stage_{uuid.uuid4().hex[:12]}"
-    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(stage)
-    spark.sql(f"DROP TABLE IF EXISTS {quote_ident(stage)}")
+    try:
+        (dealt.write.format("parquet").mode("overwrite").option("path", path)
+         .bucketBy(buckets, *cols).sortBy(*cols).saveAsTable(stage))
+    finally:
+        _drop_entry(spark, stage)
+    return int(counted.get["rows"])
 
 
 def save_features(spark: SparkSession, name: str, df: DataFrame, primary_keys: str | Sequence[str],

@@ -16,11 +16,12 @@ def quote_ident(name: str) -> str:
 
 
 def split_name(spark: SparkSession, name: str) -> tuple[str, str]:
-    """``(database, table)`` for ``db.table`` or a bare name in the current database."""
-    parts = name.split(".")
-    if len(parts) == 1:
-        return spark.catalog.currentDatabase(), parts[0]
-    return parts[-2], parts[-1]
+    """``(database, table)`` for ``db.table`` or a bare name in the current database.
+
+    The database keeps its catalog: ``catalog.db.table`` gives ``("catalog.db", "table")``.
+    """
+    database, _, table = name.rpartition(".")
+    return database or spark.catalog.currentDatabase(), table
 
 
 def database_location(spark: SparkSession, database: str) -> str:

@@ -153,3 +153,133 @@ def test_write_back_a_frame_read_from_the_table(spark, db):
     assert _rows(spark, name) == {"1": (10.0, "x"), "2": (20.0, "y")}
     write_feature_table(spark, name, spark.table(name).where("k = '1'"), mode="overwrite")
     assert _rows(spark, name) == {"1": (10.0, "x")}
+
+
+def test_drop_refuses_a_plain_table(spark, db):
+    spark.createDataFrame([(1,)], "a int").write.saveAsTable(f"{db}.plain")
+    with pytest.raises(ValueError, match="not a feature table"):
+        drop_feature_table(spark, f"{db}.plain")
+    assert spark.table(f"{db}.plain").count() == 1
+
+
+def test_pruning_keeps_the_snapshot_of_readers(spark, db):
+    """A dead writer's folder has the newest number; the snapshot the table pointed to before must stay all the same."""
+    from larder.sources.storage import list_children
+    name = f"{db}.ft"
+    save_features(spark, name, _df(spark, [("1", 1.0, "x")]), "k")
+    write_feature_table(spark, name, _df(spark, [("2", 2.0, "y")]))
+    before = get_feature_table(spark, name)
+    spark.createDataFrame([(1,)], "a int").write.parquet(f"{before.base}/v000003-deadbeef")
+    reader = spark.read.parquet(before.location)
+    write_feature_table(spark, name, _df(spark, [("3", 3.0, "z")]))
+    folders = {p.rstrip("/").rsplit("/", 1)[-1] for p in list_children(spark, before.base)}
+    assert "v000003-deadbeef" not in folders
+    assert before.location.rsplit("/", 1)[-1] in folders and reader.count() == 2
+
+
+@pytest.mark.parametrize("schema,value", [("k string, a string, b string", ("1", "1.5", "x")),
+                                          ("k string, a decimal(30,10), b string", None), ("k int, a double, b string", (1, 1.0, "x"))])
+def test_lossy_source_types_raise(spark, db, schema, value):
+    name = f"{db}.ft"
+    save_features(spark, name, _df(spark, [("1", 1.0, "x")]), "k")
+    with pytest.raises(ValueError, match="without loss"):
+        write_feature_table(spark, name, spark.createDataFrame([value] if value else [], schema))
+    assert _rows(spark, name) == {"1": (1.0, "x")}
+
+
+def test_double_into_int_raises(spark, db):
+    name = f"{db}.ints"
+    save_features(spark, name, spark.createDataFrame([("1", 1)], "k string, a int"), "k")
+    with pytest.raises(ValueError, match="without loss"):
+        write_feature_table(spark, name, spark.createDataFrame([("1", 1.9)], "k string, a double"))
+
+
+def test_widening():
+    from pyspark.sql import types as T
+    from larder.operators.feature_table import widens
+    good = [(T.IntegerType(), T.LongType()), (T.IntegerType(), T.DoubleType()), (T.FloatType(), T.DoubleType()),
+            (T.IntegerType(), T.DecimalType(12, 2)), (T.DecimalType(5, 2), T.DecimalType(7, 3)), (T.NullType(), T.StringType())]
+    bad = [(T.LongType(), T.IntegerType()), (T.LongType(), T.DoubleType()), (T.DoubleType(), T.FloatType()),
+           (T.StringType(), T.IntegerType()), (T.IntegerType(), T.StringType()), (T.DecimalType(7, 3), T.DecimalType(5, 2))]
+    assert all(widens(a, b) for a, b in good) and not any(widens(a, b) for a, b in bad)
+
+
+def test_source_is_evaluated_once(spark, db):
+    name = f"{db}.ft"
+    save_features(spark, name, _df(spark, [("1", 1.0, "x")]), "k")
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    source = _df(spark, [(str(i), 1.0, "y") for i in range(20)]).mapInArrow(count, SCHEMA)
+    write_feature_table(spark, name, source)
+    assert seen.value == 20 and spark.table(name).count() == 20
+
+
+def test_staged_merge_shuffles_neither_side(spark, db):
+    """Table and staged source are bucketed alike: the anti join reads both in place."""
+    from larder.operators.feature_table import _drop_entry, _open_snapshot, upsert_plan
+    name = f"{db}.ft"
+    ft = save_features(spark, name, _df(spark, [(str(i), 1.0, "x") for i in range(50)]), "k", buckets=4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    staged, entry = _open_snapshot(spark, db, spark.table(name).schema, ft, ft.location)
+    try:
+        plan = upsert_plan(spark.table(name), staged, ["k"])._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "LeftAnti" in plan
+    finally:
+        _drop_entry(spark, entry)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_automatic_buckets_follow_the_bytes(spark, db, monkeypatch):
+    from larder.operators import feature_table as ft_module
+    monkeypatch.setattr(ft_module, "BUCKET_BYTES", 2000)
+    monkeypatch.setattr(ft_module, "MIN_BUCKETS", 2)
+    name = f"{db}.ft"
+    rows = [(str(i), float(i), f"value {i * 7919}") for i in range(4000)]
+    small = save_features(spark, name, _df(spark, rows[:5]), "k", "some text")
+    assert small.buckets == 2
+    grown = write_feature_table(spark, name, _df(spark, rows))
+    assert grown.buckets >= 8 and grown.auto_buckets and grown.description == "some text" and grown.rows == 4000
+    desc = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    assert desc.get("Num Buckets") == str(grown.buckets)
+    assert _rows(spark, name) == {k: (a, b) for k, a, b in rows}
+    again = write_feature_table(spark, name, _df(spark, [("new", 1.0, "n")]))
+    assert again.buckets >= grown.buckets and spark.table(name).count() == 4001
+    less = write_feature_table(spark, name, _df(spark, rows[:5]), mode="overwrite")
+    assert less.buckets < grown.buckets and spark.table(name).count() == 5
+    fixed = save_features(spark, f"{db}.fixed", _df(spark, rows), "k", buckets=3)
+    assert fixed.buckets == 3
+
+
+def test_failed_write_leaves_nothing_behind(spark, db):
+    from larder.sources.storage import list_children
+    name = f"{db}.ft"
+    ft = save_features(spark, name, _df(spark, [("1", 1.0, "x")]), "k")
+    before = sorted(list_children(spark, ft.base))
+    with pytest.raises(ValueError):
+        write_feature_table(spark, name, _df(spark, [("2", 1.0, "x"), ("2", 1.0, "x")]))
+    assert sorted(list_children(spark, ft.base)) == before
+    assert not [t.name for t in spark.catalog.listTables(db) if "stage" in t.name]
+
+
+def test_row_count_of_another_snapshot_is_not_used(spark, db):
+    name = f"{db}.ft"
+    first = save_features(spark, name, _df(spark, [("1", 1.0, "x")]), "k")
+    write_feature_table(spark, name, _df(spark, [("2", 2.0, "y")]))
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{first.location}'")
+    assert get_feature_table(spark, name).rows is None
+
+
+def test_key_names_may_hold_commas(spark, db):
+    df = spark.createDataFrame([("1", "2", 3.0)], "`a,b` string, c string, v double")
+    ft = save_features(spark, f"{db}.odd", df, ["a,b", "c"], buckets=None)
+    assert ft.primary_keys == ("a,b", "c") and spark.table(f"{db}.odd").count() == 1
+
+
+def test_database_keeps_its_catalog(spark):
+    from larder.sources.storage import split_name
+    assert split_name(spark, "cat.db.t") == ("cat.db", "t") and split_name(spark, "db.t") == ("db", "t")
