@@ -18,16 +18,28 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larder.operators.feature_table import get_feature_table, write_feature_table
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
-    """One row per key: the row with the greatest ``order_by`` (partial aggregation, skew-safe)."""
+    """One row per key: the row with the greatest ``order_by`` (partial aggregation, skew-safe).
+
+    A NULL ``order_by`` is older than any value. Ties go to the greatest row by its other
+    columns in order, so a re-run chooses the same row.
+    """
     keys = list(keys)
     others = [c for c in df.columns if c not in keys]
-    best = F.max_by(F.struct(*[F.col(c) for c in others]), F.col(order_by)).alias("__row")
-    return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others])
+    comparable = [c for c in others if c != order_by and not _holds_map(df.schema[c].dataType)]
+    rank = F.struct(F.col(order_by).isNotNull(), F.col(order_by), *[F.col(f"`{c}`") for c in comparable])
+    best = F.max_by(F.struct(*[F.col(f"`{c}`") for c in others]), rank).alias("__row")
+    return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"__row.`{c}`").alias(c) for c in others])
+
+
+def _holds_map(kind: T.DataType) -> bool:
+    """Maps have no order."""
+    return "map<" in kind.simpleString()
 
 
 def upsert_batch_writer(table_name: str, latest_by: str | None = None) -> Callable[[DataFrame, int], None]:

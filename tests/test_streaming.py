@@ -27,3 +27,11 @@ def test_stream_upsert(spark, db):
     got = {r["k"]: r["v"] for r in spark.table(name).collect()}
     assert got == {"a": 2.0, "b": 1.0, "z": 9.0}
     assert spark.table(name).where(F.col("k") == "a").count() == 1
+
+
+def test_latest_per_key_null_order_and_ties(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, "b", None), (2, "c", 5), (3, "x", 7), (3, "y", 7)], "k int, v string, ts int")
+    got = sorted(tuple(r) for r in latest_per_key(df, ["k"], "ts").collect())
+    assert got == [(1, "a", None), (2, "c", 5), (3, "y", 7)]
+    again = sorted(tuple(r) for r in latest_per_key(df.orderBy(F.desc("v")).repartition(3), ["k"], "ts").collect())
+    assert again == got
