@@ -20,13 +20,14 @@ def weighted_prf(predictions: DataFrame, label: str = "label", prediction: str =
     """``(metric, value, value_rounded)`` rows for weighted precision, recall and F1."""
     pairs = predictions.select(F.col(label).cast("double").alias("y"), F.col(prediction).cast("double").alias("p"))
     counts = pairs.groupBy("y", "p").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    support = counts.groupBy(F.col("y").alias("c")).agg(F.sum("n").alias("support"))
-    predicted = counts.groupBy(F.col("p").alias("c")).agg(F.sum("n").alias("predicted"))
-    tp = counts.where(F.col("y") == F.col("p")).select(F.col("y").alias("c"), F.col("n").alias("tp"))
-    per_class = (support.join(predicted, "c", "left").join(tp, "c", "left")
-                 .select("c", "support",
-                         F.coalesce("predicted", F.lit(0.0)).alias("predicted"),
-                         F.coalesce("tp", F.lit(0.0)).alias("tp")))
+    # each (label, prediction) count adds to the label's support and to the predicted class; one pass over the input
+    none = F.lit(0.0)
+    sides = counts.select(F.explode(F.array(
+        F.struct(F.col("y").alias("c"), F.col("n").alias("support"), none.alias("predicted"),
+                 F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(none).alias("tp")),
+        F.struct(F.col("p").alias("c"), none.alias("support"), F.col("n").alias("predicted"), none.alias("tp")))).alias("s"))
+    per_class = (sides.select("s.*").groupBy("c")
+                 .agg(*[F.sum(x).alias(x) for x in ("support", "predicted", "tp")]).where("support > 0"))
     prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(F.lit(0.0))
     rec = F.col("tp") / F.col("support")
     per_class = per_class.select("c", "support", prec.alias("precision"), rec.alias("recall"))

@@ -67,32 +67,45 @@ def build_pipeline(categorical: Sequence[str], numeric: Sequence[str], binary: S
     return Pipeline(stages=stages)
 
 
-def fit_pipeline(pipeline: Pipeline, df: DataFrame, categorical: Sequence[str] = ()) -> PipelineModel:
+def fit_pipeline(pipeline: Pipeline, df: DataFrame, categorical: Sequence[str] = (),
+                 max_categories: int | None = None) -> PipelineModel:
     """Fit with the input persisted (memory, spilling to disk) for the duration of the fit.
 
     Every stage reads its input once (indexer, imputer, the assembler's size
     probe, split finding, boosting), so without this the joins that built the
-    training frame would run once per stage.  ``categorical`` columns are
-    checked first: their vocabularies end up in the model.
+    training frame would run once per stage. An input that its owner has persisted
+    already is used as it is. ``max_categories`` limits the vocabularies of the
+    ``categorical`` columns, which MLlib keeps in the model (``None``: no limit).
     """
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    held = df.storageLevel.useMemory or df.storageLevel.useDisk
+    cached = df if held else df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        check_cardinality(cached, categorical)
+        check_cardinality(cached, categorical, max_categories)
         return pipeline.fit(cached)
     finally:
-        cached.unpersist()
+        if not held:
+            cached.unpersist()
 
 
 def fit_and_evaluate(pipeline: Pipeline, train: DataFrame, test: DataFrame, label: str,
-                     decimals: int = 2, categorical: Sequence[str] = ()) -> tuple[PipelineModel, DataFrame]:
-    """Fit on ``train``; return the model and ``(part, metric, value, value_rounded)`` for both parts."""
-    model = fit_pipeline(pipeline, train, categorical)
-    parts = []
-    for name, frame in (("training", train), ("testing", test)):
-        m = weighted_prf(model.transform(frame), label=label, decimals=decimals)
-        parts.append(m.select(F.lit(name).alias("part"), "*"))
-    metrics = parts[0].unionByName(parts[1])
-    return model, metrics
+                     decimals: int = 2, categorical: Sequence[str] = (),
+                     max_categories: int | None = None) -> tuple[PipelineModel, DataFrame]:
+    """Fit on ``train``; return the model and ``(part, metric, value, value_rounded)`` for both parts.
+
+    Both parts are persisted over fit and evaluation, and the six metric rows are
+    computed before they are released.
+    """
+    spark, parts = train.sparkSession, {"training": train, "testing": test}
+    parts = {n: df.persist(StorageLevel.MEMORY_AND_DISK) for n, df in parts.items()}
+    try:
+        model = fit_pipeline(pipeline, parts["training"], categorical, max_categories)
+        measured = [weighted_prf(model.transform(df), label=label, decimals=decimals).select(F.lit(n).alias("part"), "*")
+                    for n, df in parts.items()]
+        both = measured[0].unionByName(measured[1])
+        return model, spark.createDataFrame(both.collect(), both.schema)     # six rows
+    finally:
+        for df in parts.values():
+            df.unpersist()
 
 
 @dataclass(frozen=True)
@@ -141,7 +154,7 @@ def feature_columns(df: DataFrame, exclude: Sequence[str]) -> list[str]:
 
 def train_and_save(spark: SparkSession, training_set: TrainingSet, path: str, split_key: str,
                    categorical: Sequence[str], numeric: Sequence[str], binary: Sequence[str],
-                   **gbt_params) -> tuple[str, DataFrame]:
+                   max_categories: int | None = None, **gbt_params) -> tuple[str, DataFrame]:
     """The whole training workflow on the cluster.
 
     Split the training set by ``split_key`` (25 % test), fit on the training
@@ -158,8 +171,12 @@ def train_and_save(spark: SparkSession, training_set: TrainingSet, path: str, sp
     if unknown:
         raise ValueError(f"columns {unknown} are not in the training set")
     pipeline = build_pipeline(categorical, numeric, binary, label, **gbt_params)
-    train, test = split_train_test(data, split_key)
-    _, metrics = fit_and_evaluate(pipeline, train, test, label, categorical=categorical)
-    metrics = spark.createDataFrame(metrics.collect(), metrics.schema)   # six rows
-    final = fit_pipeline(pipeline, data, categorical)
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)       # the joins run once for all three fits and evaluations
+    try:
+        train, test = split_train_test(data, split_key)
+        _, metrics = fit_and_evaluate(pipeline, train, test, label, categorical=categorical,
+                                      max_categories=max_categories)
+        final = fit_pipeline(pipeline, data, categorical, max_categories)
+    finally:
+        data.unpersist()
     return save_bundle(spark, final, path, training_set), metrics

@@ -1,8 +1,8 @@
 """Model preparation on DataFrames: id limit, hash split, imputers, vocabularies, one-hot.
 
 All fitted state (fill values, vocabularies) is computed by distributed
-aggregates; only the fitted values (one per column, or one per category)
-reach the driver, as in any MLlib estimator.
+aggregates. What MLlib estimators fit (one value per column, or per category)
+reaches the driver; ``vocabulary`` gives the categories as a table instead.
 """
 
 from __future__ import annotations
@@ -12,15 +12,11 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions.columns import MISSING
-
-# Largest vocabulary a categorical column may have.  Fitted vocabularies are
-# collected to the driver and shipped inside the model, so their size must be
-# bounded; ``check_cardinality`` proves the bound before a fit.
-MAX_CATEGORIES = 100_000
+from larder.session import scratch_path
 
 # The split rule.  A row is in the test part when the first eight
 # hex digits of md5("<seed>:<key>") are below 0x40000000, i.e. 25 % of rows.
@@ -28,6 +24,13 @@ SPLIT_SEED = 123
 TEST_SHARE = 0.25
 
 
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back."""
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def take_ids(df: DataFrame, key: str | Sequence[str], n: int) -> DataFrame:
     """The first ``n`` rows by key (a repeatable ``limit``); runs as a top-k, not a sort."""
     keys = [key] if isinstance(key, str) else list(key)
@@ -40,9 +43,11 @@ def split_is_test(key: str | Column, seed: int = SPLIT_SEED, test_share: float =
     The rule reads only the row's key, so it gives the same parts however the
     data is partitioned, re-read or retried, unlike ``randomSplit``.
     """
+    if not 0.0 <= test_share <= 1.0:
+        raise ValueError(f"test_share must lie between 0 and 1, got {test_share}")
     k = F.col(key) if isinstance(key, str) else key
-    bound = f"{int(test_share * 0x100000000):08x}"
-    digest = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), k.cast("string"))), 1, 8)
+    bound = int(test_share * 0x100000000)
+    digest = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), k.cast("string"))), 1, 8), 16, 10).cast("bigint")
     # a NULL key has no digest; such rows go to the training part, so the two
     # parts always cover every row
     return F.coalesce(digest < F.lit(bound), F.lit(False))
@@ -54,15 +59,15 @@ def split_train_test(df: DataFrame, key: str, seed: int = SPLIT_SEED,
     return df.where(~cond), df.where(cond)
 
 
-def check_cardinality(df: DataFrame, columns: Sequence[str], max_categories: int = MAX_CATEGORIES) -> None:
-    """Raise ``ValueError`` if a column has (approximately) more distinct values than allowed.
+def check_cardinality(df: DataFrame, columns: Sequence[str], max_categories: int | None) -> None:
+    """Raise ``ValueError`` if a column has more distinct values than ``max_categories`` (exact count).
 
-    One aggregate with a HyperLogLog sketch per column: fixed memory per task,
-    nothing but one number per column reaches the driver.
+    MLlib keeps a fitted vocabulary on the driver and ships it inside the model. Whoever
+    fits decides how much of that is wanted: ``None`` sets no limit. One aggregate.
     """
-    if not columns:
+    if not columns or max_categories is None:
         return
-    row = df.agg(*[F.approx_count_distinct(F.col(c), 0.05).alias(c) for c in columns]).first()
+    row = df.agg(*[F.count_distinct(F.col(c)).alias(c) for c in columns]).first()
     wide = {c: row[c] for c in columns if row[c] > max_categories}
     if wide:
         raise ValueError(f"too many categories to encode (limit {max_categories}): {wide}")
@@ -98,9 +103,9 @@ def one_hot(columns: Sequence[str], suffix: str = "__vec") -> OneHotEncoder:
                          dropLast=True, handleInvalid="keep")
 
 
-def fit_one_hot(df: DataFrame, columns: Sequence[str]) -> PipelineModel:
-    """Fill, index and encode ``columns``; fitted on ``df``."""
-    check_cardinality(df, columns)
+def fit_one_hot(df: DataFrame, columns: Sequence[str], max_categories: int | None = None) -> PipelineModel:
+    """Fill, index and encode ``columns``; fitted on ``df``. See ``check_cardinality`` for the optional limit."""
+    check_cardinality(df, columns, max_categories)
     filled = [f"{c}__filled" for c in columns]
     idx = [f"{c}__idx" for c in filled]
     stages = [fill_missing_sql(columns, []), category_indexer(filled), one_hot(idx)]
@@ -120,21 +125,22 @@ def one_hot_columns(model: PipelineModel, df: DataFrame, columns: Sequence[str],
 
 
 def vocabulary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(column_name, category, category_index)`` for each column's fitted vocabulary.
+    """``(column_name, category, category_index)``: the distinct values of each column, numbered in order.
 
-    The distinct values are found on the executors and indexed by the fitted
-    indexer; nothing but the fitted vocabulary passes through the driver.
+    One pass over ``df`` for all columns and no value on the driver, so there is no limit on
+    their number: values are sorted by range, and a value's number is its place in its range
+    plus the sizes of the ranges before (one row per range).
     """
-    check_cardinality(df, columns)
-    model = category_indexer(columns).fit(df)
-    parts = []
-    for c, labels in zip(columns, model.labelsArray):
-        single = StringIndexerModel.from_labels(labels, inputCol=c, outputCol="category_index",
-                                                handleInvalid="keep")
-        distinct = df.select(F.col(c)).where(F.col(c).isNotNull()).distinct()
-        parts.append(single.transform(distinct)
-                     .select(F.lit(c).alias("column_name"), F.col(c).alias("category"), "category_index"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(n).alias("slot"), F.lit(c).alias("column_name"),
+                                                   F.col(c).cast("string").alias("category"))
+                                          for n, c in enumerate(columns)])).alias("p")).select("p.*")
+    distinct = pairs.where(F.col("category").isNotNull()).distinct()
+    ranged = distinct.repartitionByRange("slot", "category").sortWithinPartitions("slot", "category")
+    placed = written(ranged.select("*", F.monotonically_increasing_id().alias("place")), "vocabulary")
+    part = F.shiftright("place", 33)
+    before = Window.partitionBy("slot").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (placed.groupBy("slot", part.alias("part")).agg(F.min("place").alias("low"), F.count(F.lit(1)).alias("n"))
+              .withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0))))
+    return (placed.withColumn("part", part).join(starts, ["slot", "part"])
+            .select("column_name", "category", (F.col("offset") + F.col("place") - F.col("low")).cast("double")
+                    .alias("category_index")))

@@ -23,7 +23,7 @@ def doc_text_features(documents: DataFrame) -> DataFrame:
     first = documents.select(
         "doc_id",
         letters_token("text").alias("first_word"),
-        F.size(F.split("text", "\n")).alias("n_lines"),
+        (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).alias("n_lines"),
         null_if_empty(F.regexp_extract("text", DIGITS_PATTERN, 1)).alias("digits"),
         F.round(F.col("n_chars") / F.lit(100.0), 0).alias("size_rounded"),
     )

@@ -25,3 +25,10 @@ def test_rounded_column(spark):
     rows = {r["metric"]: (r["value"], r["value_rounded"]) for r in weighted_prf(df).collect()}
     for v, r in rows.values():
         assert r == round(v, 2)
+
+
+def test_metrics_read_their_input_once(spark):
+    from larder.operators.evaluate import weighted_prf
+    df = spark.range(100).selectExpr("id % 3 AS label", "id % 2 AS prediction")
+    plan = weighted_prf(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[-1].count("Range (") == 1

@@ -2,6 +2,7 @@
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from larder.operators.prepare import (
@@ -92,3 +93,30 @@ def test_split_null_key_goes_to_training(spark):
     train, test = split_train_test(df, "k")
     assert train.count() + test.count() == 3
     assert train.where(F.col("k").isNull()).count() == 1
+
+
+def test_split_shares_at_the_ends(spark):
+    df = spark.range(10_000).withColumnRenamed("id", "k")
+    for share, rows in ((0.0, 0), (1.0, 10_000)):
+        train, test = split_train_test(df, "k", test_share=share)
+        assert test.count() == rows and train.count() == 10_000 - rows
+    with pytest.raises(ValueError, match="test_share"):
+        split_train_test(df, "k", test_share=1.5)
+
+
+def test_vocabulary_reads_its_input_once_and_collects_nothing(spark):
+    from larder.operators.prepare import vocabulary
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    df = spark.createDataFrame([(f"a{i % 700:04d}", str(i % 3), None) for i in range(3000)], "x string, y string, z string")
+    out = vocabulary(df.mapInArrow(count, df.schema), ["x", "y", "z"]).collect()
+    assert seen.value in (3000, 6000)            # once, and once more for the sample of the range sort
+    by_col = {}
+    for r in out:
+        by_col.setdefault(r["column_name"], []).append((r["category_index"], r["category"]))
+    assert sorted(by_col["x"]) == [(float(i), f"a{i:04d}") for i in range(700)]
+    assert sorted(by_col["y"]) == [(0.0, "0"), (1.0, "1"), (2.0, "2")] and "z" not in by_col
