@@ -47,8 +47,9 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder all executors and the driver can reach, for snapshots and staging.
 
     The cluster names it in ``spark.checkpoint.dir``; that setting is read from
-    the session.  Only when it is unset (local runs, tests) a private temporary
-    folder is created and registered as the checkpoint folder.
+    the session.  Only when it is unset on a local master (local runs, tests) a private
+    temporary folder is created and registered as the checkpoint folder; on a cluster
+    that folder would differ from machine to machine, so a missing setting raises.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
@@ -58,6 +59,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="larder-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
