@@ -1,7 +1,7 @@
 """DuckDB SQL equivalents of the registered queries (views named like the driver tables).
 
-The three model queries have no SQL form and are absent here; the driver then
-checks their row counts only.
+The model queries fit a label that is an exact function of one feature, so SQL states
+the metrics and predictions that a right fit, save, load and lookup must give.
 """
 
 from __future__ import annotations
@@ -52,12 +52,14 @@ DEMOGRAPHIC = r"""
     SELECT *, CASE WHEN NameSecondary IS NOT NULL THEN '1' ELSE '0' END AS NameMultiple FROM names_b)"""
 
 PENDING = r"""
-  large AS (
-    SELECT o_custkey AS c_custkey, o_orderkey, o_orderpriority, o_totalprice
-    FROM orders WHERE o_orderstatus = 'P' AND o_totalprice > 400000.0),
   pending AS (
-    SELECT c.c_custkey, l.o_orderkey, l.o_orderpriority, l.o_totalprice
-    FROM customer c LEFT JOIN large l ON c.c_custkey = l.c_custkey)"""
+    SELECT o_custkey AS c_custkey, o_orderkey,
+           CASE WHEN o_orderstatus = 'P' AND o_totalprice > 400000.0 THEN o_orderpriority END AS o_orderpriority,
+           CASE WHEN o_orderstatus = 'P' AND o_totalprice > 400000.0 THEN o_totalprice END AS o_totalprice
+    FROM orders)"""
+
+# The label of the model queries, which a fitted model must reproduce exactly.
+HAS_DIGITS = "CASE WHEN regexp_extract(text, '([0-9]{3,})', 1) <> '' THEN 1 ELSE 0 END"
 
 IS_TEST = "substr(md5('123:' || CAST({k} AS VARCHAR)), 1, 8) < '40000000'"
 
@@ -170,14 +172,14 @@ FROM ids LEFT JOIN t ON ids.doc_id = t.doc_id LEFT JOIN m ON ids.doc_id = m.doc_
     "feature_table_create": DOC_META,
     "feature_table_drop": f"""
 WITH m AS ({DOC_META})
-SELECT * FROM m WHERE doc_id IN (SELECT doc_id FROM labels)""",
+SELECT doc_id, lang, upper(source) AS source, source_kind, 1 AS version FROM m""",
     "split_train_test": f"""
 SELECT o_orderkey, CASE WHEN {IS_TEST.format(k='o_orderkey')} THEN 'test' ELSE 'train' END AS part
 FROM orders""",
     "impute_constant": "WITH" + PENDING + r"""
 SELECT c_custkey, o_orderkey,
        coalesce(o_orderpriority, 'missing') AS priority_filled,
-       CAST(coalesce(CASE WHEN o_orderkey IS NOT NULL THEN
+       CAST(coalesce(CASE WHEN o_totalprice IS NOT NULL THEN
                           CASE WHEN o_totalprice > 450000.0 THEN '1' ELSE '0' END END, '0') AS DOUBLE) AS flag_num
 FROM pending""",
     "impute_mode": f"""
@@ -229,4 +231,18 @@ w AS (SELECT sum(support * precision) / sum(support) AS precision,
              sum(support * f1) / sum(support) AS f1
       FROM f)
 """ + _metric_rows(),
+    "gbt_fit_score": f"""
+WITH parts AS (
+  SELECT DISTINCT CASE WHEN {IS_TEST.format(k='doc_id')} THEN 'testing' ELSE 'training' END AS part FROM documents),
+metrics(metric) AS (VALUES ('precision'), ('recall'), ('f1'))
+SELECT part, metric, CAST(1 AS DOUBLE) AS value, CAST(1 AS DOUBLE) AS value_rounded FROM parts, metrics""",
+    "model_bundle": f"""
+SELECT l.doc_id, l.quality, CAST(coalesce({HAS_DIGITS}, 0) AS DOUBLE) AS prediction
+FROM labels l LEFT JOIN documents d ON l.doc_id = d.doc_id""",
+    "score_batch": f"""
+WITH ids AS (SELECT doc_id FROM documents UNION ALL SELECT CAST(-1 AS BIGINT) AS doc_id),
+t AS ({DOC_TEXT}), m AS ({DOC_META})
+SELECT ids.doc_id, t.first_word, t.n_lines, t.digits, t.size_rounded, t.has_digits, m.lang, m.source,
+       CAST(coalesce(t.has_digits, '0') AS DOUBLE) AS prediction
+FROM ids LEFT JOIN t ON ids.doc_id = t.doc_id LEFT JOIN m ON ids.doc_id = m.doc_id""",
 }

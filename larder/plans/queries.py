@@ -26,6 +26,7 @@ from larder.operators.evaluate import weighted_prf
 from larder.operators.feature_table import (
     create_feature_table,
     drop_feature_table,
+    get_feature_table,
     save_features,
     write_feature_table,
 )
@@ -124,12 +125,11 @@ def q_first_char(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _pending_priority(spark: SparkSession, sf: str) -> DataFrame:
-    """Every customer with each of its large pending orders; customers without one keep a NULL priority."""
-    customer = table(spark, sf, "customer").select("c_custkey")
-    large = (table(spark, sf, "orders")
-             .where((F.col("o_orderstatus") == "P") & (F.col("o_totalprice") > LARGE_ORDER))
-             .select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_orderpriority", "o_totalprice"))
-    return customer.join(large, "c_custkey", "left")
+    """Every order; the priority is there for large pending orders only (NULL otherwise)."""
+    large = (F.col("o_orderstatus") == "P") & (F.col("o_totalprice") > LARGE_ORDER)
+    return table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("c_custkey"), "o_orderkey", F.when(large, F.col("o_orderpriority")).alias("o_orderpriority"),
+        F.when(large, F.col("o_totalprice")).alias("o_totalprice"))
 
 
 def q_token_count(spark: SparkSession, sf: str) -> DataFrame:
@@ -267,9 +267,10 @@ def q_feature_table_drop(spark: SparkSession, sf: str) -> DataFrame:
     feats = doc_meta_features(table(spark, sf, "documents"))
     save_features(spark, name, feats, "doc_id")
     drop_feature_table(spark, name)
-    labelled = feats.join(table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi")
-    save_features(spark, name, labelled, "doc_id")   # re-created: only labelled documents
-    return spark.table(name)
+    # re-created with other values: had the table not been dropped, a merge would keep the description and version
+    save_features(spark, name, feats.withColumn("source", F.upper("source")), "doc_id", mode="overwrite")
+    version = get_feature_table(spark, name).version            # 1: a new table's first load
+    return spark.table(name).withColumn("version", F.lit(version))
 
 
 # ---------------------------------------------------------------- model preparation
@@ -281,7 +282,7 @@ def q_split_train_test(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_impute_constant(spark: SparkSession, sf: str) -> DataFrame:
     rows = _pending_priority(spark, sf)
-    flag = F.when(F.col("o_orderkey").isNotNull(),
+    flag = F.when(F.col("o_totalprice").isNotNull(),
                   F.when(F.col("o_totalprice") > F.lit(450000.0), "1").otherwise("0"))
     return rows.select("c_custkey", "o_orderkey",
                        fill_constant("o_orderpriority").alias("priority_filled"),
@@ -336,29 +337,34 @@ NUMERIC = ("n_lines", "size_rounded")
 BINARY = ("has_digits",)
 
 
+# The label of the model queries is an exact function of one feature (whether the text has a run of
+# digits), so the right prediction of every row is known and SQL can state it.
+LABEL = "digits_label"
+
+
 def _doc_training(spark: SparkSession, sf: str, purpose: str):
     text_t, meta_t = _document_tables(spark, sf, purpose)
-    labels = table(spark, sf, "labels").select("doc_id", "quality")
-    return create_training_set(spark, labels, _document_lookups(text_t, meta_t), label="quality",
-                               exclude_columns=[])
+    labels = table(spark, sf, "documents").select(
+        "doc_id", F.when(F.regexp_extract("text", DIGITS_PATTERN, 1) != "", 1).otherwise(0).alias(LABEL))
+    return create_training_set(spark, labels, _document_lookups(text_t, meta_t), label=LABEL, exclude_columns=[])
 
 
 def q_gbt_fit_score(spark: SparkSession, sf: str) -> DataFrame:
     ts = _doc_training(spark, sf, "gbt")
-    data = ts.load_df()
-    train, test = split_train_test(data, "doc_id")
-    _, metrics = fit_and_evaluate(build_pipeline(CATEGORICAL, NUMERIC, BINARY, "quality"), train, test, "quality",
+    train, test = split_train_test(ts.load_df(), "doc_id")
+    _, metrics = fit_and_evaluate(build_pipeline(CATEGORICAL, NUMERIC, BINARY, LABEL), train, test, LABEL,
                                   categorical=CATEGORICAL)
     return metrics
 
 
 def _bundle(spark: SparkSession, sf: str, purpose: str) -> str:
     ts = _doc_training(spark, sf, purpose)
-    model = fit_pipeline(build_pipeline(CATEGORICAL, NUMERIC, BINARY, "quality"), ts.load_df(), CATEGORICAL)
+    model = fit_pipeline(build_pipeline(CATEGORICAL, NUMERIC, BINARY, LABEL), ts.load_df(), CATEGORICAL)
     return save_bundle(spark, model, scratch_path(spark, f"bundle-{purpose}"), ts)
 
 
 def q_model_bundle(spark: SparkSession, sf: str) -> DataFrame:
+    """Fit, save, load, and score every labelled id by its id alone."""
     path = _bundle(spark, sf, "bundle")
     bundle = load_bundle(spark, path)
     ids = table(spark, sf, "labels").select("doc_id", "quality")
@@ -366,6 +372,7 @@ def q_model_bundle(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_score_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """Score every document and one unknown id, whose features are NULL."""
     path = _bundle(spark, sf, "score")
     ids = table(spark, sf, "documents").select("doc_id")
     ids = ids.unionByName(spark.range(1).select(F.lit(UNKNOWN_ID).cast("bigint").alias("doc_id")))

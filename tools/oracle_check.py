@@ -10,7 +10,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from larder.plans.check import compare, duck  # noqa: E402
+from tools.check import compare, duck  # noqa: E402
 from larder.plans.queries import QUERIES  # noqa: E402
 
 
