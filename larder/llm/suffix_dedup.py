@@ -6,21 +6,26 @@ judged on the input.
 
 1. *Blocks.* The suffixes (all positions with ``length`` bytes after them) of a
    document are cut into runs that share the smallest hash among their inner
-   12-byte strings. Equal suffixes have equal smallest hashes, so dealing the runs
+   24-byte strings. Equal suffixes have equal smallest hashes, so dealing the runs
    to buckets by that hash brings all suffixes that tie on ``length`` bytes into
-   one bucket. A run is stored once as its bytes, about 3.5 bytes per suffix, and
+   one bucket. A run is stored once as its bytes, about 4.5 bytes per suffix, and
    a task packs its runs per bucket and compresses them.
-2. *Pre-aggregation.* Of equal runs within a unit of text only those of the
+2. *Filter.* A first pass sends only the hashes of the runs, sorted and packed, and
+   finds those that occur in two documents. They set bits in a filter of at most
+   ``filter_bytes``; runs that it does not pass have no tie and stay where they are.
+   A fuller filter passes more runs, which costs shuffle but no result.
+3. *Pre-aggregation.* Of equal runs within a unit of text only those of the
    smallest document travel; the others are settled at once (a run whose bytes
    also stand in a smaller document is repeated as a whole). Runs seen repeated
    are remembered by the task, so a passage in every document reaches a bucket
    about once per task.
-3. *Sorting.* A task sorts one bucket at a time (``bucket_bytes`` each; buckets
-   grow in number, not in size): equal runs are merged, and the suffixes of runs
+4. *Sorting.* A task sorts one bucket at a time (about ``bucket_bytes`` of text to a
+   bucket; buckets grow in number, not in size): equal runs are merged, and the suffixes of runs
    that share their smallest hash with another run are sorted by difference cover
    (``suffix_sort``), which gives for each the smallest document that has it.
-4. *Removal.* The repeated ranges of a document come together by id and are cut
-   out of its text.
+5. *Removal.* The repeated ranges, packed for many documents at a time, and the
+   documents are dealt to the same blocks, where the ranges are cut out of the texts.
+   Texts are shuffled once.
 
 Nulls, edges: a NULL text is empty. Documents shorter than ``length`` are never
 touched. Rows with a NULL id come after all others (they remove nothing from rows
@@ -40,10 +45,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import input_bytes, mix64, partitions_for, sliding_min, utf8_column
+from larder.llm.common import input_bytes, mix64, packed, partitions_for, sliding_min, unused_name, utf8_column
 from larder.llm.suffix_sort import lowest_owner
 
-GRAM = 12
+GRAM = 24
 _UNIT = 4 << 20             # bytes of text cut into runs at a time
 _REMEMBERED = 100_000       # repeated runs a task keeps (for pre-aggregation only)
 _LAST = (1 << 63) - 1
@@ -53,15 +58,21 @@ _LAST = (1 << 63) - 1
 class DedupParams:
     length: int = 50
     bucket_bytes: int = 24 << 20
+    filter_bytes: int = 48 << 20
 
 
 def gram_hashes(text: np.ndarray) -> np.ndarray:
     """Hash of the ``GRAM`` bytes at each position."""
     n = len(text) - GRAM + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
+    return gram_hash(text, slice(0, n), lambda at, j: slice(j, j + n)) if n > 0 else np.zeros(0, np.uint64)
+
+
+def gram_hash(text: np.ndarray, at, moved=lambda at, j: at + j) -> np.ndarray:
+    """Hash of the three 8-byte words of the grams at ``at`` (positions or a slice)."""
     view = np.ndarray((len(text) - 7,), "<u8", text, 0, (1,))
-    return mix64(view[:n] * np.uint64(0x9E3779B97F4A7C15) ^ view[GRAM - 8:GRAM - 8 + n])
+    out = view[at] * np.uint64(0x9E3779B97F4A7C15)
+    out = (out ^ (out >> np.uint64(29)) ^ view[moved(at, 8)]) * np.uint64(0xBF58476D1CE4E5B9)
+    return mix64(out ^ (out >> np.uint64(32)) ^ view[moved(at, 16)])
 
 
 @dataclass
@@ -73,6 +84,9 @@ class Runs:
     place: np.ndarray
     value: np.ndarray
 
+    def where(self, keep: np.ndarray) -> Runs:
+        return Runs(*(getattr(self, f)[keep] for f in ("piece", "start", "count", "place", "value")))
+
 
 def cut_runs(text: np.ndarray, offsets: np.ndarray, length: int) -> Runs:
     """Runs of the pieces ``text[offsets[i]:offsets[i + 1]]``; positions are within ``text``."""
@@ -164,12 +178,12 @@ def unpack(payload: bytes, open_: zstandard.ZstdDecompressor) -> tuple[np.ndarra
     data = open_.decompress(payload)
     n_docs, n = np.frombuffer(data, np.int64, 2)
     at, out = 16, []
-    for kind, count in ((np.int64, 2 * n_docs), (np.uint32, n), (np.uint64, n), (np.uint32, n), (np.uint16, n)):
+    for kind, count in ((np.int64, 3 * n_docs), (np.uint32, n), (np.uint64, n), (np.uint32, n), (np.uint16, n)):
         out.append(np.frombuffer(data, kind, count, at))
         at += int(count) * np.dtype(kind).itemsize
     out.append(np.frombuffer(data, np.uint8, -1, at))
     docs, local, begin, size, place, raw = out
-    return (docs.reshape(-1, 2)[local], begin.astype(np.int64), size.astype(np.int64), place.astype(np.int64), raw)
+    return (docs.reshape(-1, 3)[local], begin.astype(np.int64), size.astype(np.int64), place.astype(np.int64), raw)
 
 
 def merged(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -183,14 +197,33 @@ def merged(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.stack([b[first], e[np.append(first[1:], len(b)) - 1]], axis=1)
 
 
-def ranges_by_document(keys: np.ndarray, begin: np.ndarray, end: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
-    """Merged ranges of each (id, text hash) key."""
-    order = np.lexsort((begin, keys[:, 1], keys[:, 0]))
-    k, b, e = keys[order], begin[order], end[order]
-    cuts = np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1
-    bounds = [0, *cuts.tolist(), len(k)]
-    for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
-        yield int(k[lo, 0]), int(k[lo, 1]), merged(b[lo:hi], e[lo:hi]).tobytes()
+Found = tuple[np.ndarray, np.ndarray, np.ndarray]       # keys (id, text hash, block), begins, ends
+
+
+def pack_ranges(found: list[Found], squeeze: zstandard.ZstdCompressor) -> list[tuple[int, bytes]]:
+    """(block, payload) rows of ranges: each payload has the ranges of many documents, by document."""
+    keys, begin, end = (np.concatenate([f[i] for f in found]) for i in range(3))
+    order = np.lexsort((begin, keys[:, 1], keys[:, 0], keys[:, 2]))
+    keys, begin, end = keys[order], begin[order], end[order]
+    rows = []
+    for block, (lo, hi) in zip(*parts_of(keys[:, 2]), strict=True) if len(keys) else ():
+        part = np.stack([keys[lo:hi, 0], keys[lo:hi, 1], begin[lo:hi], end[lo:hi]])
+        rows.append((block, squeeze.compress(part.tobytes())))
+    return rows
+
+
+def unpack_ranges(payloads: list[bytes]) -> dict[tuple[int, int], np.ndarray]:
+    """Merged ranges by (id, text hash)."""
+    open_ = zstandard.ZstdDecompressor()
+    parts = [np.frombuffer(open_.decompress(p), np.int64).reshape(4, -1) for p in payloads]
+    if not parts:
+        return {}
+    at, fp, begin, end = np.concatenate(parts, axis=1)
+    order = np.lexsort((begin, fp, at))
+    at, fp, begin, end = at[order], fp[order], begin[order], end[order]
+    first = [0, *(np.flatnonzero((at[1:] != at[:-1]) | (fp[1:] != fp[:-1])) + 1).tolist()]
+    return {(int(at[lo]), int(fp[lo])): merged(begin[lo:hi], end[lo:hi])
+            for lo, hi in zip(first, [*first[1:], len(at)], strict=True)}
 
 
 def repeated_in_bucket(payloads: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -202,16 +235,14 @@ def repeated_in_bucket(payloads: list[bytes], length: int) -> tuple[np.ndarray,
     start = np.cumsum(size) - size
     owner = keys[:, 0]
     # runs whose smallest hash occurs in two documents at least
-    view = np.ndarray((len(raw) - 7,), "<u8", raw, 0, (1,))
-    at = start + place
-    value = mix64(view[at] * np.uint64(0x9E3779B97F4A7C15) ^ view[at + GRAM - 8])
+    value = gram_hash(raw, start + place)
     order = np.argsort(value, kind="stable")
     group = np.concatenate([[True], value[order][1:] != value[order][:-1]])
     first = np.flatnonzero(group)
     low, high = np.minimum.reduceat(owner[order], first), np.maximum.reduceat(owner[order], first)
     number = np.cumsum(group) - 1
     shared = np.sort(order[(low < high)[number]])
-    nothing = np.zeros((0, 2), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    nothing = np.zeros((0, 3), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     if not len(shared):
         return nothing
     # equal runs become one text with its smallest owner
@@ -260,96 +291,196 @@ def refined_counts(values: np.ndarray) -> np.ndarray:
     return counts[inverse]
 
 
-RANGES = "__at bigint, __fp bigint, __ranges binary"
-_EMIT = 200_000     # ranges gathered before they are written out
+_EMIT = 500_000         # ranges gathered before they are written out
+_HASHES = 2_000_000     # run hashes gathered before they are written out
+_BITS = 32              # filter bits per shared hash, while they fit
 
 
-def repeated_ranges(docs: DataFrame, params: DedupParams) -> DataFrame:
-    """Rows (__at, __fp, __ranges): parts of the repeated ranges of documents (columns __at, __fp, text)."""
-    length = params.length
-    if length < 29:
-        raise ValueError("length must be at least 29")
-    n_bytes = input_bytes(docs, "text")
-    n_parts = partitions_for(docs.sparkSession, n_bytes)
-    n_buckets = max(4 * n_parts, -(-n_bytes * 4 // params.bucket_bytes))
+def planes(values: np.ndarray) -> bytes:
+    """Sorted numbers as differences, byte plane by byte plane (high planes compress to nothing)."""
+    steps = np.diff(values, prepend=np.uint64(0))
+    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+    return np.cumsum(steps, dtype=np.uint64)
 
-    def table_of(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
-        columns = list(zip(*rows, strict=True)) if rows else [()] * 4
-        return pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64()),
-             pa.array(columns[3], pa.binary())], names=["bucket", "__at", "__fp", "__ranges"])
+
+@dataclass
+class HashFilter:
+    """Bit arrays of the shared run hashes, one slice per part of the hashes."""
+    bits: np.ndarray
+    start: np.ndarray
+    size: np.ndarray
+
+    def passes(self, values: np.ndarray) -> np.ndarray:
+        part, rest = split_hash(values, len(self.size))
+        size = self.size[part]
+        at = self.start[part] + (mix64(rest) % np.maximum(size, 1).astype(np.uint64)).astype(np.int64)
+        return (size > 0) & (self.bits[np.minimum(at >> 3, len(self.bits) - 1)] >> (at & 7).astype(np.uint8) & 1 > 0)
+
+
+def split_hash(values: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    short = values >> np.uint64(16)
+    return (short % np.uint64(parts)).astype(np.int64), short // np.uint64(parts)
+
+
+def runs_of(batch: pa.RecordBatch, length: int):
+    """(ids of rows, document, begin, bytes, bounds, runs) for each unit of a batch (__at, __fp, __blk, text)."""
+    text, offsets = utf8_column(batch, "text")
+    ids = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)], axis=1).astype(np.int64)
+    for doc, begin, piece, bounds in units(text, offsets, length):
+        runs = cut_runs(piece, bounds, length)
+        if len(runs.start):
+            yield ids, doc, begin, piece, bounds, runs
+
+
+def shared_hashes(docs: DataFrame, length: int, parts: int, filter_bytes: int) -> HashFilter:
+    """Filter over the run hashes that occur in two documents."""
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=1)
+        hashes, owners = [], []
+
+        def packed() -> pa.RecordBatch:
+            value, owner = np.concatenate(hashes), np.concatenate(owners)
+            hashes.clear()
+            owners.clear()
+            part, rest = split_hash(value, parts)
+            order = np.lexsort((rest, part))
+            part, rest, owner = part[order], rest[order], owner[order]
+            first = np.flatnonzero(np.concatenate([[True], (rest[1:] != rest[:-1]) | (part[1:] != part[:-1])]))
+            several = np.minimum.reduceat(owner, first) < np.maximum.reduceat(owner, first)
+            part, rest = part[first], rest[first]
+            rows = []
+            for p, (lo, hi) in zip(*parts_of(part), strict=True):
+                rows.append((p, squeeze.compress(planes(rest[lo:hi])), np.packbits(several[lo:hi]).tobytes()))
+            columns = list(zip(*rows, strict=True))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.binary())],
+                names=["part", "hashes", "several"])
+
+        for batch in batches:
+            for ids, doc, _, _, _, runs in runs_of(batch, length):
+                hashes.append(runs.value)
+                owners.append(ids[doc[runs.piece], 0])
+                if sum(map(len, hashes)) > _HASHES:
+                    yield packed()
+        if hashes:
+            yield packed()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_ = zstandard.ZstdDecompressor()
+        current, held = None, []
+
+        def bitmap() -> pa.RecordBatch:
+            value = np.concatenate([h for h, _ in held])
+            known = np.concatenate([k for _, k in held])
+            held.clear()
+            order = np.argsort(value)
+            value, known = value[order], known[order]
+            again = np.concatenate([value[1:] == value[:-1], [False]])
+            shared = np.unique(value[again | known])
+            n_bytes = min(filter_bytes // parts, -(-len(shared) * _BITS // 8))
+            bits = np.zeros(n_bytes * 8, bool)
+            if n_bytes:
+                bits[(mix64(shared) % np.uint64(len(bits))).astype(np.int64)] = True
+            return pa.RecordBatch.from_arrays(
+                [pa.array([current], pa.int32()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())],
+                names=["part", "bits"])
+
+        for batch in batches:
+            for part, hashes, several in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if held and part != current:
+                    yield bitmap()
+                current = part
+                value = from_planes(open_.decompress(hashes))
+                held.append((value, np.unpackbits(np.frombuffer(several, np.uint8), count=len(value)).astype(bool)))
+        if held:
+            yield bitmap()
+
+    rows = (docs.select("__at", "__fp", "__blk", "text").mapInArrow(send, "part int, hashes binary, several binary")
+            .repartition(parts, "part").sortWithinPartitions("part")
+            .mapInArrow(count, "part int, bits binary").collect())         # at most filter_bytes in all
+    slices: list[bytes] = [b""] * parts
+    for row in rows:
+        slices[row["part"]] = bytes(row["bits"])
+    size = np.array([8 * len(x) for x in slices], np.int64)
+    return HashFilter(np.frombuffer(b"".join(slices) or b"\0", np.uint8), np.cumsum(size) - size, size)
+
+
+def parts_of(part: np.ndarray) -> tuple[list[int], list[tuple[int, int]]]:
+    """Numbers and bounds of the stretches of equal values."""
+    first = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist()]
+    return part[first].tolist(), list(zip(first, [*first[1:], len(part)], strict=True))
+
+
+def repeated_ranges(docs: DataFrame, params: DedupParams, n_parts: int, n_bytes: int) -> DataFrame:
+    """Rows (__blk, __payload): packed repeated ranges of documents (columns __at, __fp, __blk, text)."""
+    length = params.length
+    n_buckets = max(4 * n_parts, -(-n_bytes // params.bucket_bytes))
+    shared = docs.sparkSession.sparkContext.broadcast(shared_hashes(docs, length, n_parts, params.filter_bytes))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         remembered = Remembered({}, set())
         squeeze = zstandard.ZstdCompressor(level=3)
+        settled_ranges: list[Found] = []
         for batch in batches:
-            text, offsets = utf8_column(batch, "text")
-            ids = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)], axis=1).astype(np.int64)
-            for doc, begin, piece, bounds in units(text, offsets, length):
-                padded = np.concatenate([piece, np.zeros(8, np.uint8)])
-                runs = cut_runs(piece, bounds, length)
+            for ids, doc, begin, piece, bounds, runs in runs_of(batch, length):
+                runs = runs.where(shared.value.passes(runs.value))
                 if not len(runs.start):
                     continue
+                padded = np.concatenate([piece, np.zeros(8, np.uint8)])
                 size = runs.count + length - 1
                 in_doc = doc[runs.piece]
                 place_in_doc = runs.start - bounds[runs.piece] + begin[runs.piece]
                 settled = runs_equal_to_earlier(padded.tobytes(), runs.start, size, ids[in_doc, 0], remembered)
-                rows = [(-1, *r) for r in ranges_by_document(
-                    ids[in_doc[settled]], place_in_doc[settled], (place_in_doc + size)[settled])] if settled.any() else []
+                settled_ranges.append((ids[in_doc[settled]], place_in_doc[settled], (place_in_doc + size)[settled]))
                 send = np.flatnonzero(~settled)
                 bucket = (mix64(runs.value[send]) % np.uint64(n_buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
-                bounds_of = np.flatnonzero(np.diff(bucket[order])) + 1
-                for part in np.split(send[order], bounds_of):
-                    if len(part):
-                        rows.append((int(mix64(runs.value[part[:1]])[0] % np.uint64(n_buckets)), None, None, pack(
-                            padded, ids, in_doc[part], place_in_doc[part], runs.start[part], size[part],
-                            runs.place[part], squeeze)))
-                yield table_of(rows)
+                rows = []
+                for b, (lo, hi) in zip(*parts_of(bucket[order]), strict=True) if len(send) else ():
+                    part = send[order[lo:hi]]
+                    rows.append((b, pack(padded, ids, in_doc[part], place_in_doc[part], runs.start[part],
+                                         size[part], runs.place[part], squeeze)))
+                yield packed_rows(rows, "bucket")
+                if sum(len(f[1]) for f in settled_ranges) > _EMIT:
+                    yield packed_rows([(-1 - b, p) for b, p in pack_ranges(settled_ranges, squeeze)], "bucket")
+                    settled_ranges.clear()
+        if settled_ranges:
+            yield packed_rows([(-1 - b, p) for b, p in pack_ranges(settled_ranges, squeeze)], "bucket")
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        held, current, payloads = 0, None, []
-
-        def flush() -> list:
-            keys, begin, end = (np.concatenate([f[i] for f in found]) for i in range(3))
-            found.clear()
-            return list(ranges_by_document(keys, begin, end)) if len(keys) else []
-
+        squeeze = zstandard.ZstdCompressor(level=3)
+        found: list[Found] = []
+        current, payloads = None, []
         for batch in batches:
-            for bucket, at, fp, payload in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if bucket < 0:
-                    ranges = np.frombuffer(payload, np.int64).reshape(-1, 2)
-                    found.append((np.tile(np.array([[at, fp]], np.int64), (len(ranges), 1)), ranges[:, 0], ranges[:, 1]))
-                    held += len(ranges)
-                else:
-                    if payloads and bucket != current:
-                        found.append(repeated_in_bucket(payloads, length))
-                        held += len(found[-1][1])
-                        payloads = []
-                    current = bucket
-                    payloads.append(payload)
-                if held > _EMIT:
-                    yield ranges_batch(flush())
-                    held = 0
+            for bucket, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if bucket < 0:                                  # settled already: on to its block
+                    yield packed_rows([(-1 - bucket, payload)], "__blk")
+                    continue
+                if payloads and bucket != current:
+                    found.append(repeated_in_bucket(payloads, length))
+                    payloads = []
+                current = bucket
+                payloads.append(payload)
+                if sum(len(f[1]) for f in found) > _EMIT:
+                    yield packed_rows(pack_ranges(found, squeeze), "__blk")
+                    found.clear()
         if payloads:
             found.append(repeated_in_bucket(payloads, length))
         if found:
-            yield ranges_batch(flush())
+            yield packed_rows(pack_ranges(found, squeeze), "__blk")
 
-    packed = docs.select("__at", "__fp", "text").mapInArrow(cut, "bucket int, " + RANGES)
-    # settled ranges (bucket -1) go to the task of their document
-    dealt = packed.withColumn("__deal", F.when(F.col("bucket") < 0, F.pmod(F.xxhash64("__at", "__fp"), F.lit(n_buckets)))
-                              .otherwise(F.col("bucket")).cast("int"))
-    return (dealt.repartition(n_parts, "__deal").sortWithinPartitions("bucket")
-            .select("bucket", "__at", "__fp", "__ranges").mapInArrow(sort, RANGES))
+    runs = docs.select("__at", "__fp", "__blk", "text").mapInArrow(cut, "bucket int, __payload binary")
+    return (runs.repartition(n_parts, "bucket").sortWithinPartitions("bucket")
+            .mapInArrow(sort, "__blk int, __payload binary"))
 
 
-def ranges_batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [()] * 3
-    return pa.RecordBatch.from_arrays(
-        [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.binary())],
-        names=["__at", "__fp", "__ranges"])
+def packed_rows(rows: list[tuple[int, bytes]], key: str) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())],
+                                      names=[key, "__payload"])
 
 
 def units(text: np.ndarray, offsets: np.ndarray, length: int):
@@ -377,19 +508,55 @@ def units(text: np.ndarray, offsets: np.ndarray, length: int):
 
 
 def with_ranges(docs: DataFrame, params: DedupParams) -> DataFrame:
-    """``docs`` with a column ``__parts``: its repeated ranges as a list of binaries (NULL if none)."""
-    keyed = docs.withColumn("__at", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST))) \
-        .withColumn("__fp", F.xxhash64("text"))
-    ranges = repeated_ranges(keyed, params).groupBy("__at", "__fp").agg(F.collect_list("__ranges").alias("__parts"))
-    return keyed.join(ranges, ["__at", "__fp"], "left").drop("__at", "__fp")
+    """The columns ``text`` and ``__all`` (every column) of ``docs`` with ``__parts``: the row's repeated ranges (NULL if none).
+
+    Documents and packed ranges are dealt to the same blocks by hash of the document key;
+    within a block the ranges come first and then its documents stream past them.
+    """
+    if params.length < 29:
+        raise ValueError("length must be at least 29")
+    n_bytes = input_bytes(docs, "text")
+    n_parts = partitions_for(docs.sparkSession, n_bytes)
+    key = packed(docs, "doc_id", "text").select(
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("__at"), F.xxhash64("text").alias("__fp"),
+        "text", "__all")
+    rows = key.withColumn("__blk", F.pmod(F.xxhash64("__at", "__fp"), F.lit(8 * n_parts)).cast("int"))
+    ranges = repeated_ranges(rows, params, n_parts, n_bytes)
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.select("__at", "__fp", "text", "__all").schema]
+    both = rows.select("__blk", F.lit(1).alias("__kind"), F.lit(None).cast("binary").alias("__payload"),
+                       "__at", "__fp", "text", "__all").unionByName(
+        ranges.select("__blk", F.lit(0).alias("__kind"), "__payload", *empty))
+
+    def attach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, payloads, known = None, [], None
+        for batch in batches:
+            blocks, kinds = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            is_doc = kinds == 1
+            parts: list[bytes | None] = []
+            payload, ids, prints = (batch.column(i) for i in (2, 3, 4))
+            for n in range(batch.num_rows):
+                if blocks[n] != block:
+                    block, payloads, known = blocks[n], [], None
+                if not is_doc[n]:
+                    payloads.append(payload[n].as_py())
+                    continue
+                if known is None:
+                    known = unpack_ranges(payloads)
+                mine = known.get((ids[n].as_py(), prints[n].as_py())) if known else None
+                parts.append(None if mine is None else mine.tobytes())
+            rows_ = batch.filter(pa.array(is_doc))
+            yield pa.RecordBatch.from_arrays([rows_.column(5), rows_.column(6), pa.array(parts, pa.binary())],
+                                             names=["text", "__all", "__parts"])
+
+    schema = rows.select("text", "__all", F.lit(None).cast("binary").alias("__parts")).schema
+    return both.repartition(n_parts, "__blk").sortWithinPartitions("__blk", "__kind").mapInArrow(attach, schema)
 
 
-def kept_bytes(text: bytes, parts: list[bytes] | None) -> tuple[bytes, int, int]:
+def kept_bytes(text: bytes, parts: bytes | None) -> tuple[bytes, int, int]:
     """The text without its repeated ranges, bytes removed, number of removed runs."""
     if not parts:
         return text, 0, 0
-    ranges = np.concatenate([np.frombuffer(p, np.int64).reshape(-1, 2) for p in parts])
-    spans = merged(ranges[:, 0], ranges[:, 1]).tolist()
+    spans = np.frombuffer(parts, np.int64).reshape(-1, 2).tolist()
     kept, at = [], 0
     for b, e in spans:
         kept.append(text[at:b])
@@ -413,7 +580,7 @@ def dedup_report(docs: DataFrame, params: DedupParams = DedupParams()) -> DataFr
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return with_ranges(rows, params).select("doc_id", "text", "__parts").mapInArrow(
+    return with_ranges(rows, params).select("__all.doc_id", "__all.text", "__parts").mapInArrow(
         report, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
 
@@ -425,23 +592,22 @@ def remove_repeats(docs: DataFrame, params: DedupParams = DedupParams()) -> Data
     All other columns stay.
     """
     columns = docs.columns
-    at = columns.index("text")
+    at, parts_name = columns.index("text"), unused_name(columns, "parts")
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            named = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            texts = named["text"].to_pylist()
+            out = batch.columns[:-1]
+            texts = out[at].to_pylist()
             keep = []
-            for n, parts in enumerate(named["__parts"].to_pylist()):
+            for n, parts in enumerate(batch.columns[-1].to_pylist()):
                 if parts:
                     kept, _, _ = kept_bytes(texts[n].encode(), parts)
                     texts[n] = kept.decode("utf-8", "ignore")
                 keep.append(not parts or bool(texts[n]))
-            out = [named[c] for c in columns]
             out[at] = pa.array(texts, out[at].type)
             yield pa.RecordBatch.from_arrays(out, names=columns).filter(pa.array(keep, pa.bool_()))
 
-    done = with_ranges(docs, params).select(*columns, "__parts").mapInArrow(strip, docs.schema)
+    done = with_ranges(docs, params).select("__all.*", F.col("__parts").alias(parts_name)).mapInArrow(strip, docs.schema)
     if "n_chars" in columns:
         done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return done
