@@ -15,8 +15,8 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     of that label, so chains shorten by more than half a round; rounds are written tables.
     Raises if ``max_rounds`` do not suffice. An empty table gives an empty result.
     """
-    links = links.where(F.col("a") != F.col("b"))
-    edges = written(links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
+    links = written(links.where(F.col("a") != F.col("b")), "links")
+    edges = links.select("a", "b").union(links.select("b", "a"))
     labels = written(edges.groupBy("a").agg(F.min("b").alias("m"))
                      .select(F.col("a").alias("node"), F.least("a", "m").alias("label")), "labels")
     for _ in range(max_rounds):

@@ -1,20 +1,22 @@
 """Near-duplicate detection with HyperMinHash sketches and exact confirmation.
 
 1. Each document becomes its set of word shingles and a HyperMinHash sketch
-   (``hyperminhash``). Equal sets collapse to one node at once, by a digest of the
-   set, with partial aggregation: copies never meet in one task.
+   (``hyperminhash``). Equal sets collapse to one numbered node at once, by a digest of
+   the set, with partial aggregation: copies never meet in one task.
 2. Bands of compressed registers bring candidates together. Within a band's bucket
    sketches are compared in numpy (size bound, register bound, collision-corrected
-   estimate); only a spanning forest of the surviving pairs is written, so output
-   stays linear. Buckets of more than ``block`` nodes are dealt to tasks by pairs of
-   blocks; the estimate is the only thing that drops a pair.
-3. The forests' components are the clusters outside of which no link can lie. Each
-   node's full set is shipped once, to its cluster. There every pair that the
-   sketches allow and that is not linked through others is checked exactly on the
-   full sets; again a spanning forest of confirmed links is written. Sets are taken
-   in a second pass over the documents, only for nodes that a bounded Bloom filter
-   passes; an exact join follows.
-4. Components of the confirmed links give the result.
+   estimate). Only the trees that the surviving pairs span are written, as stars, so
+   output stays linear. Buckets of more than ``block`` nodes are dealt to tasks by pairs
+   of blocks; the estimate is the only thing that drops a pair.
+3. The components of these trees are the clusters outside of which no link can lie. Each
+   node's full set is shipped once, to its cluster. There every pair that the sketches
+   allow and that is not linked through others is checked exactly on the full sets; again
+   only the trees that confirmed links span are written. Sets are taken in a second pass
+   over the documents, only for rows that a bounded Bloom filter passes; an exact join
+   follows.
+4. Components of the confirmed links give the result. The last join, of all rows with the
+   components by set digest, has a hot key where a text has very many copies; the adaptive
+   skew join splits it.
 
 At similarity 0.8 a pair shares no band with a chance of about (1 - 0.8^4)^32 = 5e-8.
 
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 
 from larder.llm import hyperminhash as hmh
 from larder.llm.bloom import filter_words, key_hashes, probe
-from larder.llm.common import input_bytes, partitions_for, utf8_column, written
+from larder.llm.common import input_bytes, packed, partitions_for, utf8_column, written
 from larder.llm.components import components
 from larder.llm.word_table import RecentValues
 
@@ -98,7 +100,7 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
 
 
 def band_rows(nodes: DataFrame) -> DataFrame:
-    """(band, sig) for each band of each node that holds a register."""
+    """(band, node) for each band of each node that holds a register."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = [hmh.band_keys(np.frombuffer(r, np.uint16)) for r in batch.column(1).to_pylist()]
@@ -106,9 +108,9 @@ def band_rows(nodes: DataFrame) -> DataFrame:
             flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(flat.view(np.int64)), batch.column(0).take(pa.array(np.repeat(np.arange(len(keys)), counts)))],
-                names=["band", "sig"])
+                names=["band", "node"])
 
-    return nodes.select("sig", "regs").mapInArrow(run, "band bigint, sig binary")
+    return nodes.select("node", "regs").mapInArrow(run, "band bigint, node bigint")
 
 
 class Forest:
@@ -128,6 +130,19 @@ class Forest:
         self.parent[max(a, b)] = min(a, b)
         return a != b
 
+    def stars(self, node: np.ndarray) -> pa.RecordBatch:
+        """Each tree as links from its smallest node to the others, so that trees found twice give equal rows."""
+        trees: dict[int, list[int]] = {}
+        for x in range(len(self.parent)):
+            if self.parent[x] != x:
+                trees.setdefault(self.find(x), []).append(x)
+        left, right = [], []
+        for root, rest in trees.items():
+            nodes = sorted(set(node[[root, *rest]].tolist()))
+            left += [nodes[0]] * (len(nodes) - 1)
+            right += nodes[1:]
+        return pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+
 
 def groups(batches: Iterator[pa.RecordBatch], column: int, target: int = 4000) -> Iterator[pa.Table]:
     """Cut rows sorted by a key column into tables of whole groups, about ``target`` rows each."""
@@ -184,22 +199,20 @@ def in_blocks(rows: DataFrame, key: str, count: str, block: int) -> DataFrame:
     Columns added: grp, blk (the row's own block), across (only pairs of different blocks count).
     """
     n = F.ceil(F.col(count) / F.lit(block)).cast("int")
-    own = F.pmod(F.xxhash64("sig"), F.greatest(n, F.lit(1))).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.greatest(n, F.lit(1))).cast("int")
     dealt = rows.withColumn("blk", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1)))
     low, high = F.least("blk", "other"), F.greatest("blk", "other")
     return dealt.withColumn("grp", F.xxhash64(F.col(key), low, high)).withColumn("across", low != high).drop("other")
 
 
 def candidate_forest(members: DataFrame, threshold: float, parts: int) -> DataFrame:
-    """Links (a, b): a spanning forest of the pairs in each group that the sketches allow."""
+    """Links (a, b): per group the trees that the pairs allowed by the sketches span, as stars."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups(batches, 0):
-            key = table.column(0).to_numpy()
-            sig = table.column(1).to_pylist()
-            sizes = table.column(2).to_numpy()
+            key, node, sizes = (table.column(i).to_numpy() for i in range(3))
             regs = np.frombuffer(b"".join(table.column(3).to_pylist()), np.uint16).reshape(-1, hmh.REGISTERS)
             blk, across = table.column(4).to_numpy(), table.column(5).to_pylist()
-            forest, left, right, small = Forest(len(sig)), [], [], []
+            forest, small = Forest(len(node)), []
             for lo, hi in bounds_of(key):
                 if hi - lo < 2:
                     continue
@@ -209,35 +222,29 @@ def candidate_forest(members: DataFrame, threshold: float, parts: int) -> DataFr
                     continue
                 for i, rest in allowed_pairs(regs, sizes, threshold, lo, hi, forest, blk, across[lo]):
                     for j in rest.tolist():
-                        if forest.join(i, j):
-                            left.append(sig[i])
-                            right.append(sig[j])
+                        forest.join(i, j)
             if small:
                 i, j = (np.concatenate(x) for x in zip(*small, strict=True))
                 for at in range(0, len(i), 50_000):
                     a, b = i[at:at + 50_000], j[at:at + 50_000]
                     ok = hmh.may_reach(regs[a], regs[b], sizes[a], sizes[b], threshold)
                     for x, y in zip(a[ok].tolist(), b[ok].tolist(), strict=True):
-                        if forest.join(x, y):
-                            left.append(sig[x])
-                            right.append(sig[y])
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["a", "b"])
+                        forest.join(x, y)
+            yield forest.stars(node)
 
-    return (members.select("grp", "sig", "n", "regs", "blk", "across").repartition(parts, "grp")
-            .sortWithinPartitions("grp").mapInArrow(run, "a binary, b binary").distinct())
+    return (members.select("grp", "node", "n", "regs", "blk", "across").repartition(parts, "grp")
+            .sortWithinPartitions("grp").mapInArrow(run, "a bigint, b bigint").distinct())
 
 
 def confirmed_forest(members: DataFrame, percent: int, parts: int) -> DataFrame:
-    """Links (a, b): in each group a spanning forest of the pairs whose full sets reach the threshold."""
+    """Links (a, b): per group the trees that the pairs whose full sets reach the threshold span, as stars."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups(batches, 0, 1000):
-            key = table.column(0).to_numpy()
-            sig = table.column(1).to_pylist()
-            sizes = table.column(2).to_numpy()
+            key, node, sizes = (table.column(i).to_numpy() for i in range(3))
             sets = [np.frombuffer(s, np.uint64) for s in table.column(3).to_pylist()]
             regs = np.stack([hmh.registers(s) for s in sets])
             blk, across = table.column(4).to_numpy(), table.column(5).to_pylist()
-            forest, left, right = Forest(len(sig)), [], []
+            forest = Forest(len(node))
             for lo, hi in bounds_of(key):
                 for i, rest in allowed_pairs(regs, sizes, percent / 100, lo, hi, forest, blk, across[lo]):
                     for j in rest.tolist():
@@ -246,12 +253,10 @@ def confirmed_forest(members: DataFrame, percent: int, parts: int) -> DataFrame:
                         both = common(sets[i], sets[j])
                         if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
                             forest.join(i, j)
-                            left.append(sig[i])
-                            right.append(sig[j])
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["a", "b"])
+            yield forest.stars(node)
 
-    return (members.select("grp", "sig", "n", "set", "blk", "across").repartition(parts, "grp")
-            .sortWithinPartitions("grp").mapInArrow(run, "a binary, b binary").distinct())
+    return (members.select("grp", "node", "n", "set", "blk", "across").repartition(parts, "grp")
+            .sortWithinPartitions("grp").mapInArrow(run, "a bigint, b bigint").distinct())
 
 
 def common(a: np.ndarray, b: np.ndarray) -> int:
@@ -261,7 +266,7 @@ def common(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, params: NearParams) -> DataFrame:
-    """(sig, set) of the wanted rows (sig, __at, __fp): a second pass over the keyed documents."""
+    """(node, set) of the wanted rows (node, __at, __fp): a second pass over the keyed documents."""
     words = filter_words(wanted, key_hashes(F.col("__at"), F.col("__fp")), params.max_blocks)
     shared = docs.sparkSession.sparkContext.broadcast(words)
 
@@ -276,39 +281,39 @@ def sets_of(docs: DataFrame, wanted: DataFrame, params: NearParams) -> DataFrame
 
     passed = docs.select("__at", "__fp", "text", key_hashes(F.col("__at"), F.col("__fp")).alias("h")).mapInArrow(
         run, "__at bigint, __fp bigint, set binary")
-    return passed.join(wanted, ["__at", "__fp"]).select("sig", "set")
+    return passed.join(wanted, ["__at", "__fp"]).select("node", "set")
 
 
-def component_table(docs: DataFrame, params: NearParams) -> tuple[DataFrame, DataFrame]:
-    """For keyed documents: the sketch rows, and (sig, component) for sets linked to others."""
+def component_table(docs: DataFrame, params: NearParams) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """For keyed documents: the sketch rows, the nodes (one per distinct set), and (node, component) of linked nodes."""
     parts = partitions_for(docs.sparkSession, input_bytes(docs, "text"))
     drawn = written(sketches(docs, params.words), "sketches")
+    # numbered once and written, so a node keeps its number
     nodes = written(
         drawn.where("n > 0").groupBy("sig").agg(
             F.min(F.struct("__at", "__fp")).alias("key"), F.first("n").alias("n"), F.first("regs").alias("regs"))
-        .select("sig", "n", "regs", "key.__at", "key.__fp"), "nodes")
+        .select("sig", F.monotonically_increasing_id().alias("node"), "n", "regs", "key.__at", "key.__fp"), "nodes")
     bands = band_rows(nodes)
     shared = bands.groupBy("band").agg(F.count("*").alias("cnt")).where("cnt > 1")
-    members = bands.join(shared, "band").join(nodes.select("sig", "n", "regs"), "sig")
-    candidates = written(candidate_forest(in_blocks(members, "band", "cnt", params.block), params.percent / 100, parts),
-                         "candidates")
-    clusters = components(candidates).withColumnRenamed("node", "sig")
+    members = bands.join(shared, "band").join(nodes.select("node", "n", "regs"), "node")
+    candidates = candidate_forest(in_blocks(members, "band", "cnt", params.block), params.percent / 100, parts)
+    clusters = components(candidates)
     sizes = clusters.groupBy("label").agg(F.count("*").alias("cnt"))
-    wanted = written(clusters.join(nodes, "sig").join(sizes, "label").select("sig", "label", "cnt", "n", "__at", "__fp"),
-                     "clusters")
-    with_sets = wanted.select("sig", "label", "cnt", "n").join(
-        sets_of(docs, wanted.select("sig", "__at", "__fp"), params), "sig")
-    links = written(confirmed_forest(in_blocks(with_sets, "label", "cnt", params.block), params.percent, parts), "links")
-    labels = components(links).withColumnRenamed("node", "sig")
-    lowest = (labels.join(nodes.select("sig", "__at"), "sig").groupBy("label").agg(F.min("__at").alias("component")))
-    return drawn, labels.join(lowest, "label").select("sig", "component")
+    wanted = written(clusters.join(nodes.drop("sig", "regs"), "node").join(sizes, "label")
+                     .select("node", "label", "cnt", "n", "__at", "__fp"), "clusters")
+    with_sets = wanted.select("node", "label", "cnt", "n").join(
+        sets_of(docs, wanted.select("node", "__at", "__fp"), params), "node")
+    links = confirmed_forest(in_blocks(with_sets, "label", "cnt", params.block), params.percent, parts)
+    labels = components(links)
+    lowest = labels.join(wanted.select("node", "__at"), "node").groupBy("label").agg(F.min("__at").alias("component"))
+    return drawn, nodes, labels.join(lowest, "label").select("node", "component")
 
 
 def assigned(docs: DataFrame, params: NearParams) -> DataFrame:
     """__at, __fp, n, component per row of keyed documents."""
-    drawn, linked = component_table(docs, params)
-    copies = drawn.where("n > 0").groupBy("sig").agg(F.min("__at").alias("first"))
-    found = copies.join(linked, "sig", "left").select("sig", F.coalesce("component", "first").alias("component"))
+    drawn, nodes, linked = component_table(docs, params)
+    found = nodes.select("sig", "node", F.col("__at").alias("first")).join(linked, "node", "left").select(
+        "sig", F.coalesce("component", "first").alias("component"))
     return drawn.select("__at", "__fp", "sig", "n").join(found, "sig", "left").select(
         "__at", "__fp", "n", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("__at")).alias("component"))
 
@@ -329,17 +334,16 @@ def keep_one_of_each(docs: DataFrame, params: NearParams = NearParams()) -> Data
     All columns stay. Rows without words stay. Of rows that repeat the kept id within its
     group, the one with the smallest text hash stays, and one of its exact repeats.
     """
-    source = keyed(docs)
     filled = keyed(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
     chosen = assigned(filled, params).where(F.col("__at") == F.col("component"))
-    # NULL texts have the text hash of their own column value: bring both sides to the empty text's
-    source = source.withColumn("__fp", F.xxhash64(F.coalesce("text", F.lit(""))))
     empty = chosen.where("n = 0").select("__at", "__fp").distinct()
     full = chosen.where("n > 0").groupBy("component").agg(F.min(F.struct("__at", "__fp")).alias("k")).select("k.*")
     keep = full.withColumn("__once", F.lit(True)).unionByName(empty.withColumn("__once", F.lit(False)))
+    source = packed(docs, "doc_id", "text").select(
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("__at"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("__fp"), "__all")
     kept = source.join(keep, ["__at", "__fp"])
     repeats = filled.groupBy("__at", "__fp").agg(F.count("*").alias("c")).where("c > 1").limit(1).count()
-    if repeats:         # exact repeats of whole rows' id and text: one of each stays
-        once = kept.where("__once").dropDuplicates(["__at", "__fp"])
-        kept = once.unionByName(kept.where(~F.col("__once")))
-    return kept.select(*docs.columns)
+    if repeats:         # rows that repeat id and text: one of each stays
+        kept = kept.where("__once").dropDuplicates(["__at", "__fp"]).unionByName(kept.where(~F.col("__once")))
+    return kept.select("__all.*")
