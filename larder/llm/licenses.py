@@ -57,6 +57,9 @@ TEMPLATES = [
 COMMON = frozenset("a all and any are as at be by for from in is it of on or the this to under use with work you".split())
 
 
+SEGMENT = 2000      # words of a text whose windows are built in one row
+
+
 @dataclass(frozen=True)
 class LicenseParams:
     shingle: int = 3
@@ -85,7 +88,7 @@ def anchors_of(words: list[str], params: LicenseParams) -> set[str]:
     free = shingles
     while len(free) >= needed:
         left = {w for s in free for w in s.split()}
-        best = max(left, key=lambda w: (w not in COMMON, len(w) > 2, sum(w in s.split() for s in free), len(w), w))
+        best = max(left, key=lambda w: (w not in COMMON, len(w) > 4, sum(w in s.split() for s in free), len(w), w))
         chosen.add(best)
         free = [s for s in free if best not in s.split()]
     return chosen
@@ -138,29 +141,44 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     known_bands = known.select("template", "license", "length", "wanted",
                                F.explode(band_hashes(F.col("wanted"), bands, params.rows)).alias("band"))
 
-    some_anchor = r"(?iu)(?<![\p{L}\p{N}])(" + "|".join(map(re.escape, anchors)) + r")(?![\p{L}\p{N}])"
+    lowered = F.lower("text")
+    # long anchors by plain search (a longer word may hold them: the exact test follows), short ones as whole words
+    any_anchor, short = F.lit(False), [a for a in anchors if len(a) <= 4]
+    for a in anchors:
+        if a not in short:
+            any_anchor = any_anchor | F.contains(lowered, F.lit(a))
+    if short:
+        any_anchor = any_anchor | lowered.rlike(
+            r"(?<![\p{L}\p{N}])(?:" + "|".join(map(re.escape, short)) + r")(?![\p{L}\p{N}])")
+    widest = max(lengths, default=1) + stride_of(max(lengths, default=1))
+    # long texts are cut into overlapping segments first, so no row builds more than one segment's windows
+    segments = F.transform(F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(SEGMENT)),
+                           lambda o: F.struct(o.alias("offset"), F.slice("words", o + 1, SEGMENT + widest).alias("words")))
     held = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("__fp"), "text")
-            .where(F.col("text").rlike(some_anchor))
-            .withColumn("words", text_words(F.col("text")))
-            .withColumn("hits", F.filter(F.sequence(F.lit(0), F.size("words") - 1),
-                                         lambda i: F.get("words", i).isin(anchors)))
-            .drop("text").where(F.size("hits") > 0))
-
-    def starts(length: int) -> Column:
-        """Window starts (multiples of the stride) whose window has an anchor."""
+            .where(any_anchor)
+            .select("doc_id", "__fp", text_words(F.col("text")).alias("words"))
+            .select("doc_id", "__fp", F.explode(segments).alias("s"))
+            .select("doc_id", "__fp", "s.offset", "s.words")
+            .withColumn("hits", F.transform(
+                F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.get("words", i).isin(anchors)),
+                lambda i: i + F.col("offset")))
+            .where(F.size("hits") > 0))
+
+    def windows_of(length: int) -> Column:
+        """Windows that start in the segment, at a multiple of the stride, and have an anchor."""
         stride = stride_of(length)
-        first = F.transform("hits", lambda h: F.greatest(
-            F.ceil((h - F.lit(length + stride - 2)) / F.lit(stride)).cast("int"), F.lit(0)))
-        return F.array_distinct(F.flatten(F.zip_with(first, F.col("hits"), lambda f, h: F.sequence(
-            f * stride, F.floor(h / stride).cast("int") * stride, F.lit(stride)))))
-
-    cuts = F.array(*[F.struct(F.lit(n).alias("length"), starts(n).alias("starts")) for n in lengths])
-    windows = (held.withColumn("cut", F.explode(cuts)).drop("hits")
-               .withColumn("start", F.explode("cut.starts"))
-               .select("doc_id", "__fp", F.col("cut.length").alias("length"), "start", F.slice(
-                   "words", F.col("start") + 1, F.col("cut.length") + F.greatest(
-                       F.floor(F.col("cut.length") / 8).cast("int"), F.lit(1)) - 1).alias("part"))
-               .withColumn("shingles", word_shingles(F.col("part"), params.shingle)).drop("part"))
+        size = length + stride - 1
+        starts = F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(
+            F.greatest(F.ceil((h - F.lit(size - 1)) / F.lit(stride)).cast("int"), F.lit(0)) * stride,
+            F.floor(h / stride).cast("int") * stride, F.lit(stride)))))
+        own = F.filter(starts, lambda s: (s >= F.col("offset")) & (s < F.col("offset") + SEGMENT))
+        return F.transform(own, lambda s: F.struct(
+            F.lit(length).alias("length"), s.alias("start"),
+            F.slice(F.col("words"), s - F.col("offset") + 1, F.lit(size)).alias("part")))
+
+    windows = (held.select("doc_id", "__fp", F.explode(F.flatten(F.array(*[windows_of(n) for n in lengths]))).alias("w"))
+               .select("doc_id", "__fp", "w.length", "w.start",
+                       word_shingles(F.col("w.part"), params.shingle).alias("shingles")))
     retrieved = (windows.withColumn("band", F.explode(band_hashes(F.col("shingles"), bands, params.rows)))
                  .join(F.broadcast(known_bands), ["length", "band"])       # templates x bands rows, given by the caller's list
                  .drop("band").dropDuplicates(["doc_id", "__fp", "length", "start", "template"]))
