@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from larder.llm.licenses import TEMPLATES, LicenseParams, anchors_of, words_in
+
 URL_FILTER = r"""
 WITH parsed AS (
   SELECT page_id,
@@ -21,4 +23,77 @@ SELECT page_id, host, path, best.rule AS rule, coalesce(best.v, 'allow') AS verd
 FROM parsed LEFT JOIN fit USING (rn)
 """
 
-ORACLES = {"op10_url_filter": URL_FILTER}
+# Every 50-byte string by its hex text; spans are joined where their starts lie at most 50 apart.
+SUFFIX_DEDUP = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s
+      FROM (SELECT doc_id, h, unnest(range(0, greatest(n - 49, 0))) AS i FROM d)),
+lowest AS (SELECT s, min(doc_id) AS m FROM w GROUP BY s),
+hit AS (SELECT w.doc_id, w.i FROM w JOIN lowest USING (s) WHERE lowest.m < w.doc_id),
+marked AS (SELECT doc_id, i, CASE WHEN i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 1 ELSE 0 END AS new FROM hit),
+numbered AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM marked),
+spans AS (SELECT doc_id, min(i) AS b, max(i) + 50 AS e FROM numbered GROUP BY doc_id, k),
+gaps AS (SELECT doc_id, b, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS after FROM spans),
+cut AS (SELECT g.doc_id, count(*) AS n_spans, sum(e - b) AS n_removed,
+               string_agg(substr(h, 2 * after + 1, 2 * (b - after)), '' ORDER BY b) AS head, max(e) AS last
+        FROM gaps g JOIN d USING (doc_id) GROUP BY g.doc_id)
+SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN cut.doc_id IS NULL THEN h ELSE head || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""
+
+# All pairs of documents that share a shingle, by an inverted index; components by a recursive walk.
+NEAR_DEDUP = r"""
+WITH RECURSIVE ws AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s
+       FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM ws WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id
+          GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+          WHERE 100 * c >= 80 * (x.n + y.n - c)),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+comp AS (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a)
+SELECT ws.doc_id, coalesce(n, 0) AS n_shingles, least(ws.doc_id, coalesce(m, ws.doc_id)) AS component_id,
+       ws.doc_id = least(ws.doc_id, coalesce(m, ws.doc_id)) AS kept
+FROM ws LEFT JOIN size USING (doc_id) LEFT JOIN comp USING (doc_id)
+"""
+
+
+def license_scan() -> str:
+    """Every window of every template size against every template, compared exactly.
+
+    Texts without an anchor word of some template can't reach the containment and are left out first.
+    """
+    anchors = sorted({a for _, text in TEMPLATES for a in anchors_of(words_in(text), LicenseParams())})
+    short = "|".join(a for a in anchors if len(a) <= 4)
+    some = " OR ".join([rf"regexp_matches(lower(text), '(^|[^\p{{L}}\p{{N}}])({short})([^\p{{L}}\p{{N}}]|$)')",
+                        *(f"contains(lower(text), '{a}')" for a in anchors if len(a) > 4)])
+    quoted = ", ".join(f"({n}, '{name}', '{text.replace(chr(39), chr(39) * 2)}')" for n, (name, text) in enumerate(TEMPLATES))
+    shingles = "list_distinct(list_transform(range(1, greatest(len({w}) - 2, 1) + 1), lambda i: array_to_string({w}[i:i + 2], ' ')))"
+    return rf"""
+WITH named(template, license, notice) AS (VALUES {quoted}),
+tw AS (SELECT template, license, regexp_extract_all(lower(notice), '[\p{{L}}\p{{N}}]+') AS w FROM named),
+t AS (SELECT template, license, len(w) AS size, greatest(1, len(w) // 8) AS stride, {shingles.format(w='w')} AS wanted FROM tw),
+d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{N}}]+') AS w FROM documents WHERE {some}),
+win AS (SELECT doc_id, template, license, wanted, start, w[start + 1:start + size + stride - 1] AS part
+        FROM (SELECT doc_id, w, template, license, wanted, size, stride, unnest(range(0, len(w), stride)) AS start FROM d, t)),
+share AS (SELECT doc_id, template, license, start,
+                 len(list_intersect({shingles.format(w='part')}, wanted)) / len(wanted) AS c FROM win)
+SELECT doc_id, CAST(template AS INTEGER) AS template, license, max(c) AS containment,
+       CAST(arg_max(start, c * 1e12 - start) AS INTEGER) AS first_word
+FROM share WHERE c >= 0.8 - 1e-9 GROUP BY doc_id, template, license
+"""
+
+
+ORACLES = {
+    "op2_suffix_dedup": SUFFIX_DEDUP,
+    "op4_near_dedup": NEAR_DEDUP,
+    "op5_license_scan": license_scan(),
+    "op10_url_filter": URL_FILTER,
+}

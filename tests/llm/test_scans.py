@@ -6,9 +6,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from larder.llm import canonical
 from larder.llm import decontaminate as dec
 from larder.llm import licenses as lic
 from larder.llm import mixing
+from larder.llm.canonical import canonical_words
 from larder.llm.queries import op3_decontamination, op5_license_scan, op7_source_mixing
 from tests.conftest import SF_SMALL
 from tests.llm import edge
@@ -18,13 +20,9 @@ from tests.llm import edge
 
 def brute_leaks(rows, items, p=dec.DecontaminationParams()):
     """{(id, item)}: every window of every item against every window of every document, diagonal by diagonal."""
-    canon = dec.Canonicaliser()
-
     def windows(text, size):
-        tokens, hashes, kinds = canon(text or "")
-        at, _ = dec.window_hashes(hashes, kinds, size, p.min_literals)
-        words = [(int(h), int(k)) for h, k in zip(hashes, kinds, strict=True)]
-        return tokens, words, at.tolist(), kinds
+        w = canonical_words([(text or "").encode()])
+        return w, list(zip(w.hashes.tolist(), w.kinds.tolist(), strict=True)), w.windows(size, p.min_literals)[0].tolist()
 
     found = set()
     for item, text in items:
@@ -32,17 +30,16 @@ def brute_leaks(rows, items, p=dec.DecontaminationParams()):
         size = min(p.window, n)
         if item is None or not size:
             continue
-        item_tokens, item_words, item_at, item_kinds = windows(text, size)
+        item_own, item_words, item_at = windows(text, size)
         for doc, body in rows:
-            doc_tokens, doc_words, doc_at, doc_kinds = windows(body, size)
+            doc_own, doc_words, doc_at = windows(body, size)
             places = {}
             for a in doc_at:
                 places.setdefault(tuple(doc_words[a:a + size]), []).append(a)
             diagonals = {}
             for b in item_at:
                 for a in places.get(tuple(item_words[b:b + size]), ()):
-                    pairs = list(zip(dec.slots_of(item_tokens, item_kinds, b, size),
-                                     dec.slots_of(doc_tokens, doc_kinds, a, size), strict=True))
+                    pairs = list(zip(item_own.slots(b, size), doc_own.slots(a, size), strict=True))
                     diagonals.setdefault(a - b, []).append((b, pairs))
             for hits in diagonals.values():
                 meaning = {}
@@ -103,9 +100,27 @@ def test_decontamination_whole_table(spark):
 
 
 def test_canonical_words():
-    canon = dec.Canonicaliser()
-    _, _, kinds = canon("The boy Tom ran 12 km. Anna ate three pies for $4.50\nNext line")
-    assert kinds.tolist() == [0, 0, 3, 0, 1, 2, 0, 0, 1, 0, 0, 1, 0, 0]
+    text = 'The boy Tom ran 12 km. Anna ate three pies for $4.50\nNext “line” Élan ÉTÉ (Été) a I 3rd x1 -- $ "End." Then'
+    w = canonical_words([text.encode()])
+    shown = [w.raw[a:b].decode() for a, b in zip(w.first, w.last, strict=True)]
+    assert shown[:12] == "The boy Tom ran 12 km Anna ate three pies for $4.50".split()
+    assert w.kinds.tolist() == [0, 0, 3, 0, 1, 2, 0, 0, 1, 0, 0, 1, 0, 0, 3, 0, 3, 0, 0, 1, 0, 0, 2, 3, 0]
+    assert w.hashes[0] == canonical_words([b"x THE"]).hashes[1] and shown[13] == "line"
+
+
+def test_canonical_words_do_not_depend_on_slices_or_neighbours(monkeypatch):
+    texts = [("Ab cd Ef. Gh ij\n" * 40 + "Kl mn 17 kg Op").encode(), b"", b"Qr Stu vw", "İx É".encode(), b"   \n"]
+    alone = [canonical_words([t]) for t in texts]
+    whole = canonical_words(texts)
+    monkeypatch.setattr(canonical, "_SLICE", 50)
+    sliced = canonical_words(texts)
+    for w in (whole, sliced):
+        for i, a in enumerate(alone):
+            part = slice(w.bounds[i], w.bounds[i + 1])
+            assert w.hashes[part].tolist() == a.hashes.tolist() and w.kinds[part].tolist() == a.kinds.tolist()
+        at, wh = w.windows(3, 1)
+        lone = [x for a in alone for x in a.windows(3, 1)[1].tolist()]
+        assert wh.tolist() == lone
 
 
 # --- license scan
