@@ -18,7 +18,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from larder import get_session  # noqa: E402
 from larder.operators import FeatureLookup, SkewPolicy, attach_features, save_features  # noqa: E402
-from larder.operators.feature_table import align_to, upsert_plan  # noqa: E402
+from larder.operators.feature_table import upsert_plan  # noqa: E402
 from larder.plans.derive import customer_demographic_features, doc_meta_features, doc_text_features  # noqa: E402
 from larder.plans.queries import TEXT_FEATURES, META_FEATURES, _segment_versions  # noqa: E402
 from larder.plans.tables import scratch_database, table  # noqa: E402
@@ -78,12 +78,12 @@ reads only the key and the requested columns (`ReadSchema`), with `IsNotNull` pu
 
     target, source = _segment_versions(spark, sf)
     save_features(spark, f"{db}.cust", target, "PassengerId")
-    t = spark.table(f"{db}.cust")
-    src = align_to(source, t.schema).repartition(8, "PassengerId")
-    sections.append(("Upsert into a bucketed feature table (broadcast off)", """
-The table is not shuffled. Only the source's key column is shuffled for the anti join, and the source rows once
-more, into one file per bucket. The segment filter reaches the source scan as `PushedFilters`.""",
-                     final_plan(upsert_plan(t, src, ["PassengerId"]))))
+    save_features(spark, f"{db}.staged", source, "PassengerId")      # as write_feature_table stages it
+    sections.append(("Upsert into a bucketed feature table: the merge step (broadcast off)", """
+The source has been evaluated once and staged in the table's buckets (one shuffle of the source by key). The merge
+reads table and staged source in place: no exchange at all. The key check is one aggregate over the staged key
+columns, without an exchange either.""",
+                     final_plan(upsert_plan(spark.table(f"{db}.cust"), spark.table(f"{db}.staged"), ["PassengerId"]))))
 
     save_features(spark, f"{db}.custf", customer_demographic_features(table(spark, sf, "customer")), "PassengerId")
     orders = table(spark, sf, "orders")
