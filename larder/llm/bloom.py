@@ -42,11 +42,15 @@ def filter_words(keys: DataFrame, hashes: Column, max_blocks: int) -> np.ndarray
 
 
 def probe(words: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Which keys (two 64-bit hashes each) the filter passes."""
-    block = words[np.mod(first, np.int64(len(words)))]
-    shifts = np.arange(WORDS, dtype=np.int64) * 6
-    bit = ((second[:, None] >> shifts) & 63).astype(np.uint64)
-    return ((block >> bit) & np.uint64(1)).all(axis=1)
+    """Which keys (two 64-bit hashes each) the filter passes; each word is read only for keys that passed the ones before."""
+    block = np.mod(first, np.int64(len(words)))
+    passed = np.arange(len(first))
+    for w in range(WORDS):
+        bit = ((second[passed] >> np.int64(6 * w)) & 63).astype(np.uint64)
+        passed = passed[(words[block[passed], w] >> bit) & np.uint64(1) > 0]
+    out = np.zeros(len(first), bool)
+    out[passed] = True
+    return out
 
 
 def split_by_keys(rows: DataFrame, keys: DataFrame, columns: list[str],

@@ -25,31 +25,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.bloom import filter_words, probe, split_by_keys
-from larder.llm.common import mix64, packed, written
-from larder.llm.hyperminhash import word_hash
+from larder.llm.canonical import Words, canonical_words
+from larder.llm.common import mix64, packed, utf8_column, written
 from larder.llm.near_dedup import keyed
-from larder.llm.word_table import RecentValues
 
-# Words and signs taken as units, and number words.
-UNITS = frozenset("""mm cm m km in inch inches ft foot feet yd yard yards mile miles mg g kg gram grams kilogram
-kilograms lb lbs pound pounds oz ounce ounces ton tons tonne tonnes ml cl l liter liters litre litres gallon gallons
-s sec second seconds min minute minutes h hr hour hours day days week weeks month months year years hz khz mhz ghz
-w kw mw v kv a ma j kj cal kcal pa kpa bar psi c f k °c °f mph kmh km/h m/s $ € £ ¥ % usd eur gbp dollar dollars
-euro euros cent cents percent degree degrees bit bits byte bytes kb mb gb tb""".split())
-NUMBER_WORDS = frozenset("""zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen
-fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand
-million billion first third fourth fifth half twice dozen""".split())
-
-_NUMBER = regex.compile(r"[+\-−]?[$€£¥]?\d[\d.,:/^]*(\p{L}{1,3}|%|°\p{L}?)?")
-_EDGE = regex.compile(r"^[^\p{L}\p{N}$€£¥%°+\-−]+|[^\p{L}\p{N}$€£¥%°]+$")
-_END = regex.compile(r"[.!?:][\"'”’)\]]*$")
-WORD, NUMBER, UNIT, NAME = 0, 1, 2, 3
-_MARK = [0, *(word_hash(m) for m in (b"<num>", b"<unit>", b"<name>"))]
+_UNIT_BYTES = 2 << 20       # text made canonical at a time
 
 
 @dataclass(frozen=True)
@@ -61,76 +45,17 @@ class DecontaminationParams:
     max_blocks: int = 1 << 18
 
 
-def canonical(token: str) -> tuple[int, int, bool, bool]:
-    """(hash as a literal word or placeholder, kind, capitalised, ends a sentence) of one token."""
-    word = _EDGE.sub("", token)
-    low = word.lower()
-    ends = bool(_END.search(token))
-    if low in NUMBER_WORDS or word and _NUMBER.fullmatch(word):
-        return _MARK[NUMBER], NUMBER, False, ends
-    if low in UNITS and len(low) > 1 or low in "$€£¥%" and low:
-        return _MARK[UNIT], UNIT, False, ends
-    capital = len(word) > 1 and word[0].isupper() and word[1:].islower()
-    return word_hash(low.encode()), WORD, capital, ends
-
-
-class Canonicaliser:
-    """Turns a text into canonical word hashes and slot kinds, with a bounded table of tokens."""
-
-    def __init__(self):
-        self.known = RecentValues(canonical, 150_000)
-
-    def __call__(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-        self.known.trim()
-        tokens, opening = [], []
-        for line in text.split("\n"):
-            words = line.split()
-            if words:
-                opening.append(len(tokens))
-                tokens += words
-        if not tokens:
-            return [], np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        hashes, kinds, capital, ends = zip(*map(self.known.__getitem__, tokens), strict=True)
-        hashes, kinds = np.array(hashes, np.uint64), np.array(kinds, np.int64)
-        initial = np.zeros(len(tokens), bool)
-        initial[1:] = np.array(ends[:-1], bool)
-        initial[opening] = True
-        named = np.array(capital, bool) & ~initial          # names: capitalised inside a sentence
-        hashes[named], kinds[named] = _MARK[NAME], NAME
-        return tokens, hashes, kinds
-
-
-def window_hashes(hashes: np.ndarray, kinds: np.ndarray, size: int, min_literals: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the windows of ``size`` words with enough literal words."""
-    n = len(hashes) - size + 1
-    if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    out = np.full(n, size, np.uint64)
-    for j in range(size):
-        out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + hashes[j:j + n])
-    literal = np.concatenate([[0], np.cumsum(kinds == WORD)])
-    at = np.flatnonzero(literal[size:] - literal[:-size] >= min(min_literals, size))
-    return at, out[at]
-
-
-def slots_of(tokens: list[str], kinds: np.ndarray, at: int, size: int) -> list[str]:
-    """Values of the slots in a window, in order, as ``kind:value``."""
-    return [f"{kinds[i]}:{_EDGE.sub('', tokens[i])}" for i in range(at, at + size) if kinds[i]]
-
-
 def item_windows(items: DataFrame, params: DecontaminationParams) -> DataFrame:
     """(item_id, words, size, pos, wh, wh2, item_slots): all windows of all items."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        canon = Canonicaliser()
         for batch in batches:
             out = []
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                tokens, hashes, kinds = canon(text)
-                size = min(params.window, len(tokens))
+                words = canonical_words([text.encode()])
+                size = min(params.window, len(words.hashes))
                 if size:
-                    for at, wh in zip(*map(np.ndarray.tolist, window_hashes(hashes, kinds, size, params.min_literals)),
-                                      strict=True):
-                        out.append((item, len(tokens), size, at, wh, slots_of(tokens, kinds, at, size)))
+                    for at, wh in zip(*map(np.ndarray.tolist, words.windows(size, params.min_literals)), strict=True):
+                        out.append((item, len(words.hashes), size, at, wh, words.slots(at, size)))
             columns = list(zip(*out, strict=True)) if out else [()] * 6
             wh = np.array(columns[4], np.uint64)
             yield pa.RecordBatch.from_arrays(
@@ -144,24 +69,34 @@ def item_windows(items: DataFrame, params: DecontaminationParams) -> DataFrame:
                 run, "item_id bigint, words int, size int, pos int, wh bigint, wh2 bigint, item_slots array<string>"))
 
 
+def units_of(batch: pa.RecordBatch) -> Iterator[tuple[int, Words]]:
+    """Canonical words of the batch's texts, about ``_UNIT_BYTES`` at a time, with the number of the first text."""
+    buffer, offsets = utf8_column(batch, "text")
+    at = 0
+    while at < batch.num_rows:
+        end = at + 1
+        while end < batch.num_rows and offsets[end + 1] - offsets[at] <= _UNIT_BYTES:
+            end += 1
+        yield at, canonical_words([buffer[offsets[i]:offsets[i + 1]].tobytes() for i in range(at, end)])
+        at = end
+
+
 def document_hits(docs: DataFrame, words: np.ndarray, sizes: list[int], params: DecontaminationParams) -> DataFrame:
     """(__at, __fp, wh, at, doc_slots): document windows that the filter passes (columns __at, __fp, text)."""
     shared = docs.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        canon = Canonicaliser()
         for batch in batches:
             rows, found, places, slots = [], [], [], []
-            for n, text in enumerate(batch.column(2).to_pylist()):
-                tokens, hashes, kinds = canon(text or "")
+            for offset, words in units_of(batch):
                 for size in sizes:
-                    at, wh = window_hashes(hashes, kinds, size, params.min_literals)
-                    hit = np.flatnonzero(probe(shared.value, wh.view(np.int64), mix64(wh).view(np.int64)))
-                    for h in hit.tolist():
-                        rows.append(n)
-                        places.append(int(at[h]))
+                    at, wh = words.windows(size, params.min_literals)
+                    for h in np.flatnonzero(probe(shared.value, wh.view(np.int64), mix64(wh).view(np.int64))).tolist():
+                        text = int(np.searchsorted(words.bounds, at[h], side="right")) - 1
+                        rows.append(offset + text)
+                        places.append(int(at[h] - words.bounds[text]))
                         found.append(int(wh.view(np.int64)[h]))
-                        slots.append(slots_of(tokens, kinds, int(at[h]), size))
+                        slots.append(words.slots(int(at[h]), size))
             take = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(take), batch.column(1).take(take), pa.array(found, pa.int64()),
