@@ -27,7 +27,7 @@ billion first third fourth fifth half twice dozen""".split()
 
 WORD, NUMBER, UNIT, NAME = 0, 1, 2, 3
 _NUMBER = regex.compile(r"[$€£¥]?\d[\d.,:/^+\-]*(\p{L}{1,3}|%|°\p{L}?)?")
-_SLICE = 1 << 21                # bytes worked on at a time
+_SLICE = 1 << 19                # bytes worked on at a time
 _STEP = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 

@@ -44,6 +44,17 @@ def unused_name(columns: list[str], name: str) -> str:
     return name
 
 
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch size to ``BATCH_BYTES``, so Python workers hold little text at a time."""
+    now = spark.conf.get(BATCH)
+    if not now.rstrip("b").isdigit() or int(now.rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(BATCH, f"{BATCH_BYTES}b")
+
+
 def id_remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus`` (NULL for a NULL id)."""
     return F.crc32(doc_id.cast("string")) % modulus

@@ -30,10 +30,10 @@ from pyspark.sql import functions as F
 
 from larder.llm.bloom import filter_words, probe, split_by_keys
 from larder.llm.canonical import Words, canonical_words
-from larder.llm.common import mix64, packed, utf8_column, written
+from larder.llm.common import bounded_batches, mix64, packed, utf8_column, written
 from larder.llm.near_dedup import keyed
 
-_UNIT_BYTES = 2 << 20       # text made canonical at a time
+_UNIT_BYTES = 1 << 19       # text made canonical at a time
 
 
 @dataclass(frozen=True)
@@ -109,6 +109,7 @@ def document_hits(docs: DataFrame, words: np.ndarray, sizes: list[int], params:
 
 def leaks(docs: DataFrame, items: DataFrame, params: DecontaminationParams = DecontaminationParams()) -> DataFrame:
     """Contaminated (document, item) pairs of keyed documents: __at, __fp, item_id, item_words, covered, share, changed_slots."""
+    bounded_batches(docs.sparkSession)
     windows = written(item_windows(items, params), "item-windows")
     sizes = sorted(r[0] for r in windows.select("size").distinct().collect())       # at most ``window`` values
     words = filter_words(windows, F.array("wh", "wh2"), params.max_blocks)

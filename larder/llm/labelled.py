@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from larder.llm.common import bounded_batches
+
 TRAIN_SCHEMA = "label int, ids binary, weights binary, extra binary"
 
 
@@ -25,6 +27,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, target: str, trainable: Co
     NULL ids and NULL labels are left out. Texts stay on the executors; only
     hashed features travel.
     """
+    bounded_batches(docs.sparkSession)
     chosen = (labels.where(F.col(target).isNotNull() & F.col("doc_id").isNotNull() & trainable)
               .groupBy("doc_id").agg(F.max(F.col(target).cast("int")).alias("__label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs))

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from larder.llm import hyperminhash as hmh
 from larder.llm.bloom import filter_words, key_hashes, probe
-from larder.llm.common import input_bytes, packed, partitions_for, utf8_column, written
+from larder.llm.common import bounded_batches, input_bytes, packed, partitions_for, utf8_column, written
 from larder.llm.components import components
 from larder.llm.word_table import RecentValues
 
@@ -59,7 +59,7 @@ class NearParams:
 
 def shingler(size: int) -> Callable[[bytes], np.ndarray]:
     """Function text bytes -> sorted distinct shingle hashes, with its own bounded word table."""
-    words = RecentValues(hmh.word_hash, 200_000)
+    words = RecentValues(hmh.word_hash, 150_000)
 
     def shingles(text: bytes) -> np.ndarray:
         words.trim()
@@ -286,6 +286,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, params: NearParams) -> DataFrame
 
 def component_table(docs: DataFrame, params: NearParams) -> tuple[DataFrame, DataFrame, DataFrame]:
     """For keyed documents: the sketch rows, the nodes (one per distinct set), and (node, component) of linked nodes."""
+    bounded_batches(docs.sparkSession)
     parts = partitions_for(docs.sparkSession, input_bytes(docs, "text"))
     drawn = written(sketches(docs, params.words), "sketches")
     # numbered once and written, so a node keeps its number

@@ -45,11 +45,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import input_bytes, mix64, packed, partitions_for, sliding_min, unused_name, utf8_column
+from larder.llm.common import bounded_batches, input_bytes, mix64, partitions_for, sliding_min, unused_name, utf8_column
 from larder.llm.suffix_sort import lowest_owner
 
 GRAM = 24
-_UNIT = 4 << 20             # bytes of text cut into runs at a time
+_UNIT = 1 << 20             # bytes of text cut into runs at a time
 _REMEMBERED = 100_000       # repeated runs a task keeps (for pre-aggregation only)
 _LAST = (1 << 63) - 1
 
@@ -291,8 +291,8 @@ def refined_counts(values: np.ndarray) -> np.ndarray:
     return counts[inverse]
 
 
-_EMIT = 500_000         # ranges gathered before they are written out
-_HASHES = 2_000_000     # run hashes gathered before they are written out
+_EMIT = 200_000         # ranges gathered before they are written out
+_HASHES = 500_000     # run hashes gathered before they are written out
 _BITS = 32              # filter bits per shared hash, while they fit
 
 
@@ -508,23 +508,24 @@ def units(text: np.ndarray, offsets: np.ndarray, length: int):
 
 
 def with_ranges(docs: DataFrame, params: DedupParams) -> DataFrame:
-    """The columns ``text`` and ``__all`` (every column) of ``docs`` with ``__parts``: the row's repeated ranges (NULL if none).
+    """``docs`` as columns ``text``, ``__rest`` (the other columns) and ``__parts``: the row's repeated ranges (NULL if none).
 
     Documents and packed ranges are dealt to the same blocks by hash of the document key;
     within a block the ranges come first and then its documents stream past them.
     """
     if params.length < 29:
         raise ValueError("length must be at least 29")
+    bounded_batches(docs.sparkSession)
     n_bytes = input_bytes(docs, "text")
     n_parts = partitions_for(docs.sparkSession, n_bytes)
-    key = packed(docs, "doc_id", "text").select(
+    rows = docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("__at"), F.xxhash64("text").alias("__fp"),
-        "text", "__all")
-    rows = key.withColumn("__blk", F.pmod(F.xxhash64("__at", "__fp"), F.lit(8 * n_parts)).cast("int"))
+        F.col("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("__rest")) \
+        .withColumn("__blk", F.pmod(F.xxhash64("__at", "__fp"), F.lit(8 * n_parts)).cast("int"))
     ranges = repeated_ranges(rows, params, n_parts, n_bytes)
-    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.select("__at", "__fp", "text", "__all").schema]
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.select("__at", "__fp", "text", "__rest").schema]
     both = rows.select("__blk", F.lit(1).alias("__kind"), F.lit(None).cast("binary").alias("__payload"),
-                       "__at", "__fp", "text", "__all").unionByName(
+                       "__at", "__fp", "text", "__rest").unionByName(
         ranges.select("__blk", F.lit(0).alias("__kind"), "__payload", *empty))
 
     def attach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -546,9 +547,9 @@ def with_ranges(docs: DataFrame, params: DedupParams) -> DataFrame:
                 parts.append(None if mine is None else mine.tobytes())
             rows_ = batch.filter(pa.array(is_doc))
             yield pa.RecordBatch.from_arrays([rows_.column(5), rows_.column(6), pa.array(parts, pa.binary())],
-                                             names=["text", "__all", "__parts"])
+                                             names=["text", "__rest", "__parts"])
 
-    schema = rows.select("text", "__all", F.lit(None).cast("binary").alias("__parts")).schema
+    schema = rows.select("text", "__rest", F.lit(None).cast("binary").alias("__parts")).schema
     return both.repartition(n_parts, "__blk").sortWithinPartitions("__blk", "__kind").mapInArrow(attach, schema)
 
 
@@ -580,7 +581,7 @@ def dedup_report(docs: DataFrame, params: DedupParams = DedupParams()) -> DataFr
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return with_ranges(rows, params).select("__all.doc_id", "__all.text", "__parts").mapInArrow(
+    return with_ranges(rows, params).select("__rest.doc_id", "text", "__parts").mapInArrow(
         report, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
 
@@ -607,7 +608,9 @@ def remove_repeats(docs: DataFrame, params: DedupParams = DedupParams()) -> Data
             out[at] = pa.array(texts, out[at].type)
             yield pa.RecordBatch.from_arrays(out, names=columns).filter(pa.array(keep, pa.bool_()))
 
-    done = with_ranges(docs, params).select("__all.*", F.col("__parts").alias(parts_name)).mapInArrow(strip, docs.schema)
+    again = [F.col("text") if c == "text" else F.col("__rest").getField(c) for c in columns]
+    done = with_ranges(docs, params).select(*[x.alias(c) for x, c in zip(again, columns, strict=True)],
+                                            F.col("__parts").alias(parts_name)).mapInArrow(strip, docs.schema)
     if "n_chars" in columns:
         done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return done

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import input_bytes, mix64, partitions_for, sliding_min
+from larder.llm.common import bounded_batches, input_bytes, mix64, partitions_for, sliding_min
 
 _SLICE = 1 << 20        # code points hashed at a time
 _LOWEST = -(1 << 63)
@@ -127,6 +127,7 @@ def compare_with_next(docs: DataFrame, params: SyncmerParams = SyncmerParams())
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")) \
         .withColumn("__at", F.coalesce("doc_id", F.lit(_LOWEST).cast("bigint")))
+    bounded_batches(spark)
     n_parts = partitions_for(spark, input_bytes(docs, "text"))
     splits = _range_splits(rows, 4 * n_parts)
 

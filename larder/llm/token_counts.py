@@ -27,6 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larder.llm.common import bounded_batches
 from larder.llm.word_table import RecentValues
 
 _SHIFT = 20             # symbols are numbered below 2^20
@@ -148,6 +149,7 @@ def counter(table: MergeTable, name: str):
 
 def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 512) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit (n_tokens > ``limit``) for every row of ``docs``."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(load_merges(vocabulary))   # one vocabulary: fixed size
     name = f"{vocabulary}:{uuid.uuid4().hex}"
 

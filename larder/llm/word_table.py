@@ -15,7 +15,7 @@ class WordTable(dict):
     plus the distinct words of one document) whatever the vocabulary.
     """
 
-    def __init__(self, describe: Callable[[str], tuple], columns: int, bound: int = 400_000):
+    def __init__(self, describe: Callable[[str], tuple], columns: int, bound: int = 200_000):
         super().__init__()
         self.describe, self.bound = describe, bound
         self.values = np.zeros((1024, columns))
@@ -44,7 +44,7 @@ class RecentValues(dict):
     ``bound`` words (plus those of one document) are held.
     """
 
-    def __init__(self, compute: Callable[[str], int], bound: int = 300_000):
+    def __init__(self, compute: Callable[[str], int], bound: int = 200_000):
         super().__init__()
         self.compute, self.bound, self.older = compute, bound, {}
 
