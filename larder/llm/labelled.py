@@ -19,7 +19,7 @@ TRAIN_SCHEMA = "label int, ids binary, weights binary, extra binary"
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, target: str, trainable: Column, max_docs: int,
-                  describe: Callable[[str], tuple[bytes, bytes, bytes]]) -> list:
+                  describe: Callable[[str], tuple[bytes, bytes, bytes]]) -> list[dict]:
     """Features of at most ``max_docs`` labelled documents, as rows on the driver.
 
     The sample is the ``max_docs`` labelled ids with the smallest hash: the same
@@ -43,7 +43,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, target: str, trainable: Co
                  *(pa.array([o[i] for o in out], pa.binary()) for i in range(3))],
                 names=["doc_id", "label", "ids", "weights", "extra"])
 
-    rows = pairs.mapInArrow(features, "doc_id bigint, " + TRAIN_SCHEMA).collect()
+    rows = pairs.mapInArrow(features, "doc_id bigint, " + TRAIN_SCHEMA).toArrow().to_pylist()    # max_docs rows
     return sorted(rows, key=lambda r: (r["doc_id"], r["ids"]))
 
 
