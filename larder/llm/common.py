@@ -37,13 +37,6 @@ def packed(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*columns, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__all"))
 
 
-def unused_name(columns: list[str], name: str) -> str:
-    """``name``, lengthened until it is none of ``columns``."""
-    while name.lower() in {c.lower() for c in columns}:
-        name += "_"
-    return name
-
-
 BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 8 << 20
 

@@ -36,7 +36,7 @@ stay, one result row per input row.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,13 +44,14 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from larder.llm.common import bounded_batches, input_bytes, mix64, partitions_for, sliding_min, unused_name, utf8_column
+from larder.llm.common import bounded_batches, input_bytes, mix64, partitions_for, sliding_min, utf8_column
 from larder.llm.suffix_sort import lowest_owner
 
 GRAM = 24
 _UNIT = 1 << 20             # bytes of text cut into runs at a time
-_REMEMBERED = 100_000       # repeated runs a task keeps (for pre-aggregation only)
+_REMEMBERED = 30_000       # repeated runs a task keeps (for pre-aggregation only)
 _LAST = (1 << 63) - 1
 
 
@@ -507,8 +508,11 @@ def units(text: np.ndarray, offsets: np.ndarray, length: int):
         at = end
 
 
-def with_ranges(docs: DataFrame, params: DedupParams) -> DataFrame:
-    """``docs`` as columns ``text``, ``__rest`` (the other columns) and ``__parts``: the row's repeated ranges (NULL if none).
+Finish = Callable[[pa.Array, dict[str, pa.Array], list[bytes | None]], pa.RecordBatch]
+
+
+def with_ranges(docs: DataFrame, params: DedupParams, finish: Finish, schema: T.StructType | str) -> DataFrame:
+    """``finish(texts, other columns by name, repeated ranges of each row or None)`` applied to batches of ``docs``.
 
     Documents and packed ranges are dealt to the same blocks by hash of the document key;
     within a block the ranges come first and then its documents stream past them.
@@ -528,6 +532,8 @@ def with_ranges(docs: DataFrame, params: DedupParams) -> DataFrame:
                        "__at", "__fp", "text", "__rest").unionByName(
         ranges.select("__blk", F.lit(0).alias("__kind"), "__payload", *empty))
 
+    others = [c for c in docs.columns if c != "text"]
+
     def attach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, payloads, known = None, [], None
         for batch in batches:
@@ -545,11 +551,10 @@ def with_ranges(docs: DataFrame, params: DedupParams) -> DataFrame:
                     known = unpack_ranges(payloads)
                 mine = known.get((ids[n].as_py(), prints[n].as_py())) if known else None
                 parts.append(None if mine is None else mine.tobytes())
-            rows_ = batch.filter(pa.array(is_doc))
-            yield pa.RecordBatch.from_arrays([rows_.column(5), rows_.column(6), pa.array(parts, pa.binary())],
-                                             names=["text", "__rest", "__parts"])
+            mine_ = batch.filter(pa.array(is_doc))
+            rest = dict(zip(others, mine_.column(6).flatten(), strict=True))
+            yield finish(mine_.column(5), rest, parts)
 
-    schema = rows.select("text", "__rest", F.lit(None).cast("binary").alias("__parts")).schema
     return both.repartition(n_parts, "__blk").sortWithinPartitions("__blk", "__kind").mapInArrow(attach, schema)
 
 
@@ -568,21 +573,20 @@ def kept_bytes(text: bytes, parts: bytes | None) -> tuple[bytes, int, int]:
 
 def dedup_report(docs: DataFrame, params: DedupParams = DedupParams()) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row of ``docs``."""
-    def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for text, parts in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                kept, removed, spans = kept_bytes(text, parts)
-                out.append((len(text), removed, spans, hashlib.sha256(kept).hexdigest()))
-            columns = list(zip(*out, strict=True)) if out else [()] * 4
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, t) for c, t in zip(
-                    columns, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True))],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+    def report(texts: pa.Array, rest: dict[str, pa.Array], parts: list[bytes | None]) -> pa.RecordBatch:
+        out = []
+        for text, mine in zip(texts.cast(pa.binary()).to_pylist(), parts, strict=True):
+            kept, removed, spans = kept_bytes(text, mine)
+            out.append((len(text), removed, spans, hashlib.sha256(kept).hexdigest()))
+        columns = list(zip(*out, strict=True)) if out else [()] * 4
+        return pa.RecordBatch.from_arrays(
+            [rest["doc_id"], *(pa.array(c, t) for c, t in zip(
+                columns, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True))],
+            names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return with_ranges(rows, params).select("__rest.doc_id", "text", "__parts").mapInArrow(
-        report, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    return with_ranges(rows, params, report,
+                       "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame, params: DedupParams = DedupParams()) -> DataFrame:
@@ -593,24 +597,17 @@ def remove_repeats(docs: DataFrame, params: DedupParams = DedupParams()) -> Data
     All other columns stay.
     """
     columns = docs.columns
-    at, parts_name = columns.index("text"), unused_name(columns, "parts")
 
-    def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = batch.columns[:-1]
-            texts = out[at].to_pylist()
-            keep = []
-            for n, parts in enumerate(batch.columns[-1].to_pylist()):
-                if parts:
-                    kept, _, _ = kept_bytes(texts[n].encode(), parts)
-                    texts[n] = kept.decode("utf-8", "ignore")
-                keep.append(not parts or bool(texts[n]))
-            out[at] = pa.array(texts, out[at].type)
-            yield pa.RecordBatch.from_arrays(out, names=columns).filter(pa.array(keep, pa.bool_()))
-
-    again = [F.col("text") if c == "text" else F.col("__rest").getField(c) for c in columns]
-    done = with_ranges(docs, params).select(*[x.alias(c) for x, c in zip(again, columns, strict=True)],
-                                            F.col("__parts").alias(parts_name)).mapInArrow(strip, docs.schema)
+    def strip(texts: pa.Array, rest: dict[str, pa.Array], parts: list[bytes | None]) -> pa.RecordBatch:
+        kept = texts.to_pylist()
+        for n, mine in enumerate(parts):
+            if mine:
+                kept[n] = kept_bytes(kept[n].encode(), mine)[0].decode("utf-8", "ignore")
+        keep = pa.array([not mine or bool(kept[n]) for n, mine in enumerate(parts)], pa.bool_())
+        cleaned = rest | {"text": pa.array(kept, texts.type)}
+        return pa.RecordBatch.from_arrays([cleaned[c] for c in columns], names=columns).filter(keep)
+
+    done = with_ranges(docs, params, strip, docs.schema)
     if "n_chars" in columns:
         done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return done
