@@ -285,7 +285,10 @@ def sets_of(docs: DataFrame, wanted: DataFrame, params: NearParams) -> DataFrame
 
 
 def component_table(docs: DataFrame, params: NearParams) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """For keyed documents: the sketch rows, the nodes (one per distinct set), and (node, component) of linked nodes."""
+    """For keyed documents: the sketch rows, the nodes (one per distinct set), and (node, label, component) of linked nodes.
+
+    ``label`` (the group's smallest node) tells groups apart; ``component`` is only the smallest id, which groups can share.
+    """
     bounded_batches(docs.sparkSession)
     parts = partitions_for(docs.sparkSession, input_bytes(docs, "text"))
     drawn = written(sketches(docs, params.words), "sketches")
@@ -307,16 +310,16 @@ def component_table(docs: DataFrame, params: NearParams) -> tuple[DataFrame, Dat
     links = confirmed_forest(in_blocks(with_sets, "label", "cnt", params.block), params.percent, parts)
     labels = components(links)
     lowest = labels.join(wanted.select("node", "__at"), "node").groupBy("label").agg(F.min("__at").alias("component"))
-    return drawn, nodes, labels.join(lowest, "label").select("node", "component")
+    return drawn, nodes, labels.join(lowest, "label").select("node", "label", "component")
 
 
 def assigned(docs: DataFrame, params: NearParams) -> DataFrame:
-    """__at, __fp, n, component per row of keyed documents."""
+    """__at, __fp, n, label (of the row's group; NULL without words), component per row of keyed documents."""
     drawn, nodes, linked = component_table(docs, params)
     found = nodes.select("sig", "node", F.col("__at").alias("first")).join(linked, "node", "left").select(
-        "sig", F.coalesce("component", "first").alias("component"))
+        "sig", F.coalesce("label", "node").alias("label"), F.coalesce("component", "first").alias("component"))
     return drawn.select("__at", "__fp", "sig", "n").join(found, "sig", "left").select(
-        "__at", "__fp", "n", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("__at")).alias("component"))
+        "__at", "__fp", "n", "label", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("__at")).alias("component"))
 
 
 def near_duplicates(docs: DataFrame, params: NearParams = NearParams()) -> DataFrame:
@@ -338,7 +341,7 @@ def keep_one_of_each(docs: DataFrame, params: NearParams = NearParams()) -> Data
     filled = keyed(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
     chosen = assigned(filled, params).where(F.col("__at") == F.col("component"))
     empty = chosen.where("n = 0").select("__at", "__fp").distinct()
-    full = chosen.where("n > 0").groupBy("component").agg(F.min(F.struct("__at", "__fp")).alias("k")).select("k.*")
+    full = chosen.where("n > 0").groupBy("label").agg(F.min(F.struct("__at", "__fp")).alias("k")).select("k.*")
     keep = full.withColumn("__once", F.lit(True)).unionByName(empty.withColumn("__once", F.lit(False)))
     source = packed(docs, "doc_id", "text").select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("__at"),

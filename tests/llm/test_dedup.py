@@ -170,6 +170,20 @@ def test_keep_one_of_each(spark):
     assert {edge.order_of(i) for i, _ in full} == set(with_words)
 
 
+def test_keep_one_of_each_keeps_every_group(spark):
+    near = " ".join(f"v{i}" for i in range(60))
+    rows = [(None, "the first text without an id stands alone", "a"), (None, "another one that has no id and no likeness", "a"),
+            (None, near + " x", "a"), (None, near + " y", "a"),             # linked with each other, not with the two above
+            (5, "one text under a number that is used again", "a"), (5, "quite different words below the same number here", "a"),
+            (5, "one text under a number that is used again", "a"), (6, near.upper() + " z", "a"), (None, "  ", "a"), (5, None, "a")]
+    kept = [(r["doc_id"], r["text"]) for r in keep_one_of_each(edge.documents(spark, rows)).collect()]
+    alone = [(i, t) for i, t, _ in (rows[0], rows[1], rows[4], rows[5], rows[7], rows[8], rows[9])]
+    assert sorted(kept, key=str) == sorted(alone, key=str)
+    twins = edge.documents(spark, rows[:4])     # without the row with an id, one of the two linked NULL ids stays
+    texts = {r["text"] for r in keep_one_of_each(twins).collect()}
+    assert texts in ({rows[0][1], rows[1][1], rows[2][1]}, {rows[0][1], rows[1][1], rows[3][1]})
+
+
 def test_register_estimate_is_close():
     rng = np.random.default_rng(7)
     pool = rng.integers(0, 1 << 63, 4000).astype(np.uint64)
