@@ -75,18 +75,9 @@ def anchors(text: str, p: SyncmerParams) -> list[tuple[int, int]]:
     for start in range(0, len(codes), _SLICE):
         at, h = syncmer_hashes(codes[start:start + _SLICE + p.k - 1].astype(np.uint64), p.k, p.s)
         best_hash, best_at = np.concatenate([best_hash, h]), np.concatenate([best_at, at + start])
-        if len(best_hash) > p.size:
-            cut = np.partition(best_hash, p.size - 1)[p.size - 1]
-            # a hash may stand at many places: only its first counts
-            low = best_hash <= cut
-            if low.sum() > p.size:
-                kept, first = np.unique(best_hash, return_index=True)
-                kept, first = kept[:p.size], first[:p.size]
-                best_hash, best_at = kept, best_at[first]
-            else:
-                best_hash, best_at = best_hash[low], best_at[low]
-    best_hash, first = np.unique(best_hash, return_index=True)
-    best_at = best_at[first]
+        # a hash may stand at many places: only its first counts, and only distinct hashes fill the fingerprint
+        best_hash, first = np.unique(best_hash, return_index=True)
+        best_hash, best_at = best_hash[:p.size], best_at[first[:p.size]]
     if not len(best_hash):
         whole = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=4).digest()
         return [(int.from_bytes(whole, "big"), 0)]

@@ -109,6 +109,20 @@ def test_syncmers_do_not_depend_on_their_place_or_on_slices(monkeypatch):
     assert {h for h, _ in syncmers.anchors(text, p)} == whole
 
 
+@pytest.mark.parametrize("slice_", [syncmers._SLICE, 700])
+@pytest.mark.parametrize("times", [1, 2, 3, 48])
+def test_anchors_are_the_smallest_distinct_hashes(monkeypatch, times, slice_):
+    monkeypatch.setattr(syncmers, "_SLICE", slice_)
+    p, text = syncmers.SyncmerParams(), " ".join(f"w{i * i % 1009}" for i in range(120)) * times
+    places = {}
+    codes = np.array([ord(c) for c in text], np.uint64)
+    for at in range(len(codes) - p.k + 1):          # every k-mer on its own
+        for h in syncmers.syncmer_hashes(codes[at:at + p.k], p.k, p.s)[1].tolist():
+            places.setdefault(h, at)
+    want = sorted((places[h], h) for h in sorted(places)[:p.size])
+    assert len(want) == p.size and syncmers.anchors(text, p) == [(h, at) for at, h in want]
+
+
 def test_likeness_orders_edits():
     p, words = syncmers.SyncmerParams(), [f"word{i * 37 % 1013}" for i in range(400)]
     text = " ".join(words)
