@@ -3,6 +3,9 @@
 Words are runs of bytes other than ASCII white space, without outer punctuation. Numbers,
 measurement units and names (capitalised words inside a sentence) become typed
 placeholders; all other words are hashed in lower case.
+
+Whether a capitalised word begins a sentence depends on the text around it, so there is a
+second form of the words (``wide``), in which every capitalised word is a name.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ billion first third fourth fifth half twice dozen""".split()
 
 WORD, NUMBER, UNIT, NAME = 0, 1, 2, 3
 _NUMBER = regex.compile(r"[$€£¥]?\d[\d.,:/^+\-]*(\p{L}{1,3}|%|°\p{L}?)?")
+_EXACT = np.uint64(0xD1B54A32D192ED03)      # sets keys of words with their values apart from template keys
 _SLICE = 1 << 19                # bytes worked on at a time
 _STEP = np.uint64(0x9E3779B97F4A7C15 | 1)
 
@@ -63,34 +67,77 @@ class _Powers:
 
 @dataclass
 class Words:
-    """Canonical words of several texts: hash, kind and span of each; ``bounds``: words of text i are bounds[i]:bounds[i + 1]."""
+    """Canonical words of several texts: hash, kind and span of each; ``bounds``: words of text i are bounds[i]:bounds[i + 1].
+
+    ``wide``: the kinds if capitalised words that begin a sentence are names too; ``plain``: hashes of the words themselves.
+    """
     raw: bytes
     hashes: np.ndarray
     kinds: np.ndarray
     first: np.ndarray
     last: np.ndarray
     bounds: np.ndarray
+    wide: np.ndarray
+    plain: np.ndarray
 
-    def slots(self, at: int, size: int) -> list[str]:
+    def slots(self, at: int, size: int, kinds: np.ndarray | None = None) -> list[str]:
         """Values of the placeholders among ``size`` words, in order, as ``kind:value``."""
-        return [f"{self.kinds[i]}:{self.raw[self.first[i]:self.last[i]].decode('utf-8', 'replace')}"
-                for i in range(at, at + size) if self.kinds[i]]
-
-    def windows(self, size: int, min_literals: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places and hashes of the windows of ``size`` words within one text that have enough literal words."""
-        n = len(self.hashes) - size + 1
-        if n <= 0:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        out = np.full(n, size, np.uint64)
-        for j in range(size):
-            out *= _STEP
-            out += self.hashes[j:j + n]
-        literal = np.concatenate([[0], np.cumsum(self.kinds == WORD)])
-        good = literal[size:] - literal[:-size] >= min(min_literals, size)
+        kinds = self.kinds if kinds is None else kinds
+        return [f"{kinds[i]}:{self.raw[self.first[i]:self.last[i]].decode('utf-8', 'replace')}"
+                for i in range(at, at + size) if kinds[i]]
+
+    def _places(self, size: int) -> np.ndarray:
+        """Mask of the places whose ``size`` words lie within one text."""
+        n = max(0, len(self.hashes) - size + 1)
+        good = np.ones(n, bool)
         for end in self.bounds[1:-1].tolist():              # windows must not run into the next text
             good[max(0, end - size + 1):min(end, n)] = False
-        at = np.flatnonzero(good)
-        return at, mix64(out[at])
+        return good
+
+    def windows(self, size: int, min_literals: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places and keys of the windows of ``size`` words within one text.
+
+        The key hashes the template if enough words are literal, else the words with their values.
+        """
+        at = np.flatnonzero(self._places(size))
+        rich = enough(self.kinds, size, min_literals)[at]
+        keys = np.empty(len(at), np.uint64)
+        keys[rich] = _rolled(self.hashes, size)[at[rich]]
+        keys[~rich] = _EXACT ^ _rolled(self.plain, size)[at[~rich]] if not rich.all() else 0
+        return at, mix64(keys)
+
+    def wide_templates(self, size: int, min_literals: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places and template keys in the wide form, for the windows in which it differs and has enough literal words."""
+        other = _counts(self.wide != self.kinds, size) > 0
+        at = np.flatnonzero(self._places(size) & enough(self.wide, size, min_literals) & other)
+        return at, mix64(_rolled(np.where(self.wide > 0, _MARKS[self.wide], self.plain), size)[at])
+
+    def exact(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places and keys of all windows by their words with their values, whatever kind these are."""
+        at = np.flatnonzero(self._places(size))
+        return at, mix64(_EXACT ^ _rolled(self.plain, size)[at])
+
+
+def _rolled(hashes: np.ndarray, size: int) -> np.ndarray:
+    n = max(0, len(hashes) - size + 1)
+    out = np.full(n, size, np.uint64)
+    for j in range(size):
+        out *= _STEP
+        out += hashes[j:j + n]
+    return out
+
+
+def _counts(mask: np.ndarray, size: int) -> np.ndarray:
+    """How many of each ``size`` consecutive words are in the mask."""
+    if len(mask) < size:
+        return np.zeros(0, np.int64)
+    sums = np.concatenate([[0], np.cumsum(mask)])
+    return sums[size:] - sums[:-size]
+
+
+def enough(kinds: np.ndarray, size: int, min_literals: int) -> np.ndarray:
+    """Mask of the windows with enough literal words for a template."""
+    return _counts(kinds == WORD, size) >= min(min_literals, size)
 
 
 def _lowered(text: bytes) -> bytes:
@@ -177,13 +224,15 @@ def canonical_words(texts: list[bytes]) -> Words:
     kinds = np.zeros(len(h), np.int64)
     initial = opens.copy()
     initial[1:] |= ends[:-1]
-    kinds[capital & ~initial] = NAME
+    kinds[capital] = NAME
     kinds[_among(h, _UNIT_HASHES)] = UNIT
     kinds[_among(h, _NUMBER_HASHES)] = NUMBER
     for i in np.flatnonzero(digit).tolist():
         if _NUMBER.fullmatch(raw[first[i]:last[i]].decode("utf-8", "replace")):
             kinds[i] = NUMBER
+    wide = kinds
+    kinds = np.where((wide == NAME) & initial, WORD, wide)
     hashes = np.where(kinds > 0, _MARKS[kinds], h)
     starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
     bounds = np.searchsorted(first, starts[:-1]) if len(texts) else np.zeros(0, np.int64)
-    return Words(raw, hashes, kinds, first, last, np.append(bounds, len(h)))
+    return Words(raw, hashes, kinds, first, last, np.append(bounds, len(h)), wide, h)

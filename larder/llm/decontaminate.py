@@ -7,7 +7,8 @@ whose numbers or names were exchanged has the template of the original.
 1. Windows of ``window`` canonical words of all benchmark items are hashed (an item
    with fewer words is one window). A bounded Bloom filter of the hashes is probed
    with every window of every document; hits go to a hash join with the item windows.
-   Windows need ``min_literals`` words that are not slots.
+   A window with fewer than ``min_literals`` words that are not slots says little as a
+   template: it is hashed with its values, and matches where the words are the same.
 2. Hits of one document and item on one diagonal (document place minus item place)
    are an aligned match. Slots must be consistent: a value of the item stands for
    one value in the document. Windows with a slot value that maps to two are dropped.
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.bloom import filter_words, probe, split_by_keys
-from larder.llm.canonical import Words, canonical_words
+from larder.llm.canonical import Words, canonical_words, enough
 from larder.llm.common import bounded_batches, mix64, packed, utf8_column, written
 from larder.llm.near_dedup import keyed
 
@@ -45,28 +46,52 @@ class DecontaminationParams:
     max_blocks: int = 1 << 18
 
 
+def keyed_windows(words: Words, size: int, min_literals: int, exact: np.ndarray
+                  ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | None, bool]]:
+    """Places, keys, kinds of the slots (None: no slots, the words are the same) and whether it is the first form.
+
+    ``exact``: mask of the places that have the exact key besides that of their template.
+    """
+    at, wh = words.windows(size, min_literals)
+    rich = enough(words.kinds, size, min_literals)[at]
+    yield at[rich], wh[rich], words.kinds, True
+    yield at[~rich], wh[~rich], None, True
+    if exact.any():
+        at, wh = words.exact(size)
+        more = rich & exact[at]
+        yield at[more], wh[more], None, True
+
+
 def item_windows(items: DataFrame, params: DecontaminationParams) -> DataFrame:
-    """(item_id, words, size, pos, wh, wh2, item_slots): all windows of all items."""
+    """(item_id, words, size, pos, wh, wh2, item_slots, exact, item_first): all windows of all items.
+
+    ``exact``: keyed by the words themselves; ``item_first``: in the first form.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words = canonical_words([text.encode()])
                 size = min(params.window, len(words.hashes))
-                if size:
-                    for at, wh in zip(*map(np.ndarray.tolist, words.windows(size, params.min_literals)), strict=True):
-                        out.append((item, len(words.hashes), size, at, wh, words.slots(at, size)))
-            columns = list(zip(*out, strict=True)) if out else [()] * 6
+                if not size:
+                    continue
+                poor = ~enough(words.wide, size, params.min_literals)
+                for places, keys, kinds, first in keyed_windows(words, size, params.min_literals, poor):
+                    for at, wh in zip(places.tolist(), keys.tolist(), strict=True):
+                        slots = [] if kinds is None else words.slots(at, size, kinds)
+                        out.append((item, len(words.hashes), size, at, wh, slots, kinds is None, first))
+            columns = list(zip(*out, strict=True)) if out else [()] * 8
             wh = np.array(columns[4], np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int32()),
                  pa.array(columns[3], pa.int32()), pa.array(wh.view(np.int64)), pa.array(mix64(wh).view(np.int64)),
-                 pa.array(columns[5], pa.list_(pa.string()))],
-                names=["item_id", "words", "size", "pos", "wh", "wh2", "item_slots"])
+                 pa.array(columns[5], pa.list_(pa.string())), pa.array(columns[6], pa.bool_()), pa.array(columns[7], pa.bool_())],
+                names=["item_id", "words", "size", "pos", "wh", "wh2", "item_slots", "exact", "item_first"])
 
     return (items.select(F.col("item_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
             .where("item_id IS NOT NULL").dropDuplicates().mapInArrow(
-                run, "item_id bigint, words int, size int, pos int, wh bigint, wh2 bigint, item_slots array<string>"))
+                run, "item_id bigint, words int, size int, pos int, wh bigint, wh2 bigint, item_slots array<string>, "
+                     "exact boolean, item_first boolean"))
 
 
 def units_of(batch: pa.RecordBatch) -> Iterator[tuple[int, Words]]:
@@ -81,43 +106,51 @@ def units_of(batch: pa.RecordBatch) -> Iterator[tuple[int, Words]]:
         at = end
 
 
-def document_hits(docs: DataFrame, words: np.ndarray, sizes: list[int], params: DecontaminationParams) -> DataFrame:
-    """(__at, __fp, wh, at, doc_slots): document windows that the filter passes (columns __at, __fp, text)."""
+def document_hits(docs: DataFrame, words: np.ndarray, sizes: dict[int, bool], params: DecontaminationParams) -> DataFrame:
+    """(__at, __fp, wh, at, doc_slots, doc_first): document windows that the filter passes (columns __at, __fp, text).
+
+    ``sizes``: for each window size whether some item window of it is keyed by its words.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, found, places, slots = [], [], [], []
+            rows, found, places, slots, firsts = [], [], [], [], []
             for offset, words in units_of(batch):
-                for size in sizes:
-                    at, wh = words.windows(size, params.min_literals)
-                    for h in np.flatnonzero(probe(shared.value, wh.view(np.int64), mix64(wh).view(np.int64))).tolist():
-                        text = int(np.searchsorted(words.bounds, at[h], side="right")) - 1
-                        rows.append(offset + text)
-                        places.append(int(at[h] - words.bounds[text]))
-                        found.append(int(wh.view(np.int64)[h]))
-                        slots.append(words.slots(int(at[h]), size))
+                for size, exact in sizes.items():
+                    every = np.full(max(0, len(words.hashes) - size + 1), exact)
+                    for at, wh, kinds, first in keyed_windows(words, size, params.min_literals, every):
+                        for h in np.flatnonzero(probe(shared.value, wh.view(np.int64), mix64(wh).view(np.int64))).tolist():
+                            text = int(np.searchsorted(words.bounds, at[h], side="right")) - 1
+                            rows.append(offset + text)
+                            places.append(int(at[h] - words.bounds[text]))
+                            found.append(int(wh.view(np.int64)[h]))
+                            slots.append([] if kinds is None else words.slots(int(at[h]), size, kinds))
+                            firsts.append(first)
             take = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(take), batch.column(1).take(take), pa.array(found, pa.int64()),
-                 pa.array(places, pa.int32()), pa.array(slots, pa.list_(pa.string()))],
-                names=["__at", "__fp", "wh", "at", "doc_slots"])
+                 pa.array(places, pa.int32()), pa.array(slots, pa.list_(pa.string())), pa.array(firsts, pa.bool_())],
+                names=["__at", "__fp", "wh", "at", "doc_slots", "doc_first"])
 
     return docs.select("__at", "__fp", "text").mapInArrow(
-        run, "__at bigint, __fp bigint, wh bigint, at int, doc_slots array<string>")
+        run, "__at bigint, __fp bigint, wh bigint, at int, doc_slots array<string>, doc_first boolean")
 
 
 def leaks(docs: DataFrame, items: DataFrame, params: DecontaminationParams = DecontaminationParams()) -> DataFrame:
     """Contaminated (document, item) pairs of keyed documents: __at, __fp, item_id, item_words, covered, share, changed_slots."""
     bounded_batches(docs.sparkSession)
     windows = written(item_windows(items, params), "item-windows")
-    sizes = sorted(r[0] for r in windows.select("size").distinct().collect())       # at most ``window`` values
+    sizes = {r["size"]: r["exact"] for r in                                         # at most ``window`` rows
+             windows.groupBy("size").agg(F.max("exact").alias("exact")).orderBy("size").collect()}
     words = filter_words(windows, F.array("wh", "wh2"), params.max_blocks)
     hits = document_hits(docs, words, sizes, params).distinct()
-    matched = (hits.join(windows.drop("wh2"), "wh")
+    forms = F.when(F.col("item_first") & F.col("doc_first"), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(2)))
+    matched = (hits.join(windows.drop("wh2", "exact"), "wh")
                .where(F.size("doc_slots") == F.size("item_slots"))
                .withColumn("pairs", F.arrays_zip("item_slots", "doc_slots"))
-               .groupBy("__at", "__fp", "item_id", (F.col("at") - F.col("pos")).alias("diagonal"))
+               .withColumn("form", F.explode(forms))
+               .groupBy("__at", "__fp", "item_id", (F.col("at") - F.col("pos")).alias("diagonal"), "form")
                .agg(F.first("words").alias("words"), F.collect_set(F.struct("pos", "size", "pairs")).alias("hits")))
     values = F.array_distinct(F.flatten(F.transform("hits", lambda h: h["pairs"])))
     unclear = F.array_distinct(F.transform(F.filter("values", lambda p: F.size(F.filter(

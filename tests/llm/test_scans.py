@@ -90,6 +90,23 @@ def test_decontamination_stage_keeps_clean_rows(spark):
     assert dec.drop_contaminated(edge.documents(spark, []), items_table(spark)).count() == 0
 
 
+def pairs_of(spark, rows, items):
+    docs = edge.documents(spark, [(i, t, "a") for i, t in rows])
+    return {(r["doc_id"], r["item_id"]): r for r in dec.contaminated_pairs(docs, items_table(spark, items)).collect()}
+
+
+def test_decontamination_finds_copies_of_items_with_few_literals(spark):
+    items = [(1, "Where did Marie Curie die?"), (2, "Who wrote Hamlet and Macbeth?"), (3, "3 kg 5 kg 8 kg 13 kg 21 kg"),
+             (4, "Sum of 4 8 15 16 23 42 108 and 7 is")]
+    rows = [(i, f"some words before it. {t} And after") for i, t in items]
+    rows += [(10 + i, f"a book that asks {t.lower()} in small letters") for i, t in items]
+    rows += [(20, "Where did Anna Schmidt die?"), (21, "Who wrote Faust and Egmont?"), (22, "4 kg 6 kg 9 kg 14 kg 22 kg"),
+             (23, "Where did Marie"), (24, "Sum of 5 9 16 17 24 43 109 and 8 is")]
+    found = pairs_of(spark, rows, items)
+    assert set(found) == {(i, i) for i, _ in items} | {(10 + i, i) for i, _ in items}
+    assert all(r["share"] == 1.0 and r["changed_slots"] == 0 for r in found.values())
+
+
 def test_decontamination_whole_table(spark):
     docs = [tuple(r) for r in spark.read.parquet(SF_SMALL + "/documents.parquet").select("doc_id", "text").collect()]
     items = [tuple(r) for r in spark.read.parquet(SF_SMALL + "/benchmark.parquet").collect()]
