@@ -9,9 +9,12 @@ whose numbers or names were exchanged has the template of the original.
    with every window of every document; hits go to a hash join with the item windows.
    A window with fewer than ``min_literals`` words that are not slots says little as a
    template: it is hashed with its values, and matches where the words are the same.
+   Windows with a capitalised word that begins a sentence are also hashed in a second form
+   in which it is a name, so that neither a subject's name nor a line break hides a copy.
 2. Hits of one document and item on one diagonal (document place minus item place)
    are an aligned match. Slots must be consistent: a value of the item stands for
    one value in the document. Windows with a slot value that maps to two are dropped.
+   This is judged for the hits in the first form alone, and for those in either form.
 3. A document is contaminated by an item if the remaining windows of a diagonal cover
    ``share`` of the item's words, or ``long_match`` words.
 
@@ -56,6 +59,7 @@ def keyed_windows(words: Words, size: int, min_literals: int, exact: np.ndarray
     rich = enough(words.kinds, size, min_literals)[at]
     yield at[rich], wh[rich], words.kinds, True
     yield at[~rich], wh[~rich], None, True
+    yield *words.wide_templates(size, min_literals), words.wide, False
     if exact.any():
         at, wh = words.exact(size)
         more = rich & exact[at]

@@ -107,6 +107,25 @@ def test_decontamination_finds_copies_of_items_with_few_literals(spark):
     assert all(r["share"] == 1.0 and r["changed_slots"] == 0 for r in found.values())
 
 
+def test_decontamination_names_that_begin_sentences(spark):
+    question = "{0} has 12 apples. {0} buys 5 pears. {0} eats 3 of them. How many are left?"
+    wrapped = "A long walk took Peter and the dog to the village where Martha sold the last of her bread"
+    items = [(1, question.format("Anna")), (2, wrapped)]
+
+    def plain(text):            # every capitalised word a name, every number a number
+        words = [w.strip(".?,") for w in text.split()]
+        return ["#" if w.isdigit() else "@" if w[:1].isupper() and len(w) > 1 else w.lower() for w in words]
+
+    rows = [(1, question.format("Carl")), (2, question.format("Anna").replace(".", "")), (3, wrapped.replace(" Martha", "\nMartha")),
+            (4, wrapped.replace(" Peter", ".\nPeter")), (5, "Carl has 12 apples. Dora buys 5 pears. Egon eats 3 of them. So be it?"),
+            (6, "Carl sells 9 plums. Carl eats 2 nuts now.")]
+    want = {(i, k) for i, t in rows for k, item in items if plain(t) == plain(item)}
+    assert want == {(1, 1), (2, 1), (3, 2), (4, 2)}
+    found = pairs_of(spark, rows, items)
+    assert set(found) == want and all(r["share"] == 1.0 for r in found.values())
+    assert found[1, 1]["changed_slots"] == 1 and found[2, 1]["changed_slots"] == 0
+
+
 def test_decontamination_whole_table(spark):
     docs = [tuple(r) for r in spark.read.parquet(SF_SMALL + "/documents.parquet").select("doc_id", "text").collect()]
     items = [tuple(r) for r in spark.read.parquet(SF_SMALL + "/benchmark.parquet").collect()]
