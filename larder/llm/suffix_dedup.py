@@ -19,6 +19,10 @@ judged on the input.
    also stand in a smaller document is repeated as a whole). Runs seen repeated
    are remembered by the task, so a passage in every document reaches a bucket
    about once per task.
+   A passage in very many documents leaves runs at its edges that hold each document's own
+   context: all different, with one smallest hash. Where a hash has more than ``hot_runs``
+   runs, each of its suffixes travels as a run of its own, dealt by a hash of all its
+   bytes, so equal ones still meet and the others spread over the buckets.
 4. *Sorting.* A task sorts one bucket at a time (about ``bucket_bytes`` of text to a
    bucket; buckets grow in number, not in size): equal runs are merged, and the suffixes of runs
    that share their smallest hash with another run are sorted by difference cover
@@ -60,6 +64,7 @@ class DedupParams:
     length: int = 50
     bucket_bytes: int = 24 << 20
     filter_bytes: int = 48 << 20
+    hot_runs: int = 4096
 
 
 def gram_hashes(text: np.ndarray) -> np.ndarray:
@@ -119,6 +124,35 @@ def cut_runs(text: np.ndarray, offsets: np.ndarray, length: int) -> Runs:
     return Runs(long_enough[which], start, count, place, value)
 
 
+def single_suffixes(text: np.ndarray, runs: Runs, which: np.ndarray, length: int) -> tuple[Runs, np.ndarray]:
+    """The runs ``which`` cut into runs of one suffix each, and a hash of all ``length`` bytes of each.
+
+    ``text`` must have 8 spare bytes at its end.
+    """
+    counts = runs.count[which]
+    each = np.repeat(which, counts)
+    ends = np.cumsum(counts)
+    start = runs.start[each] + np.arange(len(each)) - np.repeat(ends - counts, counts)
+    # the run's smallest hash may stand at several places: take one within the suffix's own bytes
+    place = runs.start[each] + runs.place[each] - start
+    for j in range(length - GRAM + 1):
+        lost = np.flatnonzero(place < 0)
+        if not len(lost):
+            break
+        at = start[lost] + j
+        hit = gram_hash(text, at) == runs.value[each[lost]]
+        place[lost[hit]] = j
+    view = np.ndarray((len(text) - 7,), "<u8", text, 0, (1,))
+    key = np.zeros(len(start), np.uint64)
+    for j in sorted({*range(0, length - 7, 8), length - 8}):
+        key = mix64(key * np.uint64(0x9E3779B97F4A7C15) ^ view[start + j])
+    return Runs(runs.piece[each], start, np.ones(len(each), np.int64), place, runs.value[each]), key
+
+
+def joined(a: Runs, b: Runs) -> Runs:
+    return Runs(*(np.concatenate([getattr(a, f), getattr(b, f)]) for f in ("piece", "start", "count", "place", "value")))
+
+
 @dataclass
 class Remembered:
     """Runs a task has seen repeated, with the smallest document so far, and their signs."""
@@ -294,6 +328,7 @@ def refined_counts(values: np.ndarray) -> np.ndarray:
 
 _EMIT = 200_000         # ranges gathered before they are written out
 _HASHES = 500_000     # run hashes gathered before they are written out
+_MAX_HOT = 1 << 22      # hot hashes at most (a run holds a byte of text at least)
 _BITS = 32              # filter bits per shared hash, while they fit
 
 
@@ -310,10 +345,17 @@ def from_planes(data: bytes) -> np.ndarray:
 
 @dataclass
 class HashFilter:
-    """Bit arrays of the shared run hashes, one slice per part of the hashes."""
+    """Bit arrays of the shared run hashes, one slice per part of the hashes; ``hot``: sorted, of those with very many runs."""
     bits: np.ndarray
     start: np.ndarray
     size: np.ndarray
+    hot: np.ndarray
+
+    def is_hot(self, values: np.ndarray) -> np.ndarray:
+        if not len(self.hot):
+            return np.zeros(len(values), bool)
+        short = values >> np.uint64(16)
+        return self.hot[np.minimum(np.searchsorted(self.hot, short), len(self.hot) - 1)] == short
 
     def passes(self, values: np.ndarray) -> np.ndarray:
         part, rest = split_hash(values, len(self.size))
@@ -337,8 +379,8 @@ def runs_of(batch: pa.RecordBatch, length: int):
             yield ids, doc, begin, piece, bounds, runs
 
 
-def shared_hashes(docs: DataFrame, length: int, parts: int, filter_bytes: int) -> HashFilter:
-    """Filter over the run hashes that occur in two documents."""
+def shared_hashes(docs: DataFrame, length: int, parts: int, filter_bytes: int, hot_runs: int) -> HashFilter:
+    """Filter over the run hashes that occur in two documents, and those of more than ``hot_runs`` runs."""
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1)
         hashes, owners = [], []
@@ -352,14 +394,16 @@ def shared_hashes(docs: DataFrame, length: int, parts: int, filter_bytes: int) -
             part, rest, owner = part[order], rest[order], owner[order]
             first = np.flatnonzero(np.concatenate([[True], (rest[1:] != rest[:-1]) | (part[1:] != part[:-1])]))
             several = np.minimum.reduceat(owner, first) < np.maximum.reduceat(owner, first)
+            times = np.diff(np.append(first, len(part))).astype(np.uint32)
             part, rest = part[first], rest[first]
             rows = []
             for p, (lo, hi) in zip(*parts_of(part), strict=True):
-                rows.append((p, squeeze.compress(planes(rest[lo:hi])), np.packbits(several[lo:hi]).tobytes()))
+                rows.append((p, squeeze.compress(planes(rest[lo:hi])), np.packbits(several[lo:hi]).tobytes(),
+                             squeeze.compress(times[lo:hi].tobytes())))
             columns = list(zip(*rows, strict=True))
             return pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.binary())],
-                names=["part", "hashes", "several"])
+                [pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])],
+                names=["part", "hashes", "several", "times"])
 
         for batch in batches:
             for ids, doc, _, _, _, runs in runs_of(batch, length):
@@ -375,39 +419,43 @@ def shared_hashes(docs: DataFrame, length: int, parts: int, filter_bytes: int) -
         current, held = None, []
 
         def bitmap() -> pa.RecordBatch:
-            value = np.concatenate([h for h, _ in held])
-            known = np.concatenate([k for _, k in held])
+            value, known, times = (np.concatenate([h[i] for h in held]) for i in range(3))
             held.clear()
             order = np.argsort(value)
-            value, known = value[order], known[order]
+            value, known, times = value[order], known[order], times[order]
             again = np.concatenate([value[1:] == value[:-1], [False]])
             shared = np.unique(value[again | known])
+            first = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
+            hot = value[first][np.add.reduceat(times.astype(np.int64), first) > hot_runs]
             n_bytes = min(filter_bytes // parts, -(-len(shared) * _BITS // 8))
             bits = np.zeros(n_bytes * 8, bool)
             if n_bytes:
                 bits[(mix64(shared) % np.uint64(len(bits))).astype(np.int64)] = True
             return pa.RecordBatch.from_arrays(
-                [pa.array([current], pa.int32()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())],
-                names=["part", "bits"])
+                [pa.array([current], pa.int32()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary()),
+                 pa.array([hot.tobytes()], pa.binary())], names=["part", "bits", "hot"])
 
         for batch in batches:
-            for part, hashes, several in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for part, hashes, several, times in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 if held and part != current:
                     yield bitmap()
                 current = part
                 value = from_planes(open_.decompress(hashes))
-                held.append((value, np.unpackbits(np.frombuffer(several, np.uint8), count=len(value)).astype(bool)))
+                held.append((value, np.unpackbits(np.frombuffer(several, np.uint8), count=len(value)).astype(bool),
+                             np.frombuffer(open_.decompress(times), np.uint32)))
         if held:
             yield bitmap()
 
-    rows = (docs.select("__at", "__fp", "__blk", "text").mapInArrow(send, "part int, hashes binary, several binary")
+    rows = (docs.select("__at", "__fp", "__blk", "text").mapInArrow(send, "part int, hashes binary, several binary, times binary")
             .repartition(parts, "part").sortWithinPartitions("part")
-            .mapInArrow(count, "part int, bits binary").collect())         # at most filter_bytes in all
+            .mapInArrow(count, "part int, bits binary, hot binary").collect())     # at most filter_bytes and 8 bytes a hot hash
     slices: list[bytes] = [b""] * parts
+    hot = [np.zeros(0, np.uint64)]
     for row in rows:
         slices[row["part"]] = bytes(row["bits"])
+        hot.append(np.frombuffer(bytes(row["hot"]), np.uint64) * np.uint64(parts) + np.uint64(row["part"]))
     size = np.array([8 * len(x) for x in slices], np.int64)
-    return HashFilter(np.frombuffer(b"".join(slices) or b"\0", np.uint8), np.cumsum(size) - size, size)
+    return HashFilter(np.frombuffer(b"".join(slices) or b"\0", np.uint8), np.cumsum(size) - size, size, np.sort(np.concatenate(hot)))
 
 
 def parts_of(part: np.ndarray) -> tuple[list[int], list[tuple[int, int]]]:
@@ -420,7 +468,8 @@ def repeated_ranges(docs: DataFrame, params: DedupParams, n_parts: int, n_bytes:
     """Rows (__blk, __payload): packed repeated ranges of documents (columns __at, __fp, __blk, text)."""
     length = params.length
     n_buckets = max(4 * n_parts, -(-n_bytes // params.bucket_bytes))
-    shared = docs.sparkSession.sparkContext.broadcast(shared_hashes(docs, length, n_parts, params.filter_bytes))
+    hot_runs = max(params.hot_runs, n_bytes // _MAX_HOT)
+    shared = docs.sparkSession.sparkContext.broadcast(shared_hashes(docs, length, n_parts, params.filter_bytes, hot_runs))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         remembered = Remembered({}, set())
@@ -432,13 +481,28 @@ def repeated_ranges(docs: DataFrame, params: DedupParams, n_parts: int, n_bytes:
                 if not len(runs.start):
                     continue
                 padded = np.concatenate([piece, np.zeros(8, np.uint8)])
+                raw = padded.tobytes()
+
+                def settle(runs: Runs) -> np.ndarray:
+                    """Which runs are not settled within the task; the ranges of the others are kept."""
+                    size, in_doc = runs.count + length - 1, doc[runs.piece]
+                    at = runs.start - bounds[runs.piece] + begin[runs.piece]
+                    settled = runs_equal_to_earlier(raw, runs.start, size, ids[in_doc, 0], remembered)
+                    settled_ranges.append((ids[in_doc[settled]], at[settled], (at + size)[settled]))
+                    return np.flatnonzero(~settled)
+
+                runs = runs.where(settle(runs))
+                key, hot = runs.value, shared.value.is_hot(runs.value)
+                if hot.any():
+                    single, own = single_suffixes(padded, runs, np.flatnonzero(hot), length)
+                    left = settle(single)
+                    runs = joined(runs.where(~hot), single.where(left))
+                    key = np.concatenate([key[~hot], own[left]])
                 size = runs.count + length - 1
                 in_doc = doc[runs.piece]
                 place_in_doc = runs.start - bounds[runs.piece] + begin[runs.piece]
-                settled = runs_equal_to_earlier(padded.tobytes(), runs.start, size, ids[in_doc, 0], remembered)
-                settled_ranges.append((ids[in_doc[settled]], place_in_doc[settled], (place_in_doc + size)[settled]))
-                send = np.flatnonzero(~settled)
-                bucket = (mix64(runs.value[send]) % np.uint64(n_buckets)).astype(np.int64)
+                send = np.arange(len(runs.start))
+                bucket = (mix64(key) % np.uint64(n_buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 rows = []
                 for b, (lo, hi) in zip(*parts_of(bucket[order]), strict=True) if len(send) else ():

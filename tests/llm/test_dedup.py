@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from larder.llm import hyperminhash as hmh
+from larder.llm import suffix_dedup
 from larder.llm.near_dedup import NearParams, keep_one_of_each, near_duplicates
 from larder.llm.queries import op2_suffix_dedup, op4_near_dedup
 from larder.llm.suffix_dedup import DedupParams, cut_runs, dedup_report, from_planes, merged, planes, remove_repeats
@@ -82,6 +83,44 @@ def test_dedup_whole_table(spark):
     assert sorted(got) == sorted(exp)
 
 
+def shared_passage(n):
+    """One passage in ``n`` documents, each with its own words around it."""
+    rng = np.random.default_rng(9)
+
+    def own():
+        return bytes(rng.integers(97, 123, 80).astype(np.uint8)).decode()
+    return [(i, own() + edge.PASSAGE + own(), "a") for i in range(n)]
+
+
+def test_edges_of_a_common_passage_spread_over_buckets(spark):
+    rows = shared_passage(400)
+    docs = edge.documents(spark, rows).select(
+        F.col("doc_id").alias("__at"), F.xxhash64("text").alias("__fp"), F.lit(0).alias("__blk"), "text")
+    sizes = []
+    real = type(docs).repartition
+
+    def seen(self, n, *cols):
+        if cols == ("bucket",):
+            packed = self.collect()
+            for b in {r["bucket"] for r in packed if r["bucket"] >= 0}:
+                opened = [suffix_dedup.unpack(r["__payload"], suffix_dedup.zstandard.ZstdDecompressor()) for r in packed if r["bucket"] == b]
+                sizes.append(sum(len(x[1]) for x in opened))
+        return real(self, n, *cols)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(docs), "repartition", seen)
+        suffix_dedup.repeated_ranges(docs, DedupParams(hot_runs=50), 16, 100)
+    assert max(sizes) < 0.1 * sum(sizes)
+
+
+def test_dedup_hot_hashes(spark):
+    rows = shared_passage(60) + [(i + 100, t, s) for i, t, s in short_rows() if i is not None]
+    want = edge.dedup_rows([(i, (t or "").encode()) for i, t, _ in rows])
+    for hot in (0, 20):
+        got = [tuple(r) for r in dedup_report(edge.documents(spark, rows), DedupParams(hot_runs=hot)).collect()]
+        assert sorted(got) == sorted(want)
+
+
 def test_dedup_empty_table(spark):
     empty = edge.documents(spark, [])
     assert dedup_report(empty).count() == 0 and remove_repeats(empty).count() == 0
