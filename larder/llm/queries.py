@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,9 +11,11 @@ from pyspark.sql import functions as F
 from larder.llm.common import id_remainder
 from larder.llm.decontaminate import contaminated_pairs
 from larder.llm.licenses import scan_licenses
+from larder.llm.merkle import verified_manifest
 from larder.llm.mixing import mixture
 from larder.llm.near_dedup import NearParams, near_duplicates
 from larder.llm.oracles import ORACLES  # noqa: F401  (read by __spark_entry__)
+from larder.llm.periodic import periodic_runs
 from larder.llm.quality import classify_quality
 from larder.llm.suffix_dedup import dedup_report
 from larder.llm.syncmers import compare_with_next
@@ -82,6 +85,26 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def repeated_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of a document, with the tail of every tenth one (by the hash of its id) made periodic."""
+    if doc_id is None or not words:
+        return words
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    return words[:a] + [words[a + i % (1 + (n - a) // (3 + g % 8))] for i in range(n - a)]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(table(spark, sf_dir, "documents"), rewrite=repeated_tail)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verified_manifest(table(spark, sf_dir, "documents"), id_remainder(F.col("doc_id"), 2) == 0)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -93,4 +116,6 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_token_counts": op9_token_counts,
     "op10_url_filter": op10_url_filter,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
