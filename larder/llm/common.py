@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,6 +70,25 @@ def utf8_column(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarra
     return whole[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def keyed_tables(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[pa.Table]:
+    """One table per key (the first ``n_keys`` columns, integers) from rows sorted by it."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(k).to_numpy() for k in range(n_keys)], axis=1)
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            if held and last != keys[lo].tolist():
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(lo, hi - lo))
+            last = keys[lo].tolist()
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def mix64(h: np.ndarray) -> np.ndarray:
     """Finalising mix of 64-bit values (uint64, wrapping)."""
     h = h ^ (h >> np.uint64(33))

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
-from larder.llm.common import bounded_batches, written
+from larder.llm.common import bounded_batches, keyed_tables, written
 
 ARITY = 3
 _DIGEST = 32
@@ -189,25 +189,6 @@ def leaves_of(docs: DataFrame, tampered: Column) -> DataFrame:
 
 # --- blocks
 
-def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """One table per (tree, block) from rows sorted by both (the first two columns)."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        tree, block = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        cuts = [0, *(np.flatnonzero((tree[1:] != tree[:-1]) | (block[1:] != block[:-1])) + 1).tolist(), batch.num_rows]
-        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-            if held and last != (tree[lo], block[lo]):
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(lo, hi - lo))
-            last = (tree[lo], block[lo])
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def blocks_of(leaves: DataFrame, params: MerkleParams, *carried: str) -> DataFrame:
     """tree, block, n (leaves of the tree), filled (leaves of the block), nodes, and the carried columns as arrays."""
     width, limit = ARITY ** params.height, params.height
@@ -217,7 +198,7 @@ def blocks_of(leaves: DataFrame, params: MerkleParams, *carried: str) -> DataFra
         schema = schema.add(StructField(c, ArrayType(leaves.schema[c].dataType)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _whole_blocks(batches):
+        for rows in keyed_tables(batches, 2):
             n, size = rows.column("n")[0].as_py(), rows.num_rows
             arrays = [rows.column(c).combine_chunks() for c in carried]
             if size != min(width, n - rows.column("block")[0].as_py() * width):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from larder.llm.common import id_remainder
 from larder.llm.decontaminate import contaminated_pairs
+from larder.llm.embedding_dedup import linked_vectors
 from larder.llm.licenses import scan_licenses
 from larder.llm.merkle import verified_manifest
 from larder.llm.mixing import mixture
@@ -101,6 +102,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs(table(spark, sf_dir, "documents"), rewrite=repeated_tail)
 
 
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verified_manifest(table(spark, sf_dir, "documents"), id_remainder(F.col("doc_id"), 2) == 0)
 
@@ -117,5 +122,6 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_url_filter": op10_url_filter,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_embedding_dedup": op12_embedding_dedup,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
