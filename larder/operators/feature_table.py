@@ -30,7 +30,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,7 +89,7 @@ def snapshot_version(path: str) -> int:
     return int(m.group(1))
 
 
-def _keys(primary_keys: str | Sequence[str]) -> tuple[str, ...]:
+def primary_key_tuple(primary_keys: str | Sequence[str]) -> tuple[str, ...]:
     keys = (primary_keys,) if isinstance(primary_keys, str) else tuple(primary_keys)
     if not keys:
         raise ValueError("a feature table needs at least one primary-key column")
@@ -113,7 +113,7 @@ def create_feature_table(spark: SparkSession, name: str, primary_keys: str | Seq
     """
     if feature_table_exists(spark, name):
         return False
-    keys = _keys(primary_keys)
+    keys = primary_key_tuple(primary_keys)
     missing = [k for k in keys if k not in schema.fieldNames()]
     if missing:
         raise ValueError(f"primary keys {missing} are not columns of the schema")
@@ -129,12 +129,16 @@ def create_feature_table(spark: SparkSession, name: str, primary_keys: str | Seq
     return True
 
 
+def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {quote_ident(name)}").collect()}
+
+
 def get_feature_table(spark: SparkSession, name: str) -> FeatureTable:
     """Metadata of a feature table (raises ``ValueError`` if the table is not one)."""
     if not feature_table_exists(spark, name):
         raise ValueError(f"feature table {name} does not exist")
-    props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {quote_ident(name)}").collect()}
-    if PROP_KEYS not in props:
+    props = table_properties(spark, name)
+    if PROP_KEYS not in props or PROP_VERSION not in props:
         raise ValueError(f"table {name} is not a feature table (no primary key recorded)")
     buckets = int(props.get(PROP_BUCKETS, "0")) or None
     location = table_location(spark, name)
@@ -159,7 +163,7 @@ def check_keys(df: DataFrame, primary_keys: str | Sequence[str]) -> None:
     shuffle, so a heavily repeated key costs one row per map task); at most one
     offending key reaches the driver.
     """
-    keys = _keys(primary_keys)
+    keys = primary_key_tuple(primary_keys)
     any_null = F.lit(False)
     for k in keys:
         any_null = any_null | F.col(k).isNull()
@@ -216,16 +220,40 @@ def align_to(df: DataFrame, target_schema: T.StructType) -> DataFrame:
                       for f in target_schema.fields])
 
 
-def upsert_plan(target: DataFrame, source: DataFrame, primary_keys: Sequence[str]) -> DataFrame:
+def row_rank(df: DataFrame, keys: Sequence[str], order_by: str) -> Column:
+    """How new a row is: its ``order_by`` (NULL is older than any value), then its other columns in order."""
+    others = [c for c in df.columns if c not in keys and c != order_by and "map<" not in df.schema[c].dataType.simpleString()]
+    return F.struct(F.col(f"`{order_by}`").isNotNull(), F.col(f"`{order_by}`"), *[F.col(f"`{c}`") for c in others])
+
+
+def upsert_plan(target: DataFrame, source: DataFrame, primary_keys: Sequence[str], newer_by: str | None = None) -> DataFrame:
     """Rows of ``target`` whose key is not in ``source``, plus all of ``source``.
 
     A source row replaces the whole target row, NULL values included.  The anti join
     reads only the key columns of ``source``; if both sides are bucketed alike by
     the key, nothing is shuffled.
+
+    With ``newer_by`` the newer row of a key stays (``row_rank``): two anti joins with a
+    condition, each leaving out the rows that the other side has a newer one of. Keys are
+    unique on both sides. Merging is then commutative and idempotent.
     """
     keys = list(primary_keys)
-    kept = target.join(source.select(*keys), keys, "left_anti")
-    return kept.unionByName(source)
+    if newer_by is None:
+        kept = target.join(source.select(*keys), keys, "left_anti")
+        return kept.unionByName(source)
+    rank = "__larder_rank"
+    old = target.withColumn(rank, row_rank(target, keys, newer_by))
+    new = source.select(*target.columns).withColumn(rank, row_rank(source.select(*target.columns), keys, newer_by))
+
+    def without(rows: DataFrame, other: DataFrame, beaten) -> DataFrame:
+        a, b = rows.alias("a"), other.select(*keys, rank).alias("b")
+        same = [F.col(f"a.`{k}`") == F.col(f"b.`{k}`") for k in keys]
+        cond = same[0]
+        for c in same[1:]:
+            cond = cond & c
+        return a.join(b, cond & beaten(F.col(f"a.{rank}"), F.col(f"b.{rank}")), "left_anti").drop(rank)
+    # of equal ranks the source's row stays, so every key keeps exactly one row
+    return without(old, new, lambda a, b: b >= a).unionByName(without(new, old, lambda a, b: b > a))
 
 
 def buckets_for(n_bytes: int) -> int:
@@ -234,7 +262,7 @@ def buckets_for(n_bytes: int) -> int:
 
 
 def write_feature_table(spark: SparkSession, name: str, df: DataFrame, mode: str = "merge",
-                        retain: int = 1) -> FeatureTable:
+                        retain: int = 1, newer_by: str | None = None) -> FeatureTable:
     """Write ``df`` into the feature table ``name``.
 
     ``merge``: keys new to the table are inserted, known keys are replaced, other
@@ -243,6 +271,9 @@ def write_feature_table(spark: SparkSession, name: str, df: DataFrame, mode: str
     The snapshot that the table pointed to before is kept for readers still on it,
     and ``retain - 1`` recorded ones before it; all other snapshot folders go.
 
+    With ``newer_by`` (a column of the table) a merge never replaces a newer row by an
+    older one; see ``upsert_plan``.
+
     ``df`` is evaluated once: it is first written, bucketed by key, into a staged
     folder, and key check, anti join and union all read that.  The staged folder
     is the new snapshot itself for an overwrite or a first load.
@@ -254,6 +285,8 @@ def write_feature_table(spark: SparkSession, name: str, df: DataFrame, mode: str
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     ft = get_feature_table(spark, name)
     target = spark.table(name)
+    if newer_by is not None and (newer_by not in target.columns or newer_by in ft.primary_keys):
+        raise ValueError(f"{newer_by!r} must be a column of {name} outside of its key")
     source = align_to(df, target.schema)
     db, _ = split_name(spark, name)
     new_version = ft.version + 1
@@ -277,7 +310,7 @@ def write_feature_table(spark: SparkSession, name: str, df: DataFrame, mode: str
         else:
             new_path = snapshot_path(ft.base, new_version)
             made.append(new_path)
-            merged = staged if whole else upsert_plan(target, staged, ft.primary_keys)
+            merged = staged if whole else upsert_plan(target, staged, ft.primary_keys, newer_by)
             # unchanged buckets: table and staged rows are already one bucket per task, nothing is shuffled
             rows = _write_snapshot(spark, merged, ft, new_path, buckets, deal=buckets != ft.buckets)
     except BaseException:
