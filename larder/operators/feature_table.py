@@ -23,6 +23,7 @@ properties, the description as the table comment.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 import re
@@ -53,6 +54,8 @@ PROP_BUCKETS = "larder.buckets"
 PROP_ROWS = "larder.rows"
 PROP_AUTO = "larder.auto_buckets"
 PROP_HISTORY = "larder.history"
+PROP_LEASES = "larder.leases"
+PROP_PINNED = "larder.pinned"
 
 BUCKET_BYTES = 256 << 20    # wanted size of a bucket of a table with automatic buckets
 MIN_BUCKETS = 8             # an automatic count is never below
@@ -284,6 +287,8 @@ def write_feature_table(spark: SparkSession, name: str, df: DataFrame, mode: str
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     ft = get_feature_table(spark, name)
+    if PROP_PINNED in table_properties(spark, name):
+        raise ValueError(f"{name} is a leased snapshot and can't be written")
     target = spark.table(name)
     if newer_by is not None and (newer_by not in target.columns or newer_by in ft.primary_keys):
         raise ValueError(f"{newer_by!r} must be a column of {name} outside of its key")
@@ -327,16 +332,18 @@ def write_feature_table(spark: SparkSession, name: str, df: DataFrame, mode: str
     if buckets != ft.buckets:
         # The catalog can't change a bucket count: the (external) entry is made anew over the same folders.
         # A stop between the two statements leaves all snapshots; create_feature_table finds none of its name then.
+        held = _leases_json(leases(spark, name))
         spark.sql(f"DROP TABLE {quote_ident(name)}")
         _create_entry(spark, name, target.schema, ft.primary_keys, buckets, new_path, ft.description,
                       {PROP_KEYS: json.dumps(list(ft.primary_keys)), PROP_BASE: ft.base, PROP_BUCKETS: str(buckets),
-                       PROP_AUTO: "true", **props})
+                       PROP_AUTO: "true", PROP_LEASES: held, **props})
     else:
         spark.sql(f"ALTER TABLE {quote_ident(name)} SET LOCATION {sql_string(new_path)}")
         spark.sql(f"ALTER TABLE {quote_ident(name)} SET TBLPROPERTIES ("
                   + ", ".join(f"{sql_string(k)} = {sql_string(v)}" for k, v in props.items()) + ")")
     spark.catalog.refreshTable(name)
-    _prune_snapshots(spark, ft.base, [new_path, *history])
+    # leases are read now: one may have been taken while this write ran
+    _prune_snapshots(spark, ft.base, [new_path, *history, *(x.folder for x in leases(spark, name).values())])
     return get_feature_table(spark, name)
 
 
@@ -352,15 +359,109 @@ def _prune_snapshots(spark: SparkSession, base: str, keep: Sequence[str]) -> Non
             delete_path(spark, path)
 
 
-def drop_feature_table(spark: SparkSession, name: str, purge: bool = True) -> bool:
+# --- leases: snapshots that stay readable
+
+@dataclass(frozen=True)
+class Lease:
+    """A snapshot that a holder keeps; ``entry`` is the catalog entry that reads it, bucketed as it was written."""
+    holder: str
+    folder: str
+    buckets: int | None
+    rows: int | None
+    entry: str
+
+    @property
+    def version(self) -> int:
+        return snapshot_version(self.folder)
+
+
+def leases(spark: SparkSession, name: str) -> dict[str, Lease]:
+    """The leases of a feature table by holder."""
+    held = json.loads(table_properties(spark, name).get(PROP_LEASES, "{}"))
+    return {h: Lease(h, x["folder"], x["buckets"], x["rows"], x["entry"]) for h, x in held.items()}
+
+
+def _leases_json(held: dict[str, Lease]) -> str:
+    return json.dumps({h: {"folder": x.folder, "buckets": x.buckets, "rows": x.rows, "entry": x.entry} for h, x in held.items()})
+
+
+def _set_leases(spark: SparkSession, name: str, held: dict[str, Lease]) -> None:
+    spark.sql(f"ALTER TABLE {quote_ident(name)} SET TBLPROPERTIES ({sql_string(PROP_LEASES)} = {sql_string(_leases_json(held))})")
+
+
+def lease_snapshot(spark: SparkSession, name: str, holder: str) -> Lease:
+    """Keep the table's present snapshot for ``holder`` (whose earlier lease on the table ends).
+
+    Later writes don't delete a leased snapshot. The lease is recorded before the holder relies on
+    it; a single writer per table is assumed.
+    """
+    ft = get_feature_table(spark, name)
+    held = leases(spark, name)
+    db, _ = split_name(spark, name)
+    entry = f"{db}.__larder_pin_{hashlib.md5(_folder(ft.location).encode()).hexdigest()[:12]}"
+    lease = Lease(holder, ft.location, ft.buckets, ft.rows, entry)
+    _set_leases(spark, name, {**held, holder: lease})
+    if not spark.catalog.tableExists(entry):
+        # a feature table of its own, so lookups can name it; it is never written
+        _create_entry(spark, entry, spark.table(name).schema, ft.primary_keys, ft.buckets, ft.location, ft.description,
+                      {PROP_KEYS: json.dumps(list(ft.primary_keys)), PROP_BASE: ft.base, PROP_VERSION: str(ft.version),
+                       PROP_BUCKETS: str(ft.buckets or 0), PROP_PINNED: name,
+                       **({PROP_ROWS: json.dumps({"location": ft.location, "rows": ft.rows})} if ft.rows is not None else {})})
+    old = held.get(holder)
+    if old is not None and old.entry != entry:
+        _forget_entry(spark, old.entry, {**held, holder: lease})
+    return lease
+
+
+def move_lease(spark: SparkSession, name: str, holder: str, to: str) -> None:
+    """Give the snapshot that ``holder`` has leased to the holder ``to`` as well (whose earlier lease ends)."""
+    held = leases(spark, name)
+    lease, old = held[holder], held.get(to)
+    after = {**held, to: Lease(to, lease.folder, lease.buckets, lease.rows, lease.entry)}
+    _set_leases(spark, name, after)
+    if old is not None:
+        _forget_entry(spark, old.entry, after)
+
+
+def release_snapshot(spark: SparkSession, name: str, holder: str) -> bool:
+    """End a lease; the folder goes with the next write that no longer needs it. ``False`` if there is no such lease."""
+    held = leases(spark, name)
+    lease = held.pop(holder, None)
+    if lease is None:
+        return False
+    _set_leases(spark, name, held)
+    _forget_entry(spark, lease.entry, held)
+    return True
+
+
+def _forget_entry(spark: SparkSession, entry: str, held: dict[str, Lease]) -> None:
+    if all(x.entry != entry for x in held.values()):
+        _drop_entry(spark, entry)
+
+
+def read_snapshot(spark: SparkSession, name: str, holder: str) -> DataFrame:
+    """The snapshot that ``holder`` has leased."""
+    held = leases(spark, name)
+    if holder not in held:
+        raise ValueError(f"{holder!r} holds no snapshot of {name}")
+    return spark.table(held[holder].entry)
+
+
+def drop_feature_table(spark: SparkSession, name: str, purge: bool = True, force: bool = False) -> bool:
     """Drop the table; with ``purge`` its snapshot folders are deleted as well.
 
     Returns ``False`` if there is no such table; raises ``ValueError`` for a table
-    that is not a feature table and leaves it alone.
+    that is not a feature table, or whose snapshots are leased (unless ``force``),
+    and leaves it alone.
     """
     if not feature_table_exists(spark, name):
         return False
     base = get_feature_table(spark, name).base
+    held = leases(spark, name)
+    if held and not force:
+        raise ValueError(f"snapshots of {name} are leased by {sorted(held)}")
+    for lease in held.values():
+        _drop_entry(spark, lease.entry)
     spark.sql(f"DROP TABLE IF EXISTS {quote_ident(name)}")
     if purge:
         delete_path(spark, base)

@@ -15,8 +15,9 @@ Plan shape, per lookup key:
   feature table is first cut down to those keys (a literal IN list pushed into
   the scan for very few keys, with bucket pruning and row-group skipping; a
   semi join otherwise) and broadcast if the remaining bytes are proven small;
-* otherwise, whatever the number of keys, the input is taken in parts:
-  rows with a hot key are joined with the feature rows of the hot keys, which
+* otherwise, whatever the number of keys, the input is taken in parts, if it has hot keys.
+  It is evaluated once: one pass marks each row's part and writes the rows part by part, and
+  every part is read back by itself. Rows with a hot key are joined with the feature rows of the hot keys, which
   are few and broadcast (in bounded blocks), so these rows are never shuffled;
   rows with a hot NULL key get NULL features without any join; the rest share
   one partitioning per key, so they are shuffled once and a bucketed feature
@@ -26,13 +27,15 @@ Plan shape, per lookup key:
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larder.operators.feature_table import FeatureTable, get_feature_table
+from larder.session import scratch_path
 from larder.sources.storage import path_bytes
 from larder.operators.skew import (
     HOT,
@@ -72,6 +75,10 @@ class FeatureLookup:
         object.__setattr__(self, "feature_names", _tuple(feature_names))
         object.__setattr__(self, "lookup_key", _tuple(lookup_key))
 
+    def on_table(self, table_name: str) -> FeatureLookup:
+        """The same lookup on another table (for example a leased snapshot of it)."""
+        return FeatureLookup(table_name, self.feature_names, self.lookup_key)
+
     def to_dict(self) -> dict:
         return {"table_name": self.table_name,
                 "feature_names": list(self.feature_names) if self.feature_names is not None else None,
@@ -187,21 +194,51 @@ def _join_group(df: DataFrame, key: list[str], group: list[_Resolved], profile:
     null_apart = profile.null_rows >= skew.hot_key_rows
     if profile.hot is None and not null_apart:
         return _join_all(df, key, frames)
-    parts, rest = [], df
+    n_blocks = _hot_blocks(group, profile, skew) if profile.hot is not None else 0
+    rows = _in_parts(df, key, profile, n_blocks, null_apart, skew)
+    features = [f.schema[n] for f, r in zip(frames, group, strict=True) for n in r.features]
+    out = _join_all(rows(COLD), key, frames)
     if null_apart:
-        features = [f.schema[n] for f, r in zip(frames, group, strict=True) for n in r.features]
-        parts.append(df.where(any_null(key)).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in features]))
-        rest = rest.where(~any_null(key))
-    if profile.hot is not None:
-        marked = mark_hot(rest, profile, skew)
-        parts += _hot_parts(marked.where(HOT).drop(HOT), key, frames, group, profile, skew)
-        rest = marked.where(~F.col(HOT)).drop(HOT)
-    out = _join_all(rest, key, frames)
-    for part in parts:
-        out = out.unionByName(part)
+        out = out.unionByName(rows(NULL_KEY).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in features]))
+    for b in range(n_blocks):
+        keys = profile.hot if n_blocks == 1 else profile.hot.where(block_of(key, n_blocks) == b)
+        few = [f.join(F.broadcast(keys), key, "left_semi") for f in frames]
+        out = out.unionByName(_join_all(rows(b), key, [F.broadcast(f) for f in few]))
     return out
 
 
+COLD, NULL_KEY = -1, -2         # parts of an input; hot keys have the number of their block
+_PART = f"{HOT}_part"
+
+
+def _in_parts(df: DataFrame, key: list[str], profile: KeyProfile, n_blocks: int, null_apart: bool,
+              skew: SkewPolicy) -> Callable[[int], DataFrame]:
+    """Evaluate ``df`` once, writing its rows part by part; the function returned reads one part back.
+
+    Marking broadcasts the hot keys in bounded blocks and shuffles nothing.
+    """
+    spark = df.sparkSession
+    part = F.lit(COLD)
+    rows = df
+    if n_blocks:
+        rows = mark_hot(df, profile, skew)
+        block = F.lit(0) if n_blocks == 1 else block_of(key, n_blocks).cast("int")
+        part = F.when(F.col(HOT), block).otherwise(part)
+    if null_apart:
+        part = F.when(any_null(key), NULL_KEY).otherwise(part)
+    path = scratch_path(spark, "lookup-parts")
+    rows.withColumn(_PART, part.cast("int")).select(*df.columns, _PART).write.partitionBy(_PART).parquet(path)
+    written = spark.read.schema(T.StructType([*df.schema.fields, T.StructField(_PART, T.IntegerType())])).parquet(path)
+    return lambda number: written.where(F.col(_PART) == number).select(*df.columns)        # one folder each
+
+
+def _hot_blocks(group: list[_Resolved], profile: KeyProfile, skew: SkewPolicy) -> int:
+    """Blocks of hot keys, so that the broadcast of each block's keys and feature rows (one per key at most) is bounded."""
+    widest = max((r.row_bytes if r.row_bytes is not None else _UNKNOWN_ROW_BYTES) for r in group)
+    n = blocks_for(profile.n_hot * widest * _DECODED_MARGIN, skew)
+    return min(max(n, blocks_for(2 * profile.hot_bytes + 64 * profile.n_hot, skew)), profile.n_hot)
+
+
 def _cut_down(df: DataFrame, key: list[str], frames: list[DataFrame], profile: KeyProfile,
               skew: SkewPolicy) -> list[DataFrame]:
     """The feature rows that few distinct keys can match.
@@ -219,26 +256,6 @@ def _cut_down(df: DataFrame, key: list[str], frames: list[DataFrame], profile: K
     return [f.join(wanted, key, "left_semi") for f in frames]
 
 
-def _hot_parts(rows: DataFrame, key: list[str], frames: list[DataFrame], group: list[_Resolved],
-               profile: KeyProfile, skew: SkewPolicy) -> list[DataFrame]:
-    """Rows with hot keys, joined with the hot keys' feature rows: broadcasts only.
-
-    There is at most one feature row per hot key. Where their bytes may exceed the bound
-    (or are unknown), the keys are dealt to blocks by hash and each block is joined on its own.
-    """
-    widest = max((r.row_bytes if r.row_bytes is not None else _UNKNOWN_ROW_BYTES) for r in group)
-    n = blocks_for(profile.n_hot * widest * _DECODED_MARGIN, skew)
-    key_blocks = blocks_for(2 * profile.hot_bytes + 64 * profile.n_hot, skew)
-    n = min(max(n, key_blocks), profile.n_hot)
-    parts = []
-    for b in range(n):
-        keys = profile.hot if n == 1 else profile.hot.where(block_of(key, n) == b)
-        mine = rows if n == 1 else rows.where(block_of(key, n) == b)
-        few = [f.join(F.broadcast(keys), key, "left_semi") for f in frames]
-        parts.append(_join_all(mine, key, [F.broadcast(f) for f in few]))
-    return parts
-
-
 @dataclass
 class TrainingSet:
     """Input frame + lookups + label; ``load_df()`` builds the joined frame."""

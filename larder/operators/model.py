@@ -27,7 +27,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larder.operators.encoding import TableEncoder, encode
 from larder.operators.evaluate import weighted_prf
+from larder.operators.feature_table import lease_snapshot, release_snapshot
 from larder.operators.lookup import FeatureLookup, SkewPolicy, TrainingSet, attach_features
 from larder.operators.prepare import (
     category_indexer,
@@ -48,11 +50,14 @@ GBT_SEED = 123
 
 def build_pipeline(categorical: Sequence[str], numeric: Sequence[str], binary: Sequence[str], label: str,
                    max_iter: int = GBT_ROUNDS, max_depth: int = GBT_DEPTH, step_size: float = GBT_STEP,
-                   seed: int = GBT_SEED) -> Pipeline:
+                   seed: int = GBT_SEED, encoded: bool = False) -> Pipeline:
+    """``encoded``: the input has the categorical vectors already (``encoding.encode``), so no vocabulary is fitted."""
     categorical, numeric, binary = list(categorical), list(numeric), list(binary)
-    stages = [fill_missing_sql(categorical, binary)]
+    stages = [fill_missing_sql([] if encoded else categorical, binary)]
     vectors: list[str] = []
-    if categorical:
+    if encoded:
+        vectors += [f"{c}__filled__idx__vec" for c in categorical]
+    elif categorical:
         filled = [f"{c}__filled" for c in categorical]
         idx = [f"{c}__idx" for c in filled]
         stages += [category_indexer(filled), one_hot(idx)]
@@ -115,18 +120,58 @@ class ModelBundle:
 
     @property
     def lookups(self) -> list[FeatureLookup]:
-        return [FeatureLookup.from_dict(d) for d in self.spec["feature_lookups"]]
+        """The lookups to score with: on the pinned snapshots, if the bundle has pinned them."""
+        pinned = self.spec.get("pinned", {})
+        found = [FeatureLookup.from_dict(d) for d in self.spec["feature_lookups"]]
+        return [lk.on_table(pinned[lk.table_name]["entry"]) if lk.table_name in pinned else lk for lk in found]
 
+    @property
+    def encoder(self) -> TableEncoder | None:
+        """The vocabulary tables that the model's input is encoded with, if any."""
+        return TableEncoder.from_dict(self.spec["encoder"]) if self.spec.get("encoder") else None
+
+    @property
+    def snapshots(self) -> dict[str, int]:
+        """Pinned tables and the versions the bundle reads."""
+        return {t: x["version"] for t, x in self.spec.get("pinned", {}).items()}
+
+
+def bundle_holder(path: str) -> str:
+    """The name under which a bundle leases snapshots."""
+    return f"bundle:{path.rstrip('/')}"
 
-def save_bundle(spark: SparkSession, model: PipelineModel, path: str, training_set: TrainingSet) -> str:
-    """Save the fitted pipeline and the lookups that built its training set."""
+
+def save_bundle(spark: SparkSession, model: PipelineModel, path: str, training_set: TrainingSet, pin: bool = False,
+                encoder: TableEncoder | None = None) -> str:
+    """Save the fitted pipeline and the lookups that built its training set.
+
+    With ``pin`` the bundle leases the present snapshot of every feature table it looks up (and
+    of the encoder's vocabularies) and scores with these, whatever is written to the tables
+    later; ``release_bundle`` ends the leases. ``encoder``: vocabulary tables to encode with before the
+    model is applied.
+    """
     path = path.rstrip("/")
+    spec = training_set.spec()
+    if encoder is not None:
+        spec["encoder"] = encoder.to_dict()
+    if pin:
+        tables = [lk.table_name for lk in training_set.feature_lookups] + list(encoder.tables if encoder else ())
+        held = {t: lease_snapshot(spark, t, bundle_holder(path)) for t in dict.fromkeys(tables)}
+        spec["pinned"] = {t: {"entry": x.entry, "version": x.version} for t, x in held.items()}
+        if encoder is not None:
+            spec["encoder"]["tables"] = [held[t].entry for t in encoder.tables]
     model.write().overwrite().save(f"{path}/model")
-    (spark.createDataFrame([(training_set.spec_json(),)], "spec string")
+    (spark.createDataFrame([(json.dumps(spec, sort_keys=True),)], "spec string")
      .coalesce(1).write.mode("overwrite").text(f"{path}/spec"))
     return path
 
 
+def release_bundle(spark: SparkSession, path: str) -> list[str]:
+    """End the leases of a pinned bundle that is no longer used; returns the tables."""
+    spec = json.loads(spark.read.text(f"{path.rstrip('/')}/spec").first()[0])
+    return [t for t in spec.get("pinned", {}) if release_snapshot(spark, t, bundle_holder(path))]
+
+
 def load_bundle(spark: SparkSession, path: str) -> ModelBundle:
     path = path.rstrip("/")
     spec = json.loads(spark.read.text(f"{path}/spec").first()[0])
@@ -144,6 +189,8 @@ def score_batch(spark: SparkSession, bundle: ModelBundle | str, df: DataFrame,
     if isinstance(bundle, str):
         bundle = load_bundle(spark, bundle)
     joined = attach_features(spark, df, bundle.lookups, skew)
+    if bundle.encoder is not None:
+        return bundle.model.transform(encode(spark, joined, bundle.encoder, skew)).select(*joined.columns, "prediction")
     return bundle.model.transform(joined).select(*joined.columns, "prediction")
 
 

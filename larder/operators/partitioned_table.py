@@ -17,8 +17,9 @@ make up a version. The table's property ``larder.commit`` names the record in fo
 
 1. stages the source, dealt by bucket, checks its keys, and sees which buckets it has;
 2. joins these buckets with the staged rows, bucket by bucket, and writes their new folders;
-3. writes the new record and points the catalog's partitions to the new folders, one by one;
-4. puts the record in force and deletes folders that no kept record lists.
+3. writes the new record, marks the table as being switched, and points the touched partitions
+   of the catalog to their new folders, one by one;
+4. puts the record in force, takes the mark away (one statement) and deletes folders that no kept record lists.
 
 ``read_partitioned`` reads by the record, so a writer that dies anywhere before step 4, also
 between two switches of step 3, leaves the old table; the next write (or ``repair_partitions``)
@@ -69,6 +70,7 @@ PROP_COMMIT = "larder.commit"
 PROP_COUNT = "larder.partition_buckets"
 PROP_ORDER = "larder.order_by"
 PROP_KEPT = "larder.kept_commits"
+PROP_SWITCHING = "larder.switching"
 
 RECORD = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("folder", T.StringType()),
                        T.StructField("rows", T.LongType()), T.StructField("bytes", T.LongType())])
@@ -115,7 +117,7 @@ def create_partitioned_table(spark: SparkSession, name: str, primary_keys: str |
     db, table = split_name(spark, name)
     base = f"{database_location(spark, db)}/{table}"
     props = {PROP_KEYS: json.dumps(list(keys)), PROP_BASE: base, PROP_COUNT: str(int(buckets)), PROP_COMMIT: "", PROP_KEPT: "[]",
-             PROP_ORDER: order_by or ""}
+             PROP_ORDER: order_by or "", PROP_SWITCHING: ""}
     _create(spark, name, schema, f"{base}/none", description, props)
     return True
 
@@ -123,7 +125,8 @@ def create_partitioned_table(spark: SparkSession, name: str, primary_keys: str |
 def _create(spark: SparkSession, name: str, schema: T.StructType, location: str, comment: str | None, props: dict[str, str]) -> None:
     text = f" COMMENT {sql_string(comment)}" if comment else ""
     listed = ", ".join(f"{sql_string(k)} = {sql_string(v)}" for k, v in props.items())
-    spark.sql(f"CREATE TABLE {quote_ident(name)} ({schema.add(BUCKET, T.IntegerType()).toDDL()}) USING parquet "
+    columns = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+    spark.sql(f"CREATE TABLE {quote_ident(name)} ({columns.toDDL()}) USING parquet "
               f"PARTITIONED BY ({BUCKET}) LOCATION {sql_string(location)}{text} TBLPROPERTIES ({listed})")
 
 
@@ -196,7 +199,7 @@ def write_partitioned(spark: SparkSession, name: str, df: DataFrame, mode: str =
             else:
                 base_folder = staged_path
         record = {**{b: tuple(r) for b, r in kept.items()}, **_folder_rows(spark, table, base_folder)}
-        after = _commit(spark, table, record, tag, retain, base_folder)
+        after = _commit(spark, table, record, {b: r["folder"] for b, r in before.items()}, tag, retain)
     except BaseException:
         for path in (staged_path, written_path):
             delete_path(spark, path)
@@ -216,7 +219,7 @@ def _bucket_folders(spark: SparkSession, path: str) -> dict[int, str]:
 
 
 def _folder_rows(spark: SparkSession, table: PartitionedTable, path: str) -> dict[int, tuple]:
-    """(bucket, folder, rows, bytes) by bucket of one write; rows are counted from the files' footers."""
+    """(bucket, folder, rows, bytes) by bucket of one write; a count of a partition column reads the files' footers only."""
     folders = _bucket_folders(spark, path)
     if not folders:
         return {}
@@ -225,13 +228,14 @@ def _folder_rows(spark: SparkSession, table: PartitionedTable, path: str) -> dic
     return {b: (b, f, counts.get(b, 0), path_bytes(spark, f)) for b, f in folders.items()}
 
 
-def _commit(spark: SparkSession, table: PartitionedTable, record: dict[int, tuple], tag: str, retain: int,
-            written: str) -> PartitionedTable:
+def _commit(spark: SparkSession, table: PartitionedTable, record: dict[int, tuple], now: dict[int, str], tag: str,
+            retain: int) -> PartitionedTable:
     commit = f"{table.base}/c{tag}"
     spark.createDataFrame([record[b] for b in sorted(record)], RECORD).coalesce(1).write.parquet(commit)
-    _point_partitions(spark, table.name, {b: r[1] for b, r in record.items()})
+    _set_properties(spark, table.name, {PROP_SWITCHING: commit})
+    _point_partitions(spark, table.name, {b: r[1] for b, r in record.items()}, now)
     kept = [c for c in (table.commit, *table.kept) if c][:max(0, retain)]
-    _set_properties(spark, table.name, {PROP_COMMIT: commit, PROP_KEPT: json.dumps(kept)})
+    _set_properties(spark, table.name, {PROP_COMMIT: commit, PROP_KEPT: json.dumps(kept), PROP_SWITCHING: ""})
     spark.catalog.refreshTable(table.name)
     _prune(spark, table, [commit, *kept])
     return get_partitioned_table(spark, table.name)
@@ -268,9 +272,9 @@ def _plain(path: str) -> str:
     return "/" + path.split(":", 1)[-1].strip("/")
 
 
-def _point_partitions(spark: SparkSession, name: str, wanted: dict[int, str]) -> int:
-    """Switch the partitions that differ from ``wanted``; returns how many."""
-    now, changed = catalog_partitions(spark, name), 0
+def _point_partitions(spark: SparkSession, name: str, wanted: dict[int, str], now: dict[int, str]) -> int:
+    """Switch the partitions whose folders ``now`` differ from ``wanted``; returns how many."""
+    changed = 0
     for bucket in sorted(set(now) | set(wanted)):
         folder = wanted.get(bucket)
         if folder is None or bucket not in now or _plain(now[bucket]) != _plain(folder):
@@ -280,11 +284,14 @@ def _point_partitions(spark: SparkSession, name: str, wanted: dict[int, str]) ->
 
 
 def repair_partitions(spark: SparkSession, name: str) -> int:
-    """Point the catalog's partitions to the record in force (after a writer died between two switches)."""
+    """Point the catalog's partitions to the record in force, if a writer died between two switches; returns how many it moved."""
     table = get_partitioned_table(spark, name)
-    changed = _point_partitions(spark, name, {b: r["folder"] for b, r in commit_record(spark, table).items()})
-    if changed:
-        spark.catalog.refreshTable(name)
+    if not table_properties(spark, name).get(PROP_SWITCHING):
+        return 0
+    changed = _point_partitions(spark, name, {b: r["folder"] for b, r in commit_record(spark, table).items()},
+                                catalog_partitions(spark, name))
+    _set_properties(spark, name, {PROP_SWITCHING: ""})
+    spark.catalog.refreshTable(name)
     return changed
 
 
@@ -324,7 +331,7 @@ def rebucket(spark: SparkSession, name: str, buckets: int | None = None) -> Part
     record = _folder_rows(spark, anew, path)
     commit = f"{table.base}/c{tag}"
     spark.createDataFrame([record[b] for b in sorted(record)], RECORD).coalesce(1).write.parquet(commit)
-    _set_properties(spark, name, {PROP_COUNT: str(wanted), PROP_COMMIT: commit, PROP_KEPT: "[]"})
+    _set_properties(spark, name, {PROP_COUNT: str(wanted), PROP_COMMIT: commit, PROP_KEPT: "[]", PROP_SWITCHING: commit})
     repair_partitions(spark, name)
     _prune(spark, anew, [commit])
     return get_partitioned_table(spark, name)

@@ -246,3 +246,41 @@ SELECT ids.doc_id, t.first_word, t.n_lines, t.digits, t.size_rounded, t.has_digi
        CAST(coalesce(t.has_digits, '0') AS DOUBLE) AS prediction
 FROM ids LEFT JOIN t ON ids.doc_id = t.doc_id LEFT JOIN m ON ids.doc_id = m.doc_id""",
 }
+
+ORACLES |= {
+    "merge_partitioned": UPSERT_RESULT,
+    "merge_ordered": r"""
+SELECT o_custkey, o_orderdate, o_orderkey, o_totalprice
+FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC, o_totalprice DESC) AS k
+      FROM orders)
+WHERE k = 1""",
+    "snapshot_diff": "WITH" + UPSERT_PARTS + r""",
+  joined AS (
+    SELECT t.PassengerId AS old_id, s.PassengerId AS new_id, t.Age AS old_age, s.*
+    FROM target t FULL JOIN source s ON t.PassengerId = s.PassengerId)
+SELECT CASE WHEN old_id IS NULL THEN 'insert' WHEN new_id IS NULL THEN 'remove' ELSE 'update' END AS change,
+       coalesce(new_id, old_id) AS PassengerId, Name, Sex, Age, SibSp, NamePrefix, NameSecondary, NameMultiple
+FROM joined
+WHERE old_id IS NULL OR new_id IS NULL OR old_age IS DISTINCT FROM Age""",
+    "split_exact": r"""
+SELECT o_orderkey, CASE WHEN row_number() OVER (ORDER BY md5('123:' || CAST(o_orderkey AS VARCHAR)))
+                             <= ceil(0.25 * (SELECT count(*) FROM orders)) THEN 'test' ELSE 'train' END AS part
+FROM orders""",
+    "impute_mode_exact": ORACLES["impute_mode"],
+    "encode_by_table": r"""
+WITH s AS (SELECT c_custkey, coalesce(CASE WHEN c_nationkey <> 0 THEN c_mktsegment END, 'missing') AS seg FROM customer)
+SELECT c_custkey,
+       concat_ws(',', (seg = 'AUTOMOBILE')::INT, (seg = 'BUILDING')::INT, (seg = 'FURNITURE')::INT, (seg = 'HOUSEHOLD')::INT,
+                 (seg = 'missing')::INT) AS encoded
+FROM s""",
+    "pinned_scores": f"""
+WITH t AS ({DOC_TEXT})
+SELECT doc_id, first_word, n_lines, digits, size_rounded, has_digits,
+       CAST(has_digits AS DOUBLE) + n_lines AS prediction, 1 AS version, 3 AS table_version
+FROM t""",
+    "registry_production": f"""
+WITH t AS ({DOC_TEXT}),
+v(version, stage) AS (VALUES (1, 'archived'), (2, 'production'), (3, 'staging'))
+SELECT t.doc_id, t.n_lines, CAST(t.n_lines AS DOUBLE) AS prediction, v.version, v.stage
+FROM t JOIN v ON v.stage = 'production'""",
+}

@@ -412,3 +412,8 @@ QUERIES: dict[str, Query] = {
     "model_bundle": q_model_bundle,
     "score_batch": q_score_batch,
 }
+
+# Table lifecycle, exact preparation and the registry are in a module of their own.
+from larder.plans.lifecycle import LIFECYCLE  # noqa: E402
+
+QUERIES.update(LIFECYCLE)

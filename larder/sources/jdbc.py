@@ -9,6 +9,8 @@ Executors write the rows in parallel; the driver sends statement text only.
   metadata: without one, an upsert statement would insert every row again or fail.
 * ``overwrite``: rows go to a staging table as well, and one transaction empties the
   target and refills it, so its key stays declared and readers never see it half full.
+* ``publish_changes``: only what changed since the snapshot that was published last is sent,
+  removals too, and applied in one transaction.
 
 The staging table is dropped whatever happens. Table names may be qualified
 (``schema.table``). Credentials are supplied by the caller in ``JdbcTarget.properties``.
@@ -21,8 +23,19 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from larder.operators.diff import CHANGE, REMOVE, row_changes
+from larder.operators.feature_table import (
+    get_feature_table,
+    lease_snapshot,
+    leases,
+    move_lease,
+    read_snapshot,
+    release_snapshot,
+)
+
 DIALECTS = ("mysql", "postgresql", "ansi")
 MODES = ("merge", "overwrite")
 KEY_LENGTH = 255        # characters of a text key column in a table made here
@@ -114,6 +127,51 @@ def refill_statements(dialect: str, table: str, staging: str, columns: Sequence[
             f"INSERT INTO {quote_table(dialect, table)} ({cols}) SELECT {cols} FROM {quote_table(dialect, staging)}"]
 
 
+def delete_statement(dialect: str, table: str, staging: str, keys: Sequence[str]) -> str:
+    """One statement that removes from ``table`` the keys that stand in ``staging``."""
+    q = lambda c: quote(dialect, c)
+    target, source = quote_table(dialect, table), quote_table(dialect, staging)
+    same = " AND ".join(f"t.{q(k)} = s.{q(k)}" for k in keys)
+    if dialect == "mysql":
+        return f"DELETE t FROM {target} t JOIN {source} s ON {same}"
+    if dialect == "postgresql":
+        return f"DELETE FROM {target} t USING {source} s WHERE {same}"
+    same = " AND ".join(f"s.{q(k)} = {target}.{q(k)}" for k in keys)
+    return f"DELETE FROM {target} WHERE EXISTS (SELECT 1 FROM {source} s WHERE {same})"
+
+
+def change_statements(dialect: str, table: str, staging: str, removals: str, columns: Sequence[str], keys: Sequence[str],
+                      key_expr: str = "{}") -> list[str]:
+    """Removals, then inserts and updates: statements of one transaction. Run twice they leave the same table."""
+    return [delete_statement(dialect, table, removals, keys), merge_statement(dialect, table, staging, columns, list(keys), key_expr)]
+
+
+def changes_to_publish(spark: SparkSession, name: str, holder: str, upto: str) -> tuple[DataFrame, DataFrame] | None:
+    """(rows to merge, keys to remove) from the snapshot leased by ``holder`` to that leased by ``upto``; ``None`` without the first."""
+    if holder not in leases(spark, name):
+        return None
+    keys = get_feature_table(spark, name).primary_keys
+    changes = row_changes(read_snapshot(spark, name, holder), read_snapshot(spark, name, upto), keys)
+    return (changes.where(F.col(CHANGE) != REMOVE).drop(CHANGE), changes.where(F.col(CHANGE) == REMOVE).select(*keys))
+
+
+def key_batches(keys: DataFrame, key: str, per_statement: int = 1000) -> DataFrame:
+    """``predicate`` per batch of keys: ``key IN (...)`` lists of at most ``per_statement`` values, made in the tasks.
+
+    Strings are quoted; NULL keys can't match and are left out, repeated ones stand once.
+    """
+    kind = keys.schema[key].dataType.simpleString()
+    if kind not in ("tinyint", "smallint", "int", "bigint", "string"):
+        raise ValueError(f"keys of type {kind} have no plain literal form")
+    value = F.col(f"`{key}`").cast("string")
+    literal = F.concat(F.lit("'"), F.replace(value, F.lit("'"), F.lit("''")), F.lit("'")) if kind == "string" else value
+    distinct = keys.select(F.col(f"`{key}`")).where(F.col(f"`{key}`").isNotNull()).distinct()
+    numbered = distinct.select(literal.alias("l"), F.monotonically_increasing_id().alias("i"))
+    return (numbered.groupBy(F.expr(f"i div {int(per_statement)}").alias("batch"))
+            .agg(F.concat_ws(", ", F.sort_array(F.collect_list("l"))).alias("list"))
+            .select(F.concat(F.lit(f"{key} IN ("), F.col("list"), F.lit(")")).alias("predicate")))
+
+
 def check_target_key(declared: Sequence[str], keys: Sequence[str], table: str) -> None:
     """Raise unless the target's declared primary key is the feature table's."""
     if {k.lower() for k in declared} != {k.lower() for k in keys}:
@@ -207,6 +265,52 @@ def publish_table(spark: SparkSession, df: DataFrame, target: JdbcTarget, primar
                 db.run([f"DROP TABLE {quote_table(d, staging)}"])
 
 
+def publish_changes(spark: SparkSession, name: str, target: JdbcTarget, num_partitions: int | None = None,
+                    batch_size: int = 10000, key_expr: str = "{}") -> str:
+    """Bring the published copy of a feature table up to date; returns ``"whole"`` or ``"changes"``.
+
+    The first time the whole table is published (``overwrite``). The snapshot that was published is
+    leased, so the next time only what changed since is sent: rows to insert or update, and keys to
+    remove, each to a staging table, applied in one transaction. The lease moves on only after
+    that; a publish that died is repeated with the same or more changes, which is harmless.
+    """
+    holder = f"published:{target.url}|{target.table}"
+    sent = f"{holder}|sending"
+    lease_snapshot(spark, name, sent)               # what this publish sends, also if the table is written meanwhile
+    keys = get_feature_table(spark, name).primary_keys
+    try:
+        found = changes_to_publish(spark, name, holder, sent)
+        if found is None:
+            publish_table(spark, read_snapshot(spark, name, sent), target, keys, "overwrite", num_partitions, batch_size, key_expr)
+        else:
+            _send_changes(spark, *found, target, keys, num_partitions, batch_size, key_expr)
+        move_lease(spark, name, sent, holder)
+    finally:
+        release_snapshot(spark, name, sent)
+    return "whole" if found is None else "changes"
+
+
+def _send_changes(spark: SparkSession, rows: DataFrame, removed: DataFrame, target: JdbcTarget, keys: Sequence[str],
+                  num_partitions: int | None, batch_size: int, key_expr: str) -> None:
+    d = target.dialect
+    with _Connection(spark, target) as db:
+        check_target_key(db.declared_key(target.table) or [], keys, target.table)
+    staged = {staging_name(target.table): rows, staging_name(target.table): removed}
+    into, gone = staged
+    try:
+        for name, part in staged.items():
+            dealt = part.repartition(num_partitions) if num_partitions else part
+            dealt.write.option("batchsize", batch_size).mode("overwrite").jdbc(
+                target.url, quote_table(d, name), properties=dict(target.properties))
+        with _Connection(spark, target) as db:
+            db.run(change_statements(d, target.table, into, gone, rows.columns, keys, key_expr))
+    finally:
+        with _Connection(spark, target) as db:
+            for name in staged:
+                if db.declared_key(name) is not None:
+                    db.run([f"DROP TABLE {quote_table(d, name)}"])
+
+
 def read_published(spark: SparkSession, target: JdbcTarget, partition_column: str | None = None,
                    lower: int | None = None, upper: int | None = None, num_partitions: int | None = None) -> DataFrame:
     """Read the published table back; with a numeric partition column the read is split across tasks."""
@@ -215,3 +319,16 @@ def read_published(spark: SparkSession, target: JdbcTarget, partition_column: st
         return spark.read.jdbc(target.url, name, column=partition_column, lowerBound=lower,
                                upperBound=upper, numPartitions=num_partitions, properties=props)
     return spark.read.jdbc(target.url, name, properties=props)
+
+
+def read_published_keys(spark: SparkSession, target: JdbcTarget, keys: DataFrame, key: str, per_statement: int = 1000,
+                        max_statements: int = 10_000) -> DataFrame:
+    """The published rows of some keys: one bounded ``IN`` list per task, so the database reads by its primary key.
+
+    Meant for batches of ids; more than ``per_statement * max_statements`` keys raise (read the whole table then).
+    """
+    found = key_batches(keys, key, per_statement).limit(max_statements + 1).collect()
+    if len(found) > max_statements:
+        raise ValueError(f"more than {max_statements} statements of {per_statement} keys; read the whole table instead")
+    predicates = [r["predicate"] for r in found] or ["1 = 0"]
+    return spark.read.jdbc(target.url, quote_table(target.dialect, target.table), predicates=predicates, properties=dict(target.properties))

@@ -75,3 +75,36 @@ def path_bytes(spark: SparkSession, path: str) -> int:
     if not fs.exists(hpath):
         return 0
     return int(fs.getContentSummary(hpath).getLength())
+
+
+def create_exclusively(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless there is one of that name; ``False`` if there is."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(hpath.getParent())
+    if fs.exists(hpath):
+        return False
+    try:
+        out = fs.create(hpath, False)
+    except Exception:
+        if fs.exists(hpath):            # another writer was faster
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = fs.open(hpath)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
