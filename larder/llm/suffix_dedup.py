@@ -28,8 +28,9 @@ judged on the input.
    that share their smallest hash with another run are sorted by difference cover
    (``suffix_sort``), which gives for each the smallest document that has it.
 5. *Removal.* The repeated ranges, packed for many documents at a time, and the
-   documents are dealt to the same blocks, where the ranges are cut out of the texts.
-   Texts are shuffled once.
+   documents are dealt to the same blocks of about ``block_bytes`` of text, where the ranges are
+   cut out of the texts. Texts are shuffled once. The number of blocks follows the text, not the
+   number of tasks, so the packed rows (one per task and block) stay few.
 
 Nulls, edges: a NULL text is empty. Documents shorter than ``length`` are never
 touched. Rows with a NULL id come after all others (they remove nothing from rows
@@ -65,6 +66,8 @@ class DedupParams:
     bucket_bytes: int = 24 << 20
     filter_bytes: int = 48 << 20
     hot_runs: int = 4096
+    hot_bytes: int = 16 << 20
+    block_bytes: int = 4 << 20
 
 
 def gram_hashes(text: np.ndarray) -> np.ndarray:
@@ -328,8 +331,7 @@ def refined_counts(values: np.ndarray) -> np.ndarray:
 
 _EMIT = 200_000         # ranges gathered before they are written out
 _HASHES = 500_000     # run hashes gathered before they are written out
-_MAX_HOT = 1 << 22      # hot hashes at most (a run holds a byte of text at least)
-_BITS = 32              # filter bits per shared hash, while they fit
+_BITS = 32              # filter bits per hash, while they fit
 
 
 def planes(values: np.ndarray) -> bytes:
@@ -344,18 +346,16 @@ def from_planes(data: bytes) -> np.ndarray:
 
 
 @dataclass
-class HashFilter:
-    """Bit arrays of the shared run hashes, one slice per part of the hashes; ``hot``: sorted, of those with very many runs."""
+class BitSlices:
+    """A bit array for hashes in slices, one per part of the hashes; it never misses a hash that was put in."""
     bits: np.ndarray
     start: np.ndarray
     size: np.ndarray
-    hot: np.ndarray
 
-    def is_hot(self, values: np.ndarray) -> np.ndarray:
-        if not len(self.hot):
-            return np.zeros(len(values), bool)
-        short = values >> np.uint64(16)
-        return self.hot[np.minimum(np.searchsorted(self.hot, short), len(self.hot) - 1)] == short
+    @staticmethod
+    def of(slices: list[bytes]) -> BitSlices:
+        size = np.array([8 * len(x) for x in slices], np.int64)
+        return BitSlices(np.frombuffer(b"".join(slices) or b"\0", np.uint8), np.cumsum(size) - size, size)
 
     def passes(self, values: np.ndarray) -> np.ndarray:
         part, rest = split_hash(values, len(self.size))
@@ -364,6 +364,21 @@ class HashFilter:
         return (size > 0) & (self.bits[np.minimum(at >> 3, len(self.bits) - 1)] >> (at & 7).astype(np.uint8) & 1 > 0)
 
 
+def slice_of(hashes: np.ndarray, most: int) -> bytes:
+    """The bit array of some hashes of one part, of at most ``most`` bytes."""
+    bits = np.zeros(min(most, -(-len(hashes) * _BITS // 8)) * 8, bool)
+    if len(bits):
+        bits[(mix64(hashes) % np.uint64(len(bits))).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+@dataclass
+class HashFilter:
+    """``shared``: run hashes that occur in two documents; ``hot``: those with very many runs."""
+    shared: BitSlices
+    hot: BitSlices
+
+
 def split_hash(values: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
     short = values >> np.uint64(16)
     return (short % np.uint64(parts)).astype(np.int64), short // np.uint64(parts)
@@ -379,8 +394,14 @@ def runs_of(batch: pa.RecordBatch, length: int):
             yield ids, doc, begin, piece, bounds, runs
 
 
-def shared_hashes(docs: DataFrame, length: int, parts: int, filter_bytes: int, hot_runs: int) -> HashFilter:
-    """Filter over the run hashes that occur in two documents, and those of more than ``hot_runs`` runs."""
+def shared_hashes(docs: DataFrame, params: DedupParams, parts: int) -> HashFilter:
+    """Filters over the run hashes that occur in two documents, and those of more than ``hot_runs`` runs.
+
+    Both have a bound in bytes. A hash that a full filter passes for another's sake is shipped, or
+    dealt suffix by suffix, without need; results are the same.
+    """
+    length = params.length
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1)
         hashes, owners = [], []
@@ -426,14 +447,10 @@ def shared_hashes(docs: DataFrame, length: int, parts: int, filter_bytes: int, h
             again = np.concatenate([value[1:] == value[:-1], [False]])
             shared = np.unique(value[again | known])
             first = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
-            hot = value[first][np.add.reduceat(times.astype(np.int64), first) > hot_runs]
-            n_bytes = min(filter_bytes // parts, -(-len(shared) * _BITS // 8))
-            bits = np.zeros(n_bytes * 8, bool)
-            if n_bytes:
-                bits[(mix64(shared) % np.uint64(len(bits))).astype(np.int64)] = True
+            hot = value[first][np.add.reduceat(times.astype(np.int64), first) > params.hot_runs]
             return pa.RecordBatch.from_arrays(
-                [pa.array([current], pa.int32()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary()),
-                 pa.array([hot.tobytes()], pa.binary())], names=["part", "bits", "hot"])
+                [pa.array([current], pa.int32()), pa.array([slice_of(shared, params.filter_bytes // parts)], pa.binary()),
+                 pa.array([slice_of(hot, params.hot_bytes // parts)], pa.binary())], names=["part", "bits", "hot"])
 
         for batch in batches:
             for part, hashes, several, times in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
@@ -448,14 +465,11 @@ def shared_hashes(docs: DataFrame, length: int, parts: int, filter_bytes: int, h
 
     rows = (docs.select("__at", "__fp", "__blk", "text").mapInArrow(send, "part int, hashes binary, several binary, times binary")
             .repartition(parts, "part").sortWithinPartitions("part")
-            .mapInArrow(count, "part int, bits binary, hot binary").collect())     # at most filter_bytes and 8 bytes a hot hash
-    slices: list[bytes] = [b""] * parts
-    hot = [np.zeros(0, np.uint64)]
+            .mapInArrow(count, "part int, bits binary, hot binary").collect())     # at most filter_bytes + hot_bytes
+    shared, hot = [b""] * parts, [b""] * parts
     for row in rows:
-        slices[row["part"]] = bytes(row["bits"])
-        hot.append(np.frombuffer(bytes(row["hot"]), np.uint64) * np.uint64(parts) + np.uint64(row["part"]))
-    size = np.array([8 * len(x) for x in slices], np.int64)
-    return HashFilter(np.frombuffer(b"".join(slices) or b"\0", np.uint8), np.cumsum(size) - size, size, np.sort(np.concatenate(hot)))
+        shared[row["part"]], hot[row["part"]] = bytes(row["bits"]), bytes(row["hot"])
+    return HashFilter(BitSlices.of(shared), BitSlices.of(hot))
 
 
 def parts_of(part: np.ndarray) -> tuple[list[int], list[tuple[int, int]]]:
@@ -468,8 +482,7 @@ def repeated_ranges(docs: DataFrame, params: DedupParams, n_parts: int, n_bytes:
     """Rows (__blk, __payload): packed repeated ranges of documents (columns __at, __fp, __blk, text)."""
     length = params.length
     n_buckets = max(4 * n_parts, -(-n_bytes // params.bucket_bytes))
-    hot_runs = max(params.hot_runs, n_bytes // _MAX_HOT)
-    shared = docs.sparkSession.sparkContext.broadcast(shared_hashes(docs, length, n_parts, params.filter_bytes, hot_runs))
+    shared = docs.sparkSession.sparkContext.broadcast(shared_hashes(docs, params, n_parts))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         remembered = Remembered({}, set())
@@ -477,7 +490,7 @@ def repeated_ranges(docs: DataFrame, params: DedupParams, n_parts: int, n_bytes:
         settled_ranges: list[Found] = []
         for batch in batches:
             for ids, doc, begin, piece, bounds, runs in runs_of(batch, length):
-                runs = runs.where(shared.value.passes(runs.value))
+                runs = runs.where(shared.value.shared.passes(runs.value))
                 if not len(runs.start):
                     continue
                 padded = np.concatenate([piece, np.zeros(8, np.uint8)])
@@ -492,7 +505,7 @@ def repeated_ranges(docs: DataFrame, params: DedupParams, n_parts: int, n_bytes:
                     return np.flatnonzero(~settled)
 
                 runs = runs.where(settle(runs))
-                key, hot = runs.value, shared.value.is_hot(runs.value)
+                key, hot = runs.value, shared.value.hot.passes(runs.value)
                 if hot.any():
                     single, own = single_suffixes(padded, runs, np.flatnonzero(hot), length)
                     left = settle(single)
@@ -589,7 +602,7 @@ def with_ranges(docs: DataFrame, params: DedupParams, finish: Finish, schema: T.
     rows = docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("__at"), F.xxhash64("text").alias("__fp"),
         F.col("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("__rest")) \
-        .withColumn("__blk", F.pmod(F.xxhash64("__at", "__fp"), F.lit(8 * n_parts)).cast("int"))
+        .withColumn("__blk", F.pmod(F.xxhash64("__at", "__fp"), F.lit(max(1, -(-n_bytes // params.block_bytes)))).cast("int"))
     ranges = repeated_ranges(rows, params, n_parts, n_bytes)
     empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.select("__at", "__fp", "text", "__rest").schema]
     both = rows.select("__blk", F.lit(1).alias("__kind"), F.lit(None).cast("binary").alias("__payload"),
