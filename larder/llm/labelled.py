@@ -7,9 +7,12 @@ document.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,15 +39,30 @@ def training_rows(docs: DataFrame, labels: DataFrame, target: str, trainable: Co
              .select("doc_id", "__text", "__label"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            out = [describe(t) for t in batch.column(1).to_pylist()]
+            out = [[squeeze.compress(x) for x in describe(t)] for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2).cast(pa.int32()),
                  *(pa.array([o[i] for o in out], pa.binary()) for i in range(3))],
                 names=["doc_id", "label", "ids", "weights", "extra"])
 
-    rows = pairs.mapInArrow(features, "doc_id bigint, " + TRAIN_SCHEMA).toArrow().to_pylist()    # max_docs rows
-    return sorted(rows, key=lambda r: (r["doc_id"], r["ids"]))
+    found = pairs.mapInArrow(features, "doc_id bigint, " + TRAIN_SCHEMA).toArrow()      # max_docs rows
+    ids, label = (found.column(c).to_numpy() for c in ("doc_id", "label"))
+    parts = {c: unpacked(found.column(c)) for c in ("ids", "weights", "extra")}
+    order = sorted(range(len(ids)), key=lambda k: (ids[k], zlib.crc32(parts["ids"][k])))
+    return [{"doc_id": int(ids[k]), "label": int(label[k]), **{c: v[k] for c, v in parts.items()}} for k in order]
+
+
+def unpacked(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The decompressed values of a binary column, as views of one buffer (which goes at once with the last of them)."""
+    open_ = zstandard.ZstdDecompressor()
+    frames = [x.as_buffer() for chunk in column.chunks for x in chunk]
+    ends = np.cumsum([0, *(zstandard.frame_content_size(f) for f in frames)])
+    whole = np.empty(int(ends[-1]), np.uint8)
+    for f, lo, hi in zip(frames, ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+        whole[lo:hi] = np.frombuffer(open_.decompress(f), np.uint8)
+    return [whole[lo:hi] for lo, hi in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
 
 def scored(docs: DataFrame, held_out: Column, make_scorer: Callable[[], Callable[[str], float]],

@@ -35,9 +35,9 @@ class QualityParams:
     """``max_docs`` bounds the labelled sample for the fit; scoring has no bound."""
     buckets: int = 1 << 18
     dim: int = 10
-    epochs: int = 7
+    epochs: int = 6
     rate: float = 0.2
-    max_docs: int = 4_000
+    max_docs: int = 5_000
     threshold: float = 0.3
     seed: int = 7
 

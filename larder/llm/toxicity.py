@@ -54,12 +54,12 @@ class ToxicityParams:
     """``max_docs`` bounds the labelled sample for the fit; scoring has no bound."""
     buckets: int = 1 << 20
     min_df: int = 3
-    epochs: int = 15
+    epochs: int = 12
     batch: int = 256
     rate: float = 0.1
     l1: float = 5e-4
     fairness: float = 2.0
-    max_docs: int = 6_000
+    max_docs: int = 8_000
     threshold: float = 0.3
     seed: int = 11
 
