@@ -137,19 +137,23 @@ def plan_rows(keyed: DataFrame, params: MixParams) -> DataFrame:
 
 def mixture(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:
     """doc_id, source, n_tokens, weight (of its source), n_copies (how often the document is read) per row."""
-    rows = with_blocks(docs.select("doc_id", "text", "source"), params).drop("text")
+    # written once: the plan and the rows read numbers and hashes, no text again
+    rows = written(with_blocks(docs.select("doc_id", "text", "source"), params).drop("text"), "mix-rows")
     return plan_rows(rows, params).select("doc_id", "source", "n_tokens", "weight", "n_copies")
 
 
 def mixed_documents(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:
     """The mixture as rows: the columns of ``docs``, mix_epoch and mix_order, one row per reading.
 
-    Sorting by mix_epoch and mix_order gives the permuted blocks of all sources in turn.
+    Sorting by mix_epoch and mix_order gives the permuted blocks of all sources in turn, and
+    another permutation of the documents within a block each epoch: the upper 28 bits of
+    mix_order are the block's hash, the lower 36 the document's.
     Columns of ``docs`` with these two names are replaced.
     """
     rows = docs.select("doc_id", "text", "source", F.struct(
         *[F.col(f"`{c}`") for c in docs.columns if c not in ("mix_epoch", "mix_order")]).alias("__all"))
     planned = plan_rows(with_blocks(rows, params).drop("text", "source"), params)
     copies = planned.where("n_copies > 0").withColumn("__epoch", F.explode(F.sequence(F.lit(0), F.col("n_copies") - 1)))
-    order = F.xxhash64(F.lit(params.seed), "__epoch", "__src", "__blk")
+    block = F.shiftleft(F.shiftrightunsigned(F.xxhash64(F.lit(params.seed), "__epoch", "__src", "__blk"), 36), 36)
+    order = block.bitwiseOR(F.shiftrightunsigned(F.xxhash64(F.lit(params.seed), "__epoch", "__row"), 28))
     return copies.select("__all.*", F.col("__epoch").alias("mix_epoch"), order.alias("mix_order"))

@@ -4,7 +4,8 @@ The list holds rules ``(host, path, verdict)``; a rule's canonical key is its
 host followed by its path. A rule fits a url whose host is the rule's or a
 subdomain of it and whose path starts with the rule's path; of several the
 longest key wins. Every url has few possible keys: each parent domain of its
-host with each path prefix of a length that occurs in the list.
+host of no more labels than a listed host has, with each path prefix of a length
+that occurs in the list.
 
 1. The listed keys set bits in a filter of 512-bit blocks (one block per key,
    one bit in each of its eight words). It is built by an aggregate and has at
@@ -57,15 +58,18 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", max_
              .where(F.col("host").isNotNull() & F.col("path").isNotNull())
              .groupBy("host", "path").agg(F.max("verdict").alias("verdict")))   # "block" > "allow"
     shared = spark.sparkContext.broadcast(filter_words(rules, key_hashes(F.col("host"), F.col("path")), max_blocks))
-    lengths = sorted(r[0] for r in rules.select(F.length("path")).distinct().collect())
+    shape = rules.agg(F.max(F.size(F.split("host", r"\."))).alias("labels"),
+                      F.sort_array(F.collect_set(F.length("path"))).alias("lengths")).first()      # one number per path length
+    most_labels, lengths = shape["labels"] or 1, ",".join(map(str, shape["lengths"]))
 
     def possible_keys() -> Column:
+        # a rule's host has at most so many labels, so no longer end of a host can be one
         labels = F.split("host", r"\.")
-        domains = F.transform(F.sequence(F.lit(1), F.size(labels)),
-                              lambda i: F.concat_ws(".", F.slice(labels, i, F.size(labels))))
-        prefixes = F.filter(
-            F.array(*[F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in lengths])
-            if lengths else F.array().cast("array<string>"), lambda p: p.isNotNull())
+        ends = F.slice(labels, F.greatest(F.size(labels) - F.lit(most_labels - 1), F.lit(1)), F.lit(most_labels))
+        domains = F.transform(F.sequence(F.lit(1), F.size(ends)), lambda i: F.concat_ws(".", F.slice(ends, i, F.size(ends))))
+        # the lengths are one constant, however many they are
+        known = F.split(F.lit(lengths), ",").cast("array<int>") if lengths else F.array().cast("array<int>")
+        prefixes = F.transform(F.filter(known, lambda n: n <= F.length("path")), lambda n: F.substring(F.col("path"), F.lit(1), n))
         return F.flatten(F.transform(domains, lambda d: F.transform(
             prefixes, lambda p: F.named_struct(F.lit("host"), d, F.lit("path"), p))))
 

@@ -289,3 +289,16 @@ def test_mixing_whole_table(spark):
     assert 0.8 * row["t"] <= row["r"] <= row["t"] + 1
     again = df.repartition(3).collect()
     assert sorted(map(str, again)) == sorted(map(str, df.collect()))
+
+
+# --- order of the mixture
+
+def test_documents_within_a_block_are_permuted(spark):
+    docs = edge.documents(spark, [(i, f"text number {i} of some words", f"s{i % 2}") for i in range(600)])
+    rows = mixing.mixed_documents(docs, mixing.MixParams(blocks=4, budget=12_000)).collect()
+    places = [(r["mix_epoch"], r["mix_order"]) for r in rows]
+    assert len(set(places)) == len(places) > 600
+    in_order = [r["doc_id"] for r in sorted(rows, key=lambda r: (r["mix_epoch"], r["mix_order"])) if r["mix_epoch"] == 0]
+    assert in_order != sorted(in_order) and len({o >> 36 for e, o in places if e == 0}) <= 8      # blocks stay together
+    again = [r["doc_id"] for r in sorted(rows, key=lambda r: (r["mix_epoch"], r["mix_order"])) if r["mix_epoch"] == 1]
+    assert again != [i for i in in_order if i in set(again)]

@@ -254,3 +254,16 @@ def test_bloom_filter_never_misses_and_rarely_lies(spark):
 
 def test_url_query_covers_the_table(spark):
     assert op10_url_filter(spark, SF_SMALL).count() == spark.read.parquet(SF_SMALL + "/pages.parquet").count()
+
+
+# --- url filter: long hosts and lists
+
+def test_very_long_hosts_and_many_path_lengths(spark):
+    host = "x." * 20_000 + "bad.example.com"
+    pages = spark.createDataFrame([(1, f"http://{host}/en/a"), (2, f"http://{'y.' * 20_000}org/en/"), (3, "http://bad.example.com/" + "p" * 3000),
+                                   (4, "http://example.com/q")], "page_id bigint, url string")
+    rules = spark.createDataFrame([("example.com", "/en/", "block")] + [("bad.example.com", "/" + "p" * n, "block") for n in range(3000)]
+                                  + [("com", "/", "allow")], "host string, path string, verdict string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in filter_urls(pages, rules).collect()}
+    assert got == {1: ("bad.example.com/", "block"),           # longer than example.com/en/
+                   2: (None, "allow"), 3: ("bad.example.com/" + "p" * 2999, "block"), 4: ("com/", "allow")}
