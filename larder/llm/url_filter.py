@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.bloom import filter_words, key_hashes, probe
+from larder.llm.common import written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -62,17 +63,25 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", max_
                       F.sort_array(F.collect_set(F.length("path"))).alias("lengths")).first()      # one number per path length
     most_labels, lengths = shape["labels"] or 1, ",".join(map(str, shape["lengths"]))
 
+    # a rule's host has at most so many labels, so no longer end of a host can be one
+    labels = F.split("host", r"\.")
+    ends = F.slice(labels, F.greatest(F.size(labels) - F.lit(most_labels - 1), F.lit(1)), F.lit(most_labels))
+    # the lengths, ascending, are one constant, however many they are
+    known = F.split(F.lit(lengths), ",").cast("array<int>") if lengths else F.array().cast("array<int>")
+    fitting = F.filter(known, lambda n: n <= F.col("n_path"))
+
+    def domain(first: Column) -> Column:
+        return F.concat_ws(".", F.slice(ends, first, F.size(ends)))
+
     def possible_keys() -> Column:
-        # a rule's host has at most so many labels, so no longer end of a host can be one
-        labels = F.split("host", r"\.")
-        ends = F.slice(labels, F.greatest(F.size(labels) - F.lit(most_labels - 1), F.lit(1)), F.lit(most_labels))
-        domains = F.transform(F.sequence(F.lit(1), F.size(ends)), lambda i: F.concat_ws(".", F.slice(ends, i, F.size(ends))))
-        # the lengths are one constant, however many they are
-        known = F.split(F.lit(lengths), ",").cast("array<int>") if lengths else F.array().cast("array<int>")
-        prefixes = F.transform(F.filter(known, lambda n: n <= F.length("path")), lambda n: F.substring(F.col("path"), F.lit(1), n))
+        """Domain by domain, from the longest, every prefix, from the shortest."""
+        domains = F.transform(F.sequence(F.lit(1), F.size(ends)), domain)
+        prefixes = F.transform(fitting, lambda n: F.substring(F.col("path"), F.lit(1), n))
         return F.flatten(F.transform(domains, lambda d: F.transform(
             prefixes, lambda p: F.named_struct(F.lit("host"), d, F.lit("path"), p))))
 
+    sizes = np.array(shape["lengths"], np.int64)
+
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(3)
@@ -81,20 +90,25 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", max_
             hit = np.flatnonzero(probe(shared.value, flat[0::2], flat[1::2])) if len(flat) else np.zeros(0, np.int64)
             row = np.searchsorted(ends, hit, side="right")
             starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+            # the place of a key among its row's gives the number of its domain and the length of its prefix
+            per_domain = np.searchsorted(sizes, batch.column(4).to_numpy(), side="right")[row]
+            place = hit - starts[row]
+            found = ((place // np.maximum(per_domain, 1) + 1) << 32) | sizes[place % np.maximum(per_domain, 1)] if len(hit) else place
             cuts = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(ends)))]).astype(np.int32)
-            at = pa.ListArray.from_arrays(pa.array(cuts), pa.array((hit - starts[row] + 1).astype(np.int32)))
+            at = pa.ListArray.from_arrays(pa.array(cuts), pa.array(found.astype(np.int64)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], at], names=["page_id", "host", "path", "at"])
 
-    base = pages.select(F.col("page_id").cast("bigint"), url_host(F.col("url")).alias("host"),
-                        url_path(F.col("url")).alias("path"))
-    hashed = base.withColumn("keys", F.flatten(F.transform(
-        possible_keys(), lambda k: key_hashes(k["host"], k["path"]))))
-    marked = hashed.mapInArrow(passing, "page_id bigint, host string, path string, at array<int>")
+    # written once: hosts and paths are read three times below, and once per possible key if their patterns were inlined
+    base = written(pages.select(F.col("page_id").cast("bigint"), url_host(F.col("url")).alias("host"),
+                                url_path(F.col("url")).alias("path")).withColumn("n_path", F.length("path")), "urls")
+    hashed = base.select("page_id", "host", "path", F.flatten(F.transform(
+        possible_keys(), lambda k: key_hashes(k["host"], k["path"]))).alias("keys"), "n_path")
+    marked = hashed.mapInArrow(passing, "page_id bigint, host string, path string, at array<bigint>")
 
     found = (marked.where(F.size("at") > 0).select("host", "path", "at").distinct()
-             .select(F.struct("host", "path").alias("of"), possible_keys().alias("keys"), F.explode("at").alias("i"))
-             .select("of", F.element_at("keys", F.col("i")).alias("key"))
-             .select("of", F.col("key.host").alias("host"), F.col("key.path").alias("path"))
+             .select(F.struct("host", "path").alias("of"), "host", "path", F.explode("at").alias("at"))
+             .select("of", domain(F.shiftright("at", 32).cast("int")).alias("host"),
+                     F.substring(F.col("path"), F.lit(1), F.col("at").bitwiseAND(0xFFFFFFFF).cast("int")).alias("path"))
              .join(rules, ["host", "path"])                    # exact: drops the filter's false positives
              .groupBy("of").agg(F.max(F.struct(
                  (F.length("host") + F.length("path")).alias("n"),
