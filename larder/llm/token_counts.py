@@ -16,8 +16,8 @@ one row (repeated rows and NULL ids included).
 
 from __future__ import annotations
 
+import hashlib
 import json
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
@@ -44,6 +44,7 @@ class MergeTable:
     merges: dict[int, tuple[int, int]]
     special: tuple[str, ...]
     pattern: str
+    digest: str = ""
 
 
 def byte_letters() -> dict[str, int]:
@@ -55,8 +56,9 @@ def byte_letters() -> dict[str, int]:
 
 def load_merges(path: str) -> MergeTable:
     """Read a byte-level BPE vocabulary file (tokenizer JSON) given by its path."""
-    with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
+    with open(path, "rb") as f:
+        raw = f.read()
+    spec = json.loads(raw)
     model, before = spec["model"], spec.get("pre_tokenizer") or {}
     if model["type"] != "BPE" or before.get("type") != "ByteLevel" or before.get("add_prefix_space") \
             or model.get("ignore_merges") or spec.get("normalizer") or not before.get("use_regex", True):
@@ -69,7 +71,7 @@ def load_merges(path: str) -> MergeTable:
         joined = number.setdefault(left + right, len(number))
         merges.setdefault(number[left] << _SHIFT | number[right], (rank, joined))
     special = tuple(t["content"] for t in spec.get("added_tokens", []))
-    return MergeTable(tuple(range(256)), merges, special, BYTE_LEVEL_PATTERN)
+    return MergeTable(tuple(range(256)), merges, special, BYTE_LEVEL_PATTERN, hashlib.sha256(raw).hexdigest())
 
 
 def count_piece(piece: bytes, merges: dict[int, tuple[int, int]]) -> int:
@@ -113,6 +115,8 @@ _counters: dict[str, tuple[RecentValues, RecentValues]] = {}
 def counter(table: MergeTable, name: str):
     """Function text -> token count; its word and piece tables are shared by the tasks of one process.
 
+    ``name`` stands for the vocabulary; a process keeps the tables of the last one only.
+
     A text is cut at single spaces first. A word between them (no white space at
     its ends) is cut into the same pieces alone, with its leading space, as within
     the text; its count is looked up as a whole. Texts with other white space next
@@ -128,6 +132,7 @@ def counter(table: MergeTable, name: str):
             if not word or word[0].isspace() or word[-1].isspace():
                 return _WHOLE
             return sum(map(by_piece.__getitem__, pieces.findall(" " + word)))
+        _counters.clear()
         _counters[name] = RecentValues(count_word), by_piece
     by_word, by_piece = _counters[name]
 
@@ -150,8 +155,8 @@ def counter(table: MergeTable, name: str):
 def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 512) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit (n_tokens > ``limit``) for every row of ``docs``."""
     bounded_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(load_merges(vocabulary))   # one vocabulary: fixed size
-    name = f"{vocabulary}:{uuid.uuid4().hex}"
+    table = load_merges(vocabulary)
+    shared, name = docs.sparkSession.sparkContext.broadcast(table), table.digest      # one vocabulary: fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(shared.value, name)
