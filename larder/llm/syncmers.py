@@ -10,15 +10,17 @@ resemblance that counts only anchors matching in position order (the longest
 chain of common anchors that rises in both texts).
 
 ``compare_with_next`` fingerprints every document, its edited text and the next
-document. Documents are dealt by id range, so each task holds consecutive ids in
-order and streams over them with two documents in memory; the one row missing at
-the end of a range (the first of the next range) is added to it beforehand. Texts
-are shuffled once.
+document. Documents are dealt by ranges of (id, text hash), so each task holds
+consecutive documents in order and streams over them with two documents in memory;
+the one row missing at the end of a range (the first of the next range) is added to
+it beforehand. Texts are shuffled once. Many rows under one id (NULL included) are
+several ranges; repeats of one text follow each other and are compared once.
 
 Nulls, edges: a NULL text is empty; an empty text has the empty fingerprint, equal
 only to itself (likeness 1; 0 to any other). A text without any syncmer (shorter
 than k, or just none) has one anchor: the hash of the whole text. Rows with equal
-ids follow each other by text; NULL ids come last. A single row is its own next.
+ids follow each other by the hash of the text, then by text; NULL ids come last. A
+single row is its own next.
 """
 
 from __future__ import annotations
@@ -37,14 +39,16 @@ from pyspark.sql import functions as F
 from larder.llm.common import bounded_batches, input_bytes, mix64, partitions_for, sliding_min
 
 _SLICE = 1 << 20        # code points hashed at a time
-_LOWEST = -(1 << 63)
+_LAST = (1 << 63) - 1   # order of NULL ids
 
 
 @dataclass(frozen=True)
 class SyncmerParams:
+    """``max_ranges`` bounds the list of range starts; more text makes longer ranges, read row by row."""
     k: int = 12
     s: int = 5
     size: int = 48
+    max_ranges: int = 1 << 20
 
 
 def syncmer_hashes(codes: np.ndarray, k: int, s: int) -> tuple[np.ndarray, np.ndarray]:
@@ -103,10 +107,29 @@ def likeness(a: list[tuple[int, int]], b: list[tuple[int, int]], size: int) -> f
     return len(chain) / len(union)
 
 
-def _range_splits(docs: DataFrame, n: int) -> np.ndarray:
-    """At most n - 1 ids that cut the ids into ranges of about equal numbers of rows."""
-    found = docs.agg(F.percentile_approx("__at", [i / n for i in range(1, n)], 100 * n).alias("q")).first()["q"]
-    return np.unique(np.array(found or [], np.int64))
+def _range_starts(keys: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """First key (order, hash) of each of at most ``n`` ranges of about equal numbers of rows, ascending.
+
+    Only the keys are shuffled (by range); 16 bytes a range reach the driver.
+    """
+    found = (keys.repartitionByRange(n, "__order", "__fp").withColumn("__part", F.spark_partition_id())
+             .groupBy("__part").agg(F.min(F.struct("__order", "__fp")).alias("k")).select("k.*").toArrow())
+    order, fp = (found.column(c).to_numpy() for c in ("__order", "__fp"))
+    sort = np.lexsort((fp, order))
+    return order[sort], fp[sort]
+
+
+def range_of(order: np.ndarray, fp: np.ndarray, starts: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the range that holds each key, and whether the key is the range's first."""
+    low, high = (np.searchsorted(starts[0], order, side=side) for side in ("left", "right"))
+    upto = low.copy()                               # starts at or before the key
+    several = np.flatnonzero(high > low)            # ranges that start within the rows of this id
+    for value in np.unique(order[several]):
+        rows = several[order[several] == value]
+        lo, hi = low[rows[0]], high[rows[0]]
+        upto[rows] = lo + np.searchsorted(starts[1][lo:hi], fp[rows], side="right")
+    at = upto - 1
+    return at, (starts[0][at] == order) & (starts[1][at] == fp)
 
 
 def compare_with_next(docs: DataFrame, params: SyncmerParams = SyncmerParams()) -> DataFrame:
@@ -116,47 +139,47 @@ def compare_with_next(docs: DataFrame, params: SyncmerParams = SyncmerParams())
     of the code points is replaced by the first as many of the next document.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")) \
-        .withColumn("__at", F.coalesce("doc_id", F.lit(_LOWEST).cast("bigint")))
+    rows = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+            .withColumn("__order", F.coalesce(F.bitwise_not("doc_id"), F.lit(_LAST).cast("bigint")))
+            .withColumn("__fp", F.xxhash64("text")))
     bounded_batches(spark)
     n_parts = partitions_for(spark, input_bytes(docs, "text"))
-    splits = _range_splits(rows, 4 * n_parts)
-
-    @F.pandas_udf("int")
-    def range_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(splits, ids.to_numpy(np.int64), side="left"))
-
-    dealt = rows.withColumn("__range", range_of("__at"))
-    tops = rows.select("__at").withColumn("__range", range_of("__at")) \
-        .groupBy("__range").agg(F.max("__at").alias("__at")).orderBy("__range").collect()    # one row per range
-    if not tops:
-        tops = []
-    firsts = {r["__range"]: r["__at"] for r in tops}
-    present = sorted(firsts)
-    successor = [(present[i], firsts[present[i - 1]]) for i in range(len(present))]      # index -1: wraps round
-    links = spark.createDataFrame(successor, "__to int, __at bigint")
-    edges = (rows.join(F.broadcast(links), "__at")                                      # at most 4 x partitions rows
-             .groupBy("__to", "__at").agg(F.min("text").alias("text")))
-    everything = dealt.select("__range", F.lit(0).alias("__edge"), "__at", "doc_id", "text").unionByName(
-        edges.select(F.col("__to").alias("__range"), F.lit(1).alias("__edge"), "__at",
+    starts = _range_starts(rows.select("__order", "__fp"), min(4 * n_parts, params.max_ranges))
+    n_ranges = len(starts[0])
+    shared = spark.sparkContext.broadcast(starts)           # at most max_ranges x 16 bytes
+
+    @F.pandas_udf("range int, first boolean")
+    def place(order: pd.Series, fp: pd.Series) -> pd.DataFrame:
+        at, first = range_of(order.to_numpy(np.int64), fp.to_numpy(np.int64), shared.value)
+        return pd.DataFrame({"range": at.astype(np.int32), "first": first})
+
+    dealt = rows.withColumn("__place", place("__order", "__fp"))
+    edges = (dealt.where("__place.first").groupBy("__place.range").agg(F.min("text").alias("text"))
+             .select(F.pmod(F.col("range") - 1, F.lit(max(n_ranges, 1))).alias("__range"), F.lit(1).alias("__edge"),
+                     F.lit(None).cast("bigint").alias("__order"), F.lit(None).cast("bigint").alias("__fp"),
                      F.lit(None).cast("bigint").alias("doc_id"), "text"))
-    ordered = everything.repartition(n_parts, "__range").sortWithinPartitions(
-        "__range", "__edge", F.desc("__at"), "text")
+    everything = dealt.select(F.col("__place.range").alias("__range"), F.lit(0).alias("__edge"), "__order", "__fp", "doc_id",
+                              "text").unionByName(edges)
+    ordered = (everything.repartition(n_parts, "__range").sortWithinPartitions("__range", "__edge", "__order", "__fp", "text")
+               .select("__range", "__edge", "doc_id", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pending = None
+        pending, last = None, (None, None, ())
         for batch in batches:
             out = []
-            for part, edge, doc_id, text in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3, 4)), strict=True):
-                print_ = anchors(text, params)
-                if pending is not None and pending[0] == part:
+            for part, edge, doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                follows = pending is not None and pending[0] == part
+                print_ = pending[3] if follows and pending[2] == text else anchors(text, params)
+                if follows:
                     _, own_id, own, own_print = pending
-                    half = len(own) // 2
-                    edited = own[:len(own) - half] + text[:half]
-                    edited_print = anchors(edited, params)
-                    out.append((own_id, len(own), hashlib.sha256(edited.encode()).hexdigest(), as_text(own_print),
-                                as_text(edited_print), likeness(own_print, edited_print, params.size),
-                                likeness(own_print, print_, params.size)))
+                    if last[0] != own or last[1] != text:       # else: a run of copies, compared once
+                        half = len(own) // 2
+                        edited = own[:len(own) - half] + text[:half]
+                        edited_print = anchors(edited, params)
+                        last = own, text, (len(own), hashlib.sha256(edited.encode()).hexdigest(), as_text(own_print),
+                                           as_text(edited_print), likeness(own_print, edited_print, params.size),
+                                           likeness(own_print, print_, params.size))
+                    out.append((own_id, *last[2]))
                 pending = None if edge else (part, doc_id, text, print_)
             columns = list(zip(*out, strict=True)) if out else [()] * 7
             types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from larder.llm import quality, syncmers, token_counts, toxicity
@@ -54,11 +55,24 @@ def test_token_counts_edge_rows(spark):
     assert token_counts.count_tokens(edge.documents(spark, []), vocabulary_path()).count() == 0
 
 
+def test_one_pair_of_word_tables_per_process():
+    table = token_counts.load_merges(vocabulary_path())
+    for name in ("one", "two", table.digest):
+        token_counts.counter(table, name)("some words")
+    assert list(token_counts._counters) == [table.digest] and len(table.digest) == 64
+
+
 # --- fingerprints
 
+def signed_hash(text):
+    value = xxhash.xxh64_intdigest(text.encode(), 42)
+    return value - (1 << 64) if value >= 1 << 63 else value
+
+
 def expected_pairs(rows):
-    """(id, text, next text) in descending order of id, NULL ids last, equal ids by text."""
-    order = sorted(((i, t or "") for i, t in rows), key=lambda r: (-(r[0] if r[0] is not None else -(1 << 63)), r[1].encode()))
+    """(id, text, next text) in descending order of id, NULL ids last, equal ids by the hash of their text."""
+    order = sorted(((i, t or "") for i, t in rows),
+                   key=lambda r: (-(r[0] if r[0] is not None else -(1 << 63)), signed_hash(r[1]), r[1].encode()))
     return [(i, t, order[(n + 1) % len(order)][1]) for n, (i, t) in enumerate(order)]
 
 
@@ -79,6 +93,50 @@ def test_fingerprints(spark, table):
     assert sorted((tuple(r) for r in got), key=str) == sorted(want, key=str)
 
 
+def plain_likeness(a, b, size):
+    """By definition: of the ``size`` smallest hashes of both, the longest row of common ones that rises in both texts."""
+    if not a or not b:
+        return float(a == b)
+    smallest = sorted({h for h, _ in a + b})[:size]
+    both = sorted((dict(a)[h], dict(b)[h]) for h in smallest if h in dict(a) and h in dict(b))
+    longest = []
+    for n, (_, at) in enumerate(both):
+        longest.append(1 + max((longest[m] for m in range(n) if both[m][1] < at), default=0))
+    return max(longest, default=0) / len(smallest)
+
+
+def test_likeness_by_definition():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        a, b = ([(int(h), int(at)) for h, at in zip(rng.permutation(40)[:n], np.sort(rng.permutation(90)[:n]), strict=True)]
+                for n in rng.integers(0, 25, 2))
+        assert syncmers.likeness(a, b, 12) == plain_likeness(a, b, 12)
+
+
+def test_many_rows_without_an_id_are_many_ranges(spark):
+    """A third of the rows has no id, another third is one text under one id."""
+    rows = [(i, f"text number {i} of those that have an id of their own") for i in range(200)] \
+        + [(None, f"a text that has no id, in version {i * i}") for i in range(200)] + [(77, "the same text again and again")] * 200
+    docs = edge.documents(spark, [(i, t, "a") for i, t in rows])
+    p = syncmers.SyncmerParams(max_ranges=40)
+    keys = docs.select(F.coalesce(F.bitwise_not("doc_id"), F.lit(syncmers._LAST)).alias("__order"),
+                       F.xxhash64("text").alias("__fp"))
+    starts = syncmers._range_starts(keys, 40)
+    assert (starts[0] == syncmers._LAST).sum() > 5 and len(starts[0]) <= 40
+    order, fp = (np.array(c, np.int64) for c in zip(*[tuple(r) for r in keys.collect()], strict=True))
+    firsts = list(zip(*(c.tolist() for c in starts), strict=True))
+    for o, f, at, first in zip(order.tolist(), fp.tolist(), *(c.tolist() for c in syncmers.range_of(order, fp, starts)), strict=True):
+        assert at == sum(s <= (o, f) for s in firsts) - 1 and first == ((o, f) in firsts)
+    want = []
+    for i, own, after in expected_pairs(rows):
+        edited = own[:len(own) - len(own) // 2] + after[:len(own) // 2]
+        a, b, c = (syncmers.anchors(x, p) for x in (own, edited, after))
+        want.append((i, len(own), hashlib.sha256(edited.encode()).hexdigest(), syncmers.as_text(a), syncmers.as_text(b),
+                     plain_likeness(a, b, p.size), plain_likeness(a, c, p.size)))
+    got = syncmers.compare_with_next(docs, p).collect()
+    assert sorted((tuple(r) for r in got), key=str) == sorted(want, key=str)
+
+
 def test_fingerprints_single_row_and_empty_table(spark):
     one = syncmers.compare_with_next(edge.documents(spark, [(1, "just one text here", "a")])).collect()
     assert len(one) == 1 and one[0]["near_next"] == 1.0
