@@ -2,9 +2,10 @@
 
 Logistic regression over the distinct tokens of a text: one weight per hashed
 word and per hashed character 4-gram of the word. In every labelled sentence
-that names a group, the identity terms are swapped for others of their category;
-the fit penalises the squared change of the score, so a group mention as such
-moves the score little and neutral mentions are not flagged.
+that names a group, each identity term is swapped for the next of its category;
+the fit penalises the squared change of the sentence's score (the log-odds, whose
+change doesn't fade where a long text's probability is near 0 or 1), so which group
+is named moves the score little and neutral mentions are not flagged.
 
 Nulls, edges: NULL and empty texts score by the bias alone. A NULL ``doc_id``
 counts as held out. Without labels all weights are 0 (score 0.5).
@@ -43,8 +44,10 @@ IDENTITY_TERMS = {
     "mujer": ["mujer", "hombre"], "mujeres": ["mujeres", "hombres"],
     "religiones": ["musulmanes", "cristianos", "judíos", "budistas"],
 }
+TERMS = sorted(t for terms in IDENTITY_TERMS.values() for t in terms)
 SWAP = {t: terms[(i + 1) % len(terms)] for terms in IDENTITY_TERMS.values() for i, t in enumerate(terms)}
 
+_NUMBER = {t: n for n, t in enumerate(TERMS)}
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
@@ -83,8 +86,27 @@ def word_buckets(token: str, buckets: int) -> list[int]:
     return sorted({crc32(g) % buckets for g in (padded, *grams)})
 
 
+def swap_counts(text: str) -> dict[int, int]:
+    """Number of the text's sentences that name each identity term, by the term's place in ``TERMS``."""
+    counts: dict[int, int] = {}
+    for sentence in _SENTENCE.findall(text):
+        for term in {w for w in map(plain, sentence.split()) if w in SWAP}:
+            counts[_NUMBER[term]] = counts.get(_NUMBER[term], 0) + 1
+    return counts
+
+
+def swap_change(term: str, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets and signed feature changes of a sentence in which the term is swapped."""
+    change: dict[int, int] = {}
+    for word, sign in ((term, -1), (SWAP[term], 1)):
+        for b in word_buckets(word, buckets):
+            change[b] = change.get(b, 0) + sign
+    kept = sorted((b, v) for b, v in change.items() if v)
+    return np.array([b for b, _ in kept], np.int64), np.array([v for _, v in kept], np.float64)
+
+
 def describe_for(params: ToxicityParams):
-    """Feature counts over distinct tokens; extra: signed feature changes under an identity swap."""
+    """Feature counts over distinct tokens; extra: pairs of identity term and number of sentences that name it."""
     known = RecentValues(lambda t: np.array(word_buckets(t, params.buckets), np.int32), 150_000)
 
     def describe(text: str) -> tuple[bytes, bytes, bytes]:
@@ -92,19 +114,8 @@ def describe_for(params: ToxicityParams):
         tokens = set(text.split())
         flat = np.concatenate([known[t] for t in tokens]) if tokens else np.zeros(0, np.int32)
         ids, counts = np.unique(flat, return_counts=True)
-        change: dict[int, int] = {}
-        if any(plain(t) in SWAP for t in tokens):
-            out, into = set(), set()
-            for sentence in _SENTENCE.findall(text):
-                for word in map(plain, sentence.split()):
-                    if word in SWAP:
-                        out.add(word)
-                        into.add(SWAP[word])
-            for words, sign in ((out - into, -1), (into - out, 1)):
-                for word in words:
-                    for b in word_buckets(word, params.buckets):
-                        change[b] = change.get(b, 0) + sign
-        extra = np.array([v for kv in sorted(change.items()) for v in kv], np.int32)
+        swaps = swap_counts(text) if any(plain(t) in SWAP for t in tokens) else {}
+        extra = np.array([v for kv in sorted(swaps.items()) for v in kv], np.int32)
         return ids.tobytes(), counts.astype(np.float32).tobytes(), extra.tobytes()
     return describe
 
@@ -112,7 +123,8 @@ def describe_for(params: ToxicityParams):
 def train(rows: list, params: ToxicityParams) -> tuple[np.ndarray, float]:
     """AdaGrad mini-batches over numpy arrays; returns bucket weights and bias.
 
-    Loss: cross-entropy + fairness * (score(swapped) - score(original))^2 + L1 (proximal steps).
+    Loss: cross-entropy + fairness * (log-odds(swapped) - log-odds(original))^2 for every term of every
+    labelled sentence + L1 (proximal steps).
     Buckets in fewer than ``min_df`` sampled documents keep weight 0.
     """
     weights = np.zeros(params.buckets, np.float64)
@@ -120,7 +132,8 @@ def train(rows: list, params: ToxicityParams) -> tuple[np.ndarray, float]:
         return weights.astype(np.float32), 0.0
     ids = [np.frombuffer(r["ids"], np.int32) for r in rows]
     values = [np.frombuffer(r["weights"], np.float32) for r in rows]
-    swaps = [np.frombuffer(r["extra"], np.int32).reshape(-1, 2) for r in rows]
+    named = [np.frombuffer(r["extra"], np.int32).reshape(-1, 2) for r in rows]
+    changes = {int(t): swap_change(TERMS[t], params.buckets) for t in np.unique(np.concatenate(named)[:, 0])}
     labels = np.array([r["label"] for r in rows], np.float64)
     df = np.bincount(np.concatenate(ids), minlength=params.buckets)
     usable = df >= min(params.min_df, max(1, len(rows) // 50))
@@ -139,14 +152,13 @@ def train(rows: list, params: ToxicityParams) -> tuple[np.ndarray, float]:
             z = bias + np.bincount(doc, weights[flat] * val, minlength=len(part))
             p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             slope = p - labels[part]
-            swapped = [(n, swaps[k]) for n, k in enumerate(part) if len(swaps[k])]
             extra_ids, extra_grad = [], []
-            for n, change in swapped:
-                q = 1 / (1 + math.exp(-max(-30.0, min(30.0, z[n] + weights[change[:, 0]] @ change[:, 1]))))
-                gap = 2 * params.fairness * (q - p[n])
-                slope[n] += gap * (q * (1 - q) - p[n] * (1 - p[n]))
-                extra_ids.append(change[:, 0])
-                extra_grad.append(gap * q * (1 - q) * change[:, 1])
+            terms, where = np.unique(np.concatenate([named[k][:, 0] for k in part]), return_inverse=True)
+            sentences = np.bincount(where, np.concatenate([named[k][:, 1] for k in part]), minlength=len(terms))
+            for term, n in zip(terms.tolist(), sentences, strict=True):
+                at_, change = changes[term]
+                extra_ids.append(at_)
+                extra_grad.append(2 * params.fairness * n * (weights[at_] @ change) * change)
             touched = np.concatenate([flat, *extra_ids])
             pushes = np.concatenate([slope[doc] * val, *extra_grad]) / len(part)
             rows_, where = np.unique(touched, return_inverse=True)

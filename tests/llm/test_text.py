@@ -249,8 +249,8 @@ def test_counterfactual_penalty_evens_out_groups():
         rng.shuffle(words)
         texts.append((f"That {group} person said {' '.join(words)}.", int(toxic)))
     neutral = [f"My {g} neighbour likes {filler[k]} and {filler[k + 1]}." for g in ("muslim", "christian") for k in range(20)]
-    gaps = []
-    for strength in (0.0, 20.0):
+    gaps, flagged = [], []
+    for strength in (0.0, toxicity.ToxicityParams().fairness):
         p = toxicity.ToxicityParams(fairness=strength, buckets=1 << 16, min_df=1)
         describe = toxicity.describe_for(p)
         rows = [dict(zip(("ids", "weights", "extra"), describe(t), strict=True)) | {"label": y} for t, y in texts]
@@ -258,8 +258,21 @@ def test_counterfactual_penalty_evens_out_groups():
         score = toxicity.scorer(weights, bias, p.buckets)
         s = [score(t) for t in neutral]
         gaps.append(abs(np.mean(s[:20]) - np.mean(s[20:])))
+        flagged.append(sum(x >= p.threshold for x in s))
         assert score("You idiot scum.") > score("You word1 word2.")
-    assert gaps[1] < 0.5 * gaps[0]
+    # what is left is the noise of the filler words (a third of the texts is toxic), alike for both groups
+    assert gaps[0] > 0.3 and gaps[1] < 0.02 and flagged[0] == 20 and flagged[1] < 10
+
+
+def test_swaps_are_counted_by_sentence():
+    text = "The Muslim and the christian. A muslim, again! Men and women; muslim\nmen"
+    got = {toxicity.TERMS[k]: n for k, n in toxicity.swap_counts(text).items()}
+    assert got == {"muslim": 3, "christian": 1, "men": 2, "women": 1}
+    assert toxicity.swap_counts("nobody here. or there") == {} == toxicity.swap_counts("")
+    at, change = toxicity.swap_change("men", 1 << 20)
+    lost, new = toxicity.word_buckets("men", 1 << 20), toxicity.word_buckets(toxicity.SWAP["men"], 1 << 20)
+    want = {b: new.count(b) - lost.count(b) for b in lost + new}
+    assert dict(zip(at.tolist(), change.tolist(), strict=True)) == {b: v for b, v in want.items() if v}
 
 
 # --- url filter and its Bloom filter
