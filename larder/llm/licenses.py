@@ -12,7 +12,9 @@ shingles are ``shingle`` consecutive words.
    band. The number of bands follows from the lowest Jaccard similarity that a window
    with the wanted containment can have: such a window shares a band with its template
    with probability ``recall`` at least. Bands are joined with the templates' bands.
-4. *Check.* The shingles of the template that the window really has are counted.
+4. *Check.* The shingles of the template that the window really has are counted. Each *mark*
+   of the template (its version, or the word that tells it from the rest of its family)
+   must stand in one of them, so version 2 of a license isn't taken for version 3.
 
 Nulls, edges: NULL or empty texts match nothing. Templates with fewer words than a shingle
 have their word sequence as one shingle. Rows with equal ids are told apart by their text;
@@ -28,30 +30,64 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Notices by which texts state a license (name, notice).
+# Notices by which texts state a license (name, notice, marks: words that tell it from its family).
 TEMPLATES = [
-    ("MIT", "Released under the MIT License."),
+    ("MIT", "Released under the MIT License.", ()),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
             "associated documentation files (the \"Software\"), to deal in the Software without restriction, including "
             "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
-            "copies of the Software, and to permit persons to whom the Software is furnished to do so"),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+            "copies of the Software, and to permit persons to whom the Software is furnished to do so", ()),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0.", ("version 2 0",)),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except "
-                   "in compliance with the License. You may obtain a copy of the License at"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+                   "in compliance with the License. You may obtain a copy of the License at", ("version 2 0",)),
+    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3.", ("gnu general", "version 3")),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
                 "General Public License as published by the Free Software Foundation, either version 3 of the License, "
-                "or (at your option) any later version."),
-    ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
-                     "provided that the following conditions are met"),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+                "or (at your option) any later version.", ("gnu general", "version 3")),
+    ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3.",
+     ("gnu lesser", "version 3")),
+    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted "
+            "provided that the following conditions are met", ()),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", ("v 2 0",)),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+     ("attribution 4 0",)),
+    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0.", ("nc 4 0",)),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0.", ("sa 4 0",)),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring "
-                "rights to this work."),
-    ("proprietary", "All rights reserved."),
+                "rights to this work.", ()),
+    ("proprietary", "All rights reserved.", ()),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2.", ("gnu general", "version 2")),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                "General Public License as published by the Free Software Foundation; either version 2 of the License, "
+                "or (at your option) any later version.", ("gnu general", "version 2")),
+    ("LGPL-2.1", "This library is licensed under the GNU Lesser General Public License, version 2.1.",
+     ("gnu lesser", "version 2 1")),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                 "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the "
+                 "License, or (at your option) any later version.", ("gnu lesser", "version 2 1")),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                 "Lesser General Public License as published by the Free Software Foundation, either version 3 of the "
+                 "License, or (at your option) any later version.", ("gnu lesser", "version 3")),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3.",
+     ("gnu affero", "version 3")),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                 "Affero General Public License as published by the Free Software Foundation, either version 3 of the "
+                 "License, or (at your option) any later version.", ("gnu affero", "version 3")),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse "
+                     "or promote products derived from this software without specific prior written permission.", ()),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+            "hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+     ()),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, "
+                  "modify, publish, use, compile, sell, or distribute this software, either in source code form or as a "
+                  "compiled binary, for any purpose, commercial or non-commercial, and by any means.", ()),
+    ("MPL-1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1 (the \"License\"); you "
+                "may not use this file except in compliance with the License.", ("version 1 1",)),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+     ("sharealike 4 0",)),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+     ("noncommercial 4 0",)),
+    ("CC-BY-4.0", "Licensed under CC BY 4.0.", ("by 4 0",)),
 ]
 # Fixed value: words too common to be anchors while others are left.
 COMMON = frozenset("a all and any are as at be by for from in is it of on or the this to under use with work you".split())
@@ -76,6 +112,14 @@ def shingles_in(words: list[str], size: int) -> list[str]:
     return sorted({" ".join(words[i:i + size]) for i in range(max(1, len(words) - size + 1))}) if words else []
 
 
+def mark_shingles(words: list[str], marks: tuple[str, ...], size: int) -> list[list[str]]:
+    """For each mark the template's shingles that hold it."""
+    found = [[s for s in shingles_in(words, size) if f" {m} " in f" {s} "] for m in marks]
+    if not all(found):
+        raise ValueError(f"a mark of {marks} stands in no shingle of the notice {' '.join(words)!r}")
+    return found
+
+
 def stride_of(length: int) -> int:
     return max(1, length // 8)
 
@@ -126,19 +170,20 @@ def band_hashes(shingles: Column, bands: int, rows: int) -> Column:
     return F.array(*[F.xxhash64(F.lit(b), *[lowest(b * rows + r) for r in range(rows)]) for b in range(bands)])
 
 
-def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
+def scan_licenses(docs: DataFrame, templates: list[tuple[str, str, tuple[str, ...]]] = TEMPLATES,
                   params: LicenseParams = LicenseParams()) -> DataFrame:
     """doc_id, template (number), license, containment, first_word: the best window per document and template."""
     spark = docs.sparkSession
-    listed = [(n, name, words_in(text)) for n, (name, text) in enumerate(templates)]
-    listed = [(n, name, w) for n, name, w in listed if w]
-    anchors = sorted({a for _, _, w in listed for a in anchors_of(w, params)})
-    lengths = sorted({len(w) for _, _, w in listed})
+    listed = [(n, name, words_in(text), marks) for n, (name, text, marks) in enumerate(templates)]
+    listed = [(n, name, w, mark_shingles(w, marks, params.shingle)) for n, name, w, marks in listed if w]
+    anchors = sorted({a for _, _, w, _ in listed for a in anchors_of(w, params)})
+    lengths = sorted({len(w) for _, _, w, _ in listed})
     bands = max((bands_needed(lowest_jaccard(n, params), params.rows, params.recall) for n in lengths), default=1)
 
-    known = spark.createDataFrame(listed, "template int, license string, words array<string>") \
-        .withColumn("length", F.size("words")).withColumn("wanted", word_shingles(F.col("words"), params.shingle))
-    known_bands = known.select("template", "license", "length", "wanted",
+    known = spark.createDataFrame(listed, "template int, license string, words array<string>, marks array<array<string>>") \
+        .withColumn("length", F.size("words")).withColumn("wanted", word_shingles(F.col("words"), params.shingle)) \
+        .withColumn("marks", F.transform("marks", lambda m: F.transform(m, lambda s: F.xxhash64(s))))
+    known_bands = known.select("template", "license", "length", "wanted", "marks",
                                F.explode(band_hashes(F.col("wanted"), bands, params.rows)).alias("band"))
 
     lowered = F.lower("text")
@@ -184,6 +229,7 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
                  .drop("band").dropDuplicates(["doc_id", "__fp", "length", "start", "template"]))
     share = F.size(F.array_intersect("shingles", "wanted")) / F.size("wanted")
     return (retrieved.withColumn("containment", share).where(F.col("containment") >= params.containment - 1e-9)
+            .where(F.forall("marks", lambda m: F.arrays_overlap(m, F.col("shingles"))))
             .groupBy("doc_id", "__fp", "template", "license")
             .agg(F.max(F.struct("containment", (-F.col("start")).alias("s"))).alias("best"))
             .select("doc_id", "template", "license", "best.containment", (-F.col("best.s")).alias("first_word")))

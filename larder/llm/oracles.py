@@ -70,21 +70,24 @@ def license_scan() -> str:
 
     Texts without an anchor word of some template can't reach the containment and are left out first.
     """
-    anchors = sorted({a for _, text in TEMPLATES for a in anchors_of(words_in(text), LicenseParams())})
+    anchors = sorted({a for _, text, _ in TEMPLATES for a in anchors_of(words_in(text), LicenseParams())})
     short = "|".join(a for a in anchors if len(a) <= 4)
     some = " OR ".join([rf"regexp_matches(lower(text), '(^|[^\p{{L}}\p{{N}}])({short})([^\p{{L}}\p{{N}}]|$)')",
                         *(f"contains(lower(text), '{a}')" for a in anchors if len(a) > 4)])
-    quoted = ", ".join(f"({n}, '{name}', '{text.replace(chr(39), chr(39) * 2)}')" for n, (name, text) in enumerate(TEMPLATES))
+    quoted = ", ".join(f"({n}, '{name}', '{text.replace(chr(39), chr(39) * 2)}', CAST({list(marks)} AS VARCHAR[]))"
+                       for n, (name, text, marks) in enumerate(TEMPLATES))
     shingles = "list_distinct(list_transform(range(1, greatest(len({w}) - 2, 1) + 1), lambda i: array_to_string({w}[i:i + 2], ' ')))"
     return rf"""
-WITH named(template, license, notice) AS (VALUES {quoted}),
-tw AS (SELECT template, license, regexp_extract_all(lower(notice), '[\p{{L}}\p{{N}}]+') AS w FROM named),
-t AS (SELECT template, license, len(w) AS size, greatest(1, len(w) // 8) AS stride, {shingles.format(w='w')} AS wanted FROM tw),
+WITH named(template, license, notice, marks) AS (VALUES {quoted}),
+tw AS (SELECT template, license, marks, regexp_extract_all(lower(notice), '[\p{{L}}\p{{N}}]+') AS w FROM named),
+t AS (SELECT template, license, marks, len(w) AS size, greatest(1, len(w) // 8) AS stride, {shingles.format(w='w')} AS wanted FROM tw),
 d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{N}}]+') AS w FROM documents WHERE {some}),
-win AS (SELECT doc_id, template, license, wanted, start, w[start + 1:start + size + stride - 1] AS part
-        FROM (SELECT doc_id, w, template, license, wanted, size, stride, unnest(range(0, len(w), stride)) AS start FROM d, t)),
-share AS (SELECT doc_id, template, license, start,
-                 len(list_intersect({shingles.format(w='part')}, wanted)) / len(wanted) AS c FROM win)
+win AS (SELECT doc_id, template, license, marks, wanted, start, w[start + 1:start + size + stride - 1] AS part
+        FROM (SELECT doc_id, w, template, license, marks, wanted, size, stride, unnest(range(0, len(w), stride)) AS start FROM d, t)),
+had AS (SELECT doc_id, template, license, marks, start, len(wanted) AS n,
+               list_intersect({shingles.format(w='part')}, wanted) AS held FROM win),
+share AS (SELECT doc_id, template, license, start, len(held) / n AS c FROM had
+          WHERE len(list_filter(marks, lambda m: len(list_filter(held, lambda s: contains(' ' || s || ' ', ' ' || m || ' '))) = 0)) = 0)
 SELECT doc_id, CAST(template AS INTEGER) AS template, license, max(c) AS containment,
        CAST(arg_max(start, c * 1e12 - start) AS INTEGER) AS first_word
 FROM share WHERE c >= 0.8 - 1e-9 GROUP BY doc_id, template, license

@@ -166,14 +166,15 @@ def brute_licenses(rows, templates=lic.TEMPLATES, p=lic.LicenseParams()):
     found = {}
     for doc, text in rows:
         words = lic.words_in(text or "")
-        for n, (_, notice) in enumerate(templates):
+        for n, (_, notice, marks) in enumerate(templates):
             wanted = set(lic.shingles_in(lic.words_in(notice), p.shingle))
             length = len(lic.words_in(notice))
             stride = lic.stride_of(length)
             for start in range(0, len(words), stride):
                 have = set(lic.shingles_in(words[start:start + length + stride - 1], p.shingle))
                 share = len(wanted & have) / len(wanted)
-                if share >= p.containment - 1e-9:
+                stated = all(any(f" {m} " in f" {s} " for s in wanted & have) for m in marks)
+                if stated and share >= p.containment - 1e-9:
                     found[doc, n] = max(found.get((doc, n), 0), share)
     return found
 
@@ -192,6 +193,25 @@ def test_license_scan_edges(spark):
     assert lic.scan_licenses(edge.documents(spark, [])).count() == 0
 
 
+def test_every_version_of_a_family_is_told_apart(spark):
+    rows = [(n, f"Some code stands here. {notice} And more of it follows there.", "a") for n, (_, notice, _) in enumerate(lic.TEMPLATES)]
+    gpl = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public " \
+          "License as published by the Free Software Foundation; either version {} of the License, or any later version."
+    unknown = ["GNU General Public License, version 1.", gpl.format(1), gpl.format(12), "Licensed under the Apache License, Version 1.1.",
+               "Licensed under CC BY-SA 3.0.", "This work is licensed under a Creative Commons Attribution 3.0 International License.",
+               "This work is licensed under a Creative Commons Attribution-NoDerivs 4.0 International License.",
+               "This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.0."]
+    rows += [(100 + n, f"Some code. {text} The end.", "a") for n, text in enumerate(unknown)]
+    rows += [(200, "Take it under the GNU General Public License, version 2. This work is licensed under the GNU General Public License, "
+                   "version 2. Or else: this work is licensed under the GNU Affero General Public License, version 3.", "a")]
+    names = {}
+    for r in lic.scan_licenses(edge.documents(spark, rows)).collect():
+        names.setdefault(r["doc_id"], set()).add(r["license"])
+    assert names == {n: {name} for n, (name, _, _) in enumerate(lic.TEMPLATES)} | {200: {"GPL-2.0", "AGPL-3.0"}}
+    with pytest.raises(ValueError, match="stands in no shingle"):
+        lic.scan_licenses(edge.documents(spark, []), [("X", "Some notice of three words", ("version 2",))])
+
+
 def test_license_scan_whole_table(spark):
     docs = [tuple(r) for r in spark.read.parquet(SF_SMALL + "/documents.parquet").select("doc_id", "text").collect()]
     got = {(r["doc_id"], r["template"]): round(r["containment"], 9) for r in op5_license_scan(spark, SF_SMALL).collect()}
@@ -204,7 +224,7 @@ def test_license_scan_runs_no_python(spark):
 
 
 def test_band_numbers_follow_from_the_bound():
-    for _, notice in lic.TEMPLATES:
+    for _, notice, _ in lic.TEMPLATES:
         p, words = lic.LicenseParams(), lic.words_in(notice)
         j = lic.lowest_jaccard(len(words), p)
         bands = lic.bands_needed(j, p.rows, p.recall)
