@@ -5,7 +5,8 @@ shingles are ``shingle`` consecutive words.
 
 1. *Anchors.* For each template enough words are marked as anchors that any text with
    ``containment`` of the template's shingles must hold one of them. Documents without
-   an anchor are left out, and only windows over an anchor are built: an exact bound.
+   an anchor are left out, and a length's windows are built only over anchors of the
+   templates of that length: an exact bound.
 2. *Windows.* For a template of L words: windows of L + stride - 1 words every
    ``stride`` = max(1, L / 8) words, so one window holds any passage of L words whole.
 3. *MinHash.* Each window's minima under ``bands * rows`` hash functions, ``rows`` to a
@@ -176,8 +177,10 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str, tuple[str, ..
     spark = docs.sparkSession
     listed = [(n, name, words_in(text), marks) for n, (name, text, marks) in enumerate(templates)]
     listed = [(n, name, w, mark_shingles(w, marks, params.shingle)) for n, name, w, marks in listed if w]
-    anchors = sorted({a for _, _, w, _ in listed for a in anchors_of(w, params)})
-    lengths = sorted({len(w) for _, _, w, _ in listed})
+    anchors_by_length: dict[int, set[str]] = {}
+    for _, _, w, _ in listed:
+        anchors_by_length.setdefault(len(w), set()).update(anchors_of(w, params))
+    anchors, lengths = sorted(set().union(*anchors_by_length.values())), sorted(anchors_by_length)
     bands = max((bands_needed(lowest_jaccard(n, params), params.rows, params.recall) for n in lengths), default=1)
 
     known = spark.createDataFrame(listed, "template int, license string, words array<string>, marks array<array<string>>") \
@@ -213,7 +216,9 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str, tuple[str, ..
         """Windows that start in the segment, at a multiple of the stride, and have an anchor."""
         stride = stride_of(length)
         size = length + stride - 1
-        starts = F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(
+        over = F.filter("hits", lambda h: F.get("words", (h - F.col("offset")).cast("int")).isin(
+            sorted(anchors_by_length[length])))
+        starts = F.array_distinct(F.flatten(F.transform(over, lambda h: F.sequence(
             F.greatest(F.ceil((h - F.lit(size - 1)) / F.lit(stride)).cast("int"), F.lit(0)) * stride,
             F.floor(h / stride).cast("int") * stride, F.lit(stride)))))
         own = F.filter(starts, lambda s: (s >= F.col("offset")) & (s < F.col("offset") + SEGMENT))
