@@ -11,6 +11,11 @@ whose numbers or names were exchanged has the template of the original.
    template: it is hashed with its values, and matches where the words are the same.
    Windows with a capitalised word that begins a sentence are also hashed in a second form
    in which it is a name, so that neither a subject's name nor a line break hides a copy.
+   Windows that several items share don't open a match where they need not: an item's most
+   shared windows are set aside as long as they cover too few of its words to condemn a
+   document. Any match holds one of the others, its seeds; only seeds are joined by hash
+   alone. So an opening that many items and documents share makes no row for every pair of
+   them, and the windows set aside are looked up at their place on the diagonals of seeds.
 2. Hits of one document and item on one diagonal (document place minus item place)
    are an aligned match. Slots must be consistent: a value of the item stands for
    one value in the document. Windows with a slot value that maps to two are dropped.
@@ -29,7 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.llm.bloom import filter_words, probe, split_by_keys
@@ -98,6 +103,32 @@ def item_windows(items: DataFrame, params: DecontaminationParams) -> DataFrame:
                      "exact boolean, item_first boolean"))
 
 
+def with_seeds(windows: DataFrame, params: DecontaminationParams) -> DataFrame:
+    """Adds ``seed``: false for an item's most shared windows, as long as all of these cover too few words for a match.
+
+    A place adds at least one word to what the places before it cover, so an item has at
+    most ``long_match`` such places.
+    """
+    shared = (windows.select("wh", "item_id").distinct().groupBy("wh").agg(F.count("*").alias("items")).where("items > 1"))
+    order = Window.partitionBy("item_id").orderBy(F.desc("items"), "pos")
+    places = (windows.join(shared, "wh").groupBy("item_id", "pos", "size", "words").agg(F.max("items").alias("items"))
+              .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= params.long_match)
+              .groupBy("item_id", "size", "words")
+              .agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "pos"))), lambda r: r["pos"]).alias("places")))
+
+    def covered(chosen: Column) -> Column:
+        return F.size(F.array_distinct(F.flatten(F.transform(chosen, lambda p: F.sequence(p, p + F.col("size") - 1)))))
+
+    def extended(chosen: Column, place: Column) -> Column:
+        more = F.concat(chosen, F.array(place))
+        few = (covered(more) < params.share * F.col("words")) & (covered(more) < params.long_match)
+        return F.when(few, more).otherwise(chosen)
+
+    aside = places.select("item_id", F.aggregate("places", F.array().cast("array<int>"), extended).alias("aside"))
+    return windows.join(aside, "item_id", "left").withColumn(
+        "seed", ~F.coalesce(F.array_contains("aside", F.col("pos")), F.lit(False))).drop("aside")
+
+
 def units_of(batch: pa.RecordBatch) -> Iterator[tuple[int, Words]]:
     """Canonical words of the batch's texts, about ``_UNIT_BYTES`` at a time, with the number of the first text."""
     buffer, offsets = utf8_column(batch, "text")
@@ -144,17 +175,24 @@ def document_hits(docs: DataFrame, words: np.ndarray, sizes: dict[int, bool], pa
 def leaks(docs: DataFrame, items: DataFrame, params: DecontaminationParams = DecontaminationParams()) -> DataFrame:
     """Contaminated (document, item) pairs of keyed documents: __at, __fp, item_id, item_words, covered, share, changed_slots."""
     bounded_batches(docs.sparkSession)
-    windows = written(item_windows(items, params), "item-windows")
+    windows = written(with_seeds(written(item_windows(items, params), "item-windows"), params), "item-seeds")
     sizes = {r["size"]: r["exact"] for r in                                         # at most ``window`` rows
              windows.groupBy("size").agg(F.max("exact").alias("exact")).orderBy("size").collect()}
     words = filter_words(windows, F.array("wh", "wh2"), params.max_blocks)
-    hits = document_hits(docs, words, sizes, params).distinct()
+    hits = written(document_hits(docs, words, sizes, params).distinct(), "window-hits")
+    diagonal = (F.col("at") - F.col("pos")).alias("diagonal")
+    found = ["__at", "__fp", "wh", "at", "doc_slots", "doc_first", "item_id", "words", "size", "pos", "item_slots", "item_first"]
+    same_slots = F.size("doc_slots") == F.size("item_slots")
+    opened = written(hits.join(windows.where("seed").drop("wh2", "exact"), "wh").where(same_slots).select(found), "seed-hits")
+    looked_up = (opened.select("__at", "__fp", "item_id", diagonal).distinct()
+                 .join(windows.where("NOT seed").drop("wh2", "exact"), "item_id")
+                 .withColumn("at", F.col("diagonal") + F.col("pos")).join(hits, ["__at", "__fp", "wh", "at"])
+                 .where(same_slots).select(found))
     forms = F.when(F.col("item_first") & F.col("doc_first"), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(2)))
-    matched = (hits.join(windows.drop("wh2", "exact"), "wh")
-               .where(F.size("doc_slots") == F.size("item_slots"))
+    matched = (opened.unionByName(looked_up)
                .withColumn("pairs", F.arrays_zip("item_slots", "doc_slots"))
                .withColumn("form", F.explode(forms))
-               .groupBy("__at", "__fp", "item_id", (F.col("at") - F.col("pos")).alias("diagonal"), "form")
+               .groupBy("__at", "__fp", "item_id", diagonal, "form")
                .agg(F.first("words").alias("words"), F.collect_set(F.struct("pos", "size", "pairs")).alias("hits")))
     values = F.array_distinct(F.flatten(F.transform("hits", lambda h: h["pairs"])))
     unclear = F.array_distinct(F.transform(F.filter("values", lambda p: F.size(F.filter(

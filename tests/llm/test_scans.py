@@ -126,6 +126,29 @@ def test_decontamination_names_that_begin_sentences(spark):
     assert found[1, 1]["changed_slots"] == 1 and found[2, 1]["changed_slots"] == 0
 
 
+def test_shared_openings_make_no_row_per_pair(spark):
+    """40 items and 60 documents share eleven opening words; only documents that go on like an item match it."""
+    opening = "please read the following story and then answer this question about"
+    items = [(i, opening + "".join(f" word{i}x{k}" for k in range(14))) for i in range(40)]
+    rows = [(i, opening + "".join(f" other{i}x{k}" for k in range(20))) for i in range(60)]
+    rows += [(100 + i, items[i][1]) for i in range(5)]
+    rows += [(200 + i, " ".join(items[i][1].split()[8:])) for i in range(5)]       # without a whole window of the opening
+    rows += [(300, opening + "".join(f" word7x{k}" for k in range(1)) + " and then nothing")]      # 12 words: too few
+    rows += [(301, opening + "".join(f" word7x{k}" for k in range(2)) + " and then nothing")]      # 13 words: enough
+    docs, table = spark.createDataFrame(rows, "doc_id long, text string"), items_table(spark, items)
+    windows = dec.with_seeds(dec.item_windows(table, dec.DecontaminationParams()), dec.DecontaminationParams())
+    aside = {(r["item_id"], r["pos"]) for r in windows.where("NOT seed").collect()}
+    assert aside == {(i, p) for i in range(40) for p in range(len(opening.split()) - 7)}
+    got = {(r["doc_id"], r["item_id"]) for r in dec.contaminated_pairs(docs, table).collect()}
+    assert got == brute_leaks(rows, items) and (301, 7) in got and (300, 7) not in got
+    # items of few words: any window condemns, so none is set aside
+    short = [(i, opening) for i in range(3)]
+    windows = dec.with_seeds(dec.item_windows(items_table(spark, short), dec.DecontaminationParams()), dec.DecontaminationParams())
+    assert windows.where("NOT seed").count() == 0
+    got = {(r["doc_id"], r["item_id"]) for r in dec.contaminated_pairs(docs, items_table(spark, short)).collect()}
+    assert got == brute_leaks(rows, short)
+
+
 def test_decontamination_whole_table(spark):
     docs = [tuple(r) for r in spark.read.parquet(SF_SMALL + "/documents.parquet").select("doc_id", "text").collect()]
     items = [tuple(r) for r in spark.read.parquet(SF_SMALL + "/benchmark.parquet").collect()]
