@@ -13,7 +13,9 @@
    allow and that is not linked through others is checked exactly on the full sets; again
    only the trees that confirmed links span are written. Sets are taken in a second pass
    over the documents, only for rows that a bounded Bloom filter passes; an exact join
-   follows.
+   follows. A cluster of more than ``block`` nodes is confirmed in rounds
+   (``large_cluster_links``): chunks first, then one node for each part found, together
+   with the nodes that had most links; only parts still apart are compared pair by pair.
 4. Components of the confirmed links give the result. The last join, of all rows with the
    components by set digest, has a hot key where a text has very many copies; the adaptive
    skew join splits it.
@@ -32,10 +34,11 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.llm import hyperminhash as hmh
@@ -50,10 +53,15 @@ _SMALL = 48             # groups up to this size are compared together
 
 @dataclass(frozen=True)
 class NearParams:
-    """``percent``: links need 100 * intersection >= percent * union. ``max_blocks`` bounds the Bloom filter (64 bytes each)."""
+    """``percent``: links need 100 * intersection >= percent * union. ``max_blocks`` bounds the Bloom filter (64 bytes each).
+
+    ``hubs``, ``rounds``: see ``large_cluster_links``; they change its work, not its links.
+    """
     words: int = 5
     percent: int = 80
     block: int = 1000
+    hubs: int = 16
+    rounds: int = 12
     max_blocks: int = 1 << 18
 
 
@@ -171,26 +179,30 @@ def bounds_of(keys: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[:-1], edges[1:], strict=True))
 
 
-def allowed_pairs(regs: np.ndarray, sizes: np.ndarray, threshold: float, lo: int, hi: int,
-                  forest: Forest, block: np.ndarray, across: bool) -> Iterator[tuple[int, np.ndarray]]:
-    """For each row of a group the later rows not yet in its tree that the sketches allow.
+def allowed_pairs(regs: np.ndarray, sizes: np.ndarray, threshold: float, lo: int, hi: int, labels: np.ndarray,
+                  counts: Callable[[int, np.ndarray], np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row of a group the later rows not yet in its tree (``labels``) that count and that the sketches allow.
 
     Rows come in order of size, so only rows up to size / threshold are looked at.
     """
     order = lo + np.argsort(sizes[lo:hi], kind="stable")
     by_size = sizes[order]
-    for i in range(len(order) - 1):
-        end = int(np.searchsorted(by_size, by_size[i] / threshold + 1e-9, side="right"))
-        rest = order[i + 1:end]
-        if across:
-            rest = rest[block[rest] != block[order[i]]]
-        root = forest.find(int(order[i]))
-        rest = rest[np.fromiter((forest.find(j) != root for j in rest.tolist()), bool, len(rest))]
+    ends = np.searchsorted(by_size, by_size / threshold + 1e-9, side="right").tolist()
+    for at, i in enumerate(order[:-1].tolist()):
+        rest = order[at + 1:ends[at]]
+        rest = rest[(labels[rest] != labels[i]) & counts(i, rest)]
         if len(rest):
-            me = np.full(len(rest), order[i])
+            me = np.full(len(rest), i)
             rest = rest[hmh.may_reach(regs[me], regs[rest], sizes[me], sizes[rest], threshold)]
             if len(rest):
-                yield int(order[i]), rest
+                yield i, rest
+
+
+def unite(labels: np.ndarray, lo: int, hi: int, rows: np.ndarray) -> None:
+    """Gives the trees of the named rows of the group lo..hi one label."""
+    old = np.unique(labels[rows])
+    group = labels[lo:hi]
+    group[np.isin(group, old)] = old[0]
 
 
 def in_blocks(rows: DataFrame, key: str, count: str, block: int) -> DataFrame:
@@ -212,7 +224,7 @@ def candidate_forest(members: DataFrame, threshold: float, parts: int) -> DataFr
             key, node, sizes = (table.column(i).to_numpy() for i in range(3))
             regs = np.frombuffer(b"".join(table.column(3).to_pylist()), np.uint16).reshape(-1, hmh.REGISTERS)
             blk, across = table.column(4).to_numpy(), table.column(5).to_pylist()
-            forest, small = Forest(len(node)), []
+            forest, small, labels = Forest(len(node)), [], np.arange(len(node))
             for lo, hi in bounds_of(key):
                 if hi - lo < 2:
                     continue
@@ -220,9 +232,12 @@ def candidate_forest(members: DataFrame, threshold: float, parts: int) -> DataFr
                     i, j = np.triu_indices(hi - lo, 1)
                     small.append((lo + i, lo + j))
                     continue
-                for i, rest in allowed_pairs(regs, sizes, threshold, lo, hi, forest, blk, across[lo]):
-                    for j in rest.tolist():
+                def counts(i: int, rest: np.ndarray, every: bool = not across[lo]) -> np.ndarray:
+                    return every | (blk[rest] != blk[i])
+                for i, rest in allowed_pairs(regs, sizes, threshold, lo, hi, labels, counts):
+                    for j in rest[np.unique(labels[rest], return_index=True)[1]].tolist():
                         forest.join(i, j)
+                    unite(labels, lo, hi, np.append(rest, i))
             if small:
                 i, j = (np.concatenate(x) for x in zip(*small, strict=True))
                 for at in range(0, len(i), 50_000):
@@ -237,26 +252,89 @@ def candidate_forest(members: DataFrame, threshold: float, parts: int) -> DataFr
 
 
 def confirmed_forest(members: DataFrame, percent: int, parts: int) -> DataFrame:
-    """Links (a, b): per group the trees that the pairs whose full sets reach the threshold span, as stars."""
+    """Links (a, b) that span the trees of the pairs whose full sets reach the threshold, within each ``grp``.
+
+    Columns: grp, node, n, set, part (rows with the same are linked already), low (only
+    pairs with such a row count).
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups(batches, 0, 1000):
             key, node, sizes = (table.column(i).to_numpy() for i in range(3))
             sets = [np.frombuffer(s, np.uint64) for s in table.column(3).to_pylist()]
             regs = np.stack([hmh.registers(s) for s in sets])
-            blk, across = table.column(4).to_numpy(), table.column(5).to_pylist()
-            forest = Forest(len(node))
+            labels = np.unique(table.column(4).to_numpy(), return_inverse=True)[1]
+            low = table.column(5).to_numpy()
+            left, right = [], []
             for lo, hi in bounds_of(key):
-                for i, rest in allowed_pairs(regs, sizes, percent / 100, lo, hi, forest, blk, across[lo]):
+                for i, rest in allowed_pairs(regs, sizes, percent / 100, lo, hi, labels, lambda i, rest: low[rest] | low[i]):
                     for j in rest.tolist():
-                        if forest.find(i) == forest.find(j):
+                        if labels[i] == labels[j]:
                             continue
                         both = common(sets[i], sets[j])
                         if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
-                            forest.join(i, j)
-            yield forest.stars(node)
+                            unite(labels, lo, hi, np.array([i, j]))
+                            left.append(node[i])
+                            right.append(node[j])
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
-    return (members.select("grp", "node", "n", "set", "blk", "across").repartition(parts, "grp")
-            .sortWithinPartitions("grp").mapInArrow(run, "a bigint, b bigint").distinct())
+    return (members.select("grp", "node", "n", "set", "part", "low").repartition(parts, "grp")
+            .sortWithinPartitions("grp").mapInArrow(run, "a bigint, b bigint"))
+
+
+def large_cluster_links(rows: DataFrame, params: NearParams, parts: int) -> DataFrame:
+    """Links (a, b) that span the confirmed components of clusters with more than ``block`` nodes (node, label, n, set).
+
+    A round deals one node of each part (at first every node is one) to chunks of about
+    ``block`` and compares each chunk, to which the cluster's ``hubs`` nodes with most links
+    of the round before go as well; so copies that are like one original, but not like each
+    other, find it. Rounds end when no cluster has two parts, or when a round joins less than
+    a tenth of them. A round ships a node's set once and a hub's once per chunk. What is
+    still apart then is compared exactly: the nodes outside a cluster's largest part with all
+    its nodes, block by block, which ships the cluster once per ``block`` such nodes.
+    """
+    state = rows.select("node", "label", F.col("node").alias("part"))
+    hubs = state.select("node").limit(0)
+    links, before = [], None
+    for _ in range(params.rounds):
+        heads = state.where("node = part")
+        apart = heads.groupBy("label").agg(F.count("*").alias("heads")).where("heads > 1").select(
+            "label", F.ceil(F.col("heads") / F.lit(params.block)).cast("int").alias("chunks"), "heads")
+        left = apart.agg(F.sum("heads")).first()[0] or 0
+        if not left or (len(links) > 1 and left > 0.9 * before):
+            break
+        before = left
+        chunk = F.pmod(F.xxhash64("node", F.lit(len(links))), F.col("chunks")).cast("int")
+        dealt = heads.join(apart, "label").withColumn("chunk", chunk).unionByName(
+            state.join(hubs, "node").join(apart, "label")
+            .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))))
+        dealt = dealt.select("node", "part", F.xxhash64("label", "chunk").alias("grp"), F.lit(True).alias("low")).distinct()
+        new = written(confirmed_forest(dealt.join(rows.drop("label"), "node"), params.percent, parts), "confirmed")
+        links.append(new)
+        state, degrees = parts_of(rows, links), new.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").count()
+        rank = F.row_number().over(Window.partitionBy("label").orderBy(F.desc("count"), "node"))
+        hubs = written(degrees.join(state, "node").withColumn("rank", rank).where(F.col("rank") <= params.hubs)
+                       .select("node"), "hubs")
+    found = state.groupBy("label", "part").agg(F.count("*").alias("size")).groupBy("label").agg(
+        F.sum("size").alias("cnt"), F.max(F.struct("size", "part")).alias("largest"), F.count("*").alias("many")).where("many > 1")
+    apart = written(found.select("label", "largest.part", F.ceil(F.col("cnt") / params.block).cast("int").alias("blocks"),
+                                 F.ceil((F.col("cnt") - F.col("largest.size")) / params.block).cast("int").alias("lows"))
+                    .withColumnRenamed("part", "largest"), "apart")
+    nodes = state.join(apart, "label")
+    every = nodes.withColumn("blk", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn(
+        "lo", F.explode(F.sequence(F.lit(0), F.col("lows") - 1))).withColumn("low", F.lit(False))
+    outside = nodes.where("part != largest").withColumn("lo", F.pmod(F.xxhash64("node"), F.col("lows")).cast("int")).withColumn(
+        "blk", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("low", F.lit(True))
+    dealt = every.unionByName(outside, allowMissingColumns=True).select(
+        "node", "part", F.xxhash64("label", "lo", "blk").alias("grp"), "low")
+    links.append(confirmed_forest(dealt.join(rows.drop("label"), "node"), params.percent, parts))
+    return reduce(DataFrame.unionByName, links)
+
+
+def parts_of(rows: DataFrame, links: list[DataFrame]) -> DataFrame:
+    """(node, label, part): ``part`` is the smallest node that the links reach."""
+    joined = components(reduce(DataFrame.unionByName, links)).select("node", F.col("label").alias("part"))
+    return written(rows.select("node", "label").join(joined, "node", "left")
+                   .select("node", "label", F.coalesce("part", "node").alias("part")), "parts")
 
 
 def common(a: np.ndarray, b: np.ndarray) -> int:
@@ -305,9 +383,14 @@ def component_table(docs: DataFrame, params: NearParams) -> tuple[DataFrame, Dat
     sizes = clusters.groupBy("label").agg(F.count("*").alias("cnt"))
     wanted = written(clusters.join(nodes.drop("sig", "regs"), "node").join(sizes, "label")
                      .select("node", "label", "cnt", "n", "__at", "__fp"), "clusters")
-    with_sets = wanted.select("node", "label", "cnt", "n").join(
-        sets_of(docs, wanted.select("node", "__at", "__fp"), params), "node")
-    links = confirmed_forest(in_blocks(with_sets, "label", "cnt", params.block), params.percent, parts)
+
+    def with_sets(rows: DataFrame) -> DataFrame:
+        return rows.select("node", "label", "n").join(sets_of(docs, rows.select("node", "__at", "__fp"), params), "node")
+    small, large = wanted.where(F.col("cnt") <= params.block), wanted.where(F.col("cnt") > params.block)
+    links = confirmed_forest(with_sets(small).select(F.col("label").alias("grp"), "node", "n", "set", F.col("node").alias("part"),
+                                                     F.lit(True).alias("low")), params.percent, parts)
+    if large.limit(1).count():
+        links = links.unionByName(large_cluster_links(written(with_sets(large), "large-clusters"), params, parts))
     labels = components(links)
     lowest = labels.join(wanted.select("node", "__at"), "node").groupBy("label").agg(F.min("__at").alias("component"))
     return drawn, nodes, labels.join(lowest, "label").select("node", "label", "component")

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from larder.llm import hyperminhash as hmh
-from larder.llm import suffix_dedup
+from larder.llm import near_dedup, suffix_dedup
 from larder.llm.near_dedup import NearParams, keep_one_of_each, near_duplicates
 from larder.llm.queries import op2_suffix_dedup, op4_near_dedup
 from larder.llm.suffix_dedup import DedupParams, cut_runs, dedup_report, from_planes, merged, planes, remove_repeats
@@ -179,6 +179,33 @@ def test_near_chains_and_blocks(spark):
         assert sorted(tuple(r)[:3] for r in got) == exp
 
 
+def test_one_large_cluster_ships_its_sets_a_few_times(spark, monkeypatch):
+    """5,000 copies like one original (0.85) but not like each other (0.72), and a few texts that only look near."""
+    rng = np.random.default_rng(8)
+    base = [f"w{x}" for x in range(100)]
+
+    def changed(i, places):
+        words = list(base)
+        for k in places:
+            words[k] = f"new{i}x{k}"
+        return " ".join(words)
+    rows = [(0, " ".join(base))] + [(i, changed(i, sorted({int(rng.integers(5, 45)), int(rng.integers(50, 95))})))
+                                    for i in range(1, 5000)]
+    rows += [(i, changed(i, [10, 50, 90])) for i in range(5000, 5005)]
+    shipped = []
+    confirm = near_dedup.confirmed_forest
+
+    def counting(members, percent, parts):
+        shipped.append(members.count())
+        return confirm(members, percent, parts)
+    monkeypatch.setattr(near_dedup, "confirmed_forest", counting)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs, NearParams(words=4, block=250)).collect()}
+    assert {i for i in range(5000) if got[i] != 0} == set()
+    assert all(got[i] == i for i in range(5000, 5005))
+    assert sum(shipped) <= 4 * len(rows)                # block pairs of all nodes would ship 20 * len(rows)
+
+
 def test_near_whole_table(spark):
     docs = spark.read.parquet(SF_SMALL + "/documents.parquet").select("doc_id", "text").collect()
     exp = [(i, n, c, i == c) for i, n, c in edge.near_rows([tuple(r) for r in docs], 4)]
