@@ -44,10 +44,11 @@ from pyspark.sql import functions as F
 from larder.llm import hyperminhash as hmh
 from larder.llm.bloom import filter_words, key_hashes, probe
 from larder.llm.common import bounded_batches, input_bytes, packed, partitions_for, utf8_column, written
-from larder.llm.components import components
+from larder.llm.components import components, tasks_for
 from larder.llm.word_table import RecentValues
 
 _LAST = (1 << 63) - 1
+_TASK_NODES = 1 << 19
 _SMALL = 48             # groups up to this size are compared together
 
 
@@ -308,12 +309,13 @@ def large_cluster_links(rows: DataFrame, params: NearParams, parts: int) -> Data
             state.join(hubs, "node").join(apart, "label")
             .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))))
         dealt = dealt.select("node", "part", F.xxhash64("label", "chunk").alias("grp"), F.lit(True).alias("low")).distinct()
-        new = written(confirmed_forest(dealt.join(rows.drop("label"), "node"), params.percent, parts), "confirmed")
+        tasks = tasks_for(rows, left, params.block)
+        new = written(confirmed_forest(dealt.join(rows.drop("label"), "node"), params.percent, min(parts, tasks)), "confirmed")
         links.append(new)
-        state, degrees = parts_of(rows, links), new.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").count()
+        state, degrees = parts_of(state, new), new.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").count()
         rank = F.row_number().over(Window.partitionBy("label").orderBy(F.desc("count"), "node"))
         hubs = written(degrees.join(state, "node").withColumn("rank", rank).where(F.col("rank") <= params.hubs)
-                       .select("node"), "hubs")
+                       .select("node").coalesce(min(parts, tasks)), "hubs")
     found = state.groupBy("label", "part").agg(F.count("*").alias("size")).groupBy("label").agg(
         F.sum("size").alias("cnt"), F.max(F.struct("size", "part")).alias("largest"), F.count("*").alias("many")).where("many > 1")
     apart = written(found.select("label", "largest.part", F.ceil(F.col("cnt") / params.block).cast("int").alias("blocks"),
@@ -330,11 +332,15 @@ def large_cluster_links(rows: DataFrame, params: NearParams, parts: int) -> Data
     return reduce(DataFrame.unionByName, links)
 
 
-def parts_of(rows: DataFrame, links: list[DataFrame]) -> DataFrame:
-    """(node, label, part): ``part`` is the smallest node that the links reach."""
-    joined = components(reduce(DataFrame.unionByName, links)).select("node", F.col("label").alias("part"))
-    return written(rows.select("node", "label").join(joined, "node", "left")
-                   .select("node", "label", F.coalesce("part", "node").alias("part")), "parts")
+def parts_of(state: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, label, part) after further links: ``part`` is the smallest node of the part; links may name any of its nodes."""
+    heads = state.select("node", "part")
+    between = (links.join(heads.toDF("a", "x"), "a").join(heads.toDF("b", "y"), "b")
+               .select(F.col("x").alias("a"), F.col("y").alias("b")))
+    moved = components(between).select(F.col("node").alias("part"), F.col("label").alias("to"))
+    tasks = tasks_for(state, state.count(), _TASK_NODES)
+    return written(state.join(moved, "part", "left").select("node", "label", F.coalesce("to", "part").alias("part"))
+                   .coalesce(tasks), "parts")
 
 
 def common(a: np.ndarray, b: np.ndarray) -> int:
